@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload this library rebuilds is batch only: no streaming source or
+sink, watermark, event-time window or stateful operator occurs in it, so
+no streaming operator is offered. Batch operators take any DataFrame, so a
+caller can still apply them per micro-batch inside ``foreachBatch``.
+"""

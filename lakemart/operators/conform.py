@@ -49,12 +49,14 @@ def conform(df: DataFrame, spec: Sequence[Field], on_error: str = "null",
         t = f.type.lower()
         if t == "string":
             conv = val.cast("string")
-        elif t == "timestamp" and is_str:
+        elif t in ("timestamp", "timestamp_ntz") and is_str:
+            # parse in the session zone, then keep the wall-clock value if NTZ
             fmt = F.lit(f.fmt) if f.fmt else None
             if on_error == "raise":
                 conv = F.to_timestamp(val, f.fmt) if f.fmt else val.cast("timestamp")
             else:
                 conv = F.try_to_timestamp(val, fmt) if fmt is not None else val.try_cast("timestamp")
+            conv = conv.cast(t)
         else:
             conv = val.cast(t) if on_error == "raise" else val.try_cast(t)
         out.append(conv.alias(f.name))

@@ -1 +1,346 @@
-"""Queries (filled in below)."""
+"""Data-quality queries over the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakemart.functions.columns import MONEY
+from lakemart.operators import quality, sales
+from lakemart.plans import tables as T
+from lakemart.plans.conform_q import bronze_orders
+from lakemart.plans.registry import register
+from lakemart.plans.sqlfrag import avg_exact, month, q, ratio
+
+# fixed check parameters
+AS_OF = "2001-06-30 00:00:00"
+TOO_OLD = "1995-06-01 00:00:00"
+TAPS_AS_OF = "2024-02-01 00:00:00"
+LANGS = ("en", "de", "fr")
+PROFILE_COLS = ("order_id", "customer_id", "status", "purchase_ts", "order_total", "priority")
+NULL_COLS = ("order_id", "status", "revenue", "n_items")
+DISTINCT_COLS = ("order_id", "product_id", "seller_id", "return_flag", "line_status")
+TEXT_COLS = ("text", "lang", "source")
+PATTERNS = {"customer_name": "^Customer#[0-9]{9}$", "segment": "^[A-Z]+$"}
+CASTS = {"o_orderkey": "bigint", "o_orderstatus": "int", "o_totalprice": "decimal(18,2)"}
+
+
+def _union(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+def _ts(value: str):
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def _orders_revenue(spark, d):
+    o = T.orders(spark, d).select("order_id", "status")
+    return o.join(sales.order_revenue(T.items(spark, d)), "order_id", "left")
+
+
+_OR_SQL = """, orv AS (SELECT o.order_id, o.status, r.revenue, r.n_items FROM c_orders o
+  LEFT JOIN c_revenue r ON o.order_id = r.order_id)"""
+
+
+def _lines(spark, d):
+    i = T.items(spark, d).select("order_id", "shipped_ts", "price", "discount", "tax", "return_flag")
+    return i.join(T.orders(spark, d).select("order_id", "purchase_ts"), "order_id")
+
+
+_LINES_SQL = """, ln AS (SELECT i.order_id, i.shipped_ts, i.price, i.discount, i.tax, i.return_flag, o.purchase_ts
+  FROM c_items i JOIN c_orders o ON i.order_id = o.order_id)"""
+
+
+@register("profile", q(_union([f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls,
+  COUNT(DISTINCT {c}) AS n_distinct, CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value
+  FROM c_orders""" for c in PROFILE_COLS])))
+def profile(spark, d):
+    return quality.profile(T.orders(spark, d), PROFILE_COLS)
+
+
+@register("null_report", q(_OR_SQL + _union([f"""SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n_nulls,
+  {ratio(f'COUNT(*) - COUNT({c})', 'COUNT(*)', 2, pct=True)} AS null_pct FROM orv""" for c in NULL_COLS])))
+def null_report(spark, d):
+    return quality.null_report(_orders_revenue(spark, d), NULL_COLS)
+
+
+@register("distinct_report", q(_union([f"""SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_distinct
+  FROM c_items""" for c in DISTINCT_COLS])))
+def distinct_report(spark, d):
+    return quality.distinct_report(T.items(spark, d), DISTINCT_COLS)
+
+
+@register("completeness", q(_OR_SQL + _union([f"""SELECT '{c}' AS column_name, COUNT({c}) AS n_non_null,
+  {ratio(f'COUNT({c})', 'COUNT(*)', 2, pct=True)} AS completeness_pct FROM orv""" for c in NULL_COLS])))
+def completeness(spark, d):
+    return quality.completeness(_orders_revenue(spark, d), NULL_COLS)
+
+
+@register("time_coverage", q(_LINES_SQL + _union([f"""SELECT '{c}' AS column_name, COUNT({c}) AS n_non_null,
+  MIN({c}) AS first_ts, MAX({c}) AS last_ts, CAST(datediff('day', MIN({c}), MAX({c})) AS BIGINT) AS span_days
+  FROM ln""" for c in ("purchase_ts", "shipped_ts")])))
+def time_coverage(spark, d):
+    return quality.time_coverage(_lines(spark, d), ["purchase_ts", "shipped_ts"])
+
+
+@register("key_uniqueness", q("""
+, k AS (SELECT order_id, line_no, COUNT(*) AS c FROM c_items GROUP BY order_id, line_no)
+SELECT CAST(SUM(c) AS BIGINT) AS total_rows, COUNT(*) AS unique_keys,
+  CAST(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
+  CAST(SUM(CASE WHEN c > 1 THEN c ELSE 0 END) AS BIGINT) AS rows_in_duplicates, MAX(c) AS max_per_key FROM k"""))
+def key_uniqueness(spark, d):
+    return quality.key_uniqueness(T.items(spark, d), ["order_id", "line_no"])
+
+
+@register("duplicate_rows", """
+SELECT lang, text, COUNT(*) AS n_copies FROM documents GROUP BY lang, text HAVING COUNT(*) > 1""")
+def duplicate_rows(spark, d):
+    return quality.duplicate_rows(T.table(spark, d, "documents").select("lang", "text"))
+
+
+_REFS = [("orders->customer", "orders", "o_custkey", "customer", "c_custkey"),
+         ("lineitem->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+         ("lineitem->part", "lineitem", "l_partkey", "part", "p_partkey"),
+         ("lineitem->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+         ("labels->documents", "labels", "doc_id", "documents", "doc_id")]
+
+
+@register("referential_check", _union([f"""SELECT '{name}' AS relation, COUNT(*) AS n_rows,
+  CAST(SUM(CASE WHEN c.{ck} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null_keys,
+  (SELECT COUNT(*) FROM {child} x WHERE x.{ck} IS NOT NULL
+     AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{ck})) AS n_orphans
+  FROM {child} c""" for name, child, ck, parent, pk in _REFS]))
+def referential_check(spark, d):
+    out = None
+    for name, child, ck, parent, pk in _REFS:
+        r = quality.referential_check(T.table(spark, d, child), T.table(spark, d, parent), ck, pk, name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _sanity_rules():
+    return {"shipped_before_order": F.col("shipped_ts") < F.col("purchase_ts"),
+            "shipped_in_future": F.col("shipped_ts") > _ts(AS_OF),
+            "ordered_too_long_ago": F.col("purchase_ts") < _ts(TOO_OLD)}
+
+
+_SANITY_SQL = {"shipped_before_order": "shipped_ts < purchase_ts",
+               "shipped_in_future": f"shipped_ts > TIMESTAMP '{AS_OF}'",
+               "ordered_too_long_ago": f"purchase_ts < TIMESTAMP '{TOO_OLD}'"}
+
+
+def _rules_sql(rules, src, count_name="n_matching"):
+    return _union([f"""SELECT '{n}' AS rule, COUNT(*) AS n_rows,
+  CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS {count_name} FROM {src}""" for n, p in rules.items()])
+
+
+@register("timestamp_sanity", q(_LINES_SQL + _rules_sql(_SANITY_SQL, "ln")))
+def timestamp_sanity(spark, d):
+    return quality.timestamp_sanity(_lines(spark, d), _sanity_rules())
+
+
+@register("string_lengths", _union([f"""SELECT '{c}' AS column_name, CAST(MIN(length({c})) AS BIGINT) AS min_len,
+  CAST(MAX(length({c})) AS BIGINT) AS max_len, {avg_exact(f'length({c})', 0, 2)} AS avg_len
+  FROM documents""" for c in TEXT_COLS]))
+def string_lengths(spark, d):
+    return quality.string_lengths(T.table(spark, d, "documents"), TEXT_COLS)
+
+
+_LANGS_SQL = ", ".join(f"'{x}'" for x in LANGS)
+
+
+@register("domain_check", f"""
+SELECT lang AS value, COUNT(*) AS n,
+  {ratio('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2, pct=True)} AS pct,
+  COALESCE(lang IN ({_LANGS_SQL}), FALSE) AS is_allowed FROM documents GROUP BY lang""")
+def domain_check(spark, d):
+    return quality.domain_check(T.table(spark, d, "documents"), "lang", LANGS)
+
+
+_RANGE_SQL = {"negative_quantity": "quantity < 0", "big_quantity": "quantity > 45",
+              "discount_out_of_range": "discount < 0 OR discount > 0.1",
+              "tax_outlier": "tax > 0.08", "price_outlier": "price > 100000"}
+
+
+@register("range_check", q(_rules_sql(_RANGE_SQL, "c_items")))
+def range_check(spark, d):
+    c = F.col
+    return quality.range_check(T.items(spark, d), {
+        "negative_quantity": c("quantity") < 0, "big_quantity": c("quantity") > 45,
+        "discount_out_of_range": (c("discount") < 0) | (c("discount") > F.lit(0.1).cast(MONEY)),
+        "tax_outlier": c("tax") > F.lit(0.08).cast(MONEY), "price_outlier": c("price") > 100000})
+
+
+@register("duration_stats", q(_LINES_SQL + f"""
+, x AS (SELECT datediff('day', purchase_ts, shipped_ts) AS dd FROM ln)
+SELECT COUNT(dd) AS n, CAST(MIN(dd) AS BIGINT) AS min_days, CAST(MAX(dd) AS BIGINT) AS max_days,
+  {avg_exact('dd', 0, 4)} AS avg_days, ROUND(stddev_samp(dd), 6) AS stddev_days FROM x"""))
+def duration_stats(spark, d):
+    return quality.duration_stats(_lines(spark, d), "purchase_ts", "shipped_ts")
+
+
+@register("on_time_report", q(f"""
+, s AS (SELECT order_id, MAX(shipped_ts) AS delivered_ts FROM c_items GROUP BY order_id),
+lab AS (SELECT CASE WHEN s.delivered_ts IS NULL THEN 'Pending'
+  WHEN s.delivered_ts <= o.purchase_ts + INTERVAL 30 DAY THEN 'On-time' ELSE 'Late' END AS delivery_status
+  FROM c_orders o LEFT JOIN s ON o.order_id = s.order_id)
+SELECT delivery_status, COUNT(*) AS n_orders,
+  {ratio('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2, pct=True)} AS pct FROM lab GROUP BY delivery_status"""))
+def on_time_report(spark, d):
+    return quality.on_time_report(sales.delivery_status(T.orders(spark, d), T.items(spark, d), 30))
+
+
+_DIST_SQL = """, x AS (SELECT CAST(price AS DOUBLE) AS v FROM c_items), mu AS (SELECT AVG(v) AS m FROM x)"""
+
+
+@register("distribution_exact", q(_DIST_SQL + """
+SELECT COUNT(v) AS n, ROUND(quantile_cont(v, 0.25), 6) AS p25, ROUND(quantile_cont(v, 0.5), 6) AS p50,
+  ROUND(quantile_cont(v, 0.75), 6) AS p75, ROUND(AVG(v), 6) AS mean, ROUND(stddev_samp(v), 6) AS stddev,
+  ROUND(AVG(POWER(v - m, 3)) / POWER(AVG(POWER(v - m, 2)), 1.5), 6) AS skewness,
+  ROUND(AVG(POWER(v - m, 4)) / POWER(AVG(POWER(v - m, 2)), 2) - 3, 6) AS kurtosis FROM x, mu"""))
+def distribution_exact(spark, d):
+    return quality.distribution(T.items(spark, d), "price", exact=True)
+
+
+@register("distribution_approx", None)
+def distribution_approx(spark, d):
+    return quality.distribution(T.items(spark, d), "price", exact=False)
+
+
+@register("iqr_outliers", q(_DIST_SQL + """
+, qq AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM x)
+SELECT ROUND(q1, 6) AS q1, ROUND(q3, 6) AS q3, ROUND(q1 - (q3 - q1) * 1.5, 6) AS lower_fence,
+  ROUND(q3 + (q3 - q1) * 1.5, 6) AS upper_fence, COUNT(v) AS n,
+  CAST(SUM(CASE WHEN v < q1 - (q3 - q1) * 1.5 THEN 1 ELSE 0 END) AS BIGINT) AS n_below,
+  CAST(SUM(CASE WHEN v > q3 + (q3 - q1) * 1.5 THEN 1 ELSE 0 END) AS BIGINT) AS n_above
+FROM x, qq GROUP BY q1, q3"""))
+def iqr_outliers(spark, d):
+    return quality.iqr_outliers(T.items(spark, d), "price", exact=True)
+
+
+@register("duplication_rate", f"""
+WITH g AS (SELECT lang, text, COUNT(*) AS k FROM documents GROUP BY lang, text)
+SELECT CAST(SUM(k) AS BIGINT) AS total_rows, COUNT(*) AS distinct_rows,
+  CAST(SUM(k) - COUNT(*) AS BIGINT) AS duplicate_rows,
+  {ratio('SUM(k) - COUNT(*)', 'SUM(k)', 2, pct=True)} AS duplicate_pct FROM g""")
+def duplication_rate(spark, d):
+    return quality.duplication_rate(T.table(spark, d, "documents").select("lang", "text"))
+
+
+@register("freshness", q(f"""
+SELECT MIN(tap_ts) AS earliest, MAX(tap_ts) AS latest,
+  CAST(SUM(CASE WHEN tap_ts > TIMESTAMP '{TAPS_AS_OF}' THEN 1 ELSE 0 END) AS BIGINT) AS future_rows,
+  CAST(datediff('day', MAX(tap_ts), TIMESTAMP '{TAPS_AS_OF}') AS BIGINT) AS days_since_last FROM c_taps"""))
+def freshness(spark, d):
+    return quality.freshness(T.taps(spark, d), "tap_ts", _ts(TAPS_AS_OF))
+
+
+@register("per_key_cardinality", q(f"""
+, per AS (SELECT customer_id, COUNT(*) AS n, COUNT(DISTINCT status) AS v FROM c_orders GROUP BY customer_id)
+SELECT COUNT(*) AS n_keys, CAST(SUM(CASE WHEN v > 1 THEN 1 ELSE 0 END) AS BIGINT) AS keys_with_multiple,
+  MIN(n) AS min_per_key, MAX(n) AS max_per_key, {avg_exact('n', 0, 4)} AS avg_per_key FROM per"""))
+def per_key_cardinality(spark, d):
+    return quality.per_key_cardinality(T.orders(spark, d), "customer_id", "status")
+
+
+@register("volume", q(f"""
+SELECT {month('purchase_ts')} AS period, status, COUNT(*) AS n_rows FROM c_orders GROUP BY 1, 2"""))
+def volume(spark, d):
+    return quality.volume(T.orders(spark, d), "purchase_ts", "month", ["status"])
+
+
+_VIOLATION_SQL = {"shipped_before_order": "shipped_ts < purchase_ts",
+                  "discount_exceeds_tax": "discount > tax",
+                  "non_positive_price": "price <= 0",
+                  "unknown_return_flag": "return_flag NOT IN ('A', 'N', 'R')"}
+
+
+@register("rule_violations", q(_LINES_SQL + _rules_sql(_VIOLATION_SQL, "ln", "n_violations")))
+def rule_violations(spark, d):
+    c = F.col
+    return quality.rule_violations(_lines(spark, d), {
+        "shipped_before_order": c("shipped_ts") < c("purchase_ts"),
+        "discount_exceeds_tax": c("discount") > c("tax"),
+        "non_positive_price": c("price") <= 0,
+        "unknown_return_flag": ~c("return_flag").isin("A", "N", "R")})
+
+
+_CHAIN = ["purchase_ts", "first_ship_ts", "last_ship_ts"]
+
+
+@register("sequence_validity", q("""
+, s AS (SELECT o.purchase_ts, MIN(i.shipped_ts) AS first_ship_ts, MAX(i.shipped_ts) AS last_ship_ts
+  FROM c_orders o LEFT JOIN c_items i ON o.order_id = i.order_id GROUP BY o.order_id, o.purchase_ts)
+""" + _union([f"""SELECT '{a}->{b}' AS step, CAST(SUM(CASE WHEN {a} <= {b} THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
+  CAST(SUM(CASE WHEN {a} > {b} THEN 1 ELSE 0 END) AS BIGINT) AS n_invalid,
+  CAST(SUM(CASE WHEN {a} IS NULL OR {b} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM s"""
+                for a, b in zip(_CHAIN, _CHAIN[1:])] + [
+    """SELECT 'chain' AS step, CAST(SUM(CASE WHEN purchase_ts <= first_ship_ts AND first_ship_ts <= last_ship_ts
+  THEN 1 ELSE 0 END) AS BIGINT) AS n_valid, COUNT(*) - CAST(SUM(CASE WHEN purchase_ts <= first_ship_ts
+  AND first_ship_ts <= last_ship_ts THEN 1 ELSE 0 END) AS BIGINT) AS n_invalid, CAST(NULL AS BIGINT) AS n_missing
+  FROM s"""])))
+def sequence_validity(spark, d):
+    o = T.orders(spark, d).select("order_id", "purchase_ts")
+    s = T.items(spark, d).groupBy("order_id").agg(F.min("shipped_ts").alias("first_ship_ts"),
+                                                  F.max("shipped_ts").alias("last_ship_ts"))
+    return quality.sequence_validity(o.join(s, "order_id", "left"), _CHAIN)
+
+
+@register("total_consistency", q("""
+, p AS (SELECT order_id, SUM(price + freight) AS parts FROM c_items GROUP BY order_id),
+j AS (SELECT ABS(o.order_total - p.parts) AS diff FROM c_orders o JOIN p ON o.order_id = p.order_id)
+SELECT COUNT(*) AS n_keys, CAST(SUM(CASE WHEN diff <= 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS n_consistent,
+  CAST(SUM(CASE WHEN diff > 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS n_inconsistent,
+  CAST(MAX(diff) AS DECIMAL(18,2)) AS max_abs_diff FROM j"""))
+def total_consistency(spark, d):
+    items = T.items(spark, d).withColumn("line_total", F.col("price") + F.col("freight"))
+    out = quality.total_consistency(T.orders(spark, d), items, "order_id", "order_total", "line_total", 0.01)
+    return out.withColumn("max_abs_diff", F.col("max_abs_diff").cast(MONEY))
+
+
+@register("run_suite", q("""
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
+SELECT 'not_null' AS test, 'order_id' AS target, CAST(SUM(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM c_items
+UNION ALL SELECT 'not_null', 'product_id', CAST(SUM(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM c_items
+UNION ALL SELECT 'expression_is_true', 'positive_price', CAST(SUM(CASE WHEN NOT COALESCE(price > 0, FALSE) THEN 1 ELSE 0 END) AS BIGINT) FROM c_items
+UNION ALL SELECT 'expression_is_true', 'discount_in_range', CAST(SUM(CASE WHEN NOT COALESCE(discount BETWEEN 0 AND 0.1, FALSE) THEN 1 ELSE 0 END) AS BIGINT) FROM c_items
+UNION ALL SELECT 'unique', 'order_id,line_no', CAST(COALESCE(SUM(k), 0) AS BIGINT) FROM
+  (SELECT COUNT(*) AS k FROM c_items GROUP BY order_id, line_no HAVING COUNT(*) > 1))"""))
+def run_suite(spark, d):
+    return quality.run_suite(
+        T.items(spark, d), not_null=["order_id", "product_id"], unique=[["order_id", "line_no"]],
+        expressions={"positive_price": F.col("price") > 0,
+                     "discount_in_range": F.col("discount").between(F.lit(0), F.lit(0.1).cast(MONEY))})
+
+
+@register("pattern_check", q(_union([f"""SELECT '{c}' AS column_name, COUNT({c}) AS n_checked,
+  CAST(SUM(CASE WHEN {c} IS NOT NULL AND NOT regexp_matches({c}, '{p}') THEN 1 ELSE 0 END) AS BIGINT) AS n_invalid
+  FROM c_customers""" for c, p in PATTERNS.items()])))
+def pattern_check(spark, d):
+    return quality.pattern_check(T.customers(spark, d), PATTERNS)
+
+
+@register("castability", _union([f"""SELECT '{c}' AS column_name, '{t}' AS target_type,
+  CAST(SUM(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t.upper()}) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_uncastable
+  FROM (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice
+        FROM orders)""" for c, t in CASTS.items()]))
+def castability(spark, d):
+    return quality.castability(bronze_orders(spark, d), CASTS)
+
+
+@register("distinct_approx", None)
+def distinct_approx(spark, d):
+    return quality.distinct_report(T.items(spark, d), DISTINCT_COLS, approx=True)
+
+
+EXPECTED_ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+                   "o_totalprice": "decimal(18,2)", "o_orderdate": "date", "o_comment": "string"}
+
+
+@register("schema_drift", None)
+def schema_drift(spark, d):
+    return quality.schema_drift(T.table(spark, d, "orders"), EXPECTED_ORDERS)
+
+
+@register("schema_report", None)
+def schema_report(spark, d):
+    return quality.schema_report(T.table(spark, d, "lineitem"))

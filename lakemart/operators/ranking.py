@@ -99,10 +99,17 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     spec = [F.asc_nulls_first(b) for b in by] + sort_cols
     n = num_partitions or shuffle_partitions(spark)
     ranged = df.repartitionByRange(n, *spec).sortWithinPartitions(*spec)
-    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
-    numbered = (ranged.mapInPandas(_runs_numberer(by, _LOC), schema)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id()))
+    if by:
+        # runs of equal keys inside a sorted partition: a short pandas pass per task
+        schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
+        numbered = (ranged.mapInPandas(_runs_numberer(by, _LOC), schema)
+                    .withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_POS, F.monotonically_increasing_id()))
+    else:
+        # one run per partition: the position inside the task is the id's low 33 bits
+        numbered = (ranged.withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_POS, F.monotonically_increasing_id())
+                    .withColumn(_LOC, F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33) + 1))
     numbered = numbered.checkpoint(eager=True)
 
     gkey = F.struct(*[F.col(b) for b in by]) if by else F.struct(F.lit(0).alias("_g"))

@@ -50,20 +50,24 @@ def order_payments(payments: DataFrame) -> DataFrame:
 
 
 def order_details(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame,
-                  payments: DataFrame | None = None, payment_join: str = "left") -> DataFrame:
+                  payments: DataFrame | None = None, payment_join: str = "left",
+                  line_total: str | None = None) -> DataFrame:
     """Denormalised item-grain fact: orders ⋈ customers ⋈ items ⋈ products ⟕ payments.
 
+    ``total_item_price`` is ``quantity × price``, or the item column
+    ``line_total`` when the source already carries the line amount.
     Inner joins drop orders without items (as written); ``payment_join``
-    selects a left (keep unpaid) or inner payment join.
+    selects a left (keep unpaid) or inner payment join. Payments are summed
+    per order first, so an order paid once is not counted once per item.
     """
     o = orders.select("order_id", "customer_id", F.col("purchase_ts").cast("date").alias("order_date"),
                       F.col("status").alias("order_status"))
     c = customers.select("customer_id", "customer_name")
+    total = F.col(line_total) if line_total else F.col("quantity") * F.col("price")
     i = items.select("order_id", "line_no", "product_id", F.col("quantity").cast("int").alias("quantity"),
-                     F.col("price").alias("unit_price"))
+                     F.col("price").alias("unit_price"), money(total).alias("total_item_price"))
     p = products.select("product_id", "product_name", "category")
-    d = (i.join(o, "order_id").join(c, "customer_id").join(p, "product_id")
-         .withColumn("total_item_price", money(F.col("unit_price"))))
+    d = i.join(o, "order_id").join(c, "customer_id").join(p, "product_id")
     if payments is not None:
         d = d.join(order_payments(payments), "order_id", payment_join)
     return d

@@ -17,7 +17,8 @@ PRICE_EDGES = (1000, 1500)
 
 def _details(spark, d, with_payments=False):
     return sales.order_details(T.orders(spark, d), T.customers(spark, d), T.items(spark, d),
-                               T.products(spark, d), T.payments(spark, d) if with_payments else None)
+                               T.products(spark, d), T.payments(spark, d) if with_payments else None,
+                               line_total="price")
 
 
 _DETAILS_SQL = """, det AS (SELECT i.order_id, i.line_no, i.product_id, o.customer_id,

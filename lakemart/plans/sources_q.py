@@ -1 +1,39 @@
-"""Queries (filled in below)."""
+"""Source and audit queries: a CSV round trip and a load audit."""
+
+from __future__ import annotations
+
+from lakemart.operators import conform
+from lakemart.plans import tables as T
+from lakemart.plans.conform_q import ORDER_SPEC, bronze_orders
+from lakemart.plans.registry import register
+from lakemart.session import scratch_path
+from lakemart.sources import files, metadata
+
+LOAD_ID, LOAD_TS = "load-0001", "2024-02-01 06:00:00"
+
+
+@register("bronze_csv_roundtrip", """
+SELECT TRY_CAST(o_orderkey AS BIGINT) AS order_id, TRY_CAST(o_custkey AS BIGINT) AS customer_id,
+  lower(o_orderstatus) AS status, o_orderdate AS purchase_ts,
+  TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS order_total, upper(o_orderpriority) AS priority
+FROM orders""")
+def bronze_csv_roundtrip(spark, d):
+    """orders → CSV in the shared scratch folder → all-string bronze → conformed silver."""
+    path = scratch_path(spark, "bronze_orders_csv")
+    bronze_orders(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    raw = files.read_bronze_csv(spark, path, infer=False, rescued="_rescued_data")
+    return conform.conform(raw, ORDER_SPEC, on_error="null")
+
+
+@register("load_audit", f"""
+SELECT '{LOAD_ID}' AS load_id, 'events.parquet' AS file_name, TIMESTAMP '{LOAD_TS}' AS load_date,
+  COUNT(*) AS record_count, MIN(ts) AS min_timestamp, MAX(ts) AS max_timestamp,
+  CAST(SUM(CASE WHEN user_id IS NULL OR event_type IS NULL OR ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
+  COUNT(*) - COUNT(DISTINCT event_id) AS duplicate_count,
+  CASE WHEN SUM(CASE WHEN user_id IS NULL OR event_type IS NULL OR ts IS NULL THEN 1 ELSE 0 END) = COUNT(*) THEN 'FAILED'
+       WHEN SUM(CASE WHEN user_id IS NULL OR event_type IS NULL OR ts IS NULL THEN 1 ELSE 0 END) > 0
+         OR COUNT(*) - COUNT(DISTINCT event_id) > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS load_status
+FROM events""")
+def load_audit(spark, d):
+    scan = metadata.with_load_metadata(T.table(spark, d, "events"), LOAD_ID, LOAD_TS)
+    return metadata.load_audit(scan, "ts", "event_id", ["user_id", "event_type", "ts"])

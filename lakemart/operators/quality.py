@@ -108,12 +108,15 @@ def duplicate_rows(df: DataFrame, count_col: str = "n_copies") -> DataFrame:
 def referential_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                       relation: str) -> DataFrame:
     """NULL foreign keys and orphans (non-null keys with no parent): one row."""
-    ck = child.select(F.col(child_key).alias("_fk"))
+    # pre-aggregate the child keys: a hot key becomes one row before any shuffle
+    ck = child.groupBy(F.col(child_key).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
     pk = parent.select(F.col(parent_key).alias("_pk")).distinct()
     orphans = ck.where(F.col("_fk").isNotNull()).join(pk, F.col("_fk") == F.col("_pk"), "left_anti")
-    nulls = ck.agg(F.count(F.lit(1)).alias("n_rows"), count_when(F.col("_fk").isNull()).alias("n_null_keys"))
+    nulls = ck.agg(F.sum("_n").cast("bigint").alias("n_rows"),
+                   F.coalesce(F.sum(F.when(F.col("_fk").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
+                   .alias("n_null_keys"))
     return nulls.select(F.lit(relation).alias("relation"), "n_rows", "n_null_keys",
-                        orphans.select(F.count(F.lit(1))).scalar().alias("n_orphans"))
+                        orphans.select(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")).scalar().alias("n_orphans"))
 
 
 # Q9, Q12, Q21 (wide or long)

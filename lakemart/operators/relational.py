@@ -31,13 +31,13 @@ def orders_without(df: DataFrame, other: DataFrame, key, other_key=None) -> Data
     filter form as an outer join, which carries every matched row through
     the join only to drop it.
     """
-    other = other.select(*_keys(other_key or key)).alias("_r")
+    other = other.select(*_keys(other_key or key)).distinct().alias("_r")
     return df.join(other, _join_cond(df, other, key, other_key), "left_anti")
 
 
 def orders_with(df: DataFrame, other: DataFrame, key, other_key=None) -> DataFrame:
     """Rows of ``df`` with at least one match in ``other`` (``EXISTS``)."""
-    other = other.select(*_keys(other_key or key)).alias("_r")
+    other = other.select(*_keys(other_key or key)).distinct().alias("_r")
     return df.join(other, _join_cond(df, other, key, other_key), "left_semi")
 
 
@@ -107,10 +107,6 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return out
 
 
-def within(df: DataFrame, pred: Column) -> DataFrame:
-    return df.where(pred)
-
-
 __all__ = [
     "orders_without", "orders_with", "pair_counts_within", "next_period_keys",
     "count_if_report", "share_of_total", "top_groups", "fill_defaults", "as_col",

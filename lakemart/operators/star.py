@@ -55,12 +55,14 @@ def load_dim(raw: DataFrame, natural_key: str, attrs: Sequence[str], key_col: st
 
 def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *,
               date_col: str, customer_id: str, product_id: str, price: str, quantity: str,
-              keep: Sequence[str], sale_key: str = "sale_key", order: Sequence[str] = ()) -> DataFrame:
+              keep: Sequence[str], sale_key: str | None = "sale_key", order: Sequence[str] = ()) -> DataFrame:
     """Fact rows with dimension keys looked up and ``total_amount = price × qty``.
 
     Lookups are left joins, so rows without a dimension match are kept with
     a NULL key and ``matched = false`` (the written INSERT .. JOIN drops them).
     The date key is computed (``yyyyMMdd``), which equals the date-dimension lookup.
+    ``sale_key=None`` skips the identity column (a global numbering pass)
+    for callers that only aggregate the fact.
     """
     dc = dim_customer.select("customer_key", F.col(customer_id).alias("_cid"))
     dp = dim_product.select("product_key", F.col(product_id).alias("_pid"))
@@ -70,6 +72,8 @@ def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *
                  F.col(quantity).cast("int").alias("quantity"),
                  (F.col(price).cast(MONEY) * F.col(quantity)).cast(MONEY).alias("total_amount"),
                  (F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()).alias("matched"))
+    if sale_key is None:
+        return f
     return assign_keys(f, sale_key, [(c, "asc") for c in order] or [(c, "asc") for c in keep])
 
 

@@ -67,9 +67,10 @@ def _init(spark, d, kind):
                           sk_col="CustomerSK", current_col="CurrentRegion", previous_col="PreviousRegion")
 
 
-def _scd2(spark, d):
-    return merge.scd2_apply(_init(spark, d, 2), scd_changes(spark, d), KEYS, ["Name", "Region"],
-                            "EffectiveDate", sk_col="CustomerSK")
+def _scd2(spark, d, target=None):
+    t = target if target is not None else _init(spark, d, 2)
+    return merge.scd2_apply(t, scd_changes(spark, d), KEYS, ["Name", "Region"], "EffectiveDate",
+                            sk_col="CustomerSK")
 
 
 @register("scd_init", q(_SCD_SQL + " SELECT * FROM t2"))
@@ -120,7 +121,8 @@ SELECT COUNT(oc) AS n_old, COUNT(nc) AS n_new, CAST(SUM(CASE WHEN oc IS NULL THE
   CAST(SUM(CASE WHEN oc AND NOT nc THEN 1 ELSE 0 END) AS BIGINT) AS n_closed,
   CAST(SUM(CASE WHEN oc IS NOT DISTINCT FROM nc THEN 1 ELSE 0 END) AS BIGINT) AS n_unchanged FROM j"""))
 def change_counts(spark, d):
-    return merge.change_counts(_init(spark, d, 2), _scd2(spark, d), sk_col="CustomerSK")
+    t = _init(spark, d, 2)
+    return merge.change_counts(t, _scd2(spark, d, t), sk_col="CustomerSK")
 
 
 # ---------------------------------------------------------------- star schema
@@ -143,13 +145,14 @@ def dim_customer(spark, d):
     return star.load_dim(raw_sales(spark, d), "customer_id", ["customer_name", "country"], "customer_key")
 
 
-def fact_sales(spark, d):
-    f = star.load_fact(raw_sales(spark, d), dim_customer(spark, d), dim_product(spark, d),
-                       date_col="purchase_ts", customer_id="customer_id", product_id="product_id",
-                       price="unit_price", quantity="quantity", keep=["order_id", "line_no"],
-                       order=["order_id", "line_no", "date_key", "customer_key", "product_key", "quantity",
-                              "total_amount", "matched"])
-    return f
+def fact_sales(spark, d, dc=None, dp=None, sale_key="sale_key"):
+    return star.load_fact(raw_sales(spark, d), dc if dc is not None else dim_customer(spark, d),
+                          dp if dp is not None else dim_product(spark, d),
+                          date_col="purchase_ts", customer_id="customer_id", product_id="product_id",
+                          price="unit_price", quantity="quantity", keep=["order_id", "line_no"],
+                          sale_key=sale_key,
+                          order=["order_id", "line_no", "date_key", "customer_key", "product_key", "quantity",
+                                 "total_amount", "matched"])
 
 
 _STAR_SQL = """
@@ -199,7 +202,8 @@ SELECT dp.category, CAST(SUM(fs.total_amount) AS DECIMAL(18,2)) AS total_sales,
   CAST(SUM(fs.quantity) AS BIGINT) AS units FROM fs JOIN dp ON fs.product_key = dp.product_key
 GROUP BY dp.category"""))
 def sales_by_category_star(spark, d):
-    return star.sales_by_category(fact_sales(spark, d), dim_product(spark, d))
+    dp = dim_product(spark, d)
+    return star.sales_by_category(fact_sales(spark, d, dp=dp, sale_key=None), dp)
 
 
 @register("monthly_by_country", q(_STAR_SQL + """
@@ -207,4 +211,5 @@ SELECT dd.year, dd.month, dc.country, CAST(SUM(fs.total_amount) AS DECIMAL(18,2)
 FROM fs JOIN dd ON fs.date_key = dd.date_key JOIN dc ON fs.customer_key = dc.customer_key
 GROUP BY dd.year, dd.month, dc.country"""))
 def monthly_by_country(spark, d):
-    return star.monthly_by_country(fact_sales(spark, d), dim_date(spark, d), dim_customer(spark, d))
+    dc = dim_customer(spark, d)
+    return star.monthly_by_country(fact_sales(spark, d, dc=dc, sale_key=None), dim_date(spark, d), dc)

@@ -112,6 +112,16 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
                     .withColumn(_LOC, F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33) + 1))
     numbered = numbered.checkpoint(eager=True)
 
+    if not by:
+        # offset of a partition = rows in all earlier partitions (≤ n² tiny rows)
+        counts = numbered.groupBy(_PID).agg(F.max(_LOC).alias("_n"))
+        p, q = counts.alias("p"), counts.alias("q")
+        offs = (p.join(q, F.col("q." + _PID) < F.col("p." + _PID), "left")
+                .groupBy(F.col("p." + _PID).alias(_PID))
+                .agg(F.coalesce(F.sum("q._n"), F.lit(0)).alias("_carry")))
+        res = numbered.join(F.broadcast(offs), _PID)
+        return res.withColumn(out, (F.col(_LOC) + F.col("_carry")).cast("bigint")).drop(_PID, _POS, _LOC, "_carry")
+
     gkey = F.struct(*[F.col(b) for b in by]) if by else F.struct(F.lit(0).alias("_g"))
     stats = numbered.groupBy(_PID).agg(
         F.min_by(gkey, F.col(_POS)).alias("_first"),

@@ -78,15 +78,27 @@ def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *
 
 
 def sales_by_category(fact: DataFrame, dim_product: DataFrame, category: str = "category") -> DataFrame:
-    return (fact.join(dim_product.select("product_key", category), "product_key")
-            .groupBy(category).agg(money_sum("total_amount").alias("total_sales"),
-                                   F.sum("quantity").cast("bigint").alias("units")))
+    """Sales and units per product category.
+
+    The fact is first reduced to one row per product key (partial
+    aggregation map-side), so the dimension join sees one row per product
+    instead of one per sale.
+    """
+    per_product = fact.groupBy("product_key").agg(F.sum("total_amount").alias("_amt"),
+                                                  F.sum("quantity").alias("_qty"))
+    return (per_product.join(dim_product.select("product_key", category), "product_key")
+            .groupBy(category).agg(money_sum("_amt").alias("total_sales"),
+                                   F.sum("_qty").cast("bigint").alias("units")))
 
 
 def monthly_by_country(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                        country: str = "country") -> DataFrame:
-    """Sales per year, month and customer country (month kept in the grouping)."""
-    # the date dimension has one row per calendar day: a proven broadcast bound
+    """Sales per year, month and customer country (month kept in the grouping).
+
+    Reduced to (date, customer) before the joins; the date dimension has one
+    row per calendar day, a proven broadcast bound.
+    """
+    per = fact.groupBy("date_key", "customer_key").agg(F.sum("total_amount").alias("_amt"))
     dd = F.broadcast(dim_date.select("date_key", "year", "month"))
-    return (fact.join(dd, "date_key").join(dim_customer.select("customer_key", country), "customer_key")
-            .groupBy("year", "month", country).agg(money_sum("total_amount").alias("total_sales")))
+    return (per.join(dd, "date_key").join(dim_customer.select("customer_key", country), "customer_key")
+            .groupBy("year", "month", country).agg(money_sum("_amt").alias("total_sales")))

@@ -1,11 +1,21 @@
-"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None)."""
+"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
+
+Operators compute money, ratios and averages as exact DECIMALs. At the
+query boundary every DECIMAL column is delivered as DOUBLE on both sides
+(Spark cast; ``SELECT * REPLACE (CAST(.. AS DOUBLE))`` around the oracle
+SQL). Both engines round the same exact decimal to the nearest double, so
+the values stay bit-identical while consumers see plain floating point.
+"""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +27,9 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
+_TYPING_DIRS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def register(name: str, sql: str | None):
@@ -28,7 +41,59 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def decimals_as_double(df: DataFrame) -> DataFrame:
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _wrap_fn(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return decimals_as_double(fn(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_CON = None
+
+
+def _typing_connection():
+    """DuckDB connection with the table views, used only to read result types."""
+    global _CON
+    if _CON is None:
+        import duckdb
+
+        d = next(x for x in _TYPING_DIRS if os.path.isdir(x))
+        con = duckdb.connect()
+        for t in _TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+        _CON = con
+    return _CON
+
+
+def _wrap_sql(sql: str) -> str:
+    try:
+        cols = [r[0] for r in _typing_connection().execute(f"DESCRIBE SELECT * FROM ({sql}) AS _q").fetchall()
+                if str(r[1]).upper().startswith("DECIMAL")]
+    except Exception:
+        return sql
+    if not cols:
+        return sql
+    repl = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _q"
+
+
+_LOADED: dict[str, Entry] | None = None
+
+
 def load_all() -> dict[str, Entry]:
-    # importing the group modules fills REGISTRY
-    from lakemart.plans import core, sales_q, conform_q, quality_q, merge_q, sources_q  # noqa: F401
-    return REGISTRY
+    """All queries, with DECIMAL results delivered as DOUBLE on both sides."""
+    global _LOADED
+    if _LOADED is None:
+        # importing the group modules fills REGISTRY
+        from lakemart.plans import conform_q, core, merge_q, quality_q, sales_q, sources_q  # noqa: F401
+        _LOADED = {name: Entry(_wrap_fn(e.fn), _wrap_sql(e.sql) if e.sql else None)
+                   for name, e in REGISTRY.items()}
+    return _LOADED

@@ -27,8 +27,10 @@ def norm(v):
         return None
     if isinstance(v, float) and math.isnan(v):
         return None
-    if isinstance(v, (decimal.Decimal, float)):
-        return round(float(v), 6)
+    if isinstance(v, decimal.Decimal):
+        return ("D", str(v))
+    if isinstance(v, float):
+        return repr(v)
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, dt.datetime):
@@ -40,6 +42,17 @@ def norm(v):
     return v
 
 
+_SPARK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+          "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "TimestampType": "TIMESTAMP WITH TIME ZONE",
+          "BooleanType": "BOOLEAN", "FloatType": "FLOAT", "ShortType": "SMALLINT", "ByteType": "TINYINT"}
+
+
+def type_diffs(df, res):
+    spark_t = {f.name: _SPARK.get(type(f.dataType).__name__, f.dataType.simpleString()) for f in df.schema.fields}
+    duck_t = {c[0]: str(c[1]).upper() for c in res.description}
+    return {c: (spark_t[c], duck_t.get(c)) for c in spark_t if duck_t.get(c) != spark_t[c]}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -84,6 +97,9 @@ def main():
             print(f"COLS {name}: spark={cols} sql={dcols}")
             bad += 1
             continue
+        td = type_diffs(df, res)
+        if td:
+            print(f"TYPES {name}: {td}")
         a, b = rows_of(cols, srows), rows_of(dcols, drows)
         if a == b:
             print(f"ok {name}: {len(a)} rows {st:.1f}s")

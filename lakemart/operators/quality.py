@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakemart.functions.columns import avg_exact, count_when, ratio
+from lakemart.functions.columns import avg_exact, count_when, half_up_div, ratio
 
 
 def _stack(agg_row: DataFrame, items: Sequence[tuple[str, Sequence[tuple[str, Column]]]]) -> DataFrame:
@@ -179,6 +179,18 @@ def duration_stats(df: DataFrame, start: str, end: str) -> DataFrame:
         F.round(F.stddev_samp("_d"), 6).alias("stddev_days"))
 
 
+def duration_hours(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Hours from ``start`` to ``end`` (seconds between the two / 3600): count,
+    min, max and mean to two decimals. ``timestamp_diff`` on wall-clock
+    timestamps, so the session time zone cannot shift a difference."""
+    sec = F.timestamp_diff("SECOND", F.col(start), F.col(end))
+    return df.select(sec.alias("_s")).agg(
+        F.count("_s").alias("n"),
+        half_up_div(F.min("_s"), F.lit(3600), 2).alias("min_hours"),
+        half_up_div(F.max("_s"), F.lit(3600), 2).alias("max_hours"),
+        half_up_div(F.sum("_s"), F.count("_s") * F.lit(3600), 2).alias("avg_hours"))
+
+
 def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFrame:
     """Orders per delivery label with its share."""
     agg = status.groupBy(label).agg(F.count(F.lit(1)).alias("n_orders"))
@@ -250,10 +262,25 @@ def per_key_cardinality(df: DataFrame, key: str, attr: str) -> DataFrame:
 
 
 # Q20
-def volume(df: DataFrame, ts: str, grain: str = "day", by: Sequence[str] = ()) -> DataFrame:
-    """Row count per day or month (DATE of the period start), optionally by keys."""
+def volume(df: DataFrame, ts: str, grain: str = "day", by: Sequence[str] = (),
+           expected: Column | float | None = None) -> DataFrame:
+    """Row count per day or month (DATE of the period start), optionally by keys.
+
+    With ``expected`` (a number, or ``"mean"`` for the mean count per period
+    as a scalar subquery) each period also gets ``expected`` and
+    ``deviation_pct`` = 100·(n − expected)/expected.
+    """
     period = F.col(ts).cast("date") if grain == "day" else F.trunc(F.col(ts).cast("date"), grain)
-    return df.groupBy(period.alias("period"), *by).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = df.groupBy(period.alias("period"), *by).agg(F.count(F.lit(1)).alias("n_rows"))
+    if expected is None:
+        return out
+    if isinstance(expected, str) and expected == "mean":
+        exp = out.select(F.sum("n_rows").alias("s"), F.count(F.lit(1)).alias("c")) \
+            .select(half_up_div(F.col("s"), F.col("c"), 2)).scalar()
+    else:
+        exp = F.lit(expected).cast("decimal(18,2)")
+    dev = half_up_div(((F.col("n_rows") - exp) * 10000).cast("decimal(38,0)"), (exp * 100).cast("decimal(38,0)"), 2)
+    return out.withColumn("expected", exp).withColumn("deviation_pct", dev)
 
 
 # Q22

@@ -67,6 +67,11 @@ def next_period_keys(df: DataFrame, key: str, period: str, months: int = 1) -> D
     return km.join(nxt, (km[key] == nxt["_k"]) & (km[period] == nxt["_p"]), "left_semi")
 
 
+def with_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
+    """``col LIKE 'prefix%'`` (case-sensitive); pushed to the scan as StringStartsWith."""
+    return df.where(F.col(col).startswith(prefix))
+
+
 def count_if_report(df: DataFrame, predicates: Mapping[str, Column], total: str | None = "total_rows") -> DataFrame:
     """One row: ``SUM(CASE WHEN p THEN 1 ELSE 0 END)`` per named predicate, one scan."""
     aggs = [F.count(F.lit(1)).alias(total)] if total else []
@@ -108,6 +113,6 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 __all__ = [
-    "orders_without", "orders_with", "pair_counts_within", "next_period_keys",
+    "orders_without", "orders_with", "with_prefix", "pair_counts_within", "next_period_keys",
     "count_if_report", "share_of_total", "top_groups", "fill_defaults", "as_col",
 ]

@@ -166,6 +166,14 @@ def revenue_by_state(orders: DataFrame, revenue: DataFrame, customers: DataFrame
                                   F.count(F.lit(1)).alias("n_orders")))
 
 
+def revenue_by_state_items(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+    """Revenue per customer state summed straight from item rows."""
+    return (items.select("order_id", "price", "freight").join(orders.select("order_id", "customer_id"), "order_id")
+            .join(customers.select("customer_id", "state"), "customer_id")
+            .groupBy("state").agg(money_sum(F.col("price") + F.col("freight")).alias("revenue"),
+                                  F.count_distinct("order_id").alias("n_orders")))
+
+
 def monthly_sales_by_category(details: DataFrame) -> DataFrame:
     """Gold: sales, distinct orders and distinct customers per month and category."""
     return (details.withColumn("sales_month", month_start("order_date"))

@@ -102,3 +102,11 @@ def monthly_by_country(fact: DataFrame, dim_date: DataFrame, dim_customer: DataF
     dd = F.broadcast(dim_date.select("date_key", "year", "month"))
     return (per.join(dd, "date_key").join(dim_customer.select("customer_key", country), "customer_key")
             .groupBy("year", "month", country).agg(money_sum("_amt").alias("total_sales")))
+
+
+def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 5) -> DataFrame:
+    """Top ``k`` customers by sales (ties by natural key), fact reduced per key first."""
+    per = fact.groupBy("customer_key").agg(F.sum("total_amount").alias("_amt"))
+    return (per.join(dim_customer, "customer_key")
+            .select("customer_id", "customer_name", F.col("_amt").cast(MONEY).alias("total_sales"))
+            .orderBy(F.desc("total_sales"), F.asc("customer_id")).limit(k))

@@ -213,3 +213,12 @@ GROUP BY dd.year, dd.month, dc.country"""))
 def monthly_by_country(spark, d):
     dc = dim_customer(spark, d)
     return star.monthly_by_country(fact_sales(spark, d, dc=dc, sale_key=None), dim_date(spark, d), dc)
+
+
+@register("top_customers_star", q(_STAR_SQL + """
+SELECT dc.customer_id, dc.customer_name, CAST(SUM(fs.total_amount) AS DECIMAL(18,2)) AS total_sales
+FROM fs JOIN dc ON fs.customer_key = dc.customer_key GROUP BY dc.customer_id, dc.customer_name
+ORDER BY total_sales DESC, dc.customer_id LIMIT 5"""))
+def top_customers_star(spark, d):
+    dc = dim_customer(spark, d)
+    return star.top_customers(fact_sales(spark, d, dc=dc, sale_key=None), dc, 5)

@@ -9,7 +9,7 @@ from lakemart.operators import quality, sales
 from lakemart.plans import tables as T
 from lakemart.plans.conform_q import bronze_orders
 from lakemart.plans.registry import register
-from lakemart.plans.sqlfrag import avg_exact, month, q, ratio
+from lakemart.plans.sqlfrag import avg_exact, half_up, month, q, ratio
 
 # fixed check parameters
 AS_OF = "2001-06-30 00:00:00"
@@ -344,3 +344,27 @@ def schema_drift(spark, d):
 @register("schema_report", None)
 def schema_report(spark, d):
     return quality.schema_report(T.table(spark, d, "lineitem"))
+
+
+@register("duration_hours", q("""
+, s AS (SELECT o.purchase_ts, MIN(i.shipped_ts) AS first_ship_ts FROM c_orders o
+  JOIN c_items i ON o.order_id = i.order_id GROUP BY o.order_id, o.purchase_ts),
+x AS (SELECT date_diff('second', purchase_ts, first_ship_ts) AS sec FROM s)
+SELECT COUNT(sec) AS n,
+  """ + half_up("MIN(sec)", "3600", 2) + """ AS min_hours,
+  """ + half_up("MAX(sec)", "3600", 2) + """ AS max_hours,
+  """ + half_up("SUM(sec)", "COUNT(sec) * 3600", 2) + """ AS avg_hours FROM x"""))
+def duration_hours(spark, d):
+    o = T.orders(spark, d).select("order_id", "purchase_ts")
+    s = T.items(spark, d).groupBy("order_id").agg(F.min("shipped_ts").alias("first_ship_ts"))
+    return quality.duration_hours(o.join(s, "order_id"), "purchase_ts", "first_ship_ts")
+
+
+@register("volume_vs_expected", q("""
+, v AS (SELECT CAST(tap_ts AS DATE) AS period, COUNT(*) AS n_rows FROM c_taps GROUP BY 1),
+e AS (SELECT """ + half_up("SUM(n_rows)", "COUNT(*)", 2) + """ AS expected FROM v)
+SELECT period, n_rows, expected,
+  """ + half_up("CAST((n_rows - expected) * 10000 AS HUGEINT)", "CAST(expected * 100 AS HUGEINT)", 2) + """ AS deviation_pct
+FROM v, e"""))
+def volume_vs_expected(spark, d):
+    return quality.volume(T.taps(spark, d), "tap_ts", "day", expected="mean")

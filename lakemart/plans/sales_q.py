@@ -218,3 +218,30 @@ def status_counts(spark, d):
 SELECT status, COUNT(*) AS n_orders FROM c_orders WHERE status IN ('O', 'P') GROUP BY status"""))
 def undelivered_status_counts(spark, d):
     return sales.status_counts(T.orders(spark, d), ["O", "P"])
+
+
+@register("revenue_by_state_items", q("""
+SELECT c.state, CAST(SUM(i.price + i.freight) AS DECIMAL(18,2)) AS revenue, COUNT(DISTINCT i.order_id) AS n_orders
+FROM c_items i JOIN c_orders o ON i.order_id = o.order_id
+JOIN c_customers c ON o.customer_id = c.customer_id GROUP BY c.state"""))
+def revenue_by_state_items(spark, d):
+    return sales.revenue_by_state_items(T.orders(spark, d), T.items(spark, d), T.customers(spark, d))
+
+
+NAME_PREFIX = "red"
+
+
+@register("name_prefix", q(f"""
+SELECT product_id, product_name, category FROM c_products WHERE product_name LIKE '{NAME_PREFIX}%'"""))
+def name_prefix(spark, d):
+    from lakemart.operators.relational import with_prefix
+    return with_prefix(T.products(spark, d).select("product_id", "product_name", "category"),
+                       "product_name", NAME_PREFIX)
+
+
+@register("order_sample", None)
+def order_sample(spark, d):
+    """Any ten joined order lines (LIMIT without ORDER BY: a sample, rows-only check)."""
+    from lakemart.sources.files import preview
+    return preview(sales.order_item_context(T.orders(spark, d), T.customers(spark, d), T.items(spark, d),
+                                            T.products(spark, d)), 10)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakemart.functions.columns import avg_exact, count_when, half_up_div, ratio
+from lakemart.operators.ranking import row_number_within
 
 
 def _stack(agg_row: DataFrame, items: Sequence[tuple[str, Sequence[tuple[str, Column]]]]) -> DataFrame:
@@ -198,34 +199,63 @@ def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFra
     return agg.withColumn("pct", ratio(F.col("n_orders"), total, 2, pct=True))
 
 
-# Q15
+# Q15, Q16
+def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> Column:
+    """Exact interpolated quantiles (as ``percentile`` / ``quantile_cont``) as
+    one scalar struct ``q0, q1, ..``, computed without a single-task buffer.
+
+    The non-null values are numbered 1..n in sorted order by the range-
+    partitioned row number; quantile p sits at position ``p·(n−1)``, so only
+    the two rows around each position are read back and interpolated.
+    """
+    v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    n = v.select(F.count(F.lit(1))).scalar()
+    numbered = row_number_within(v, [], [("_v", "asc")], out="_rn")
+    wanted, parts = [], []
+    for i, p in enumerate(ps):
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
+        wanted += [lo, hi]
+        lo_v = F.max(F.when(F.col("_rn") == lo, F.col("_v")))
+        hi_v = F.max(F.when(F.col("_rn") == hi, F.col("_v")))
+        frac = F.max(pos - F.floor(pos))
+        parts.append((lo_v + (hi_v - lo_v) * frac).alias(f"q{i}"))
+    picked = numbered.where(F.col("_rn").isin(*wanted))
+    return picked.agg(F.struct(*parts).alias("q")).scalar()
+
+
 def distribution(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Quartiles, mean, sample stddev, population skewness and excess kurtosis.
 
-    ``exact`` uses ``percentile`` (interpolated, needs the column's values
-    per group in memory: fine for a global 1-row result only when the column
-    fits one task); ``exact=False`` uses ``percentile_approx`` (fixed-size
-    sketch, merged map-side) and is what to run at scale.
+    ``exact`` interpolates quartiles from the sorted values (distributed, see
+    ``exact_quantiles``); ``exact=False`` uses ``percentile_approx`` (a
+    fixed-size sketch merged map-side: one pass, no sort).
     """
     c = F.col(col).cast("double")
     if exact:
-        qs = [F.percentile(c, p) for p in (0.25, 0.5, 0.75)]
+        q = exact_quantiles(df, col, (0.25, 0.5, 0.75))
+        qs = [q.getField("q0"), q.getField("q1"), q.getField("q2")]
     else:
         qs = [F.percentile_approx(c, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
     return df.agg(
         F.count(c).alias("n"),
-        F.round(qs[0], 6).alias("p25"), F.round(qs[1], 6).alias("p50"), F.round(qs[2], 6).alias("p75"),
+        F.round(F.first(qs[0]) if exact else qs[0], 6).alias("p25"),
+        F.round(F.first(qs[1]) if exact else qs[1], 6).alias("p50"),
+        F.round(F.first(qs[2]) if exact else qs[2], 6).alias("p75"),
         F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("stddev"),
         F.round(F.skewness(c), 6).alias("skewness"), F.round(F.kurtosis(c), 6).alias("kurtosis"))
 
 
-# Q16
 def iqr_outliers(df: DataFrame, col: str, exact: bool = True, k: float = 1.5) -> DataFrame:
     """Tukey fences ``q1 − k·iqr`` and ``q3 + k·iqr``; counts below and above."""
     c = F.col(col).cast("double")
-    pct = (lambda p: F.percentile(c, p)) if exact else (lambda p: F.percentile_approx(c, p, 10000).cast("double"))
-    qrow = df.agg(pct(0.25).alias("q1"), pct(0.75).alias("q3"))
-    q1, q3 = qrow.select("q1").scalar(), qrow.select("q3").scalar()
+    if exact:
+        q = exact_quantiles(df, col, (0.25, 0.75))
+        q1, q3 = q.getField("q0"), q.getField("q1")
+    else:
+        qrow = df.agg(F.percentile_approx(c, [0.25, 0.75], 10000).alias("qa"))
+        qa = qrow.select("qa").scalar()
+        q1, q3 = qa[0].cast("double"), qa[1].cast("double")
     lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
     counts = df.agg(count_when(c < lo).alias("n_below"), count_when(c > hi).alias("n_above"),
                     F.count(c).alias("n"))

@@ -25,6 +25,7 @@ def get_session(master: str | None = None, app: str = "lakemart",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.operators.ranking import assign_keys, latest_per_key
+from lakemart.operators.ranking import assign_keys, latest_per_key, row_number_within
 
 OPEN_END = "9999-12-31"
 
@@ -105,29 +105,49 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
     chk = ch.alias("c").join(cur.select(*keys, F.col("StartDate").alias("_cur_start")).alias("k"), keys, "left")
     ok = chk.where(F.col("_cur_start").isNull() | (F.col("StartDate") > F.col("_cur_start"))).drop("_cur_start")
     rejects = chk.where(F.col("_cur_start").isNotNull() & (F.col("StartDate") <= F.col("_cur_start")))
-    # one timeline per key: the current row followed by the accepted changes
-    versions = (cur.select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
+    # keys without an accepted change keep their current row untouched
+    ok_keys = ok.select(*keys).distinct()
+    cur_touched = cur.join(ok_keys, keys, "left_semi")
+    cur_untouched = cur.join(ok_keys, keys, "left_anti")
+    # one timeline per changed key: its current row followed by the accepted changes
+    versions = (cur_touched.select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
                 .unionByName(ok.select(*keys, *attrs, "StartDate", F.lit(None).cast("bigint").alias(sk_col),
                                        F.lit(1).alias("_is_new"))))
-    w = Window.partitionBy(*keys).orderBy("StartDate", "_is_new")
-    same_as_prev = None
-    for c in tracked:
-        e = F.lag(F.col(c)).over(w).eqNullSafe(F.col(c))
-        same_as_prev = e if same_as_prev is None else same_as_prev & e
-    kept = (versions.withColumn("_same", F.coalesce(same_as_prev, F.lit(False)))
-            .where(~((F.col("_is_new") == 1) & F.col("_same"))).drop("_same"))
-    timeline = (kept.withColumn("_next", F.lead("StartDate").over(w))
-                .withColumn("EndDate", F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(OPEN_END).cast("date")))
-                .withColumn("IsCurrent", F.col("_next").isNull()).drop("_next"))
+    timeline = _timeline(versions, keys, tracked)
     old_rows = timeline.where(F.col("_is_new") == 0).drop("_is_new")
     new_rows = timeline.where(F.col("_is_new") == 1).drop("_is_new", sk_col)
     max_sk = target.select(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
     new_rows = assign_keys(new_rows, sk_col, [(k, "asc") for k in keys] + [("StartDate", "asc")], start=max_sk)
     cols = target.columns
-    out = hist.select(*cols).unionByName(old_rows.select(*cols)).unionByName(new_rows.select(*cols))
+    out = (hist.select(*cols).unionByName(cur_untouched.select(*cols))
+           .unionByName(old_rows.select(*cols)).unionByName(new_rows.select(*cols)))
     return (out, rejects) if return_rejects else out
 
 
+def _timeline(versions: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """Drop changes equal to the version before them, then end each version
+    the day before the next one starts.
+
+    Neighbours are found by numbering each key's versions (skew-safe
+    ``row_number_within``) and joining on (key, number ± 1): an equi-join
+    whose rows spread over tasks even when one key has most of the batch.
+    """
+    order = [("StartDate", "asc"), ("_is_new", "asc")] + [(c, "asc") for c in tracked]
+    v = row_number_within(versions, keys, order, out="_rn")
+    prev = v.select(*keys, (F.col("_rn") + 1).alias("_rn"), F.lit(True).alias("_has_prev"),
+                    *[F.col(c).alias(f"_p_{c}") for c in tracked])
+    v = v.join(prev, keys + ["_rn"], "left")
+    same = F.coalesce(F.col("_has_prev"), F.lit(False))
+    for c in tracked:
+        same = same & F.col(f"_p_{c}").eqNullSafe(F.col(c))
+    kept = v.where(~((F.col("_is_new") == 1) & same)).drop("_rn", "_has_prev", *[f"_p_{c}" for c in tracked])
+    k = row_number_within(kept, keys, order, out="_rn")
+    nxt = k.select(*keys, (F.col("_rn") - 1).alias("_rn"), F.col("StartDate").alias("_next"))
+    return (k.join(nxt, keys + ["_rn"], "left")
+            .withColumn("EndDate", F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(OPEN_END).cast("date")))
+            .withColumn("IsCurrent", F.col("_next").isNull()).drop("_next", "_rn"))
+
+
 # M3
 def scd3_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], source_col: str,
                effective_col: str, current_col: str = "Current", previous_col: str = "Previous",

@@ -8,8 +8,6 @@ the data volume. Series with a ``by`` key are partitioned on it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -115,6 +115,22 @@ def canonical(c: str | Column, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(lookup, F.lower(F.trim(col))), col)
 
 
+def scalar_lit(one: "DataFrame") -> Column:
+    """Evaluate a one-row, one-column aggregate (e.g. ``max(ts)``) now and
+    return it as a typed literal.
+
+    A bound used in a range filter should be a literal: the filter then
+    reaches the parquet scan (``PushedFilters``, row-group skipping), and
+    the value is computed once, whereas a scalar subquery is re-run for each
+    copy of the predicate. The value travels as text so a wall-clock
+    timestamp cannot shift with the Python or session time zone.
+    """
+    field = one.schema.fields[0]
+    row = one.first()
+    v = None if row is None else row[0]
+    return F.lit(None if v is None else str(v)).cast(field.dataType)
+
+
 def within_days(ts: str | Column, days: int, as_of: Column) -> Column:
     """``as_of - days <= ts <= as_of`` (``as_of`` explicit so results repeat)."""
     t = as_col(ts)

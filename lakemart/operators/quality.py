@@ -165,8 +165,8 @@ def string_lengths(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def domain_check(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
     """Frequency and % per value, flagged against the allowed set."""
     agg = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = agg.select(F.sum("n")).scalar()
-    return agg.select("value", "n", ratio(F.col("n"), total, 2, pct=True).alias("pct"),
+    agg = agg.withColumn("_lm_total", agg.select(F.sum("n")).scalar())
+    return agg.select("value", "n", ratio(F.col("n"), F.col("_lm_total"), 2, pct=True).alias("pct"),
                       F.coalesce(F.col("value").isin(list(allowed)), F.lit(False)).alias("is_allowed"))
 
 
@@ -195,8 +195,8 @@ def duration_hours(df: DataFrame, start: str, end: str) -> DataFrame:
 def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFrame:
     """Orders per delivery label with its share."""
     agg = status.groupBy(label).agg(F.count(F.lit(1)).alias("n_orders"))
-    total = agg.select(F.sum("n_orders")).scalar()
-    return agg.withColumn("pct", ratio(F.col("n_orders"), total, 2, pct=True))
+    agg = agg.withColumn("_lm_total", agg.select(F.sum("n_orders")).scalar())
+    return agg.withColumn("pct", ratio(F.col("n_orders"), F.col("_lm_total"), 2, pct=True)).drop("_lm_total")
 
 
 # Q15, Q16
@@ -209,8 +209,10 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> Column:
     the two rows around each position are read back and interpolated.
     """
     v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    n = v.select(F.count(F.lit(1))).scalar()
     numbered = row_number_within(v, [], [("_v", "asc")], out="_rn")
+    # n read once from the (checkpointed) numbered rows and bound to a column
+    numbered = numbered.withColumn("_n", numbered.select(F.count(F.lit(1))).scalar())
+    n = F.col("_n")
     wanted, parts = [], []
     for i, p in enumerate(ps):
         pos = (n - 1).cast("double") * F.lit(float(p))
@@ -232,35 +234,36 @@ def distribution(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10
     fixed-size sketch merged map-side: one pass, no sort).
     """
     c = F.col(col).cast("double")
-    if exact:
-        q = exact_quantiles(df, col, (0.25, 0.5, 0.75))
-        qs = [q.getField("q0"), q.getField("q1"), q.getField("q2")]
-    else:
-        qs = [F.percentile_approx(c, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
-    return df.agg(
-        F.count(c).alias("n"),
-        F.round(F.first(qs[0]) if exact else qs[0], 6).alias("p25"),
-        F.round(F.first(qs[1]) if exact else qs[1], 6).alias("p50"),
-        F.round(F.first(qs[2]) if exact else qs[2], 6).alias("p75"),
-        F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("stddev"),
-        F.round(F.skewness(c), 6).alias("skewness"), F.round(F.kurtosis(c), 6).alias("kurtosis"))
+    moments = [F.count(c).alias("n"),
+               F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("stddev"),
+               F.round(F.skewness(c), 6).alias("skewness"), F.round(F.kurtosis(c), 6).alias("kurtosis")]
+    if not exact:
+        qa = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
+        return df.agg(*moments, qa.alias("_qa")).select(
+            "n", *[F.round(F.col("_qa")[i].cast("double"), 6).alias(nm) for i, nm in enumerate(("p25", "p50", "p75"))],
+            "mean", "stddev", "skewness", "kurtosis")
+    out = df.agg(*moments).withColumn("_q", exact_quantiles(df, col, (0.25, 0.5, 0.75)))
+    return out.select("n", *[F.round(F.col(f"_q.q{i}"), 6).alias(nm) for i, nm in enumerate(("p25", "p50", "p75"))],
+                      "mean", "stddev", "skewness", "kurtosis")
 
 
 def iqr_outliers(df: DataFrame, col: str, exact: bool = True, k: float = 1.5) -> DataFrame:
     """Tukey fences ``q1 − k·iqr`` and ``q3 + k·iqr``; counts below and above."""
-    c = F.col(col).cast("double")
     if exact:
         q = exact_quantiles(df, col, (0.25, 0.75))
-        q1, q3 = q.getField("q0"), q.getField("q1")
     else:
-        qrow = df.agg(F.percentile_approx(c, [0.25, 0.75], 10000).alias("qa"))
-        qa = qrow.select("qa").scalar()
-        q1, q3 = qa[0].cast("double"), qa[1].cast("double")
-    lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
-    counts = df.agg(count_when(c < lo).alias("n_below"), count_when(c > hi).alias("n_above"),
-                    F.count(c).alias("n"))
-    return counts.select(F.round(q1, 6).alias("q1"), F.round(q3, 6).alias("q3"),
-                         F.round(lo, 6).alias("lower_fence"), F.round(hi, 6).alias("upper_fence"),
+        qa = df.agg(F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], 10000).alias("qa"))
+        q = qa.select(F.struct(F.col("qa")[0].cast("double").alias("q0"),
+                               F.col("qa")[1].cast("double").alias("q1"))).scalar()
+    # quartiles bound once as a column, fences derived from it
+    x = df.select(F.col(col).cast("double").alias("_v")).withColumn("_q", q)
+    q1, q3 = F.col("_q.q0"), F.col("_q.q1")
+    x = x.withColumn("_lo", q1 - (q3 - q1) * k).withColumn("_hi", q3 + (q3 - q1) * k)
+    counts = x.agg(count_when(F.col("_v") < F.col("_lo")).alias("n_below"),
+                   count_when(F.col("_v") > F.col("_hi")).alias("n_above"), F.count("_v").alias("n"),
+                   F.first("_q").alias("_q"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    return counts.select(F.round(F.col("_q.q0"), 6).alias("q1"), F.round(F.col("_q.q1"), 6).alias("q3"),
+                         F.round(F.col("_lo"), 6).alias("lower_fence"), F.round(F.col("_hi"), 6).alias("upper_fence"),
                          "n", "n_below", "n_above")
 
 
@@ -309,8 +312,10 @@ def volume(df: DataFrame, ts: str, grain: str = "day", by: Sequence[str] = (),
             .select(half_up_div(F.col("s"), F.col("c"), 2)).scalar()
     else:
         exp = F.lit(expected).cast("decimal(18,2)")
-    dev = half_up_div(((F.col("n_rows") - exp) * 10000).cast("decimal(38,0)"), (exp * 100).cast("decimal(38,0)"), 2)
-    return out.withColumn("expected", exp).withColumn("deviation_pct", dev)
+    out = out.withColumn("expected", exp)  # bound once
+    e = F.col("expected")
+    dev = half_up_div(((F.col("n_rows") - e) * 10000).cast("decimal(38,0)"), (e * 100).cast("decimal(38,0)"), 2)
+    return out.withColumn("deviation_pct", dev)
 
 
 # Q22

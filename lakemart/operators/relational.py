@@ -87,8 +87,10 @@ def share_of_total(df: DataFrame, key: str | Sequence[str], count_col: str = "n"
     not a window over them, so no single-partition exchange appears.
     """
     agg = df.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias(count_col))
-    total = agg.select(F.sum(count_col)).scalar()
-    return agg.withColumn(pct_col, ratio(F.col(count_col), total, scale, pct=True))
+    # bind the scalar once: each textual use of a subquery column is its own execution
+    return (agg.withColumn("_lm_total", agg.select(F.sum(count_col)).scalar())
+            .withColumn(pct_col, ratio(F.col(count_col), F.col("_lm_total"), scale, pct=True))
+            .drop("_lm_total"))
 
 
 def top_groups(df: DataFrame, by: str | Sequence[str], aggs: Sequence[Column],

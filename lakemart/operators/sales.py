@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import (
-    MONEY, avg_exact, band, count_when, money, money_sum, month_start, ratio, within_days,
+    MONEY, avg_exact, band, count_when, money, money_sum, month_start, ratio, scalar_lit, within_days,
 )
 from lakemart.operators.relational import next_period_keys
 
@@ -134,9 +134,9 @@ def price_band(products: DataFrame, edges: Sequence[float] = (50, 100),
 
 
 def above_average(df: DataFrame, col: str) -> DataFrame:
-    """Rows whose ``col`` exceeds the overall average (scalar subquery)."""
-    avg = df.select(F.avg(F.col(col))).scalar()
-    return df.where(F.col(col) > avg)
+    """Rows whose ``col`` exceeds the overall average (resolved once, then a
+    literal filter that reaches the scan)."""
+    return df.where(F.col(col) > scalar_lit(df.select(F.avg(F.col(col)))))
 
 
 def big_spenders(orders: DataFrame, revenue: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions.columns import MONEY
+from lakemart.functions.columns import MONEY, scalar_lit
 from lakemart.operators import conform, leads, relational, sales, transit
 from lakemart.operators.conform import Field
 from lakemart.plans import tables as T
@@ -90,7 +90,7 @@ WHERE tap_ts >= (SELECT MAX(tap_ts) FROM c_taps) - INTERVAL {RECENT_TAP_DAYS} DA
   AND tap_ts <= (SELECT MAX(tap_ts) FROM c_taps)"""))
 def within_days(spark, d):
     t = T.taps(spark, d)
-    return conform.within_last(t, "tap_ts", RECENT_TAP_DAYS, t.select(F.max("tap_ts")).scalar())
+    return conform.within_last(t, "tap_ts", RECENT_TAP_DAYS, scalar_lit(t.select(F.max("tap_ts"))))
 
 
 @register("count_if_report", q("""
@@ -149,7 +149,7 @@ SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY total_passengers DESC, station_name)
 FROM g ORDER BY total_passengers DESC, station_name LIMIT 5"""))
 def top_stations(spark, d):
     t = T.taps(spark, d)
-    return transit.top_stations(t, 60, 10, t.select(F.max("tap_ts")).scalar(), 5)
+    return transit.top_stations(t, 60, 10, scalar_lit(t.select(F.max("tap_ts"))), 5)
 
 
 @register("stage_events", q("""
@@ -159,4 +159,4 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY tap_ts DESC, event_id D
 def stage_events(spark, d):
     t = T.taps(spark, d)
     return conform.stage_events(t, {"passengers": (1, 300)}, ["user_id"], ["tap_ts", "event_id"],
-                                "tap_ts", t.select(F.max("tap_ts")).scalar(), ["station_name"])
+                                "tap_ts", scalar_lit(t.select(F.max("tap_ts"))), ["station_name"])

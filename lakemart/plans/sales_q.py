@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakemart.functions.columns import scalar_lit
 from lakemart.operators import sales
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
@@ -205,7 +206,7 @@ WHERE purchase_ts >= as_of - INTERVAL {RECENT_DAYS} DAY AND purchase_ts <= as_of
 ORDER BY purchase_ts DESC, order_id LIMIT {RECENT_K}"""))
 def recent_orders(spark, d):
     o = T.orders(spark, d)
-    as_of = o.select(F.max("purchase_ts")).scalar()
+    as_of = scalar_lit(o.select(F.max("purchase_ts")))
     return sales.recent_orders(o, RECENT_DAYS, as_of, RECENT_K)
 
 

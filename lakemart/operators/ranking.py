@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,32 +113,42 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     numbered = numbered.checkpoint(eager=True)
 
     if not by:
-        # offset of a partition = rows in all earlier partitions (≤ n² tiny rows)
-        counts = numbered.groupBy(_PID).agg(F.max(_LOC).alias("_n"))
-        p, q = counts.alias("p"), counts.alias("q")
-        offs = (p.join(q, F.col("q." + _PID) < F.col("p." + _PID), "left")
-                .groupBy(F.col("p." + _PID).alias(_PID))
-                .agg(F.coalesce(F.sum("q._n"), F.lit(0)).alias("_carry")))
-        res = numbered.join(F.broadcast(offs), _PID)
-        return res.withColumn(out, (F.col(_LOC) + F.col("_carry")).cast("bigint")).drop(_PID, _POS, _LOC, "_carry")
-
-    gkey = F.struct(*[F.col(b) for b in by]) if by else F.struct(F.lit(0).alias("_g"))
-    stats = numbered.groupBy(_PID).agg(
-        F.min_by(gkey, F.col(_POS)).alias("_first"),
-        F.max_by(gkey, F.col(_POS)).alias("_last"),
-        F.max_by(F.col(_LOC), F.col(_POS)).alias("_last_n"),
-    )
-    p, q = stats.alias("p"), stats.alias("q")
-    carried = (p.join(q, (F.col("q." + _PID) < F.col("p." + _PID))
-                      & F.col("q._last").eqNullSafe(F.col("p._first")), "left")
-               .groupBy(F.col("p." + _PID).alias(_PID), F.col("p._first").alias("_first"))
-               .agg(F.coalesce(F.sum("q._last_n"), F.lit(0)).alias("_carry")))
+        # one run per partition: its length is the partition's row count
+        const = F.struct(F.lit(0).alias("_g"))
+        stats = numbered.groupBy(_PID).agg(F.max(_LOC).alias("_last_n")) \
+            .select(_PID, const.alias("_first"), const.alias("_last"), "_last_n")
+        gkey = const
+    else:
+        gkey = F.struct(*[F.col(b) for b in by])
+        stats = numbered.groupBy(_PID).agg(
+            F.min_by(gkey, F.col(_POS)).alias("_first"),
+            F.max_by(gkey, F.col(_POS)).alias("_last"),
+            F.max_by(F.col(_LOC), F.col(_POS)).alias("_last_n"),
+        )
     # one row per partition: a proven size bound for the broadcast
-    res = numbered.join(F.broadcast(carried), _PID)
+    res = numbered.join(F.broadcast(_carry(stats)), _PID)
     own = F.when(gkey.eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(F.lit(0))
     return res.withColumn(out, (F.col(_LOC) + own).cast("bigint")).drop(_PID, _POS, _LOC, "_first", "_carry")
 
 
+def _carry(stats: DataFrame) -> DataFrame:
+    """Rows of a partition's first group that sit in earlier partitions.
+
+    Input: one row per partition (id, first group, last group, rows of the
+    last group). Data are sorted globally, so the earlier partitions ending
+    in group g are contiguous: a running sum per last group, read from the
+    preceding partition when it ends in this partition's first group.
+    Windows over at most one row per partition (bounded by the partition
+    count, not the data).
+    """
+    by_last = Window.partitionBy("_last").orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = Window.orderBy(_PID)
+    s = stats.withColumn("_cum", F.sum("_last_n").over(by_last))
+    s = s.withColumn("_prev_last", F.lag("_last").over(in_order)).withColumn("_prev_cum", F.lag("_cum").over(in_order))
+    carry = F.when(F.col("_prev_last").eqNullSafe(F.col("_first")), F.col("_prev_cum")).otherwise(F.lit(0))
+    return s.select(_PID, "_first", carry.alias("_carry"))
+
+
 def global_rank(df: DataFrame, order: Sequence, tie_break: Sequence[str] = (),
                 method: str = "row_number", out: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Distributed row numbers / ranks against a plain window, with a hot key."""
 
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -42,10 +43,20 @@ def test_null_keys_grouped(spark):
     assert sorted(map(tuple, ours.select("id", "rn").collect())) == sorted(map(tuple, ref.select("id", "rn").collect()))
 
 
-def test_no_single_partition_exchange(spark):
+def test_single_partition_only_over_partition_stats(spark):
+    """Data rows never meet a single-partition exchange: the only one sits on
+    the per-partition statistics (one row per partition, keyed by partition id)."""
     df = _frame(spark)
-    plan = ranking.global_rank(df, [("v", "desc")], ["id"], out="r")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    for out in (ranking.global_rank(df, [("v", "desc")], ["id"], out="r"),
+                ranking.row_number_within(df, ["g"], [("v", "desc"), ("id", "asc")], out="r")):
+        out.write.format("noop").mode("overwrite").save()
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+        assert singles, "expected the stats window"
+        passthrough = ("Project", "Window", "Sort", "Exchange", "AQEShuffleRead", "ShuffleQueryStage")
+        for i in singles:
+            below = next(ln for ln in lines[i + 1:] if ln.strip(" :|+-").split(" ")[0] not in passthrough)
+            assert re.search(r"keys?=\[_lm_pid", below), below
 
 
 def test_latest_per_key_is_an_aggregate(spark):

@@ -368,3 +368,61 @@ SELECT period, n_rows, expected,
 FROM v, e"""))
 def volume_vs_expected(spark, d):
     return quality.volume(T.taps(spark, d), "tap_ts", "day", expected="mean")
+
+
+# ------------------------------------------- generic checks on the other tables
+
+ROLES = ("user", "assistant", "system")
+URL_PATTERN = r"^https?://[a-z0-9.-]+\.(com|net|org)(/|$)"
+EMBED_DIM = 64
+
+
+@register("conversation_keys", """
+WITH k AS (SELECT conv_id, turn, COUNT(*) AS c FROM conversations GROUP BY conv_id, turn)
+SELECT CAST(SUM(c) AS BIGINT) AS total_rows, COUNT(*) AS unique_keys,
+  CAST(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
+  CAST(SUM(CASE WHEN c > 1 THEN c ELSE 0 END) AS BIGINT) AS rows_in_duplicates, MAX(c) AS max_per_key FROM k""")
+def conversation_keys(spark, d):
+    return quality.key_uniqueness(T.table(spark, d, "conversations"), ["conv_id", "turn"])
+
+
+@register("conversation_roles", f"""
+SELECT role AS value, COUNT(*) AS n, {ratio('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2, pct=True)} AS pct,
+  COALESCE(role IN ({", ".join(f"'{r}'" for r in ROLES)}), FALSE) AS is_allowed
+FROM conversations GROUP BY role""")
+def conversation_roles(spark, d):
+    return quality.domain_check(T.table(spark, d, "conversations"), "role", ROLES)
+
+
+@register("page_url_patterns", f"""
+SELECT 'url' AS column_name, COUNT(url) AS n_checked,
+  CAST(SUM(CASE WHEN url IS NOT NULL AND NOT regexp_matches(url, '{URL_PATTERN}') THEN 1 ELSE 0 END) AS BIGINT)
+  AS n_invalid FROM pages""")
+def page_url_patterns(spark, d):
+    return quality.pattern_check(T.table(spark, d, "pages"), {"url": URL_PATTERN})
+
+
+_CORPUS = (("conversation_text", "conversations", "text"), ("benchmark_text", "benchmark", "text"),
+           ("page_html", "pages", "html"))
+
+
+@register("corpus_text_lengths", _union([f"""SELECT '{label}' AS column_name,
+  CAST(MIN(length({c})) AS BIGINT) AS min_len, CAST(MAX(length({c})) AS BIGINT) AS max_len,
+  {avg_exact(f'length({c})', 0, 2)} AS avg_len FROM {t}""" for label, t, c in _CORPUS]))
+def corpus_text_lengths(spark, d):
+    out = None
+    for label, t, c in _CORPUS:
+        r = quality.string_lengths(T.table(spark, d, t).select(F.col(c).alias(label)), [label])
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("embedding_checks", _union([f"""SELECT '{n}' AS rule, COUNT(*) AS n_rows,
+  CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS n_matching FROM embeddings""" for n, p in (
+    ("wrong_dimension", f"len(embedding) <> {EMBED_DIM}"), ("null_vector", "embedding IS NULL"),
+    ("unlabelled", "label IS NULL"))]))
+def embedding_checks(spark, d):
+    e = T.table(spark, d, "embeddings")
+    return quality.rule_counts(e, {"wrong_dimension": F.size("embedding") != EMBED_DIM,
+                                   "null_vector": F.col("embedding").isNull(),
+                                   "unlabelled": F.col("label").isNull()})

@@ -63,7 +63,16 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 and os.path.isdir(sys.argv[1]) else "/root/testdata/sf0.01"
     names = [a for a in sys.argv[1:] if not os.path.isdir(a)]
     reg = load_all()
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("LAKEMART_VANILLA"):
+        # a plain session as an outside caller may build it: defaults, optional foreign time zone
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        if os.environ.get("LAKEMART_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["LAKEMART_TZ"])
+        spark = b.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

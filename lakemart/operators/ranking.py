@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.session import checkpoint_dir, shuffle_partitions
+from lakemart.session import checkpoint_dir
 
 _PID, _POS, _LOC = "_lm_pid", "_lm_pos", "_lm_local"
 
@@ -97,8 +97,11 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     by = list(by)
     sort_cols, _ = _sort_spec(order)
     spec = [F.asc_nulls_first(b) for b in by] + sort_cols
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = df.repartitionByRange(n, *spec).sortWithinPartitions(*spec)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (advisory partition size); coalescing merges adjacent ranges only, so
+    # partition order still follows the global sort order.
+    ranged = (df.repartitionByRange(num_partitions, *spec) if num_partitions
+              else df.repartitionByRange(*spec)).sortWithinPartitions(*spec)
     if by:
         # runs of equal keys inside a sorted partition: a short pandas pass per task
         schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])

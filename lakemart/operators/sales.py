@@ -94,8 +94,9 @@ def order_item_context(orders: DataFrame, customers: DataFrame, items: DataFrame
 
 
 def order_totals(details: DataFrame) -> DataFrame:
-    """Totals per customer, order and date from the detail fact."""
-    return details.groupBy("customer_id", "order_id", "order_date").agg(
+    """Totals per customer, order and date from the detail fact (the name is
+    carried in the grouping as it is shown; it depends on the customer id)."""
+    return details.groupBy("customer_id", "customer_name", "order_id", "order_date").agg(
         money_sum("total_item_price").alias("order_total"),
         F.sum("quantity").cast("bigint").alias("n_units"))
 

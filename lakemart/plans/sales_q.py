@@ -61,8 +61,9 @@ def order_item_context(spark, d):
 
 
 @register("order_totals", q(_DETAILS_SQL + """
-SELECT customer_id, order_id, order_date, CAST(SUM(total_item_price) AS DECIMAL(18,2)) AS order_total,
-  CAST(SUM(quantity) AS BIGINT) AS n_units FROM det GROUP BY customer_id, order_id, order_date"""))
+SELECT customer_id, customer_name, order_id, order_date,
+  CAST(SUM(total_item_price) AS DECIMAL(18,2)) AS order_total, CAST(SUM(quantity) AS BIGINT) AS n_units
+FROM det GROUP BY customer_id, customer_name, order_id, order_date"""))
 def order_totals(spark, d):
     return sales.order_totals(_details(spark, d))
 

@@ -40,7 +40,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it; only when it is unset (local tests) do we create one
     under the local temp folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side names the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -149,3 +149,26 @@ def test_assign_keys_continue(spark):
     df = spark.range(0, 50).select(F.col("id").alias("x"))
     out = assign_keys(df, "k", [("x", "desc")], start=100).collect()
     assert {(r.x, r.k) for r in out} == {(x, 100 + 50 - x) for x in range(50)}
+
+
+def test_fact_keeps_unmatched_rows(spark):
+    raw = spark.createDataFrame([("1", "2023-01-05", "C001", "P001", "10.00", 2),
+                                 ("2", "2023-01-06", "C999", "P001", "10.00", 1)],
+                                "order_id string, order_date string, customer_id string, product_id string, "
+                                "unit_price string, quantity int").withColumn("order_date", F.to_date("order_date"))
+    dc = spark.createDataFrame([(1, "C001")], "customer_key long, customer_id string")
+    dp = spark.createDataFrame([(7, "P001")], "product_key long, product_id string")
+    fact = star.load_fact(raw, dc, dp, date_col="order_date", customer_id="customer_id", product_id="product_id",
+                          price="unit_price", quantity="quantity", keep=["order_id"])
+    rows = {r.order_id: r for r in fact.collect()}
+    assert rows["1"].matched and rows["1"].total_amount == Decimal("20.00") and rows["1"].date_key == 20230105
+    assert not rows["2"].matched and rows["2"].customer_key is None and rows["2"].product_key == 7
+    assert sorted(r.sale_key for r in rows.values()) == [1, 2]
+
+
+def test_scd1_duplicate_source_keys_take_latest(spark, src):
+    t = merge.scd_init(src, 1, KEYS, "Region", "EffectiveDate")
+    batch = change(spark, [("C002", "Bob Johnson", "West", date(2023, 3, 1)),
+                           ("C002", "Bob Johnson", "North", date(2023, 5, 1))])
+    r = merge.scd1_merge(t, batch, KEYS, ["Region"], "EffectiveDate").where("CustomerID = 'C002'").collect()
+    assert len(r) == 1 and (r[0].Region, r[0].LastUpdatedDate) == ("North", date(2023, 5, 1))

@@ -33,18 +33,23 @@ def _str(c: Column) -> Column:
 def profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Per column: rows, nulls, distinct values, min and max (as text).
 
-    Plain aggregates take one pass; the distinct counts are a second
-    aggregate bound once as a scalar struct. Mixing both in one aggregate
-    makes Spark expand every row once per distinct column plus once for the
-    plain aggregates, carrying all their inputs each time.
+    ``approx=True`` (HyperLogLog++ sketches, plain aggregates) computes
+    everything in one pass over one scan. Exact distinct counts take a
+    second aggregate, bound once as a scalar struct: mixing them with the
+    plain aggregates makes Spark expand every row once per distinct column
+    plus once for the plain aggregates, carrying all their inputs each time.
     """
-    dist = F.approx_count_distinct if approx else F.count_distinct
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         aggs += [F.count(F.col(c)).alias(f"_c{i}"), F.min(F.col(c)).alias(f"_lo{i}"),
                  F.max(F.col(c)).alias(f"_hi{i}")]
-    distinct = df.agg(F.struct(*[dist(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).alias("_s")).scalar()
-    row = df.agg(*aggs).withColumn("_d", distinct)
+    if approx:
+        row = df.agg(*aggs, F.struct(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}")
+                                       for i, c in enumerate(cols)]).alias("_d"))
+    else:
+        distinct = df.agg(F.struct(*[F.count_distinct(F.col(c)).alias(f"d{i}")
+                                     for i, c in enumerate(cols)]).alias("_s")).scalar()
+        row = df.agg(*aggs).withColumn("_d", distinct)
     return _stack(row, [(c, [("n_rows", F.col("_n")),
                              ("n_nulls", F.col("_n") - F.col(f"_c{i}")),
                              ("n_distinct", F.col(f"_d.d{i}").cast("bigint")),

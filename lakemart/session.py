@@ -9,13 +9,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Sizing for a large cluster (e.g. ~100 TB of parquet over ~1000 executors):
+# 256 MB scan splits (~400k tasks per full scan), AQE starting from a large
+# shuffle partition count and coalescing to ~256 MB per reducer, and skew
+# splitting above 5x the median partition. Broadcasts stay size-checked by
+# AQE's default threshold; the operators broadcast explicitly only tables of
+# a known bound.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def get_session(master: str | None = None, app: str = "lakemart",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, cluster: bool = False) -> SparkSession:
     """Session with the settings the operators assume.
 
     UTC session time zone (the test parquet holds ``timestamp_ntz``), ANSI
     mode (Spark 4 default) so bad casts raise unless ``try_*`` is used, AQE
     with partition coalescing and skew-join splitting, and no web UI.
+    ``cluster=True`` adds ``CLUSTER_CONF`` (partition sizing for large data).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -27,6 +44,9 @@ def get_session(master: str | None = None, app: str = "lakemart",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.enabled", "false"))
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()

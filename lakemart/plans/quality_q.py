@@ -336,12 +336,28 @@ EXPECTED_ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus
                    "o_totalprice": "decimal(18,2)", "o_orderdate": "date", "o_comment": "string"}
 
 
-@register("schema_drift", None)
+# DuckDB type names of the parquet columns, spelled as Spark's simpleString
+_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+  WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"""
+
+_EXPECTED_SQL = ", ".join(f"('{c}', '{t}')" for c, t in EXPECTED_ORDERS.items())
+
+
+@register("schema_drift", f"""
+WITH e(column_name, expected_type) AS (VALUES {_EXPECTED_SQL}),
+a AS (SELECT column_name, {_SPARK_TYPE} AS actual_type FROM information_schema.columns WHERE table_name = 'orders')
+SELECT COALESCE(e.column_name, a.column_name) AS column_name, e.expected_type, a.actual_type,
+  CASE WHEN a.column_name IS NULL THEN 'missing' WHEN e.column_name IS NULL THEN 'unexpected'
+       WHEN e.expected_type = a.actual_type THEN 'ok' ELSE 'type_mismatch' END AS issue
+FROM e FULL OUTER JOIN a ON e.column_name = a.column_name""")
 def schema_drift(spark, d):
     return quality.schema_drift(T.table(spark, d, "orders"), EXPECTED_ORDERS)
 
 
-@register("schema_report", None)
+@register("schema_report", f"""
+SELECT column_name, {_SPARK_TYPE} AS data_type, CAST(ordinal_position AS INTEGER) AS ordinal
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
 def schema_report(spark, d):
     return quality.schema_report(T.table(spark, d, "lineitem"))
 

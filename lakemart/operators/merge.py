@@ -86,7 +86,9 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
       (each ends the day before the next starts);
     * a change equal to the version before it is skipped, so re-applying a
       batch changes nothing and each key keeps exactly one current row;
-    * a change dated on or before the current row's start is rejected.
+    * a change dated on or before the current row's start is rejected;
+    * of several changes to one key on the same day, one is kept (the
+      greatest attribute values, so the choice is deterministic).
     """
     keys, tracked = list(keys), list(tracked)
     attrs = [c for c in target.columns if c not in (sk_col, "StartDate", "EndDate", "IsCurrent") and c not in keys]
@@ -96,6 +98,8 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
     # reject out-of-order changes (not after the current start)
     chk = ch.alias("c").join(cur.select(*keys, F.col("StartDate").alias("_cur_start")).alias("k"), keys, "left")
     ok = chk.where(F.col("_cur_start").isNull() | (F.col("StartDate") > F.col("_cur_start"))).drop("_cur_start")
+    # one version per key and day: same-day changes would give an empty validity range
+    ok = latest_per_key(ok, keys + ["StartDate"], attrs)
     rejects = chk.where(F.col("_cur_start").isNotNull() & (F.col("StartDate") <= F.col("_cur_start")))
     # keys without an accepted change keep their current row untouched
     ok_keys = ok.select(*keys).distinct()

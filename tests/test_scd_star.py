@@ -172,3 +172,13 @@ def test_scd1_duplicate_source_keys_take_latest(spark, src):
                            ("C002", "Bob Johnson", "North", date(2023, 5, 1))])
     r = merge.scd1_merge(t, batch, KEYS, ["Region"], "EffectiveDate").where("CustomerID = 'C002'").collect()
     assert len(r) == 1 and (r[0].Region, r[0].LastUpdatedDate) == ("North", date(2023, 5, 1))
+
+
+def test_scd2_same_day_changes_keep_one(spark, src):
+    t = _scd2(spark, src)
+    batch = change(spark, [("C005", "Eve Black", "West", date(2023, 4, 1)),
+                           ("C005", "Eve Black", "North", date(2023, 4, 1))])
+    out = merge.scd2_apply(t, batch, KEYS, ["Name", "Region"], "EffectiveDate", sk_col="SK")
+    c5 = sorted((r for r in out.collect() if r.CustomerID == "C005"), key=lambda r: r.StartDate)
+    assert len(c5) == 2 and all(r.EndDate >= r.StartDate for r in c5)
+    assert (c5[1].Region, c5[1].IsCurrent) == ("West", True)

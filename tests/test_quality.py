@@ -80,3 +80,40 @@ def test_profile_scans(spark, tmp_path):
     assert _scans(exact) <= 2   # plain aggregates + one distinct-count aggregate
     p = {r.column_name: (r.n_rows, r.n_nulls, r.n_distinct) for r in exact.collect()}
     assert p["id"] == (6, 0, 4) and p["name"] == (6, 1, 4)
+
+
+def test_more_planted_defects(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    df = _contacts(spark)
+    drift = {r.column_name: r.issue for r in quality.schema_drift(
+        df, {"id": "bigint", "name": "string", "deal": "decimal(10,2)", "phone": "string"}).collect()}
+    assert drift == {"id": "ok", "name": "ok", "deal": "type_mismatch", "phone": "missing",
+                     "email": "unexpected", "region": "unexpected", "ts": "unexpected"}
+    ln = {r.column_name: (r.min_len, r.max_len) for r in quality.string_lengths(df, ["name"]).collect()}
+    assert ln["name"] == (0, 3)
+    rules = {r.rule: r.n_violations for r in quality.rule_violations(df, {
+        "deal_without_email": F.col("deal").isNotNull() & F.col("email").isNull(),      # cross-column
+        "future_contact": F.col("ts") > F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")}).collect()}
+    assert rules == {"deal_without_email": 0, "future_contact": 1}
+    san = {r.rule: r.n_matching for r in quality.timestamp_sanity(df, {
+        "too_old": F.col("ts") < F.lit("1980-01-01 00:00:00").cast("timestamp_ntz")}).collect()}
+    assert san == {"too_old": 2}
+    vol = {str(r.period): r.n_rows for r in quality.volume(df, "ts", "day").collect()}
+    assert vol["1970-01-01"] == 2 and vol["None"] == 1
+    out = quality.iqr_outliers(df, "deal").first()
+    # values -5, 20, 20, 100, 999999.99: q1 = 20, q3 = 100, fences -100 and 220
+    assert (out.q1, out.q3, out.lower_fence, out.upper_fence) == (20.0, 100.0, -100.0, 220.0)
+    assert (out.n_below, out.n_above) == (0, 1)
+    hier = quality.per_key_cardinality(df, "id", "email").first()
+    assert (hier.n_keys, hier.keys_with_multiple, hier.max_per_key) == (4, 1, 2)
+    parent = spark.createDataFrame([(1, Decimal("10.00")), (2, Decimal("5.00"))], "k int, total decimal(18,2)")
+    child = spark.createDataFrame([(1, Decimal("4.00")), (1, Decimal("6.00")), (2, Decimal("4.99"))],
+                                  "k int, part decimal(18,2)")
+    tc = quality.total_consistency(parent, child, "k", "total", "part").first()
+    assert (tc.n_keys, tc.n_consistent, tc.n_inconsistent, tc.max_abs_diff) == (2, 1, 1, Decimal("0.01"))
+    exp = quality.volume(spark.createDataFrame([(date(2024, 1, d),) for d in (1, 1, 2)], "d date"),
+                         "d", "day", expected="mean").collect()
+    assert {str(r.period): (r.n_rows, float(r.expected), float(r.deviation_pct)) for r in exp} == \
+        {"2024-01-01": (2, 1.5, 33.33), "2024-01-02": (1, 1.5, -33.33)}

@@ -64,8 +64,8 @@ def main():
     cols = ["exchanges", "single_agg", "single_other", "bhj", "smj", "bnlj", "window", "python", "scans", "pushed"]
     out = ["# Physical plans (final AQE plans at " + os.path.basename(sf) + ")", "",
            "Generated by `tools/plan_report.py`. `single_agg` = `Exchange SinglePartition` under a final aggregate "
-           "(merges one partial row per task); `single_other` = any other single-partition exchange (windows over "
-           "per-month or top-k rows only, see README); `bhj`/`smj`/`bnlj` = "
+           "(merges one partial row per task); `single_other` = any other single-partition exchange (the "
+           "windows over one row per calendar month, and over one row per partition in the row numbering; see README); `bhj`/`smj`/`bnlj` = "
            "broadcast-hash / sort-merge / broadcast-nested-loop joins (AQE picks broadcast only after measuring a side, "
            "so small test tables broadcast where 100 TB would sort-merge); `window` = Window operators; `python` = "
            "Arrow Python stages; `scans` include checkpointed inputs; `pushed` = scans with pushed-down filters.", "",

@@ -439,6 +439,17 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, data_type string, ordinal int")
 
 
+def table_info(df: DataFrame) -> DataFrame:
+    """One row: row count, column count and the column names joined into one
+    string in schema order (``ARRAY_JOIN(ARRAY_AGG(name), ', ')``)."""
+    names = schema_report(df).agg(
+        F.count(F.lit(1)).alias("total_columns"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "column_name"))),
+                                 lambda x: x["column_name"]), ", ").alias("column_names"))
+    return names.withColumn("total_rows", df.select(F.count(F.lit(1))).scalar()) \
+        .select("total_rows", "total_columns", "column_names")
+
+
 def schema_drift(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     """Expected vs actual type per column; issue = ok / type_mismatch / missing / unexpected."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}

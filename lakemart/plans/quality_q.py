@@ -442,3 +442,12 @@ def embedding_checks(spark, d):
     return quality.rule_counts(e, {"wrong_dimension": F.size("embedding") != EMBED_DIM,
                                    "null_vector": F.col("embedding").isNull(),
                                    "unlabelled": F.col("label").isNull()})
+
+
+@register("table_info", """
+SELECT (SELECT COUNT(*) FROM orders) AS total_rows,
+  (SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'orders') AS total_columns,
+  (SELECT string_agg(column_name, ', ' ORDER BY ordinal_position) FROM information_schema.columns
+   WHERE table_name = 'orders') AS column_names""")
+def table_info(spark, d):
+    return quality.table_info(T.table(spark, d, "orders"))

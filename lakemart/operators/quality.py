@@ -204,6 +204,18 @@ def duration_hours(df: DataFrame, start: str, end: str) -> DataFrame:
         half_up_div(F.sum("_s"), F.count("_s") * F.lit(3600), 2).alias("avg_hours"))
 
 
+def delivery_performance(df: DataFrame, delivered: str, estimated: str) -> DataFrame:
+    """Delivered rows: on time (delivered <= estimate), late, on-time % and mean
+    days against the estimate (one decimal, HALF_UP)."""
+    d = df.where(F.col(delivered).isNotNull() & F.col(estimated).isNotNull())
+    days = F.datediff(F.col(delivered), F.col(estimated))
+    return d.agg(F.count(F.lit(1)).alias("total_delivered"),
+                 count_when(F.col(delivered) <= F.col(estimated)).alias("on_time"),
+                 count_when(F.col(delivered) > F.col(estimated)).alias("late"),
+                 avg_exact(days, 0, 1).alias("avg_days_vs_estimate")) \
+        .withColumn("on_time_pct", ratio(F.col("on_time"), F.col("total_delivered"), 2, pct=True))
+
+
 def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFrame:
     """Orders per delivery label with its share."""
     agg = status.groupBy(label).agg(F.count(F.lit(1)).alias("n_orders"))

@@ -451,3 +451,18 @@ SELECT (SELECT COUNT(*) FROM orders) AS total_rows,
    WHERE table_name = 'orders') AS column_names""")
 def table_info(spark, d):
     return quality.table_info(T.table(spark, d, "orders"))
+
+
+@register("delivery_performance", q(f"""
+, s AS (SELECT order_id, MAX(shipped_ts) AS delivered_ts FROM c_items GROUP BY order_id),
+d AS (SELECT s.delivered_ts, o.purchase_ts + INTERVAL 30 DAY AS estimated_ts FROM c_orders o
+  JOIN s ON o.order_id = s.order_id)
+SELECT COUNT(*) AS total_delivered,
+  CAST(SUM(CASE WHEN delivered_ts <= estimated_ts THEN 1 ELSE 0 END) AS BIGINT) AS on_time,
+  CAST(SUM(CASE WHEN delivered_ts > estimated_ts THEN 1 ELSE 0 END) AS BIGINT) AS late,
+  {avg_exact("datediff('day', estimated_ts, delivered_ts)", 0, 1)} AS avg_days_vs_estimate,
+  {ratio("SUM(CASE WHEN delivered_ts <= estimated_ts THEN 1 ELSE 0 END)", "COUNT(*)", 2, pct=True)} AS on_time_pct
+FROM d WHERE delivered_ts IS NOT NULL AND estimated_ts IS NOT NULL"""))
+def delivery_performance(spark, d):
+    st = sales.delivery_status(T.orders(spark, d), T.items(spark, d), 30)
+    return quality.delivery_performance(st, "delivered_ts", "estimated_ts")

@@ -247,3 +247,12 @@ def order_sample(spark, d):
     from lakemart.sources.files import preview
     return preview(sales.order_item_context(T.orders(spark, d), T.customers(spark, d), T.items(spark, d),
                                             T.products(spark, d)), 10)
+
+
+@register("top_customers_by_orders", q("""
+SELECT customer_id, COUNT(order_id) AS total_orders FROM c_orders GROUP BY customer_id
+ORDER BY total_orders DESC, customer_id LIMIT 10"""))
+def top_customers_by_orders(spark, d):
+    from lakemart.operators.relational import top_groups
+    return top_groups(T.orders(spark, d), "customer_id", [F.count("order_id").alias("total_orders")],
+                      [F.desc("total_orders")], 10, ["customer_id"])

@@ -105,6 +105,12 @@ def top_groups(df: DataFrame, by: str | Sequence[str], aggs: Sequence[Column],
     return df.groupBy(*keys).agg(*aggs).orderBy(*order, *[F.asc(c) for c in tb]).limit(k)
 
 
+def top_rows(df: DataFrame, order: Sequence[Column], k: int, tie_break: Sequence[str]) -> DataFrame:
+    """Top ``k`` rows by a column (``ORDER BY .. LIMIT k``): each task keeps its
+    own best ``k`` (``TakeOrderedAndProject``), only those are merged."""
+    return df.orderBy(*order, *[F.asc(c) for c in tie_break]).limit(k)
+
+
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """``COALESCE(col, default)`` for the listed columns, types kept."""
     out = df
@@ -115,6 +121,6 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 __all__ = [
-    "orders_without", "orders_with", "with_prefix", "pair_counts_within", "next_period_keys",
+    "orders_without", "orders_with", "with_prefix", "top_rows", "pair_counts_within", "next_period_keys",
     "count_if_report", "share_of_total", "top_groups", "fill_defaults", "as_col",
 ]

@@ -256,3 +256,23 @@ def top_customers_by_orders(spark, d):
     from lakemart.operators.relational import top_groups
     return top_groups(T.orders(spark, d), "customer_id", [F.count("order_id").alias("total_orders")],
                       [F.desc("total_orders")], 10, ["customer_id"])
+
+
+@register("top_items_by_price", q("""
+SELECT order_id, line_no, product_id, seller_id, price, freight FROM c_items
+ORDER BY price DESC, order_id, line_no, product_id, seller_id LIMIT 10"""))
+def top_items_by_price(spark, d):
+    from lakemart.operators.relational import top_rows
+    i = T.items(spark, d).select("order_id", "line_no", "product_id", "seller_id", "price", "freight")
+    return top_rows(i, [F.desc("price")], 10, ["order_id", "line_no", "product_id", "seller_id"])
+
+
+@register("top_products_by_revenue", q("""
+SELECT product_id, CAST(SUM(price + freight) AS DECIMAL(18,2)) AS revenue, COUNT(*) AS n_items FROM c_items
+GROUP BY product_id ORDER BY revenue DESC, product_id LIMIT 5"""))
+def top_products_by_revenue(spark, d):
+    from lakemart.functions.columns import money_sum
+    from lakemart.operators.relational import top_groups
+    return top_groups(T.items(spark, d), "product_id",
+                      [money_sum(F.col("price") + F.col("freight")).alias("revenue"), F.count(F.lit(1)).alias("n_items")],
+                      [F.desc("revenue")], 5, ["product_id"])

@@ -111,6 +111,11 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                    F.max("_k").alias("max_per_key"))
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "cnt") -> DataFrame:
+    """Keys seen more than once, with their row count (``GROUP BY .. HAVING cnt > 1``)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
+
+
 # Q7
 def duplicate_rows(df: DataFrame, count_col: str = "n_copies") -> DataFrame:
     """Rows that occur more than once (all columns equal), with their count."""

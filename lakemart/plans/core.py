@@ -197,3 +197,11 @@ def revenue_rolling_calendar(spark, d):
     m = monthly_revenue(spark, d).select("month", "revenue")
     return as_money(timeseries.rolling_sum(m, "month", "revenue", 3, "calendar", out="rolling_3mo"),
                     "rolling_3mo")
+
+
+@register("orders_without_payments", q("""
+SELECT order_id, customer_id, status, purchase_ts FROM c_orders o
+WHERE NOT EXISTS (SELECT 1 FROM c_payments p WHERE p.order_id = o.order_id)"""))
+def orders_without_payments(spark, d):
+    o = T.orders(spark, d).select("order_id", "customer_id", "status", "purchase_ts")
+    return relational.orders_without(o, T.payments(spark, d), "order_id")

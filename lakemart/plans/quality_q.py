@@ -466,3 +466,9 @@ FROM d WHERE delivered_ts IS NOT NULL AND estimated_ts IS NOT NULL"""))
 def delivery_performance(spark, d):
     st = sales.delivery_status(T.orders(spark, d), T.items(spark, d), 30)
     return quality.delivery_performance(st, "delivered_ts", "estimated_ts")
+
+
+@register("duplicate_line_keys", q("""
+SELECT order_id, line_no, COUNT(*) AS cnt FROM c_items GROUP BY order_id, line_no HAVING COUNT(*) > 1"""))
+def duplicate_line_keys(spark, d):
+    return quality.duplicate_keys(T.items(spark, d), ["order_id", "line_no"])

@@ -276,3 +276,28 @@ def top_products_by_revenue(spark, d):
     return top_groups(T.items(spark, d), "product_id",
                       [money_sum(F.col("price") + F.col("freight")).alias("revenue"), F.count(F.lit(1)).alias("n_items")],
                       [F.desc("revenue")], 5, ["product_id"])
+
+
+FILTER_CATEGORY, FILTER_MIN_PRICE = "ECONOMY", 1500
+
+
+@register("filtered_products", q(f"""
+SELECT product_id, product_name, category, price FROM c_products
+WHERE category = '{FILTER_CATEGORY}' AND price > {FILTER_MIN_PRICE}"""))
+def filtered_products(spark, d):
+    p = T.products(spark, d).select("product_id", "product_name", "category", "price")
+    return p.where((F.col("category") == FILTER_CATEGORY) & (F.col("price") > FILTER_MIN_PRICE))
+
+
+@register("products_per_category", q("""
+SELECT category, COUNT(*) AS n_products FROM c_products GROUP BY category"""))
+def products_per_category(spark, d):
+    return T.products(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n_products"))
+
+
+@register("orders_with_customer_names", q("""
+SELECT o.order_id, c.customer_name, o.purchase_ts, o.status
+FROM c_orders o JOIN c_customers c ON o.customer_id = c.customer_id"""))
+def orders_with_customer_names(spark, d):
+    return (T.orders(spark, d).join(T.customers(spark, d), "customer_id")
+            .select("order_id", "customer_name", "purchase_ts", "status"))

@@ -13,7 +13,7 @@ from lakemart.plans.sqlfrag import avg_exact, month, q, ratio
 # fixed report parameters
 STATE = "NATION_7"
 RECENT_DAYS, RECENT_K = 60, 10
-PRICE_EDGES = (1000, 1500)
+PRICE_EDGES = (930, 970)
 
 
 def _details(spark, d, with_payments=False):
@@ -278,7 +278,7 @@ def top_products_by_revenue(spark, d):
                       [F.desc("revenue")], 5, ["product_id"])
 
 
-FILTER_CATEGORY, FILTER_MIN_PRICE = "ECONOMY", 1500
+FILTER_CATEGORY, FILTER_MIN_PRICE = "ECONOMY", 950
 
 
 @register("filtered_products", q(f"""

@@ -117,3 +117,12 @@ def test_more_planted_defects(spark):
                          "d", "day", expected="mean").collect()
     assert {str(r.period): (r.n_rows, float(r.expected), float(r.deviation_pct)) for r in exp} == \
         {"2024-01-01": (2, 1.5, 33.33), "2024-01-02": (1, 1.5, -33.33)}
+
+
+def test_exact_quantiles_hot_value(spark):
+    import numpy as np
+    vals = [5.0] * 400 + [float(i) for i in range(800)]   # one value holds a third of the rows
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
+    got = quality.distribution(df, "x").first()
+    exp = np.percentile(np.array(vals), [25, 50, 75])     # linear interpolation, as percentile / quantile_cont
+    assert (got.p25, got.p50, got.p75) == tuple(round(float(e), 6) for e in exp)

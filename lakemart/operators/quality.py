@@ -237,12 +237,10 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> Column:
     partitioned row number; quantile p sits at position ``p·(n−1)``, so only
     the two rows around each position are read back and interpolated.
     """
-    # the id only spreads equal values over range partitions (a value held by
-    # a third of all rows would otherwise be one partition); their order among
-    # themselves does not change any quantile
-    v = (df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-         .withColumn("_tb", F.monotonically_increasing_id()))
-    numbered = row_number_within(v, [], [("_v", "asc"), ("_tb", "asc")], out="_rn")
+    # equal values are spread over range partitions by the numbering's own
+    # internal tie-break; their order among themselves changes no quantile
+    v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    numbered = row_number_within(v, [], [("_v", "asc")], out="_rn")
     # n read once from the (checkpointed) numbered rows and bound to a column
     numbered = numbered.withColumn("_n", numbered.select(F.count(F.lit(1))).scalar())
     n = F.col("_n")

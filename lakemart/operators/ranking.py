@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from lakemart.session import checkpoint_dir
 
-_PID, _POS, _LOC = "_lm_pid", "_lm_pos", "_lm_local"
+_PID, _POS, _LOC, _TB = "_lm_pid", "_lm_pos", "_lm_local", "_lm_tb"
 
 
 def _sort_spec(order: Sequence) -> tuple[list[Column], list[str]]:
@@ -96,7 +96,11 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     checkpoint_dir(spark)
     by = list(by)
     sort_cols, _ = _sort_spec(order)
-    spec = [F.asc_nulls_first(b) for b in by] + sort_cols
+    # A last, internal key spreads rows that tie on everything else over range
+    # partitions (a range partitioner cannot split equal keys); with a unique
+    # ``order`` it never decides anything.
+    df = df.withColumn(_TB, F.monotonically_increasing_id())
+    spec = [F.asc_nulls_first(b) for b in by] + sort_cols + [F.asc(_TB)]
     # Without an explicit count AQE sizes the range partitions from the data
     # (advisory partition size); coalescing merges adjacent ranges only, so
     # partition order still follows the global sort order.
@@ -131,7 +135,7 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     # one row per partition: a proven size bound for the broadcast
     res = numbered.join(F.broadcast(_carry(stats)), _PID)
     own = F.when(gkey.eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(F.lit(0))
-    return res.withColumn(out, (F.col(_LOC) + own).cast("bigint")).drop(_PID, _POS, _LOC, "_first", "_carry")
+    return res.withColumn(out, (F.col(_LOC) + own).cast("bigint")).drop(_PID, _POS, _LOC, _TB, "_first", "_carry")
 
 
 def _carry(stats: DataFrame) -> DataFrame:

@@ -67,3 +67,12 @@ def test_latest_per_key_is_an_aggregate(spark):
     assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_hot_tie_is_split_over_partitions(spark):
+    # every row ties on the order key: the internal tie-break must still spread them
+    df = spark.range(0, 3000).select(F.col("id"), F.lit(1).alias("k"))
+    out = ranking.row_number_within(df, [], [("k", "asc")], out="rn", num_partitions=6)
+    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
+    assert parts > 1

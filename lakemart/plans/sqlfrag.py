@@ -30,7 +30,4 @@ def month(col: str) -> str:
 
 def q(body: str) -> str:
     """Prefix the canonical CTEs. ``body`` may start with ``, name AS (..)``."""
-    body = body.strip()
-    if body.startswith(","):
-        return "WITH " + SQL_CTES.strip() + "\n" + body
-    return "WITH " + SQL_CTES.strip() + "\n" + body
+    return "WITH " + SQL_CTES.strip() + "\n" + body.strip()

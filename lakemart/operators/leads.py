@@ -12,8 +12,18 @@ from lakemart.functions.columns import avg_exact, count_when, money_sum, ratio
 
 def top_regions_converted(leads: DataFrame, regions: Sequence[str], as_of: Column, k: int = 5,
                           converted: str = "converted") -> DataFrame:
-    """Converted leads created in the month of ``as_of`` per allowed region, top ``k``."""
-    this_month = (F.col("created_date") >= F.trunc(as_of, "month")) & (F.col("created_date") <= as_of)
+    """Converted leads created in the month of ``as_of`` per allowed region, top ``k``.
+
+    When the frame carries the raw ``created_ts``, the month window is written
+    on it (``>= month start``, ``< as_of + 1 day``) so the range reaches the
+    scan as a pushed filter; a predicate on the derived date could not.
+    """
+    if "created_ts" in leads.columns:
+        start = F.trunc(as_of, "month").cast("timestamp_ntz")
+        end = F.date_add(as_of, 1).cast("timestamp_ntz")
+        this_month = (F.col("created_ts") >= start) & (F.col("created_ts") < end)
+    else:
+        this_month = (F.col("created_date") >= F.trunc(as_of, "month")) & (F.col("created_date") <= as_of)
     return (leads.where(this_month & F.col("region").isin(list(regions)) & (F.col("status") == converted))
             .groupBy("region").agg(F.count(F.lit(1)).alias("converted_leads"))
             .where(F.col("converted_leads") > 0)

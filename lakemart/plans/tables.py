@@ -93,6 +93,7 @@ def leads(spark, d) -> DataFrame:
     return o.join(c, o["o_custkey"] == c["c_custkey"]).select(
         F.col("o_orderkey").alias("lead_id"), F.col("c_mktsegment").alias("region"),
         status.alias("status"), F.col("o_orderdate").cast("date").alias("created_date"),
+        F.col("o_orderdate").alias("created_ts"),
         F.col("o_totalprice").cast(MONEY).alias("deal_value"), F.col("o_orderpriority").alias("source"))
 
 
@@ -118,7 +119,7 @@ c_taps AS (SELECT event_id, event_type AS station_name, CAST(value AS DECIMAL(18
   ts AS tap_ts, user_id FROM events),
 c_leads AS (SELECT o_orderkey AS lead_id, c_mktsegment AS region,
   CASE WHEN o_orderstatus = 'F' THEN 'converted' WHEN o_orderstatus = 'O' THEN 'open' ELSE 'pending' END AS status,
-  CAST(o_orderdate AS DATE) AS created_date, CAST(o_totalprice AS DECIMAL(18,2)) AS deal_value,
+  CAST(o_orderdate AS DATE) AS created_date, o_orderdate AS created_ts, CAST(o_totalprice AS DECIMAL(18,2)) AS deal_value,
   o_orderpriority AS source FROM orders JOIN customer ON o_custkey = c_custkey),
 c_revenue AS (SELECT order_id, CAST(SUM(price + freight) AS DECIMAL(18,2)) AS revenue,
   COUNT(*) AS n_items FROM c_items GROUP BY order_id)

@@ -182,3 +182,21 @@ def test_scd2_same_day_changes_keep_one(spark, src):
     c5 = sorted((r for r in out.collect() if r.CustomerID == "C005"), key=lambda r: r.StartDate)
     assert len(c5) == 2 and all(r.EndDate >= r.StartDate for r in c5)
     assert (c5[1].Region, c5[1].IsCurrent) == ("West", True)
+
+
+def test_scd2_ranges_are_contiguous(spark, src):
+    from datetime import timedelta
+    t = _scd2(spark, src)
+    batch = change(spark, [(f"C00{i}", "X", r, date(2023, m, 1)) for i in range(1, 6)
+                           for m, r in ((3, "West"), (5, "North"), (7, "East"))])
+    out = merge.scd2_apply(t, batch, KEYS, ["Name", "Region"], "EffectiveDate", sk_col="SK").collect()
+    by_key = {}
+    for r in out:
+        by_key.setdefault(r.CustomerID, []).append(r)
+    for rows in by_key.values():
+        rows.sort(key=lambda r: r.StartDate)
+        assert [r.IsCurrent for r in rows] == [False] * (len(rows) - 1) + [True]
+        for a, b in zip(rows, rows[1:]):
+            assert a.EndDate + timedelta(days=1) == b.StartDate
+        assert rows[-1].EndDate == date(9999, 12, 31)
+    assert len({r.SK for r in out}) == len(out)

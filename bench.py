@@ -29,7 +29,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [a for a in sys.argv[1:]]
-    spark = get_session(f"local[{cpus}]", app="lakemart-bench", shuffle_partitions=int(cpus) * 2)
+    # local mode runs everything in the driver JVM; its heap can be raised for larger scale factors
+    mem = os.environ.get("BENCH_DRIVER_MEMORY")
+    spark = get_session(f"local[{cpus}]", app="lakemart-bench", shuffle_partitions=int(cpus) * 2,
+                        conf={"spark.driver.memory": mem} if mem else None)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakemart-bench-ckpt-"))

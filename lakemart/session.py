@@ -26,7 +26,8 @@ CLUSTER_CONF = {
 
 
 def get_session(master: str | None = None, app: str = "lakemart",
-                shuffle_partitions: int | None = None, cluster: bool = False) -> SparkSession:
+                shuffle_partitions: int | None = None, cluster: bool = False,
+                conf: dict[str, str] | None = None) -> SparkSession:
     """Session with the settings the operators assume.
 
     UTC session time zone (the test parquet holds ``timestamp_ntz``), ANSI
@@ -49,6 +50,8 @@ def get_session(master: str | None = None, app: str = "lakemart",
             b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (conf or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -17,7 +17,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,47 +45,52 @@ def _sort_spec(order: Sequence) -> tuple[list[Column], list[str]]:
 
 
 def _runs_numberer(keys: list[str], out: str):
-    """Per task: number rows 1.. within each run of equal ``keys`` (input sorted)."""
+    """Per task: number rows 1.. within each run of equal ``keys`` (input sorted).
+
+    Works on Arrow record batches: only the key columns are compared
+    (null-safe; NaN equals NaN as in Spark grouping) and one column is
+    appended, so wide payload columns pass through without conversion.
+    """
+
+    def same_as_previous(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+        a, b = col.slice(1), col.slice(0, n - 1)
+        eq = pc.fill_null(pc.equal(a, b), False)
+        eq = pc.or_(eq, pc.and_(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(col.type):
+            eq = pc.or_(eq, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        return eq.to_numpy(zero_copy_only=False).astype(bool)
+
+    def key_of(rb: pa.RecordBatch, i: int) -> tuple:
+        vals = []
+        for k in keys:
+            v = rb.column(k)[i].as_py()
+            vals.append("NaN" if isinstance(v, float) and v != v else v)
+        return tuple(vals)
 
     def number(batches):
         carry_key, carry_n = None, 0
-        for pdf in batches:
-            n = len(pdf)
+        for rb in batches:
+            n = rb.num_rows
             if n == 0:
-                yield pdf.assign(**{out: pd.Series([], dtype="int64")})
+                yield pa.RecordBatch.from_arrays(rb.columns + [pa.array([], pa.int64())],
+                                                 names=rb.schema.names + [out])
                 continue
-            if keys:
-                same = np.ones(n, dtype=bool)
-                for k in keys:
-                    c = pdf[k]
-                    prev = c.shift(1)
-                    eq = (c == prev) | (c.isna() & prev.isna())
-                    same &= eq.to_numpy(dtype=bool, na_value=False)
-                first = tuple(pdf[k].iloc[0] for k in keys)
-                same[0] = carry_key is not None and _key_eq(first, carry_key)
-            else:
-                same = np.ones(n, dtype=bool)
-                same[0] = carry_key is not None
+            same = np.ones(n, dtype=bool)
+            for k in keys:
+                if n > 1:
+                    same[1:] &= same_as_previous(rb.column(k), n)
+            same[0] = carry_key is not None and (key_of(rb, 0) == carry_key if keys else True)
             idx = np.arange(n)
-            start = np.where(~same, idx, -1)
-            start = np.maximum.accumulate(start)
+            start = np.maximum.accumulate(np.where(~same, idx, -1))
             local = np.where(start >= 0, idx - start + 1, idx + 1 + carry_n)
             carry_n = int(local[-1])
-            carry_key = tuple(pdf[k].iloc[-1] for k in keys) if keys else ()
-            yield pdf.assign(**{out: local.astype("int64")})
+            carry_key = key_of(rb, n - 1) if keys else ()
+            yield pa.RecordBatch.from_arrays(rb.columns + [pa.array(local.astype("int64"))],
+                                             names=rb.schema.names + [out])
 
     return number
 
 
-def _key_eq(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
 def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)``, skew-safe.
@@ -107,9 +113,9 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     ranged = (df.repartitionByRange(num_partitions, *spec) if num_partitions
               else df.repartitionByRange(*spec)).sortWithinPartitions(*spec)
     if by:
-        # runs of equal keys inside a sorted partition: a short pandas pass per task
+        # runs of equal keys inside a sorted partition: a short Arrow pass per task
         schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
-        numbered = (ranged.mapInPandas(_runs_numberer(by, _LOC), schema)
+        numbered = (ranged.mapInArrow(_runs_numberer(by, _LOC), schema)
                     .withColumn(_PID, F.spark_partition_id())
                     .withColumn(_POS, F.monotonically_increasing_id()))
     else:

@@ -76,3 +76,11 @@ def test_hot_tie_is_split_over_partitions(spark):
     parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
     assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
     assert parts > 1
+
+
+def test_nan_and_null_float_keys(spark):
+    rows = [(i, [float("nan"), None, 1.5][i % 3], i % 4) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, g double, v int")
+    ours = ranking.row_number_within(df, ["g"], [("v", "asc"), ("id", "asc")], out="rn", num_partitions=4)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("bigint"))
+    assert sorted(map(tuple, ours.select("id", "rn").collect())) == sorted(map(tuple, ref.select("id", "rn").collect()))

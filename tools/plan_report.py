@@ -44,7 +44,7 @@ def summarise(plan: str) -> dict:
         "smj": plan.count("SortMergeJoin"),
         "bnlj": plan.count("BroadcastNestedLoopJoin"),
         "window": len(re.findall(r"\bWindow \[", plan)),
-        "python": plan.count("MapInPandas") + plan.count("ArrowEvalPython") + plan.count("BatchEvalPython"),
+        "python": len(re.findall(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython", plan)),
         "scans": plan.count("FileScan parquet") + plan.count("Scan ExistingRDD"),
         "pushed": len(re.findall(r"PushedFilters: \[[^\]]+\]", plan)),
     }

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lakemart.session import checkpoint_dir
 
-_PID, _POS, _LOC, _TB = "_lm_pid", "_lm_pos", "_lm_local", "_lm_tb"
+_PID, _POS, _LOC, _TB, _EDGE = "_lm_pid", "_lm_pos", "_lm_local", "_lm_tb", "_lm_edge"
 
 
 def _sort_spec(order: Sequence) -> tuple[list[Column], list[str]]:
@@ -44,12 +44,14 @@ def _sort_spec(order: Sequence) -> tuple[list[Column], list[str]]:
     return cols, names
 
 
-def _runs_numberer(keys: list[str], out: str):
-    """Per task: number rows 1.. within each run of equal ``keys`` (input sorted).
+def _runs_numberer(keys: list[str], out: str, edge: str):
+    """Per task: number rows 1.. within each run of equal ``keys`` (input sorted)
+    and flag the task's first (1) and last (2) row in ``edge``.
 
     Works on Arrow record batches: only the key columns are compared
-    (null-safe; NaN equals NaN as in Spark grouping) and one column is
-    appended, so wide payload columns pass through without conversion.
+    (null-safe; NaN equals NaN as in Spark grouping) and two columns are
+    appended, so wide payload columns pass through without conversion. One
+    batch is held back so the last row of the task is known when flagged.
     """
 
     def same_as_previous(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
@@ -67,13 +69,30 @@ def _runs_numberer(keys: list[str], out: str):
             vals.append("NaN" if isinstance(v, float) and v != v else v)
         return tuple(vals)
 
+    def emit(rb: pa.RecordBatch, local: np.ndarray, first: bool, last: bool) -> pa.RecordBatch:
+        flags = np.zeros(len(local), dtype=np.int8)
+        if len(local):
+            flags[0] |= 1 if first else 0
+            flags[-1] |= 2 if last else 0
+        return pa.RecordBatch.from_arrays(rb.columns + [pa.array(local.astype("int64")), pa.array(flags)],
+                                          names=rb.schema.names + [out, edge])
+
     def number(batches):
+        pending = None  # (batch, local numbers, is first batch) held until the next one arrives
+        for rb, local in _numbered(batches):
+            if pending is not None:
+                yield emit(pending[0], pending[1], pending[2], False)
+                pending = (rb, local, False)
+            else:
+                pending = (rb, local, True)
+        if pending is not None:
+            yield emit(pending[0], pending[1], pending[2], True)
+
+    def _numbered(batches):
         carry_key, carry_n = None, 0
         for rb in batches:
             n = rb.num_rows
             if n == 0:
-                yield pa.RecordBatch.from_arrays(rb.columns + [pa.array([], pa.int64())],
-                                                 names=rb.schema.names + [out])
                 continue
             same = np.ones(n, dtype=bool)
             for k in keys:
@@ -85,8 +104,7 @@ def _runs_numberer(keys: list[str], out: str):
             local = np.where(start >= 0, idx - start + 1, idx + 1 + carry_n)
             carry_n = int(local[-1])
             carry_key = key_of(rb, n - 1) if keys else ()
-            yield pa.RecordBatch.from_arrays(rb.columns + [pa.array(local.astype("int64"))],
-                                             names=rb.schema.names + [out])
+            yield rb, local
 
     return number
 
@@ -114,8 +132,9 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
               else df.repartitionByRange(*spec)).sortWithinPartitions(*spec)
     if by:
         # runs of equal keys inside a sorted partition: a short Arrow pass per task
-        schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
-        numbered = (ranged.mapInArrow(_runs_numberer(by, _LOC), schema)
+        schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False),
+                                                      T.StructField(_EDGE, T.ByteType(), False)])
+        numbered = (ranged.mapInArrow(_runs_numberer(by, _LOC, _EDGE), schema)
                     .withColumn(_PID, F.spark_partition_id())
                     .withColumn(_POS, F.monotonically_increasing_id()))
     else:
@@ -133,7 +152,8 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
         gkey = const
     else:
         gkey = F.struct(*[F.col(b) for b in by])
-        stats = numbered.groupBy(_PID).agg(
+        # only each task's first and last rows carry what the offsets need
+        stats = numbered.where(F.col(_EDGE) > 0).groupBy(_PID).agg(
             F.min_by(gkey, F.col(_POS)).alias("_first"),
             F.max_by(gkey, F.col(_POS)).alias("_last"),
             F.max_by(F.col(_LOC), F.col(_POS)).alias("_last_n"),
@@ -141,7 +161,8 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence, out: st
     # one row per partition: a proven size bound for the broadcast
     res = numbered.join(F.broadcast(_carry(stats)), _PID)
     own = F.when(gkey.eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(F.lit(0))
-    return res.withColumn(out, (F.col(_LOC) + own).cast("bigint")).drop(_PID, _POS, _LOC, _TB, "_first", "_carry")
+    return res.withColumn(out, (F.col(_LOC) + own).cast("bigint")).drop(_PID, _POS, _LOC, _TB, "_first", "_carry",
+                                                                      *([_EDGE] if by else []))
 
 
 def _carry(stats: DataFrame) -> DataFrame:

@@ -119,3 +119,18 @@ def test_null_tokens_and_canonical(spark):
 def test_money_type(silver):
     assert dict(silver["items"].dtypes)["price"] == "decimal(18,2)"
     assert MONEY.simpleString() == "decimal(18,2)"
+
+
+def test_monthly_sales_approx_close_to_exact(spark):
+    from lakemart.plans import tables as T
+    d = "/root/testdata/sf0.01"
+    det = sales.order_details(T.orders(spark, d), T.customers(spark, d), T.items(spark, d), T.products(spark, d),
+                              line_total="price")
+    exact = {(r.sales_month, r.category): r for r in sales.monthly_sales_by_category(det).collect()}
+    approx = {(r.sales_month, r.category): r for r in sales.monthly_sales_by_category(det, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, e in exact.items():
+        a = approx[k]
+        assert a.total_sales == e.total_sales
+        assert abs(a.total_orders - e.total_orders) <= max(2, 0.08 * e.total_orders)
+        assert abs(a.unique_customers - e.unique_customers) <= max(2, 0.08 * e.unique_customers)

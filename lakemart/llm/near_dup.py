@@ -52,7 +52,7 @@ class NearDup:
 def shingle_sets(arr: pa.Array, n: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes per text (empty without words)."""
     for _, data, offsets in T.slices(arr):
-        w = T.words(data, offsets, T.NON_SPACE)
+        w = T.words(T.LOWER[data], offsets, T.NON_SPACE)
         h = w.hashes
         grams = T.mix(h * _U(3))
         for k in range(1, n):

@@ -91,10 +91,18 @@ def slices(arr: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.nd
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, lower: bool = True) -> Words:
-    """Words of a slice as runs of ``member`` bytes, hashed after folding A-Z."""
-    if lower:
-        data = LOWER[data]
+def fold(data: np.ndarray) -> np.ndarray:
+    """Lower case for A-Z and for the capitals of Latin-1 (two bytes, the first 0xC3)."""
+    out = LOWER[data]
+    if len(data):
+        lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+        follow = data[lead]
+        out[lead[(follow >= 0x80) & (follow <= 0x9E) & (follow != 0x97)]] += 32
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
+    """Words of an already folded slice, as runs of ``member`` bytes."""
     n = len(data)
     inside = member[data]
     first = inside.copy()

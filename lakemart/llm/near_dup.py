@@ -38,6 +38,7 @@ class NearDup:
     (its standard deviation is about 0.03 with 160 samples).
     ``pivot_rounds``: passes that compare each bucket with one pivot before
     the remaining pairs across components are compared one by one.
+    A pair can only be that similar if the set sizes are, which is tested too.
     """
 
     shingle: int = 5
@@ -149,8 +150,10 @@ def _max_odd_bits(p: NearDup) -> int:
 
 
 def _close(a: str, b: str, p: NearDup) -> Column:
-    odd = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(p.bits // 64)), F.lit(0))
-    return odd <= _max_odd_bits(p)
+    """Could columns ``a`` and ``b`` (n, sketch) reach the threshold, by set size and odd sketch?"""
+    na, nb, sa, sb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    odd = sum((F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(p.bits // 64)), F.lit(0))
+    return (100 * F.least(na, nb) >= p.threshold_pct * F.greatest(na, nb)) & (odd <= _max_odd_bits(p))
 
 
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_id",
@@ -174,17 +177,17 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sig = written(src.select("id", signature(p)("text").alias("s")).select("id", "s.*"), "signatures")
     sets = sig.where("id is not null and n > 0")
-    reps = written(sets.groupBy("c1", "c2").agg(F.min(F.struct("id", "bands", "sketch")).alias("m"))
-                   .select("m.*").groupBy("id").agg(F.collect_set("bands").alias("bs"), F.max("sketch").alias("sketch"))
-                   .select("id", F.flatten("bs").alias("bands"), "sketch"), "representatives")
+    reps = written(sets.groupBy("c1", "c2").agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("m")).select("m.*"),
+                   "representatives")
     member = reps.select("id", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(member.join(shared.select("key"), "key").select("key", "id"), "buckets")
     active = buckets.select("id").distinct()
-    sketches = written(reps.select("id", "sketch").join(active, "id", "left_semi"), "sketches")
+    sketches = written(reps.join(active, "id", "left_semi").select("id", F.struct("n", "sketch", "bands").alias("s")),
+                       "sketches")
     texts = written(src.join(active, "id", "left_semi"), "texts")
 
-    comp = sketches.select("id", F.col("id").alias("comp"))
+    comp = active.withColumn("comp", F.col("id"))
     failed = None
     step = 0
     while True:
@@ -196,24 +199,26 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
         ).where("lo <> hi")
         if last:
             rows = written(rows.join(mixed.select("key"), "key").join(sketches, "id"), "mixed")
-            other = rows.select("key", F.col("id").alias("id2"), F.col("comp").alias("comp2"),
-                                F.col("sketch").alias("sketch2"))
+            other = rows.select("key", F.col("id").alias("id2"), F.col("comp").alias("comp2"), F.col("s").alias("s2"))
+            # a pair that shares several buckets counts in the first of them
+            first = F.array_intersect("s.bands", "s2.bands")[0] == F.col("key")
             cand = (rows.join(other, "key").where((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2"))
-                                                  & _close("sketch", "sketch2", p))
+                                                  & _close("s", "s2", p) & first)
                     .select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("comp").alias("ca"),
                             F.col("comp2").alias("cb")).distinct())
         else:
             pairs = (rows.join(mixed, "key").where("comp <> pivot.comp")
-                     .select(F.col("pivot.id").alias("a"), F.col("id").alias("b"),
-                             F.col("pivot.comp").alias("ca"), F.col("comp").alias("cb")).distinct())
-            cand = (pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-                    .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+                     .groupBy(F.col("pivot.id").alias("a"), F.col("id").alias("b"), F.col("pivot.comp").alias("ca"),
+                              F.col("comp").alias("cb")).agg(F.count("*").alias("shared")))
+            # the pivot met in most buckets is the likeliest to be similar
+            pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("first"), "a", "ca", "cb")).alias("x")
+                                           ).select("x.a", "b", "x.ca", "x.cb")
+            cand = (pairs.join(sketches.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+                    .join(sketches.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
                     .where(_close("sa", "sb", p)).select("a", "b", "ca", "cb"))
         if failed is not None:
             seen = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
             cand = cand.join(seen, ["a", "b"], "left_anti")
-        if step == 0:  # one candidate a document is enough for a first forest
-            cand = cand.groupBy("b").agg(F.min(F.struct("a", "ca", "cb")).alias("x")).select("x.a", "b", "x.ca", "x.cb")
         cand = written(cand, "candidates")
         linked = False
         if cand.limit(1).count():

@@ -45,8 +45,8 @@ class Decontam:
     """
 
     edit_pct: int = 20
-    walks: int = 2
-    keys: int = 9
+    walks: int = 3
+    keys: int = 10
     samples: int = 4
     block_bytes: int = 4 << 20
 

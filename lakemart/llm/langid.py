@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import text as T
-from lakemart.llm.store import free_name
+from lakemart.llm.store import columns, free_name
 
 _U = np.uint64
 LETTERS = T.byte_class(lambda b: b >= 0x80 or chr(b).isalpha())
@@ -291,7 +291,9 @@ def identify(docs: DataFrame, p: LangId = LangId(), id_col: str = "doc_id", text
     The model learns from the texts and labels of rows that are not held out;
     a prediction reads the text only. Null texts and texts without a letter
     get ``und`` and 0.0, as does every text when no row is labelled. Of
-    languages with equally many expected words the first by name wins.
+    languages with equally many expected words the first by name wins. Extra
+    columns pass unchanged; a result name that ``docs`` uses gets a suffix.
+    A null id is never held out and never trains.
     """
     model = train(sample_labelled(docs, p, id_col, text_col, lang_col), p)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x languages
@@ -304,7 +306,8 @@ def identify(docs: DataFrame, p: LangId = LangId(), id_col: str = "doc_id", text
 
     tmp = free_name(docs, "language")
     out = docs.withColumn(tmp, label.asNondeterministic()(F.col(text_col)))
-    return out.select(*docs.columns, F.col(f"{tmp}.l").alias(to_lang), F.col(f"{tmp}.s").alias(to_score))
+    return out.select(*columns(docs), F.col(f"{tmp}.l").alias(free_name(docs, to_lang)),
+                      F.col(f"{tmp}.s").alias(free_name(docs, to_score)))
 
 
 def keep_known(docs: DataFrame, p: LangId = LangId(), min_score: float = 0.5, id_col: str = "doc_id",

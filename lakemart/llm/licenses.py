@@ -1,7 +1,7 @@
 """Licence texts and notices, recognised by the digest of their canonical form.
 
-A text's canonical form ignores case, punctuation, line breaks, copyright
-lines and equivalent spellings. Its SHA-256 digest is joined with the digests
+A text's canonical form ignores case, punctuation, blanks, line breaks,
+copyright lines and equivalent spellings. Its SHA-256 digest is joined with the digests
 of known licences, so entire texts are compared by equality, never by parts.
 The same is done with each line, which finds one-line notices.
 """
@@ -30,14 +30,13 @@ COPYRIGHT_LINE = r"^[^\p{L}\p{N}]*(copyright\b|\(c\)|©|all rights reserved)"
 
 
 def canonical_line(line: Column) -> Column:
-    """Words of a line in one spelling, joined by single blanks; empty for a copyright line."""
+    """Words of a line in one spelling, run together (so that hyphens do not matter); empty for a copyright line."""
     low = F.lower(line)
-    plain = F.regexp_replace(F.regexp_replace(low, r"(\p{L})[-‐‑](\p{L})", "$1$2"), r"[^\p{L}\p{N}]+", " ")
-    words = F.split(F.trim(plain), " ")
+    words = F.split(F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")), " ")
     spelled = F.transform(words, lambda w: F.when(
         w.isin(*EQUIVALENT_WORDS), F.create_map(*[F.lit(x) for kv in EQUIVALENT_WORDS.items() for x in kv])[w]
     ).otherwise(w))
-    return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(F.array_join(spelled, " "))
+    return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(F.array_join(spelled, ""))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -51,7 +50,7 @@ def digest(text: Column) -> Column:
 
 def known_digests(licenses: DataFrame, name_col: str = "license", text_col: str = "text") -> DataFrame:
     """``(digest, license)``, one row a digest: of licences with equal canonical texts the first by name."""
-    whole = F.array_join(canonical_lines(F.col(text_col)), " ")
+    whole = F.array_join(canonical_lines(F.col(text_col)), "")
     return licenses.select(digest(whole).alias("digest"), whole.alias("w"), F.col(name_col).alias("license")).where(
         (F.col("w") != "") & F.col("license").isNotNull()).groupBy("digest").agg(F.min("license").alias("license"))
 
@@ -66,7 +65,7 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
     are one document and give one row. Other columns are ignored.
     """
     lines = docs.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("lines"))
-    each = lines.select("id", F.col("lines"), digest(F.array_join("lines", " ")).alias("digest"))
+    each = lines.select("id", F.col("lines"), digest(F.array_join("lines", "")).alias("digest"))
     part = each.select("id", "digest", F.explode(F.array_distinct(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("d"))),
         F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("d")))))).alias("p"))

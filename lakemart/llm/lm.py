@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import text as T
-from lakemart.llm.store import free_name, written
+from lakemart.llm.store import columns, free_name, written
 
 _U = np.uint64
 _WIDE = 16  # parameters per row while they are averaged
@@ -261,6 +261,8 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_t
     """``docs`` with the number of words and the summed log-probability of all of them.
 
     Null texts and texts without words get 0 and 0.0. Whole texts are scored.
+    Equal texts get equal scores. Extra columns pass unchanged; a result name
+    that ``docs`` uses gets a suffix. A model of an empty corpus scores too.
     """
     p: Lm = model["p"]
     shared = docs.sparkSession.sparkContext.broadcast((model["vocabulary"], model["parameters"]))
@@ -283,4 +285,4 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_t
 
     tmp = free_name(docs, "likelihood")
     return docs.withColumn(tmp, pll.asNondeterministic()(F.col(text_col))).select(
-        *docs.columns, F.col(f"{tmp}.n").alias(to_n), F.col(f"{tmp}.s").alias(to_sum))
+        *columns(docs), F.col(f"{tmp}.n").alias(free_name(docs, to_n)), F.col(f"{tmp}.s").alias(free_name(docs, to_sum)))

@@ -27,7 +27,7 @@ class Mix:
 
     ``levels``: one column of the input per tree level, root first.
     ``weights``: whole numbers per level and value; a value without one
-    weighs 1. The budget is ``budget`` tokens or, if that is None,
+    weighs 1, and what weighs 0 is not used. The budget is ``budget`` tokens or, if that is None,
     ``percent`` of all tokens (rounded down). A document is used at most
     ``max_epochs`` times.
     """
@@ -84,7 +84,10 @@ def _share(nodes: DataFrame, parent: list[str], child: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, names: list[str], p: Mix) -> DataFrame:
     """``leaves(*names, tokens)`` with ``alloc``, the tokens that each leaf gives."""
-    cap = F.col("tokens") * p.max_epochs
+    used = F.lit(True)
+    for level, name in zip(p.levels, names):
+        used = used & (_weight(level, name, p) > 0)
+    cap = F.when(used, F.col("tokens") * p.max_epochs).otherwise(0)
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("given"))
     given = total.select(F.lit(p.budget).cast("bigint").alias("given")) if p.budget is not None else total.select(
         F.expr(f"given * {p.percent} div 100").alias("given"))
@@ -107,10 +110,11 @@ def select(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "tex
 
     A leaf that gives ``a`` of its ``t`` tokens uses every document ``a div
     t`` times and, in the order of the next epoch's seed, the longest run of
-    first documents that fits in the rest; it never exceeds its budget. A
+    first documents that fits in the rest (if any); it never exceeds its budget. A
     null level value is a value of its own; null and empty texts have no
     tokens; null ids sort as the empty text. Rows with equal order (repeated
-    ids) are used together or not at all. Extra columns pass unchanged.
+    ids) are used together or not at all. Extra columns pass unchanged; the
+    two result columns replace columns of the same name.
 
     Plan: the tree is computed on one row per leaf. The cut of a leaf is
     found in a histogram over ranges of the order key, then in the one range
@@ -143,9 +147,9 @@ def select(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "tex
     inside = rows.join(small(cut), [*names, "range"]).withColumn(
         "upto", F.col("before") + F.sum("tokens").over(Window.partitionBy(*names, "range").orderBy("key", "id")))
     last = inside.where(F.col("upto") <= F.col("rest")).groupBy(*names).agg(F.max(F.struct("key", "id")).alias("last"))
-    bound = plan.join(cut, names, "left").join(last, names, "left").select(
-        *names, "epochs", F.shiftleft(F.col("range"), 60 - bits).alias("start"),
-        F.col("last.key").alias("last_key"), F.col("last.id").alias("last_id"))
+    bound = plan.join(cut, names).join(last, names, "left").select(
+        *names, "epochs", F.when(F.col("rest") > 0, F.shiftleft(F.col("range"), 60 - bits)).otherwise(0).alias("start"),
+        F.when(F.col("rest") > 0, F.col("last.key")).alias("last_key"), F.col("last.id").alias("last_id"))
     bound = written(bound, "mix_bounds")
 
     tmp = {n: free_name(docs, n) for n in [*names, "epochs", "start", "last_key", "last_id", "order_key", "order_id"]}
@@ -157,6 +161,6 @@ def select(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "tex
         tmp["order_key"], order_key(p.seed, F.col(tmp["epochs"]), F.col(tmp["order_id"])))
     key, start = F.col(tmp["order_key"]), F.col(tmp["start"])
     upto_last = (key < F.col(tmp["last_key"])) | ((key == F.col(tmp["last_key"])) & (F.col(tmp["order_id"]) <= F.col(tmp["last_id"])))
-    in_rest = start.isNull() | (key < start) | F.coalesce(upto_last, F.lit(False))
+    in_rest = (key < start) | F.coalesce(upto_last, F.lit(False))
     out = out.withColumn(to, (F.col(tmp["epochs"]) + F.when(in_rest, 1).otherwise(0)).cast("bigint"))
     return out.where(F.col(to) > 0).drop(*tmp.values())

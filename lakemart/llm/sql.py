@@ -93,11 +93,10 @@ split AS (SELECT kind, doc_id, name, string_split(lower(coalesce(text, '')), chr
 canonical AS (
     SELECT kind, doc_id, name, list_filter(list_transform(l, lambda x: CASE
         WHEN regexp_matches(x, {_quoted(COPYRIGHT_LINE)}) THEN ''
-        ELSE array_to_string(list_transform(string_split(trim(regexp_replace(
-                 regexp_replace(x, '(\\p{{L}})[-‐‑](\\p{{L}})', '\\1\\2', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
-             lambda w: coalesce(m[w], w)), ' ') END), lambda x: x <> '') AS lines
+        ELSE array_to_string(list_transform(string_split(trim(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+             lambda w: coalesce(m[w], w)), '') END), lambda x: x <> '') AS lines
     FROM split, respell),
-digests AS (SELECT kind, doc_id, name, sha256(coalesce(array_to_string(lines, ' '), '')) AS digest, lines FROM canonical),
+digests AS (SELECT kind, doc_id, name, sha256(coalesce(array_to_string(lines, ''), '')) AS digest, lines FROM canonical),
 names AS (SELECT digest, min(name) AS name FROM digests WHERE kind = 'k' GROUP BY digest),
 by_line AS (SELECT DISTINCT doc_id, sha256(line) AS digest
             FROM (SELECT doc_id, unnest(lines) AS line FROM digests WHERE kind = 'd')),
@@ -148,8 +147,8 @@ ordered AS (SELECT *, {_bits60(f"'{p.seed}:' || epochs || ':' || coalesce(CAST(d
             FROM rows_ JOIN plan USING (domain, lang, source)),
 summed AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, CAST(doc_id AS VARCHAR)) AS upto FROM ordered)
 SELECT doc_id, domain, lang0 AS lang, source0 AS source, tokens::BIGINT AS tokens,
-       epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS copies
-FROM summed WHERE epochs > 0 OR upto <= rest
+       epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies
+FROM summed WHERE epochs > 0 OR (rest > 0 AND upto <= rest)
 """
 
 

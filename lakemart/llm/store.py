@@ -6,7 +6,8 @@ disk or in memory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.session import scratch_path
 
@@ -27,3 +28,8 @@ def free_name(df: DataFrame, wanted: str) -> str:
         k += 1
         name = f"{wanted}_{k}"
     return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names have."""
+    return [F.col(f"`{c}`") for c in df.columns]

@@ -1,10 +1,65 @@
-"""The training-data pipeline: five stages over ``documents``."""
+"""The training-data pipeline over ``documents``: five stages, each one operator of ``lakemart.llm``.
+
+Every stage takes (spark, docs, sf_dir) and decides which documents go on;
+``run`` writes each stage's result to the shared folder and reads it again.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakemart.llm import decontam, langid, mixing, near_dup, queries, shards
+from lakemart.llm.store import columns, free_name, written
+
+MIX = replace(queries.MIX, percent=80, max_epochs=1)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go; a text in two languages has about half of its words in each."""
+    return langid.keep_known(docs, min_score=0.4)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity 0.8."""
+    return near_dup.drop_near_duplicates(docs, near_dup.NearDup(shingle=5, threshold_pct=80))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Four fifths of the tokens, dealt by weights of domain, language and source; each document once at most."""
+    domain, tokens, copies = (free_name(docs, c) for c in ("domain", "tokens", "copies"))
+    rows = docs.withColumn(domain, queries.domain_of(F.col("source")))
+    plan = replace(MIX, levels=(domain, *MIX.levels[1:]), weights={**MIX.weights, domain: MIX.weights["domain"]})
+    return mixing.select(rows, plan, to=copies, to_tokens=tokens).select(*columns(docs))
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's shard."""
+    return shards.place(docs, queries.SHARDS, queries.SLOTS, "doc_id")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixed),
+    ("sharding", sharding),
+]
+
+# the first three stages learn models, hash at random or measure edit distance, which SQL cannot express
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that all stages keep, with their shards."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return docs

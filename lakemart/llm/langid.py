@@ -258,7 +258,7 @@ def label_texts(arr: pa.Array, model: dict | None, p: LangId) -> tuple[list[str]
         best = total.argmax(axis=1)
         for i, b, s in zip(full.tolist(), best.tolist(), (total[np.arange(len(best)), best] / count[full]).tolist()):
             if has_letter[row + i]:
-                lang[row + i], conf[row + i] = model["labels"][b], min(1.0, s)
+                lang[row + i], conf[row + i] = model["labels"][b], min(1.0, round(s, 8))
     return lang.tolist(), conf
 
 

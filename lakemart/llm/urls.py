@@ -75,8 +75,8 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def _grams(arr: pa.Array, p: UrlModel) -> Iterator[tuple[int, np.ndarray, list, list]]:
-    """Per slice: (first row, text number of each byte, slots of contexts, slots of n-grams) for all orders."""
+def _grams(arr: pa.Array, p: UrlModel) -> Iterator[tuple[slice, np.ndarray, list, list]]:
+    """Per slice: (rows, text number of each byte, slots of contexts, slots of n-grams) for all orders."""
     for row, data, offsets in T.slices(arr):
         n = np.diff(offsets)
         at = np.arange(len(data)) + np.repeat(np.arange(1, len(n) + 1), n)
@@ -91,7 +91,7 @@ def _grams(arr: pa.Array, p: UrlModel) -> Iterator[tuple[int, np.ndarray, list,
             # a context that would reach beyond the start mark is the one up to the mark
             contexts.append((T.mix(T.span_hash(text, lo, at) + salt) & _U(p.slots - 1)).astype(np.int64))
             grams.append((T.mix(T.span_hash(text, lo, at + 1) ^ salt) & _U(p.slots - 1)).astype(np.int64))
-        yield row, doc, contexts, grams
+        yield slice(row, row + len(n)), doc, contexts, grams
 
 
 def _count(labelled: DataFrame, p: UrlModel) -> DataFrame:
@@ -101,9 +101,9 @@ def _count(labelled: DataFrame, p: UrlModel) -> DataFrame:
         total: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             fold, side = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("fold", "side"))
-            for row, doc, contexts, grams in _grams(b.column("url"), p):
+            for rows, doc, contexts, grams in _grams(b.column("url"), p):
                 for key in {*zip(fold.tolist(), side.tolist())}:
-                    of = (fold[row + doc] == key[0]) & (side[row + doc] == key[1])
+                    of = ((fold[rows] == key[0]) & (side[rows] == key[1]))[doc]
                     t = total.setdefault(key, np.zeros((2, p.slots), dtype=np.int64))
                     for kind, slots in enumerate((contexts, grams)):
                         for s in slots:
@@ -123,15 +123,15 @@ def _count(labelled: DataFrame, p: UrlModel) -> DataFrame:
 def log_ratio(arr: pa.Array, counts: np.ndarray, p: UrlModel) -> np.ndarray:
     """(log P(accepted) - log P(rejected)) per byte. ``counts[side, kind, slot]``; 0.0 for an empty URL."""
     out = np.zeros(len(arr))
-    for row, doc, contexts, grams in _grams(arr, p):
+    for rows, doc, contexts, grams in _grams(arr, p):
         diff = np.zeros(len(doc))
         for side, sign in ((1, 1.0), (0, -1.0)):
             prob = np.full(len(doc), 1 / 256)
             for c, g in zip(contexts, grams):
                 prob = (counts[side, 1, g] + p.strength * prob) / (counts[side, 0, c] + p.strength)
             diff += sign * np.log(prob)
-        n = np.bincount(doc, minlength=1)
-        out[row:row + len(n)] = np.bincount(doc, diff) / np.maximum(n, 1)
+        texts = rows.stop - rows.start
+        out[rows] = np.bincount(doc, diff, texts) / np.maximum(np.bincount(doc, minlength=texts), 1)
     return out
 
 

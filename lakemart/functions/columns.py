@@ -1,8 +1,9 @@
 """Reusable column expressions.
 
-Money is carried as ``DECIMAL(18,2)`` so that sums are exact and
-reproducible across engines (double sums depend on the order rows are
-added in, which changes with partitioning).
+Money is carried as ``DECIMAL(18,2)`` and summed as ``DECIMAL(38,2)``, so
+that sums are exact and reproducible across engines (double sums depend on
+the order rows are added in, which changes with partitioning) and cannot
+overflow.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 2)
+MONEY_SUM = DecimalType(38, 2)
 
 
 def as_col(c: str | Column) -> Column:
@@ -27,8 +29,8 @@ def money(c: str | Column) -> Column:
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of amounts, returned as ``DECIMAL(18,2)``."""
-    return F.sum(money(c)).cast(MONEY)
+    """Exact sum of amounts, returned as ``DECIMAL(38,2)``."""
+    return F.sum(as_col(c).cast(MONEY_SUM)).cast(MONEY_SUM)
 
 
 def count_when(pred: Column) -> Column:

@@ -39,6 +39,13 @@ def lead_metrics(leads: DataFrame, converted: str = "converted") -> DataFrame:
     ).withColumn("conversion_rate_pct", ratio("converted", "total_leads", 2, pct=True))
 
 
+def conversion_rate(leads: DataFrame, converted: str = "converted") -> DataFrame:
+    """One row over all regions: leads, converted leads and conversion %."""
+    return leads.agg(F.count(F.lit(1)).alias("total_leads"),
+                     F.count(F.when(F.col("status") == converted, 1)).alias("converted")
+                     ).withColumn("conversion_rate_pct", ratio("converted", "total_leads", 2, pct=True))
+
+
 def high_value_deals(leads: DataFrame, threshold: float) -> DataFrame:
     """Deals above ``threshold`` per source: count and total value."""
     return (leads.where(F.col("deal_value") > F.lit(threshold)).groupBy("source")

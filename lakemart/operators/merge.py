@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.ranking import assign_keys, latest_per_key, row_number_within
@@ -43,40 +43,48 @@ def scd_init(source: DataFrame, kind: int, keys: Sequence[str], tracked: str | S
     raise ValueError(kind)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], what: str = "changes") -> DataFrame:
+    """``df``, whose plan fails at run time if a key occurs twice (as MERGE does).
+
+    Counting and picking the row are one map-side combined aggregate.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    per = df.groupBy(*keys).agg(F.first(F.struct(*[F.col(c) for c in rest])).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    twice = F.raise_error(F.lit(f"{what}: several rows for one key of {', '.join(keys)}")).cast("boolean")
+    return per.where(F.when(F.col("_n") > 1, twice).otherwise(F.lit(True))).select(*keys, "_row.*").select(*df.columns)
+
+
 # M1
 def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
                effective_col: str, date_col: str = "LastUpdatedDate") -> DataFrame:
     """MERGE: matched keys take the source value of ``update_cols`` (others,
     e.g. the name, keep the target value); unmatched source keys are inserted.
 
-    Several source rows for one key would make MERGE fail; the latest by
-    ``effective_col`` is used instead.
+    Several source rows for one key fail the job, as they fail MERGE.
     """
     keys = list(keys)
-    src = latest_per_key(source, keys, [effective_col])
-    src = src.withColumn(effective_col, F.col(effective_col).cast("date"))
-    t, s = target.alias("t"), src.alias("s")
-    cond = None
-    for k in keys:
-        e = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
-    matched_src = F.col(f"s.{keys[0]}").isNotNull()
+    src = one_per_key(source, keys).withColumn(effective_col, F.col(effective_col).cast("date"))
+    t, s = target.withColumn("_in_t", F.lit(True)).alias("t"), src.withColumn("_in_s", F.lit(True)).alias("s")
+    j = t.join(s, keys, "full_outer")
+    in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     out = []
     for c in target.columns:
         if c in keys:
-            out.append(F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c))
+            out.append(F.col(c))
         elif c == date_col:
-            out.append(F.when(matched_src, F.col(f"s.{effective_col}")).otherwise(F.col(f"t.{c}")).alias(c))
+            out.append(F.when(in_s, F.col(f"s.{effective_col}")).otherwise(F.col(f"t.{c}")).alias(c))
         elif c in update_cols:
-            out.append(F.when(matched_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+            out.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
-            tgt_has = F.col(f"t.{keys[0]}").isNotNull()
             src_val = F.col(f"s.{c}") if c in src.columns else F.lit(None)
-            out.append(F.when(tgt_has, F.col(f"t.{c}")).otherwise(src_val).alias(c))
+            out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(src_val).alias(c))
     return j.select(*out)
 
 
+# a key with at most this many versions in one batch is ordered in one task; others are spread
+MAX_VERSIONS_PER_TASK = 10_000
+
+
 # M2
 def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                effective_col: str, sk_col: str = "SK", return_rejects: bool = False):
@@ -86,30 +94,36 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
       (each ends the day before the next starts);
     * a change equal to the version before it is skipped, so re-applying a
       batch changes nothing and each key keeps exactly one current row;
-    * a change dated on or before the current row's start is rejected;
-    * of several changes to one key on the same day, one is kept (the
-      greatest attribute values, so the choice is deterministic).
+    * a target row whose ``IsCurrent`` is NULL counts as history and is kept;
+    * not applied, and returned with a ``reason`` by ``return_rejects``: a
+      change dated on or before the current row's start (``out of order``),
+      one without a date (``no date``), and of several changes to one key on
+      the same day all but the greatest by attribute values (``same day``).
     """
     keys, tracked = list(keys), list(tracked)
     attrs = [c for c in target.columns if c not in (sk_col, "StartDate", "EndDate", "IsCurrent") and c not in keys]
     ch = changes.select(*keys, *attrs, F.col(effective_col).cast("date").alias("StartDate"))
-    cur = target.where(F.col("IsCurrent"))
-    hist = target.where(~F.col("IsCurrent"))
-    # reject out-of-order changes (not after the current start)
-    chk = ch.alias("c").join(cur.select(*keys, F.col("StartDate").alias("_cur_start")).alias("k"), keys, "left")
-    ok = chk.where(F.col("_cur_start").isNull() | (F.col("StartDate") > F.col("_cur_start"))).drop("_cur_start")
-    # one version per key and day: same-day changes would give an empty validity range
-    ok = latest_per_key(ok, keys + ["StartDate"], attrs)
-    rejects = chk.where(F.col("_cur_start").isNotNull() & (F.col("StartDate") <= F.col("_cur_start")))
+    is_current = F.coalesce(F.col("IsCurrent"), F.lit(False))
+    cur, hist = target.where(is_current), target.where(~is_current)
+    chk = ch.join(cur.select(*keys, F.col("StartDate").alias("_cur_start")), keys, "left").withColumn(
+        "reason", F.when(F.col("StartDate").isNull(), "no date")
+        .when(F.col("StartDate") <= F.col("_cur_start"), "out of order")).drop("_cur_start")
+    usable = chk.where("reason is null").drop("reason")
+    ok = latest_per_key(usable, keys + ["StartDate"], attrs) if attrs else usable.distinct()
     # keys without an accepted change keep their current row untouched
-    ok_keys = ok.select(*keys).distinct()
-    cur_touched = cur.join(ok_keys, keys, "left_semi")
-    cur_untouched = cur.join(ok_keys, keys, "left_anti")
+    per_key = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    touched = cur.join(per_key, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    cur_untouched = touched.where("_n = 0")
     # one timeline per changed key: its current row followed by the accepted changes
-    versions = (cur_touched.select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
+    versions = (touched.where("_n > 0").select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
                 .unionByName(ok.select(*keys, *attrs, "StartDate", F.lit(None).cast("bigint").alias(sk_col),
                                        F.lit(1).alias("_is_new"))))
-    timeline = _timeline(versions, keys, tracked)
+    long_keys = per_key.where(F.col("_n") > MAX_VERSIONS_PER_TASK).select(*keys)
+    if long_keys.limit(1).count():
+        timeline = _ordered(versions.join(long_keys, keys, "left_anti"), keys, tracked).unionByName(
+            _timeline(versions.join(long_keys, keys, "left_semi"), keys, tracked), allowMissingColumns=True)
+    else:
+        timeline = _ordered(versions, keys, tracked)
     old_rows = timeline.where(F.col("_is_new") == 0).drop("_is_new")
     new_rows = timeline.where(F.col("_is_new") == 1).drop("_is_new", sk_col)
     max_sk = target.select(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
@@ -117,7 +131,29 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
     cols = target.columns
     out = (hist.select(*cols).unionByName(cur_untouched.select(*cols))
            .unionByName(old_rows.select(*cols)).unionByName(new_rows.select(*cols)))
-    return (out, rejects) if return_rejects else out
+    if not return_rejects:
+        return out
+    surplus = usable.groupBy(*keys, "StartDate", *attrs).agg(F.count(F.lit(1)).alias("_m"))
+    used = ok.withColumn("_used", F.lit(1))
+    same = F.lit(True)
+    for c in keys + ["StartDate"] + attrs:
+        same = same & surplus[c].eqNullSafe(used[c])
+    same_day = surplus.join(used, same, "left").select(
+        *[surplus[c] for c in ch.columns], F.explode(F.array_repeat(F.lit("same day"), (
+            F.col("_m") - F.coalesce("_used", F.lit(0))).cast("int"))).alias("reason"))
+    return out, chk.where("reason is not null").select(*ch.columns, "reason").unionByName(same_day)
+
+
+def _ordered(versions: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """The timeline of keys with few versions: both neighbours come from windows per key, after one shuffle."""
+    line = Window.partitionBy(*keys).orderBy("StartDate", "_is_new", *tracked)
+    same = F.lag(F.lit(True)).over(line).isNotNull()
+    for c in tracked:
+        same = same & F.lag(c).over(line).eqNullSafe(F.col(c))
+    kept = versions.withColumn("_same", same).where(~((F.col("_is_new") == 1) & F.col("_same"))).drop("_same")
+    return (kept.withColumn("_next", F.lead("StartDate").over(line))
+            .withColumn("EndDate", F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(OPEN_END).cast("date")))
+            .withColumn("IsCurrent", F.col("_next").isNull()).drop("_next"))
 
 
 def _timeline(versions: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
@@ -149,14 +185,15 @@ def scd3_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], sourc
                effective_col: str, current_col: str = "Current", previous_col: str = "Previous",
                date_col: str = "LastUpdatedDate") -> DataFrame:
     """SCD-3: on a changed value, current moves to previous and the new value
-    becomes current; unseen keys are inserted with no previous value."""
+    becomes current; unseen keys are inserted with no previous value.
+
+    Several changes for one key fail the job.
+    """
     keys = list(keys)
-    src = latest_per_key(changes, keys, [effective_col])
-    src = src.select(*keys, *[c for c in src.columns if c not in keys])
-    t, s = target.alias("t"), src.alias("s")
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = one_per_key(changes, keys).withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, keys, "full_outer")
-    has_t = F.col(f"t.{current_col}").isNotNull() | F.col(f"t.{date_col}").isNotNull()
-    has_s = F.col(f"s.{effective_col}").isNotNull()
+    has_t, has_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     changed = has_t & has_s & ~F.col(f"t.{current_col}").eqNullSafe(F.col(f"s.{source_col}"))
     out = []
     for c in target.columns:
@@ -198,3 +235,16 @@ def change_counts(old: DataFrame, new: DataFrame, sk_col: str = "SK") -> DataFra
                  c(F.col("_oc").isNull()).alias("n_inserted"),
                  c(F.col("_oc") & ~F.col("_nc")).alias("n_closed"),
                  c(F.col("_oc").eqNullSafe(F.col("_nc"))).alias("n_unchanged"))
+
+
+def affected_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows inserted, updated, deleted and unchanged between two snapshots with one row per key (one row)."""
+    keys = list(keys)
+    rest = [c for c in old.columns if c not in keys]
+    o = old.select(*keys, F.struct(*rest).alias("_o"))
+    n = new.select(*keys, F.struct(*rest).alias("_n"))
+    j = o.join(n, keys, "full_outer")
+    c = lambda p: F.count(F.when(p, 1))
+    has_o, has_n, same = F.col("_o").isNotNull(), F.col("_n").isNotNull(), F.col("_o").eqNullSafe(F.col("_n"))
+    return j.agg(c(~has_o).alias("n_inserted"), c(has_o & has_n & ~same).alias("n_updated"),
+                 c(~has_n).alias("n_deleted"), c(has_o & same).alias("n_unchanged"))

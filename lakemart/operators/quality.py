@@ -118,8 +118,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "cnt") -
 
 # Q7
 def duplicate_rows(df: DataFrame, count_col: str = "n_copies") -> DataFrame:
-    """Rows that occur more than once (all columns equal), with their count."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
+    """Rows that occur more than once (all columns equal), with their count.
+
+    Rows are counted by digest first; only rows whose digest repeats are
+    compared in full.
+    """
+    seen = df.select(_row_digest(df).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1")
+    same = df.withColumn("_h", _row_digest(df)).join(seen, "_h", "left_semi")
+    return same.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
+
+
+def _row_digest(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    """256-bit digest of a row's values (nulls and column borders count)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in cols or df.columns])
+    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
 # Q8
@@ -299,11 +311,16 @@ def iqr_outliers(df: DataFrame, col: str, exact: bool = True, k: float = 1.5) ->
 
 
 # Q17
-def duplication_rate(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows, surplus copies and their % of rows (one grouping pass)."""
-    per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_k"))
-    return per.agg(F.sum("_k").cast("bigint").alias("total_rows"),
-                   F.count(F.lit(1)).alias("distinct_rows")) \
+def duplication_rate(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows, distinct rows, surplus copies and their % of rows, in all or per ``by``
+    (such as the file name, which shows a file loaded twice).
+
+    Rows are told apart by a 256-bit digest, so no text is shuffled.
+    """
+    cols = [c for c in df.columns if c not in by]
+    per = df.groupBy(*by, _row_digest(df, cols).alias("_h")).agg(F.count(F.lit(1)).alias("_k"))
+    return per.groupBy(*by).agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("bigint").alias("total_rows"),
+                                F.count(F.lit(1)).alias("distinct_rows")) \
         .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")) \
         .withColumn("duplicate_pct", ratio(F.col("duplicate_rows"), F.col("total_rows"), 2, pct=True))
 
@@ -326,6 +343,18 @@ def per_key_cardinality(df: DataFrame, key: str, attr: str) -> DataFrame:
 
 
 # Q20
+def empty_periods(df: DataFrame, ts: str, grain: str = "day") -> DataFrame:
+    """Periods between the first and the last row that hold no row, with ``n_rows`` 0.
+
+    The calendar between both ends bounds the periods, whatever the data volume.
+    """
+    full = volume(df, ts, grain)
+    ends = full.agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
+    step = F.expr(f"INTERVAL 1 {'DAY' if grain == 'day' else 'MONTH'}")
+    every = ends.where("lo is not null").select(F.explode(F.sequence("lo", "hi", step)).alias("period"))
+    return every.join(full, "period", "left_anti").withColumn("n_rows", F.lit(0).cast("bigint"))
+
+
 def volume(df: DataFrame, ts: str, grain: str = "day", by: Sequence[str] = (),
            expected: Column | float | None = None) -> DataFrame:
     """Row count per day or month (DATE of the period start), optionally by keys.
@@ -375,16 +404,29 @@ def sequence_validity(df: DataFrame, chain: Sequence[str]) -> DataFrame:
 # Q23
 def total_consistency(parent: DataFrame, child: DataFrame, key: str, total: str, part: str,
                       tolerance: float = 0.0) -> DataFrame:
-    """Parent totals against the sum of their parts (aggregate of aggregate)."""
-    parts = child.groupBy(key).agg(F.sum(part).alias("_parts"))
-    j = parent.select(key, total).join(parts, key)
+    """Parent totals against the sum of their parts (aggregate of aggregate).
+
+    Keys on one side only are counted too: parents without parts and parts
+    without a parent. A null total or sum is neither consistent nor not.
+    """
+    parts = child.groupBy(key).agg(F.sum(part).alias("_parts"), F.lit(1).alias("_has_parts"))
+    j = parent.select(key, total, F.lit(1).alias("_has_total")).join(parts, key, "full_outer")
     diff = F.abs(F.col(total) - F.col("_parts"))
     return j.agg(F.count(F.lit(1)).alias("n_keys"),
-                 count_when(diff <= F.lit(tolerance)).alias("n_consistent"),
-                 count_when(diff > F.lit(tolerance)).alias("n_inconsistent"),
+                 F.count(F.when(diff <= F.lit(tolerance), 1)).alias("n_consistent"),
+                 F.count(F.when(diff > F.lit(tolerance), 1)).alias("n_inconsistent"),
+                 F.count(F.when(F.col("_has_parts").isNull(), 1)).alias("n_without_parts"),
+                 F.count(F.when(F.col("_has_total").isNull(), 1)).alias("n_without_parent"),
                  F.max(diff).alias("max_abs_diff"))
 
 
+def parts_match_total(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
+    """One row: all rows against the sum of the counts of the listed values, Match or Mismatch."""
+    row = df.agg(F.count(F.lit(1)).alias("total_rows"),
+                 F.count(F.when(F.col(col).isin(list(values)), 1)).alias("sum_of_parts"))
+    return row.withColumn("result", F.when(F.col("total_rows") == F.col("sum_of_parts"), "Match").otherwise("Mismatch"))
+
+
 # Q24
 def run_suite(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[Sequence[str]] = (),
               expressions: Mapping[str, Column] | None = None) -> DataFrame:
@@ -394,8 +436,8 @@ def run_suite(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[Sequ
     """
     expressions = dict(expressions or {})
     rows = []
-    aggs = [count_when(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)]
-    aggs += [count_when(~F.coalesce(e, F.lit(False))).alias(f"_ex{i}") for i, e in enumerate(expressions.values())]
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)]
+    aggs += [F.count_if(~F.coalesce(e, F.lit(False))).alias(f"_ex{i}") for i, e in enumerate(expressions.values())]
     if aggs:
         one = df.agg(*aggs)
         items = [F.struct(F.lit("not_null").alias("test"), F.lit(c).alias("target"), F.col(f"_nn{i}").alias("failures"))

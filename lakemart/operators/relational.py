@@ -53,7 +53,7 @@ def pair_counts_within(df: DataFrame, group: str | Sequence[str], id_col: str,
     n = F.count_distinct(F.col(id_col))
     return (df.where(F.col(id_col).isNotNull()).groupBy(*g)
             .agg(n.alias(members))
-            .withColumn(pairs, (F.col(members) * (F.col(members) - 1) / 2).cast("bigint")))
+            .withColumn(pairs, F.expr(f"`{members}` * (`{members}` - 1) div 2")))
 
 
 def next_period_keys(df: DataFrame, key: str, period: str, months: int = 1) -> DataFrame:

@@ -67,7 +67,8 @@ def order_details(orders: DataFrame, customers: DataFrame, items: DataFrame, pro
     i = items.select("order_id", "line_no", "product_id", F.col("quantity").cast("int").alias("quantity"),
                      F.col("price").alias("unit_price"), money(total).alias("total_item_price"))
     p = products.select("product_id", "product_name", "category")
-    d = i.join(o, "order_id").join(c, "customer_id").join(p, "product_id")
+    # customers join at order grain, before the more numerous lines
+    d = i.join(o.join(c, "customer_id"), "order_id").join(p, "product_id")
     if payments is not None:
         d = d.join(order_payments(payments), "order_id", payment_join)
     return d
@@ -89,7 +90,7 @@ def order_item_context(orders: DataFrame, customers: DataFrame, items: DataFrame
     c = customers.select("customer_id", "state")
     p = products.select("product_id", "category")
     i = items.select("order_id", "line_no", "product_id", "price", "freight")
-    return (i.join(o, "order_id").join(c, "customer_id", "left").join(p, "product_id", "left")
+    return (i.join(o.join(c, "customer_id", "left"), "order_id").join(p, "product_id", "left")
             .select("order_id", "line_no", "state", "product_id", "category", "price", "freight"))
 
 
@@ -135,17 +136,20 @@ def price_band(products: DataFrame, edges: Sequence[float] = (50, 100),
 
 
 def above_average(df: DataFrame, col: str) -> DataFrame:
-    """Rows whose ``col`` exceeds the overall average (resolved once, then a
-    literal filter that reaches the scan)."""
+    """Rows whose ``col`` exceeds the overall average, which is resolved once into a literal."""
     return df.where(F.col(col) > scalar_lit(df.select(F.avg(F.col(col)))))
 
 
 def big_spenders(orders: DataFrame, revenue: DataFrame) -> DataFrame:
     """Customers whose total revenue exceeds the average *order* revenue (as written)."""
-    avg_order = revenue.select(F.avg("revenue")).scalar()
-    return (orders.select("order_id", "customer_id").join(revenue, "order_id")
-            .groupBy("customer_id").agg(money_sum("revenue").alias("total_revenue"))
-            .where(F.col("total_revenue") > avg_order))
+    # revenue is planned once: orders that no order row explains keep a group of their own for the average
+    known = orders.select("order_id", "customer_id", F.lit(True).alias("_known"))
+    per = revenue.join(known, "order_id", "left").groupBy("customer_id", "_known").agg(
+        money_sum("revenue").alias("total_revenue"), F.count("revenue").alias("_n"))
+    overall = per.select(F.struct(F.sum("total_revenue").alias("s"), F.sum("_n").alias("n"))).scalar()
+    return (per.withColumn("_all", overall)
+            .where(F.col("_known") & (F.col("total_revenue") * F.col("_all.n") > F.col("_all.s")))
+            .select("customer_id", "total_revenue"))
 
 
 def revenue_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -169,8 +173,8 @@ def revenue_by_state(orders: DataFrame, revenue: DataFrame, customers: DataFrame
 
 def revenue_by_state_items(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per customer state summed straight from item rows."""
-    return (items.select("order_id", "price", "freight").join(orders.select("order_id", "customer_id"), "order_id")
-            .join(customers.select("customer_id", "state"), "customer_id")
+    placed = orders.select("order_id", "customer_id").join(customers.select("customer_id", "state"), "customer_id")
+    return (items.select("order_id", "price", "freight").join(placed.select("order_id", "state"), "order_id")
             .groupBy("state").agg(money_sum(F.col("price") + F.col("freight")).alias("revenue"),
                                   F.count_distinct("order_id").alias("n_orders")))
 
@@ -178,19 +182,23 @@ def revenue_by_state_items(orders: DataFrame, items: DataFrame, customers: DataF
 def monthly_sales_by_category(details: DataFrame, approx: bool = False, rsd: float = 0.02) -> DataFrame:
     """Gold: sales, distinct orders and distinct customers per month and category.
 
-    ``approx=True`` counts the distincts with HyperLogLog++ sketches (plain
-    aggregates, merged map-side, fixed memory per group) instead of the
-    exact two-level distinct aggregation.
+    Exact counts come from three nested groupings (order, customer, month)
+    that combine map-side, so no row is expanded; an order has one customer.
+    ``approx=True`` counts with HyperLogLog++ sketches in one grouping.
     """
+    d = details.withColumn("sales_month", month_start("order_date"))
     if approx:
-        orders_n = F.approx_count_distinct("order_id", rsd)
-        customers_n = F.approx_count_distinct("customer_id", rsd)
-    else:
-        orders_n, customers_n = F.count_distinct("order_id"), F.count_distinct("customer_id")
-    return (details.withColumn("sales_month", month_start("order_date"))
-            .groupBy("sales_month", "category").agg(
-                money_sum("total_item_price").alias("total_sales"),
-                orders_n.alias("total_orders"), customers_n.alias("unique_customers")))
+        return d.groupBy("sales_month", "category").agg(
+            money_sum("total_item_price").alias("total_sales"),
+            F.approx_count_distinct("order_id", rsd).alias("total_orders"),
+            F.approx_count_distinct("customer_id", rsd).alias("unique_customers"))
+    per_order = d.groupBy("sales_month", "category", "customer_id", "order_id").agg(
+        money_sum("total_item_price").alias("_sales"))
+    per_customer = per_order.groupBy("sales_month", "category", "customer_id").agg(
+        F.sum("_sales").alias("_sales"), F.count("order_id").alias("_orders"))
+    return per_customer.groupBy("sales_month", "category").agg(
+        money_sum("_sales").alias("total_sales"), F.sum("_orders").alias("total_orders"),
+        F.count("customer_id").alias("unique_customers"))
 
 
 def customer_spend(orders: DataFrame, amount: str = "order_total") -> DataFrame:
@@ -225,25 +233,22 @@ def repeat_rate(orders: DataFrame, customer_key: str = "customer_id") -> DataFra
         .withColumn("repeat_rate", ratio("n_repeat", "n_customers", 4))
 
 
-def kpi_snapshot(orders: DataFrame, items: DataFrame, customers: DataFrame, revenue: DataFrame) -> DataFrame:
+def kpi_snapshot(orders: DataFrame, customers: DataFrame, revenue: DataFrame) -> DataFrame:
     """One row: delivered rate, average order value, entity counts, order window.
 
-    Each figure reads its own table once; the five scalar subqueries of the
-    written form are merged into one aggregate per table.
+    ``revenue`` (one row per order, see ``order_revenue``) already holds the
+    delivered orders, the item count and the order values, so the items are
+    read once. ``order_id`` is unique in ``orders``.
     """
-    delivered = items.select("order_id").distinct()
-    o = orders.select("order_id", "purchase_ts").join(
-        delivered.withColumn("_d", F.lit(1)), "order_id", "left")
-    ostats = o.agg(F.count_distinct("order_id").alias("n_orders"),
-                   ratio(F.count("_d"), F.count(F.lit(1)), 2).alias("pct_delivered"),
-                   F.min("purchase_ts").alias("first_order"), F.max("purchase_ts").alias("last_order"))
-    return ostats.select(
-        customers.select(F.count_distinct("customer_id")).scalar().alias("n_customers"),
-        "n_orders",
-        items.select(F.count(F.lit(1))).scalar().alias("n_items"),
-        "pct_delivered",
-        revenue.select(avg_exact("revenue", 2, 2)).scalar().alias("aov"),
-        "first_order", "last_order")
+    o = orders.select("order_id", "purchase_ts", F.lit(1).alias("_o"))
+    r = revenue.select("order_id", "revenue", "n_items", F.lit(1).alias("_r"))
+    j = o.join(r, "order_id", "full_outer")
+    stats = j.agg(F.count("_o").alias("n_orders"), F.coalesce(F.sum("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
+                  ratio(F.count(F.when(F.col("_o").isNotNull(), F.col("_r"))), F.count("_o"), 2).alias("pct_delivered"),
+                  avg_exact("revenue", 2, 2).alias("aov"),
+                  F.min("purchase_ts").alias("first_order"), F.max("purchase_ts").alias("last_order"))
+    return stats.select(customers.select(F.count_distinct("customer_id")).scalar().alias("n_customers"),
+                        "n_orders", "n_items", "pct_delivered", "aov", "first_order", "last_order")
 
 
 def recent_orders(orders: DataFrame, days: int, as_of: Column, k: int) -> DataFrame:

@@ -77,36 +77,38 @@ def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *
     return assign_keys(f, sale_key, [(c, "asc") for c in order] or [(c, "asc") for c in keep])
 
 
-def sales_by_category(fact: DataFrame, dim_product: DataFrame, category: str = "category") -> DataFrame:
-    """Sales and units per product category.
+def sales_by_category(fact: DataFrame, dim_product: DataFrame, category: str = "category",
+                      key: str = "product_key") -> DataFrame:
+    """Sales and units per product category; ``key`` is the surrogate or the natural product key.
 
     The fact is first reduced to one row per product key (partial
     aggregation map-side), so the dimension join sees one row per product
     instead of one per sale.
     """
-    per_product = fact.groupBy("product_key").agg(F.sum("total_amount").alias("_amt"),
+    per_product = fact.groupBy(key).agg(F.sum("total_amount").alias("_amt"),
                                                   F.sum("quantity").alias("_qty"))
-    return (per_product.join(dim_product.select("product_key", category), "product_key")
+    return (per_product.join(dim_product.select(key, category), key)
             .groupBy(category).agg(money_sum("_amt").alias("total_sales"),
                                    F.sum("_qty").cast("bigint").alias("units")))
 
 
 def monthly_by_country(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
-                       country: str = "country") -> DataFrame:
-    """Sales per year, month and customer country (month kept in the grouping).
+                       country: str = "country", key: str = "customer_key") -> DataFrame:
+    """Sales per year, month and customer country (month kept in the grouping);
+    ``key`` is the surrogate or the natural customer key.
 
     Reduced to (date, customer) before the joins; the date dimension has one
     row per calendar day, a proven broadcast bound.
     """
-    per = fact.groupBy("date_key", "customer_key").agg(F.sum("total_amount").alias("_amt"))
+    per = fact.groupBy("date_key", key).agg(F.sum("total_amount").alias("_amt"))
     dd = F.broadcast(dim_date.select("date_key", "year", "month"))
-    return (per.join(dd, "date_key").join(dim_customer.select("customer_key", country), "customer_key")
+    return (per.join(dd, "date_key").join(dim_customer.select(key, country), key)
             .groupBy("year", "month", country).agg(money_sum("_amt").alias("total_sales")))
 
 
-def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 5) -> DataFrame:
+def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 5, key: str = "customer_key") -> DataFrame:
     """Top ``k`` customers by sales (ties by natural key), fact reduced per key first."""
-    per = fact.groupBy("customer_key").agg(F.sum("total_amount").alias("_amt"))
-    return (per.join(dim_customer, "customer_key")
-            .select("customer_id", "customer_name", F.col("_amt").cast(MONEY).alias("total_sales"))
+    per = fact.groupBy(key).agg(money_sum("total_amount").alias("total_sales"))
+    return (per.join(dim_customer, key)
+            .select("customer_id", "customer_name", "total_sales")
             .orderBy(F.desc("total_sales"), F.asc("customer_id")).limit(k))

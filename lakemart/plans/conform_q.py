@@ -131,6 +131,14 @@ def lead_metrics(spark, d):
     return leads.lead_metrics(T.leads(spark, d))
 
 
+@register("conversion_rate", q(f"""
+SELECT COUNT(*) AS total_leads, CAST(SUM(CASE WHEN status = 'converted' THEN 1 ELSE 0 END) AS BIGINT) AS converted,
+  {ratio("SUM(CASE WHEN status = 'converted' THEN 1 ELSE 0 END)", "COUNT(*)", 2, pct=True)} AS conversion_rate_pct
+FROM c_leads"""))
+def conversion_rate(spark, d):
+    return leads.conversion_rate(T.leads(spark, d))
+
+
 @register("high_value_deals", q(f"""
 SELECT source, COUNT(*) AS high_value_deals, CAST(SUM(deal_value) AS DECIMAL(18,2)) AS total_value
 FROM c_leads WHERE deal_value > {HIGH_VALUE} GROUP BY source"""))

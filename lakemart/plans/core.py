@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.columns import MONEY, money_sum
+from lakemart.functions.columns import MONEY_SUM, money_sum
 from lakemart.operators import ranking, relational, sales, timeseries
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
@@ -14,7 +14,7 @@ from lakemart.plans.sqlfrag import month, q, ratio
 
 def as_money(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast(MONEY))
+        df = df.withColumn(c, F.col(c).cast(MONEY_SUM))
     return df
 
 
@@ -88,6 +88,14 @@ def spend_rank(spark, d):
                                method="rank", out="spend_rank")
 
 
+@register("order_count_rank", q(_SPEND_SQL + """
+SELECT customer_id, n_orders, CAST(RANK() OVER (ORDER BY n_orders DESC) AS BIGINT) AS count_rank FROM s"""))
+def order_count_rank(spark, d):
+    """A rank with many ties."""
+    return ranking.global_rank(_spend(spark, d).select("customer_id", "n_orders"), [("n_orders", "desc")], ["customer_id"],
+                               method="rank", out="count_rank")
+
+
 @register("top_customers", q(_SPEND_SQL + """
 SELECT customer_id, total_spend, n_orders FROM s ORDER BY total_spend DESC, customer_id LIMIT 10"""))
 def top_customers(spark, d):

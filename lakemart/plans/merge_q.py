@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakemart.functions.columns import MONEY
 from lakemart.operators import merge, star
 from lakemart.operators.ranking import assign_keys
 from lakemart.plans import tables as T
@@ -19,6 +20,7 @@ from lakemart.plans.sqlfrag import q
 # fixed values of the scenario
 LOAD_DATE, CHANGE_DATE, CLOSE_DATE = "2023-01-01", "2023-06-15", "2023-06-14"
 NEW_KEY_OFFSET = 1_000_000_000
+UNKNOWN_PRODUCT_OFFSET = 2_000_000_000
 KEYS = ["CustomerID"]
 
 
@@ -125,6 +127,45 @@ def change_counts(spark, d):
     return merge.change_counts(t, _scd2(spark, d, t), sk_col="CustomerSK")
 
 
+_AFFECTED_SQL = """
+SELECT COUNT(*) FILTER (t_id IS NULL) AS n_inserted, COUNT(*) FILTER (changed) AS n_updated, 0::BIGINT AS n_deleted,
+  COUNT(*) FILTER (t_id IS NOT NULL AND NOT changed) AS n_unchanged FROM j"""
+
+
+@register("scd1_affected_rows", q(_SCD_SQL + """
+, j AS (SELECT t.CustomerID AS t_id, t.CustomerID IS NOT NULL AND s.CustomerID IS NOT NULL AS changed
+  FROM t1 t FULL JOIN chg s ON t.CustomerID = s.CustomerID)""" + _AFFECTED_SQL))
+def scd1_affected_rows(spark, d):
+    return merge.affected_rows(_init(spark, d, 1), scd1_merge(spark, d), KEYS)
+
+
+@register("scd3_affected_rows", q(_SCD_SQL + """
+, j AS (SELECT t.CustomerID AS t_id, t.CustomerID IS NOT NULL AND s.CustomerID IS NOT NULL
+  AND t.CurrentRegion IS DISTINCT FROM s.Region AS changed FROM t3 t FULL JOIN chg s ON t.CustomerID = s.CustomerID)"""
+  + _AFFECTED_SQL))
+def scd3_affected_rows(spark, d):
+    return merge.affected_rows(_init(spark, d, 3), scd3_apply(spark, d), KEYS)
+
+
+def _late_changes(spark, d):
+    """The change batch with planted faults: a second change on the same day, old dates and missing dates."""
+    ch = scd_changes(spark, d)
+    again = ch.where(F.col("CustomerID") % 5 == 0).withColumn("Region", F.lit("ZZ"))
+    late = ch.where(F.col("CustomerID") % 7 == 0).withColumn("EffectiveDate", F.lit("2022-06-01").cast("date"))
+    undated = ch.where(F.col("CustomerID") % 11 == 0).withColumn("EffectiveDate", F.lit(None).cast("date"))
+    return ch.unionByName(again).unionByName(late).unionByName(undated)
+
+
+@register("scd2_rejects", q(_SCD_SQL + f"""
+SELECT CustomerID, Name, Region, EffectiveDate AS StartDate, 'same day' AS reason FROM chg WHERE CustomerID % 5 = 0
+UNION ALL SELECT CustomerID, Name, Region, DATE '2022-06-01', 'out of order' FROM chg
+  WHERE CustomerID % 7 = 0 AND CustomerID < {NEW_KEY_OFFSET}
+UNION ALL SELECT CustomerID, Name, Region, NULL, 'no date' FROM chg WHERE CustomerID % 11 = 0"""))
+def scd2_rejects(spark, d):
+    return merge.scd2_apply(_init(spark, d, 2), _late_changes(spark, d), KEYS, ["Name", "Region"], "EffectiveDate",
+                            sk_col="CustomerSK", return_rejects=True)[1]
+
+
 # ---------------------------------------------------------------- star schema
 
 def dim_product(spark, d):
@@ -133,34 +174,54 @@ def dim_product(spark, d):
         .select("product_key", "product_id", "product_name", "category", "price")
 
 
-def raw_sales(spark, d):
-    i = T.items(spark, d).select("order_id", "line_no", "product_id", "quantity")
-    o = T.orders(spark, d).select("order_id", "customer_id", "purchase_ts")
-    c = T.customers(spark, d).select("customer_id", "customer_name", F.col("state").alias("country"))
+def _sold_items(spark, d):
+    # planted: the lines of every 97th order name products that do not exist
+    return T.items(spark, d).select("order_id", "line_no", F.when(
+        F.col("order_id") % 97 == 0, F.col("product_id") + UNKNOWN_PRODUCT_OFFSET).otherwise(F.col("product_id"))
+        .alias("product_id"), "quantity")
+
+
+def raw_sales(spark, d, dates=True):
+    """Lines with their unit price and, with ``dates``, the order's customer and date; unmatched lines stay."""
     p = T.products(spark, d).select("product_id", F.col("price").alias("unit_price"))
-    return i.join(o, "order_id").join(c, "customer_id").join(p, "product_id")
+    i = _sold_items(spark, d).join(p, "product_id", "left")
+    return i.join(T.orders(spark, d).select("order_id", "customer_id", "purchase_ts"), "order_id", "left") if dates else i
+
+
+def customers_natural(spark, d):
+    return T.customers(spark, d).select("customer_id", "customer_name", F.col("state").alias("country"))
 
 
 def dim_customer(spark, d):
-    return star.load_dim(raw_sales(spark, d), "customer_id", ["customer_name", "country"], "customer_key")
+    """Customers with a sold line, numbered by id."""
+    sold = T.orders(spark, d).select("order_id", "customer_id").join(
+        T.items(spark, d).select("order_id"), "order_id", "left_semi").select("customer_id")
+    return star.load_dim(customers_natural(spark, d).join(sold, "customer_id", "left_semi"),
+                         "customer_id", ["customer_name", "country"], "customer_key")
 
 
-def fact_sales(spark, d, dc=None, dp=None, sale_key="sale_key"):
-    return star.load_fact(raw_sales(spark, d), dc if dc is not None else dim_customer(spark, d),
-                          dp if dp is not None else dim_product(spark, d),
+def fact_sales(spark, d):
+    return star.load_fact(raw_sales(spark, d), dim_customer(spark, d), dim_product(spark, d),
                           date_col="purchase_ts", customer_id="customer_id", product_id="product_id",
                           price="unit_price", quantity="quantity", keep=["order_id", "line_no"],
-                          sale_key=sale_key,
-                          order=["order_id", "line_no", "date_key", "customer_key", "product_key", "quantity",
-                                 "total_amount", "matched"])
+                          sale_key="sale_key",
+                          order=["order_id", "line_no", "date_key", "customer_key", "product_key", "quantity"])
+
+
+def natural_fact(spark, d, dates=True):
+    """The fact by natural keys, for reports that need no surrogate key."""
+    f = raw_sales(spark, d, dates).withColumn("total_amount", (F.col("unit_price") * F.col("quantity")).cast(MONEY))
+    return f.withColumn("date_key", star.date_key("purchase_ts")) if dates else f
 
 
-_STAR_SQL = """
-, raw AS (SELECT i.order_id, i.line_no, o.customer_id, c.customer_name, c.state AS country, i.product_id,
-  p.price AS unit_price, i.quantity, o.purchase_ts FROM c_items i JOIN c_orders o ON i.order_id = o.order_id
-  JOIN c_customers c ON o.customer_id = c.customer_id JOIN c_products p ON i.product_id = p.product_id),
+_STAR_SQL = f"""
+, sold AS (SELECT order_id, line_no, quantity, CASE WHEN order_id % 97 = 0 THEN product_id + {UNKNOWN_PRODUCT_OFFSET}
+  ELSE product_id END AS product_id FROM c_items),
+raw AS (SELECT i.order_id, i.line_no, o.customer_id, c.customer_name, c.state AS country, i.product_id,
+  p.price AS unit_price, i.quantity, o.purchase_ts FROM sold i LEFT JOIN c_orders o ON i.order_id = o.order_id
+  LEFT JOIN c_customers c ON o.customer_id = c.customer_id LEFT JOIN c_products p ON i.product_id = p.product_id),
 dc AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key, customer_id, customer_name, country
-  FROM (SELECT DISTINCT customer_id, customer_name, country FROM raw)),
+  FROM (SELECT DISTINCT customer_id, customer_name, country FROM raw WHERE country IS NOT NULL)),
 dp AS (SELECT ROW_NUMBER() OVER (ORDER BY product_name, product_id) AS product_key, product_id, product_name,
   category, price FROM c_products),
 f AS (SELECT CAST(year(purchase_ts) * 10000 + month(purchase_ts) * 100 + day(purchase_ts) AS INTEGER) AS date_key,
@@ -168,8 +229,8 @@ f AS (SELECT CAST(year(purchase_ts) * 10000 + month(purchase_ts) * 100 + day(pur
   CAST(raw.unit_price * raw.quantity AS DECIMAL(18,2)) AS total_amount,
   (dc.customer_key IS NOT NULL AND dp.product_key IS NOT NULL) AS matched
   FROM raw LEFT JOIN dc ON raw.customer_id = dc.customer_id LEFT JOIN dp ON raw.product_id = dp.product_id),
-fs AS (SELECT ROW_NUMBER() OVER (ORDER BY order_id, line_no, date_key, customer_key, product_key, quantity,
-  total_amount, matched) AS sale_key, * FROM f),
+fs AS (SELECT ROW_NUMBER() OVER (ORDER BY order_id, line_no, date_key, customer_key, product_key NULLS FIRST, quantity)
+  AS sale_key, * FROM f),
 span AS (SELECT CAST(MIN(purchase_ts) AS DATE) AS lo, CAST(MAX(purchase_ts) AS DATE) AS hi FROM c_orders),
 dd AS (SELECT CAST(year(g) * 10000 + month(g) * 100 + day(g) AS INTEGER) AS date_key, CAST(g AS DATE) AS full_date,
   CAST(dayofweek(g) AS INTEGER) AS day_of_week, dayname(g) AS day_name, CAST(month(g) AS INTEGER) AS month,
@@ -202,8 +263,7 @@ SELECT dp.category, CAST(SUM(fs.total_amount) AS DECIMAL(18,2)) AS total_sales,
   CAST(SUM(fs.quantity) AS BIGINT) AS units FROM fs JOIN dp ON fs.product_key = dp.product_key
 GROUP BY dp.category"""))
 def sales_by_category_star(spark, d):
-    dp = dim_product(spark, d)
-    return star.sales_by_category(fact_sales(spark, d, dp=dp, sale_key=None), dp)
+    return star.sales_by_category(natural_fact(spark, d, dates=False), T.products(spark, d), key="product_id")
 
 
 @register("monthly_by_country", q(_STAR_SQL + """
@@ -211,8 +271,8 @@ SELECT dd.year, dd.month, dc.country, CAST(SUM(fs.total_amount) AS DECIMAL(18,2)
 FROM fs JOIN dd ON fs.date_key = dd.date_key JOIN dc ON fs.customer_key = dc.customer_key
 GROUP BY dd.year, dd.month, dc.country"""))
 def monthly_by_country(spark, d):
-    dc = dim_customer(spark, d)
-    return star.monthly_by_country(fact_sales(spark, d, dc=dc, sale_key=None), dim_date(spark, d), dc)
+    return star.monthly_by_country(natural_fact(spark, d), dim_date(spark, d), customers_natural(spark, d),
+                                   key="customer_id")
 
 
 @register("top_customers_star", q(_STAR_SQL + """
@@ -220,5 +280,4 @@ SELECT dc.customer_id, dc.customer_name, CAST(SUM(fs.total_amount) AS DECIMAL(18
 FROM fs JOIN dc ON fs.customer_key = dc.customer_key GROUP BY dc.customer_id, dc.customer_name
 ORDER BY total_sales DESC, dc.customer_id LIMIT 5"""))
 def top_customers_star(spark, d):
-    dc = dim_customer(spark, d)
-    return star.top_customers(fact_sales(spark, d, dc=dc, sale_key=None), dc, 5)
+    return star.top_customers(natural_fact(spark, d), customers_natural(spark, d), 5, key="customer_id")

@@ -206,6 +206,21 @@ def distribution_approx(spark, d):
     return quality.distribution(T.items(spark, d), "price", exact=False)
 
 
+@register("distribution_approx_within", "SELECT TRUE AS p25_ok, TRUE AS p50_ok, TRUE AS p75_ok")
+def distribution_approx_within(spark, d):
+    """Is the exact rank of each approximate quartile within the stated error (1/10000 of the rows, and one row)?"""
+    items = T.items(spark, d).select("price")
+    q = quality.distribution(items, "price", exact=False)
+    x = items.select(F.col("price").cast("double").alias("v")).withColumn(
+        "q", q.select(F.struct("n", "p25", "p50", "p75")).scalar())
+    ok = []
+    for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        n, slack = F.max("q.n"), F.max("q.n") / 10000 + 1
+        below, upto = F.count(F.when(F.col("v") < F.col(f"q.{name}"), 1)), F.count(F.when(F.col("v") <= F.col(f"q.{name}"), 1))
+        ok.append(((below <= n * p + slack) & (upto >= n * p - slack)).alias(f"{name}_ok"))
+    return x.agg(*ok)
+
+
 @register("iqr_outliers", q(_DIST_SQL + """
 , qq AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM x)
 SELECT ROUND(q1, 6) AS q1, ROUND(q3, 6) AS q3, ROUND(q1 - (q3 - q1) * 1.5, 6) AS lower_fence,
@@ -287,16 +302,56 @@ def sequence_validity(spark, d):
 
 @register("total_consistency", q("""
 , p AS (SELECT order_id, SUM(price + freight) AS parts FROM c_items GROUP BY order_id),
-j AS (SELECT ABS(o.order_total - p.parts) AS diff FROM c_orders o JOIN p ON o.order_id = p.order_id)
-SELECT COUNT(*) AS n_keys, CAST(SUM(CASE WHEN diff <= 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS n_consistent,
-  CAST(SUM(CASE WHEN diff > 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS n_inconsistent,
+t AS (SELECT order_id, CASE WHEN order_id % 3 = 0 THEN order_total ELSE parts END AS total
+      FROM c_orders LEFT JOIN p USING (order_id) WHERE order_id % 11 <> 0),
+j AS (SELECT t.order_id AS parent, p.order_id AS part, ABS(t.total - p.parts) AS diff FROM t FULL JOIN p ON t.order_id = p.order_id)
+SELECT COUNT(*) AS n_keys, COUNT(*) FILTER (diff <= 0.01) AS n_consistent, COUNT(*) FILTER (diff > 0.01) AS n_inconsistent,
+  COUNT(*) FILTER (part IS NULL) AS n_without_parts, COUNT(*) FILTER (parent IS NULL) AS n_without_parent,
   CAST(MAX(diff) AS DECIMAL(18,2)) AS max_abs_diff FROM j"""))
 def total_consistency(spark, d):
+    # planted: two thirds of the orders carry the sum of their lines, and one in eleven is missing
     items = T.items(spark, d).withColumn("line_total", F.col("price") + F.col("freight"))
-    out = quality.total_consistency(T.orders(spark, d), items, "order_id", "order_total", "line_total", 0.01)
+    sums = items.groupBy("order_id").agg(F.sum("line_total").alias("parts"))
+    orders = T.orders(spark, d).where(F.col("order_id") % 11 != 0).join(sums, "order_id", "left").select(
+        "order_id", F.when(F.col("order_id") % 3 == 0, F.col("order_total")).otherwise(F.col("parts")).alias("total"))
+    out = quality.total_consistency(orders, items, "order_id", "total", "line_total", 0.01)
     return out.withColumn("max_abs_diff", F.col("max_abs_diff").cast(MONEY))
 
 
+@register("status_sum_check", q("""
+SELECT total_rows, sum_of_parts, CASE WHEN total_rows = sum_of_parts THEN 'Match' ELSE 'Mismatch' END AS result
+FROM (SELECT COUNT(*) AS total_rows, SUM(CASE WHEN status IN ('F', 'O') THEN 1 ELSE 0 END)::BIGINT AS sum_of_parts FROM c_orders)
+UNION ALL
+SELECT total_rows, sum_of_parts, CASE WHEN total_rows = sum_of_parts THEN 'Match' ELSE 'Mismatch' END AS result
+FROM (SELECT COUNT(*) AS total_rows, SUM(CASE WHEN status IN ('F', 'O', 'P') THEN 1 ELSE 0 END)::BIGINT AS sum_of_parts FROM c_orders)"""))
+def status_sum_check(spark, d):
+    """Counts of two and of three statuses against all orders."""
+    o = T.orders(spark, d)
+    return quality.parts_match_total(o, "status", ["F", "O"]).unionByName(
+        quality.parts_match_total(o, "status", ["F", "O", "P"]))
+
+
+@register("duplication_rate_by_lang", f"""
+WITH g AS (SELECT lang, text, COUNT(*) AS k FROM documents GROUP BY lang, text)
+SELECT lang, CAST(SUM(k) AS BIGINT) AS total_rows, COUNT(*) AS distinct_rows,
+  CAST(SUM(k) - COUNT(*) AS BIGINT) AS duplicate_rows,
+  {ratio('SUM(k) - COUNT(*)', 'SUM(k)', 2, pct=True)} AS duplicate_pct FROM g GROUP BY lang""")
+def duplication_rate_by_lang(spark, d):
+    return quality.duplication_rate(T.table(spark, d, "documents").select("lang", "text"), by=["lang"])
+
+
+@register("empty_periods", q("""
+, kept AS (SELECT CAST(purchase_ts AS DATE) AS d FROM c_orders WHERE dayofweek(purchase_ts) NOT IN (0, 3)),
+ends AS (SELECT MIN(d) AS lo, MAX(d) AS hi FROM kept)
+SELECT CAST(g AS DATE) AS period, 0::BIGINT AS n_rows
+FROM ends, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY) AS t(g)
+WHERE CAST(g AS DATE) NOT IN (SELECT d FROM kept)"""))
+def empty_periods(spark, d):
+    # planted: no orders on Sundays and Wednesdays
+    o = T.orders(spark, d).where(~F.dayofweek("purchase_ts").isin(1, 4))
+    return quality.empty_periods(o, "purchase_ts")
+
+
 @register("run_suite", q("""
 SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
 SELECT 'not_null' AS test, 'order_id' AS target, CAST(SUM(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM c_items
@@ -332,6 +387,15 @@ def distinct_approx(spark, d):
     return quality.distinct_report(T.items(spark, d), DISTINCT_COLS, approx=True)
 
 
+@register("distinct_approx_within", _union([f"SELECT '{c}' AS column_name, TRUE AS within" for c in DISTINCT_COLS]))
+def distinct_approx_within(spark, d):
+    """Is each sketch count within three times its stated deviation of the exact count?"""
+    i = T.items(spark, d)
+    near = quality.distinct_report(i, DISTINCT_COLS, approx=True, rsd=0.02).withColumnRenamed("n_distinct", "_near")
+    return quality.distinct_report(i, DISTINCT_COLS).join(near, "column_name").select(
+        "column_name", (F.abs(F.col("_near") - F.col("n_distinct")) <= 0.06 * F.col("n_distinct")).alias("within"))
+
+
 EXPECTED_ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                    "o_totalprice": "decimal(18,2)", "o_orderdate": "date", "o_comment": "string"}
 

@@ -3,13 +3,14 @@
 Operators compute money, ratios and averages as exact DECIMALs. At the
 query boundary every DECIMAL column is delivered as DOUBLE on both sides
 (Spark cast; ``SELECT * REPLACE (CAST(.. AS DOUBLE))`` around the oracle
-SQL). Both engines round the same exact decimal to the nearest double, so
-the values stay bit-identical while consumers see plain floating point.
+SQL; the column names are listed in ``double_columns``, which
+``tools/double_columns.py`` writes). Both engines round the same exact
+decimal to the nearest double, so the values stay bit-identical while
+consumers see plain floating point.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from lakemart.plans.double_columns import DOUBLE_COLUMNS
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,9 +30,6 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
-_TYPING_DIRS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1")
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def register(name: str, sql: str | None):
@@ -56,29 +56,8 @@ def _wrap_fn(fn: QueryFn) -> QueryFn:
     return run
 
 
-_CON = None
-
-
-def _typing_connection():
-    """DuckDB connection with the table views, used only to read result types."""
-    global _CON
-    if _CON is None:
-        import duckdb
-
-        d = next(x for x in _TYPING_DIRS if os.path.isdir(x))
-        con = duckdb.connect()
-        for t in _TABLES:
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
-        _CON = con
-    return _CON
-
-
-def _wrap_sql(sql: str) -> str:
-    try:
-        cols = [r[0] for r in _typing_connection().execute(f"DESCRIBE SELECT * FROM ({sql}) AS _q").fetchall()
-                if str(r[1]).upper().startswith("DECIMAL")]
-    except Exception:
-        return sql
+def _wrap_sql(name: str, sql: str) -> str:
+    cols = DOUBLE_COLUMNS.get(name)
     if not cols:
         return sql
     repl = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in cols)
@@ -94,6 +73,6 @@ def load_all() -> dict[str, Entry]:
     if _LOADED is None:
         # importing the group modules fills REGISTRY
         from lakemart.plans import conform_q, core, merge_q, quality_q, sales_q, sources_q  # noqa: F401
-        _LOADED = {name: Entry(_wrap_fn(e.fn), _wrap_sql(e.sql) if e.sql else None)
+        _LOADED = {name: Entry(_wrap_fn(e.fn), _wrap_sql(name, e.sql) if e.sql else None)
                    for name, e in REGISTRY.items()}
     return _LOADED

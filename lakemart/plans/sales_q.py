@@ -194,8 +194,7 @@ SELECT (SELECT COUNT(DISTINCT customer_id) FROM c_customers) AS n_customers, n_o
   (SELECT COUNT(*) FROM c_items) AS n_items, pct_delivered,
   (SELECT {avg_exact('revenue', 2, 2)} FROM c_revenue) AS aov, first_order, last_order FROM os"""))
 def kpi_snapshot(spark, d):
-    items = T.items(spark, d)
-    return sales.kpi_snapshot(T.orders(spark, d), items, T.customers(spark, d), sales.order_revenue(items))
+    return sales.kpi_snapshot(T.orders(spark, d), T.customers(spark, d), sales.order_revenue(T.items(spark, d)))
 
 
 @register("recent_orders", q(f"""
@@ -249,6 +248,17 @@ def order_sample(spark, d):
                                             T.products(spark, d)), 10)
 
 
+@register("order_sample_found", q("""
+SELECT LEAST(COUNT(*), 10) AS n_rows, LEAST(COUNT(*), 10) AS n_found
+FROM c_items i JOIN c_orders o ON i.order_id = o.order_id"""))
+def order_sample_found(spark, d):
+    """The sample's size, and how many of its keys the full join holds."""
+    sample = order_sample(spark, d).select("order_id", "line_no").withColumn("_s", F.lit(1))
+    full = T.items(spark, d).join(T.orders(spark, d).select("order_id"), "order_id", "left_semi").select("order_id", "line_no").distinct()
+    return sample.join(full.withColumn("_f", F.lit(1)), ["order_id", "line_no"], "left").agg(
+        F.count("_s").alias("n_rows"), F.count("_f").alias("n_found"))
+
+
 @register("top_customers_by_orders", q("""
 SELECT customer_id, COUNT(order_id) AS total_orders FROM c_orders GROUP BY customer_id
 ORDER BY total_orders DESC, customer_id LIMIT 10"""))

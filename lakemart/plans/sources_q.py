@@ -1,7 +1,10 @@
-"""Source and audit queries: a CSV round trip and a load audit."""
+"""Source and audit queries: CSV reads, layer writes and a load audit."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
 from lakemart.operators import conform
 from lakemart.plans import tables as T
 from lakemart.plans.conform_q import ORDER_SPEC, bronze_orders
@@ -37,3 +40,70 @@ FROM events""")
 def load_audit(spark, d):
     scan = metadata.with_load_metadata(T.table(spark, d, "events"), LOAD_ID, LOAD_TS)
     return metadata.load_audit(scan, "ts", "event_id", ["user_id", "event_type", "ts"])
+
+
+@register("bronze_csv_rescued", """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_totalprice END AS order_total,
+  'ref, ' || o_orderpriority AS note,
+  CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey || ',oops,"ref, ' || o_orderpriority || '"' END AS rescued
+FROM orders""")
+def bronze_csv_rescued(spark, d):
+    """Quoted commas, and a text in the number column of every 50th line: the line is kept and its raw text too."""
+    path = scratch_path(spark, "bronze_dirty_csv")
+    o = T.table(spark, d, "orders")
+    total = F.when(F.col("o_orderkey") % 50 == 0, "oops").otherwise(F.col("o_totalprice").cast("string"))
+    o.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), total,
+                         F.concat(F.lit('"ref, '), "o_orderpriority", F.lit('"')))).write.text(path)
+    schema = StructType([StructField("order_id", LongType()), StructField("order_total", DoubleType()),
+                         StructField("note", StringType())])
+    return files.read_bronze_csv(spark, path, schema=schema, rescued="rescued", header=False)
+
+
+@register("bronze_csv_inferred", """
+SELECT o_orderkey AS order_id, o_totalprice AS order_total, o_orderstatus AS status, 'double' AS total_type,
+  'string' AS status_type FROM orders""")
+def bronze_csv_inferred(spark, d):
+    """A CSV with a header, types inferred from the data."""
+    path = scratch_path(spark, "bronze_inferred_csv")
+    T.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.option("header", True).csv(path)
+    raw = files.read_bronze_csv(spark, path, infer=True, rescued=None)
+    types = dict(raw.dtypes)
+    return raw.select(F.col("o_orderkey").cast("bigint").alias("order_id"), F.col("o_totalprice").alias("order_total"),
+                      F.col("o_orderstatus").alias("status"), F.lit(types["o_totalprice"]).alias("total_type"),
+                      F.lit(types["o_orderstatus"]).alias("status_type"))
+
+
+@register("append_layer", """
+SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(o_custkey AS BIGINT) AS customer_id FROM orders
+UNION ALL SELECT o_orderkey, o_orderstatus, CAST(o_custkey AS BIGINT) FROM orders WHERE o_orderkey % 10 = 0""")
+def append_layer(spark, d):
+    """A layer table, then rows appended by column name, in another order and type."""
+    path = scratch_path(spark, "append_layer")
+    o = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+                                           F.col("o_custkey").cast("bigint").alias("customer_id"))
+    files.write_layer(o, path)
+    more = o.where(F.col("order_id") % 10 == 0).select(F.col("customer_id").cast("string").alias("customer_id"), "status", "order_id")
+    files.append_layer(more, path, o.schema)
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@register("partitioned_layer", """
+SELECT o_orderkey AS order_id, o_orderpriority AS priority, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F'""")
+def partitioned_layer(spark, d):
+    """A table partitioned on write; the filter on the partition column prunes the read."""
+    path = scratch_path(spark, "partitioned_layer")
+    o = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority"),
+                                           F.col("o_orderstatus").alias("status"))
+    files.write_layer(o, path, partition_by=["status"])
+    return spark.read.schema(o.schema).parquet(path).where(F.col("status") == "F")
+
+
+@register("text_as_number", """
+SELECT order_id, amount FROM (SELECT o_orderkey AS order_id,
+  TRY_CAST(CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS DOUBLE) AS amount
+  FROM orders) WHERE amount > 200000""")
+def text_as_number(spark, d):
+    """A text column compared as a number: values that are no numbers are null and drop out."""
+    o = T.table(spark, d, "orders")
+    text = F.when(F.col("o_orderkey") % 13 == 0, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    return o.select(F.col("o_orderkey").alias("order_id"), text.try_cast("double").alias("amount")).where("amount > 200000")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -60,8 +61,9 @@ def get_session(master: str | None = None, app: str = "lakemart",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names it; only when it is unset (local tests) do we create one
-    under the local temp folder.
+    A cluster names it; only where it is unset and the master is local (as in
+    tests) do we create one under the local temp folder. Elsewhere an unset
+    folder is an error: executors cannot read the driver's disk.
     """
     try:
         sc = spark.sparkContext
@@ -72,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="lakemart-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -10,7 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_bronze_csv(spark: SparkSession, path: str, schema: StructType | None = None, infer: bool = False,
-                    rescued: str | None = "_rescued_data", header: bool = True, sep: str = ",") -> DataFrame:
+                    rescued: str | None = "_rescued_data", header: bool = True, sep: str = ",",
+                    quote: str = '"', escape: str = "\\", multi_line: bool = False) -> DataFrame:
     """CSV → bronze DataFrame.
 
     * ``schema`` given: used as is (no inference pass);
@@ -20,8 +21,12 @@ def read_bronze_csv(spark: SparkSession, path: str, schema: StructType | None =
     With ``rescued`` set, rows that do not fit the schema are kept
     (PERMISSIVE) and their raw text lands in that column; the other
     columns of such a row are NULL where they failed to parse.
+
+    A file whose header names other columns, or the same ones in another
+    order, fails the read instead of being bound by position.
     """
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = (spark.read.option("header", header).option("sep", sep).option("quote", quote).option("escape", escape)
+              .option("multiLine", multi_line).option("enforceSchema", not header))
     if schema is None:
         probe = reader.option("inferSchema", infer).csv(path)
         schema = probe.schema if infer else StructType(

@@ -31,7 +31,7 @@ def load_audit(df: DataFrame, ts_col: str, key: str, required: Sequence[str],
         F.max(load_ts).alias("load_date"), F.count(F.lit(1)).alias("record_count"),
         F.min(ts_col).alias("min_timestamp"), F.max(ts_col).alias("max_timestamp"),
         count_when(missing).alias("null_count"),
-        (F.count(F.lit(1)) - F.count_distinct(F.col(key))).alias("duplicate_count"))
+        (F.count(F.col(key)) - F.count_distinct(F.col(key))).alias("duplicate_count"))
     status = (F.when(F.col("null_count") == F.col("record_count"), "FAILED")
               .when((F.col("null_count") > 0) | (F.col("duplicate_count") > 0), "PARTIAL").otherwise("SUCCESS"))
     return audit.withColumn("load_status", status)

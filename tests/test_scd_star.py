@@ -166,12 +166,46 @@ def test_fact_keeps_unmatched_rows(spark):
     assert sorted(r.sale_key for r in rows.values()) == [1, 2]
 
 
-def test_scd1_duplicate_source_keys_take_latest(spark, src):
-    t = merge.scd_init(src, 1, KEYS, "Region", "EffectiveDate")
+@pytest.mark.parametrize("kind", [1, 3])
+def test_duplicate_source_keys_fail(spark, src, kind):
+    t = merge.scd_init(src, kind, KEYS, "Region", "EffectiveDate")
     batch = change(spark, [("C002", "Bob Johnson", "West", date(2023, 3, 1)),
-                           ("C002", "Bob Johnson", "North", date(2023, 5, 1))])
-    r = merge.scd1_merge(t, batch, KEYS, ["Region"], "EffectiveDate").where("CustomerID = 'C002'").collect()
-    assert len(r) == 1 and (r[0].Region, r[0].LastUpdatedDate) == ("North", date(2023, 5, 1))
+                           ("C002", "Bob Johnson", "North", date(2023, 3, 1))])
+    with pytest.raises(Exception, match="several rows for one key"):
+        (merge.scd1_merge(t, batch, KEYS, ["Region"], "EffectiveDate") if kind == 1
+         else merge.scd3_apply(t, batch, KEYS, "Region", "EffectiveDate")).collect()
+
+
+def test_scd2_null_flag_rows_and_rejects(spark, src, monkeypatch):
+    t = _scd2(spark, src).withColumn("IsCurrent", F.when(F.col("CustomerID") != "C003", F.col("IsCurrent")))
+    batch = change(spark, [("C001", "A", "West", date(2023, 4, 1)), ("C001", "A", "North", date(2023, 4, 1)),
+                           ("C001", "A", "North", date(2023, 4, 1)), ("C001", "A", "East", date(2023, 5, 1)),
+                           ("C002", "B", "West", date(2020, 1, 1)), ("C004", "D", "West", None)])
+    results = []
+    for most in (10_000, 0):  # windows per key, and the spread numbering
+        monkeypatch.setattr(merge, "MAX_VERSIONS_PER_TASK", most)
+        out, rejects = merge.scd2_apply(t, batch, KEYS, ["Name", "Region"], "EffectiveDate", sk_col="SK", return_rejects=True)
+        rows = out.collect()
+        assert len(rows) == 12 and [r.IsCurrent for r in rows if r.CustomerID == "C003"] == [None]
+        results.append(sorted(map(str, rows)))
+        assert sorted((r.CustomerID, r.Region, r.reason) for r in rejects.collect()) == [
+            ("C001", "North", "same day"), ("C001", "North", "same day"), ("C002", "West", "out of order"),
+            ("C004", "West", "no date")]
+    assert results[0] == results[1]
+
+
+def test_scd3_overwrites_nothing_that_is_stored_as_null(spark, src):
+    t = merge.scd_init(src, 3, KEYS, "Region", "EffectiveDate").withColumn("Current", F.lit(None).cast("string")) \
+        .withColumn("LastUpdatedDate", F.lit(None).cast("date")).withColumn("Previous", F.lit("kept"))
+    out = merge.scd3_apply(t, change(spark, [("C001", "A", None, date(2023, 4, 1))]), KEYS, "Region", "EffectiveDate")
+    r = out.where("CustomerID = 'C001'").first()
+    assert (r.Name, r.Previous) == (t.where("CustomerID = 'C001'").first().Name, "kept")
+
+
+def test_affected_rows(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "c"), (4, "d")], "k int, v string")
+    assert tuple(merge.affected_rows(old, new, ["k"]).first()) == (1, 1, 1, 1)
 
 
 def test_scd2_same_day_changes_keep_one(spark, src):

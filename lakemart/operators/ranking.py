@@ -48,10 +48,10 @@ def _runs_numberer(keys: list[str], out: str, edge: str):
     """Per task: number rows 1.. within each run of equal ``keys`` (input sorted)
     and flag the task's first (1) and last (2) row in ``edge``.
 
-    Works on Arrow record batches: only the key columns are compared
-    (null-safe; NaN equals NaN as in Spark grouping) and two columns are
-    appended, so wide payload columns pass through without conversion. One
-    batch is held back so the last row of the task is known when flagged.
+    Works on Arrow record batches: all columns travel to the Python worker
+    and back, but only the key columns are compared there (null-safe; NaN
+    equals NaN as in Spark grouping) and two columns are appended. One batch
+    is held back so the last row of the task is known when flagged.
     """
 
     def same_as_previous(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:

@@ -59,12 +59,13 @@ def pair_counts_within(df: DataFrame, group: str | Sequence[str], id_col: str,
 def next_period_keys(df: DataFrame, key: str, period: str, months: int = 1) -> DataFrame:
     """(key, period) with activity in ``period`` and in ``period + months``.
 
-    The shifted self-join runs on the distinct (key, month) set, which has at
-    most one row per calendar month per key, so no key can blow up.
+    The shifted self-join as one aggregate: a key's distinct months (bounded
+    by the calendar) are combined map-side and looked up in their own set.
+    A null key takes no part, as in the join.
     """
-    km = df.select(key, period).distinct()
-    nxt = km.select(F.col(key).alias("_k"), F.add_months(F.col(period), -months).alias("_p"))
-    return km.join(nxt, (km[key] == nxt["_k"]) & (km[period] == nxt["_p"]), "left_semi")
+    own = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_set(period).alias("_p"))
+    both = F.array_intersect("_p", F.transform("_p", lambda m: F.add_months(m, -months)))
+    return own.select(key, F.explode(both).alias(period))
 
 
 def with_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions.columns import MONEY, scalar_lit
+from lakemart.functions.columns import MONEY
 from lakemart.operators import conform, leads, relational, sales, transit
 from lakemart.operators.conform import Field
 from lakemart.plans import tables as T
@@ -17,6 +17,7 @@ NULL_TOKENS = ("", "N/A", "NULL", "UNKNOWN", "TBC", "4-NOT SPECIFIED")
 SEGMENT_MAP = {"automobile": "AUTOMOTIVE", "machinery": "INDUSTRIAL", "building": "CONSTRUCTION"}
 LEAD_REGIONS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")
 LEAD_AS_OF = "1998-08-31"
+TAPS_AS_OF = "2024-01-25 00:00:00"  # inside the data, so that later taps drop out
 HIGH_VALUE = 300000
 RECENT_TAP_DAYS = 7
 
@@ -84,13 +85,16 @@ def fill_defaults(spark, d):
     return relational.fill_defaults(o.join(r, "order_id", "left"), {"revenue": 0, "n_items": 0})
 
 
+def _taps_as_of():
+    return F.lit(TAPS_AS_OF).cast("timestamp_ntz")
+
+
 @register("within_days", q(f"""
 SELECT event_id, station_name, passengers, tap_ts, user_id FROM c_taps
-WHERE tap_ts >= (SELECT MAX(tap_ts) FROM c_taps) - INTERVAL {RECENT_TAP_DAYS} DAY
-  AND tap_ts <= (SELECT MAX(tap_ts) FROM c_taps)"""))
+WHERE tap_ts >= TIMESTAMP '{TAPS_AS_OF}' - INTERVAL {RECENT_TAP_DAYS} DAY AND tap_ts <= TIMESTAMP '{TAPS_AS_OF}'"""))
 def within_days(spark, d):
     t = T.taps(spark, d)
-    return conform.within_last(t, "tap_ts", RECENT_TAP_DAYS, scalar_lit(t.select(F.max("tap_ts"))))
+    return conform.within_last(t, "tap_ts", RECENT_TAP_DAYS, _taps_as_of())
 
 
 @register("count_if_report", q("""
@@ -143,28 +147,27 @@ def conversion_rate(spark, d):
 SELECT source, COUNT(*) AS high_value_deals, CAST(SUM(deal_value) AS DECIMAL(18,2)) AS total_value
 FROM c_leads WHERE deal_value > {HIGH_VALUE} GROUP BY source"""))
 def high_value_deals(spark, d):
-    return leads.high_value_deals(T.leads(spark, d), HIGH_VALUE)
+    return leads.high_value_deals(T.leads(spark, d, value_above=HIGH_VALUE), HIGH_VALUE)
 
 
 @register("top_stations", q(f"""
-, a AS (SELECT MAX(tap_ts) AS as_of FROM c_taps),
-g AS (SELECT station_name, CAST(SUM(passengers) AS DECIMAL(18,2)) AS total_passengers, COUNT(*) AS tap_events,
+, g AS (SELECT station_name, CAST(SUM(passengers) AS DECIMAL(18,2)) AS total_passengers, COUNT(*) AS tap_events,
   {avg_exact("passengers", 2, 2)} AS avg_passengers_per_event
-  FROM c_taps, a WHERE station_name IS NOT NULL AND passengers BETWEEN 1 AND 300
-    AND tap_ts >= as_of - INTERVAL 60 DAY AND tap_ts <= as_of
+  FROM c_taps WHERE station_name IS NOT NULL AND passengers BETWEEN 1 AND 300
+    AND tap_ts >= TIMESTAMP '{TAPS_AS_OF}' - INTERVAL 15 DAY AND tap_ts <= TIMESTAMP '{TAPS_AS_OF}'
   GROUP BY station_name HAVING COUNT(*) > 10)
 SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY total_passengers DESC, station_name) AS BIGINT) AS rank
 FROM g ORDER BY total_passengers DESC, station_name LIMIT 5"""))
 def top_stations(spark, d):
     t = T.taps(spark, d)
-    return transit.top_stations(t, 60, 10, scalar_lit(t.select(F.max("tap_ts"))), 5)
+    return transit.top_stations(t, 15, 10, _taps_as_of(), 5)
 
 
-@register("stage_events", q("""
+@register("stage_events", q(f"""
 SELECT event_id, UPPER(TRIM(station_name)) AS station_name, passengers, tap_ts, user_id FROM c_taps
-WHERE tap_ts <= (SELECT MAX(tap_ts) FROM c_taps) AND passengers BETWEEN 1 AND 300
+WHERE tap_ts <= TIMESTAMP '{TAPS_AS_OF}' AND passengers BETWEEN 1 AND 300
 QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY tap_ts DESC, event_id DESC) = 1"""))
 def stage_events(spark, d):
     t = T.taps(spark, d)
     return conform.stage_events(t, {"passengers": (1, 300)}, ["user_id"], ["tap_ts", "event_id"],
-                                "tap_ts", scalar_lit(t.select(F.max("tap_ts"))), ["station_name"])
+                                "tap_ts", _taps_as_of(), ["station_name"])

@@ -14,7 +14,7 @@ from lakemart.plans.sqlfrag import avg_exact, half_up, month, q, ratio
 # fixed check parameters
 AS_OF = "2001-06-30 00:00:00"
 TOO_OLD = "1995-06-01 00:00:00"
-TAPS_AS_OF = "2024-02-01 00:00:00"
+TAPS_AS_OF = "2024-01-25 00:00:00"  # inside the data, so that there are future rows
 LANGS = ("en", "de", "fr")
 PROFILE_COLS = ("order_id", "customer_id", "status", "purchase_ts", "order_total", "priority")
 NULL_COLS = ("order_id", "status", "revenue", "n_items")

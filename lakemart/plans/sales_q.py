@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions.columns import scalar_lit
 from lakemart.operators import sales
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
@@ -12,6 +11,7 @@ from lakemart.plans.sqlfrag import avg_exact, month, q, ratio
 
 # fixed report parameters
 STATE = "NATION_7"
+ORDERS_AS_OF = "2001-06-30 00:00:00"  # inside the data, so that later orders drop out
 RECENT_DAYS, RECENT_K = 60, 10
 PRICE_EDGES = (930, 970)
 
@@ -198,7 +198,7 @@ def kpi_snapshot(spark, d):
 
 
 @register("recent_orders", q(f"""
-, a AS (SELECT MAX(purchase_ts) AS as_of FROM c_orders)
+, a AS (SELECT TIMESTAMP '{ORDERS_AS_OF}' AS as_of)
 SELECT order_id, customer_id, status, purchase_ts,
   CAST(datediff('day', purchase_ts, as_of) AS BIGINT) AS age_days
 FROM c_orders, a
@@ -206,8 +206,7 @@ WHERE purchase_ts >= as_of - INTERVAL {RECENT_DAYS} DAY AND purchase_ts <= as_of
 ORDER BY purchase_ts DESC, order_id LIMIT {RECENT_K}"""))
 def recent_orders(spark, d):
     o = T.orders(spark, d)
-    as_of = scalar_lit(o.select(F.max("purchase_ts")))
-    return sales.recent_orders(o, RECENT_DAYS, as_of, RECENT_K)
+    return sales.recent_orders(o, RECENT_DAYS, F.lit(ORDERS_AS_OF).cast("timestamp_ntz"), RECENT_K)
 
 
 @register("status_counts", q("SELECT status, COUNT(*) AS n_orders FROM c_orders GROUP BY status"))
@@ -295,7 +294,7 @@ FILTER_CATEGORY, FILTER_MIN_PRICE = "ECONOMY", 950
 SELECT product_id, product_name, category, price FROM c_products
 WHERE category = '{FILTER_CATEGORY}' AND price > {FILTER_MIN_PRICE}"""))
 def filtered_products(spark, d):
-    p = T.products(spark, d).select("product_id", "product_name", "category", "price")
+    p = T.products(spark, d, price_above=FILTER_MIN_PRICE).select("product_id", "product_name", "category", "price")
     return p.where((F.col("category") == FILTER_CATEGORY) & (F.col("price") > FILTER_MIN_PRICE))
 
 

@@ -64,8 +64,13 @@ def customers(spark, d) -> DataFrame:
         F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast(MONEY).alias("balance"))
 
 
-def products(spark, d) -> DataFrame:
-    return table(spark, d, "part").select(
+def products(spark, d, price_above: float | None = None) -> DataFrame:
+    """``price_above``: rows certainly not above it are left out by a filter on the raw
+    column, which reaches the scan; the caller tests the exact price."""
+    p = table(spark, d, "part")
+    if price_above is not None:
+        p = p.where(F.col("p_retailprice") > price_above - 0.01)
+    return p.select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_size").alias("size"), F.col("p_retailprice").cast(MONEY).alias("price"))
@@ -85,8 +90,11 @@ def taps(spark, d) -> DataFrame:
         F.col("user_id"))
 
 
-def leads(spark, d) -> DataFrame:
+def leads(spark, d, value_above: float | None = None) -> DataFrame:
+    """``value_above``: as ``price_above`` of ``products``."""
     o = table(spark, d, "orders")
+    if value_above is not None:
+        o = o.where(F.col("o_totalprice") > value_above - 0.01)
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     status = (F.when(F.col("o_orderstatus") == "F", "converted")
               .when(F.col("o_orderstatus") == "O", "open").otherwise("pending"))

@@ -8,6 +8,7 @@ once; referential checks are anti-joins; schema checks read metadata only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -241,32 +242,41 @@ def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFra
 
 
 # Q15, Q16
-def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> Column:
+def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], accuracy: int = 10000) -> Column:
     """Exact interpolated quantiles (as ``percentile`` / ``quantile_cont``) as
-    one scalar struct ``q0, q1, ..``, computed without a single-task buffer.
+    one scalar struct ``q0, q1, ..``, without sorting the whole column.
 
-    The non-null values are numbered 1..n in sorted order by the range-
-    partitioned row number; quantile p sits at position ``p·(n−1)``, so only
-    the two rows around each position are read back and interpolated.
+    A sketch brackets each quantile: its rank error is at most 1/accuracy, so
+    a bracket of twice that (and two rows) holds both rows around the
+    quantile. One pass counts the values below the brackets; only the values
+    inside are numbered (range-partitioned, see ``row_number_within``).
     """
-    # equal values are spread over range partitions by the numbering's own
-    # internal tie-break; their order among themselves changes no quantile
     v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    numbered = row_number_within(v, [], [("_v", "asc")], out="_rn")
-    # n read once from the (checkpointed) numbered rows and bound to a column
-    numbered = numbered.withColumn("_n", numbered.select(F.count(F.lit(1))).scalar())
-    n = F.col("_n")
-    wanted, parts = [], []
+    names = [f"q{i}" for i in range(len(ps))]
+    n = v.count()
+    if not n:
+        return F.lit(None).cast("struct<" + ", ".join(f"{x}: double" for x in names) + ">")
+    slack = 2 / accuracy + 2 / n
+    ends = [(p - slack, p + slack) for p in ps]
+    probs = [min(1.0, max(0.0, e)) for lo_hi in ends for e in lo_hi]
+    at = v.agg(F.percentile_approx("_v", probs, accuracy).alias("a")).first()["a"]
+    inside, above = F.lit(False), []
+    for i, (lo, hi) in enumerate(ends):
+        from_lo = F.col("_v") >= at[2 * i] if lo > 0 else F.lit(True)
+        inside = inside | (from_lo & ((F.col("_v") <= at[2 * i + 1]) if hi < 1 else F.lit(True)))
+        above.append(from_lo)
+    rest = v.where(~inside).agg(*[F.count(F.when(~a, 1)).alias(x) for a, x in zip(above, names)])
+    numbered = row_number_within(v.where(inside), [], [("_v", "asc")], out="_rn").withColumn(
+        "_below", rest.select(F.struct(*names)).scalar())
+    parts = []
     for i, p in enumerate(ps):
-        pos = (n - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-        wanted += [lo, hi]
-        lo_v = F.max(F.when(F.col("_rn") == lo, F.col("_v")))
-        hi_v = F.max(F.when(F.col("_rn") == hi, F.col("_v")))
-        frac = F.max(pos - F.floor(pos))
-        parts.append((lo_v + (hi_v - lo_v) * frac).alias(f"q{i}"))
-    picked = numbered.where(F.col("_rn").isin(*wanted))
-    return picked.agg(F.struct(*parts).alias("q")).scalar()
+        # the row's rank among all values: values outside the brackets and below this one come before it
+        rank = F.when(above[i], F.col("_rn") + F.col(f"_below.{names[i]}"))
+        pos = (n - 1) * float(p)
+        low = F.max(F.when(rank == math.floor(pos) + 1, F.col("_v")))
+        high = F.max(F.when(rank == math.ceil(pos) + 1, F.col("_v")))
+        parts.append((low + (high - low) * F.lit(pos - math.floor(pos))).alias(names[i]))
+    return numbered.agg(F.struct(*parts).alias("q")).scalar()
 
 
 def distribution(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:

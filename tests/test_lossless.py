@@ -100,3 +100,12 @@ def test_typed_columns_are_current():
     from lakemart.plans.double_columns import DOUBLE_COLUMNS
     from tools.double_columns import found
     assert found("/root/testdata/sf0.001") == DOUBLE_COLUMNS
+
+
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0, 2.0, 9.0], [5.0] * 7 + [1.0], [float(i * i % 17) for i in range(41)]])
+def test_bracketed_quantiles_are_exact(spark, values):
+    import numpy as np
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    ps = (0.0, 0.25, 0.5, 0.95, 1.0)
+    got = spark.range(1).select(quality.exact_quantiles(df, "v", ps).alias("q")).first().q
+    assert np.allclose(list(got), np.quantile(values, ps))

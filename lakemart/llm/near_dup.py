@@ -5,8 +5,10 @@ the set give (a) band keys, whose equality makes two texts candidates, and
 (b) an odd sketch: a bitmap whose bit ``hash(i, minhash_i) mod n`` is flipped
 once for each sample i. Two sketches differ in about
 ``n/2 * (1 - exp(-4k(1-J)/n))`` bits, so the population count of their XOR
-estimates a high similarity J precisely. Candidates whose estimate is far
-below the threshold go; the others are confirmed on the full sets.
+estimates a high similarity J precisely. A second bitmap folds the whole set
+in the same way; for sets that are not large against it, it gives the size of
+the symmetric difference almost exactly. Candidates whose estimates lie
+clearly below the threshold go; the others are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm import text as T
@@ -35,10 +37,12 @@ class NearDup:
     ``threshold`` (a whole percentage) or more are linked. With 32 bands of 5
     a pair at 85 % is missed with probability 5e-9, at 80 % with 3e-6.
     ``slack`` is how far an odd-sketch estimate may lie below the threshold
-    (its standard deviation is about 0.03 with 160 samples).
-    ``pivot_rounds``: passes that compare each bucket with one pivot before
-    the remaining pairs across components are compared one by one.
-    A pair can only be that similar if the set sizes are, which is tested too.
+    (its standard deviation is about 0.03 with 160 samples); the parity
+    bitmap of the whole set has ``parity_bits`` and five standard deviations
+    of slack. Set sizes are tested too.
+    ``chain_rounds``: passes that compare neighbours in a random order of
+    each bucket, before the remaining pairs across components are compared
+    one by one. Buckets are ordered in parts of about ``chain`` members.
     """
 
     shingle: int = 5
@@ -46,8 +50,10 @@ class NearDup:
     bands: int = 32
     rows: int = 5
     bits: int = 512
+    parity_bits: int = 1024
     slack: float = 0.12
-    pivot_rounds: int = 3
+    chain_rounds: int = 4
+    chain: int = 2000
 
 
 def shingle_sets(arr: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -79,11 +85,16 @@ def _minhashes(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
     return out
 
 
-SIGNATURE = "struct<n:bigint,c1:bigint,c2:bigint,bands:array<bigint>,sketch:array<bigint>>"
+SIGNATURE = "struct<n:bigint,c1:bigint,c2:bigint,bands:array<bigint>,sketch:array<bigint>,parity:array<bigint>>"
+
+
+def _bitmap(bit: np.ndarray, bits: int) -> np.ndarray:
+    """Bit i is set if i occurs an odd number of times."""
+    return np.packbits((np.bincount(bit.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
 
 
 def signature(p: NearDup):
-    """Arrow UDF: set size, 128-bit set digest, band keys and odd sketch of a text."""
+    """Arrow UDF: set size, 128-bit set digest, band keys, odd sketch and parity bitmap of a text."""
     k = p.bands * p.rows
     seeds = T.mix(np.arange(1, 2 * k + 1, dtype=np.uint64))
     mul, add = seeds[:k] | _U(1), seeds[k:]
@@ -98,6 +109,7 @@ def signature(p: NearDup):
             digest = np.zeros((2, m), np.uint64)
             bands = np.zeros((m, p.bands), np.uint64)
             sketch = np.zeros((m, p.bits // 64), np.uint64)
+            parity = np.zeros((m, p.parity_bits // 64), np.uint64)
             for i, s in enumerate(shingle_sets(arr, p.shingle)):
                 size[i] = len(s)
                 if not len(s):
@@ -109,14 +121,13 @@ def signature(p: NearDup):
                 for r in range(p.rows):
                     key = T.mix(key + mh[r::p.rows])
                 bands[i] = key
-                bit = T.mix(mh ^ sample_no) % _U(p.bits)
-                odd = np.bincount(bit.astype(np.int64), minlength=p.bits) & 1
-                sketch[i] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+                sketch[i] = _bitmap(T.mix(mh ^ sample_no) % _U(p.bits), p.bits)
+                parity[i] = _bitmap(T.mix(s + _U(1)) % _U(p.parity_bits), p.parity_bits)
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)),
-                                              pa.array(x.reshape(-1).view(np.int64))) for x in (bands, sketch)]
+                                              pa.array(x.reshape(-1).view(np.int64))) for x in (bands, sketch, parity)]
             yield pa.StructArray.from_arrays(
                 [pa.array(size), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), *lists],
-                names=["n", "c1", "c2", "bands", "sketch"])
+                names=["n", "c1", "c2", "bands", "sketch", "parity"])
 
     return sig
 
@@ -136,9 +147,14 @@ def similar(p: NearDup):
     return check
 
 
+def _odd_bits(a: Column, b: Column, bits: int) -> Column:
+    """Population count of two bitmaps' XOR."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)), F.lit(0))
+
+
 def sketch_similarity(a: Column, b: Column, p: NearDup) -> Column:
     """Jaccard estimate from the population count of two odd sketches' XOR."""
-    odd = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(p.bits // 64)), F.lit(0))
+    odd = _odd_bits(a, b, p.bits)
     left = F.greatest(1 - 2 * odd / F.lit(float(p.bits)), F.lit(1e-9))
     return 1 + F.log(left) * (p.bits / (4.0 * p.bands * p.rows))
 
@@ -150,10 +166,15 @@ def _max_odd_bits(p: NearDup) -> int:
 
 
 def _close(a: str, b: str, p: NearDup) -> Column:
-    """Could columns ``a`` and ``b`` (n, sketch) reach the threshold, by set size and odd sketch?"""
-    na, nb, sa, sb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
-    odd = sum((F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(p.bits // 64)), F.lit(0))
-    return (100 * F.least(na, nb) >= p.threshold_pct * F.greatest(na, nb)) & (odd <= _max_odd_bits(p))
+    """Could columns ``a`` and ``b`` (n, sketch, parity) reach the threshold, by set sizes and both bitmaps?"""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    bits = float(p.parity_bits)
+    # the largest symmetric difference at the threshold, and the odd bits that so many elements leave
+    most = (na + nb) * ((100 - p.threshold_pct) / (100 + p.threshold_pct))
+    mean, var = (1 - F.exp(most * (-2 / bits))) * (bits / 2), (1 - F.exp(most * (-4 / bits))) * (bits / 4)
+    return ((100 * F.least(na, nb) >= p.threshold_pct * F.greatest(na, nb))
+            & (_odd_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), p.bits) <= _max_odd_bits(p))
+            & (_odd_bits(F.col(f"{a}.parity"), F.col(f"{b}.parity"), p.parity_bits) <= mean + 5 * F.sqrt(var) + 1))
 
 
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_id",
@@ -168,22 +189,22 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
     and ids are compared. Other columns, whatever their names, are ignored.
 
     Plan: one Arrow pass makes signatures. Equal sets collapse to their
-    smallest id first, so a group of copies costs one row. Buckets link their
-    members to one pivot, not to each other; members already in one component
-    are never compared again, so a bucket of many near copies needs about one
-    comparison a member. What is left is compared pair by pair across
-    components, with the sketch test inside the join; no pair is skipped.
+    smallest id first, so a group of copies costs one row. A pass orders each
+    bucket at random (in parts) and compares neighbours that are in different
+    components, so it costs one comparison a member and leaves few components
+    among many near copies. What is left is compared pair by pair across
+    components, with the sketch tests inside the join; no pair is skipped.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sig = written(src.select("id", signature(p)("text").alias("s")).select("id", "s.*"), "signatures")
     sets = sig.where("id is not null and n > 0")
-    reps = written(sets.groupBy("c1", "c2").agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("m")).select("m.*"),
+    reps = written(sets.groupBy("c1", "c2").agg(F.min(F.struct("id", "n", "bands", "sketch", "parity")).alias("m")).select("m.*"),
                    "representatives")
     member = reps.select("id", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = written(member.join(shared.select("key"), "key").select("key", "id"), "buckets")
+    buckets = written(member.join(shared, "key").select("key", "id", F.ceil(F.col("n") / p.chain).alias("parts")), "buckets")
     active = buckets.select("id").distinct()
-    sketches = written(reps.join(active, "id", "left_semi").select("id", F.struct("n", "sketch", "bands").alias("s")),
+    sketches = written(reps.join(active, "id", "left_semi").select("id", F.struct("n", "sketch", "parity", "bands").alias("s")),
                        "sketches")
     texts = written(src.join(active, "id", "left_semi"), "texts")
 
@@ -191,13 +212,10 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
     failed = None
     step = 0
     while True:
-        last = step >= p.pivot_rounds
-        rows = buckets.join(comp, "id")
-        mixed = rows.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min(F.struct((F.xxhash64("id", F.lit(step)) if step else F.col("id")).alias("turn"), "id", "comp")).alias("pivot")
-        ).where("lo <> hi")
+        last = step >= p.chain_rounds
         if last:
+            rows = buckets.join(comp, "id")
+            mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
             rows = written(rows.join(mixed.select("key"), "key").join(sketches, "id"), "mixed")
             other = rows.select("key", F.col("id").alias("id2"), F.col("comp").alias("comp2"), F.col("s").alias("s2"))
             # a pair that shares several buckets counts in the first of them
@@ -207,18 +225,20 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
                     .select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("comp").alias("ca"),
                             F.col("comp2").alias("cb")).distinct())
         else:
-            pairs = (rows.join(mixed, "key").where("comp <> pivot.comp")
-                     .groupBy(F.col("pivot.id").alias("a"), F.col("id").alias("b"), F.col("pivot.comp").alias("ca"),
-                              F.col("comp").alias("cb")).agg(F.count("*").alias("shared")))
-            # the pivot met in most buckets is the likeliest to be similar
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("first"), "a", "ca", "cb")).alias("x")
-                                           ).select("x.a", "b", "x.ca", "x.cb")
+            # every pass takes its share of the bands
+            some = buckets.where(F.pmod(F.xxhash64("key"), F.lit(p.chain_rounds)) == step).join(comp, "id")
+            line = Window.partitionBy("key", F.pmod(F.xxhash64("id", F.lit(step)), F.col("parts"))).orderBy(
+                F.xxhash64("id", "key"), "id")
+            pairs = some.select(F.lag("id").over(line).alias("x"), F.lag("comp").over(line).alias("cx"),
+                                F.col("id").alias("y"), F.col("comp").alias("cy")).where("cx <> cy")
+            pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
+                                 F.when(F.col("x") < F.col("y"), F.col("cx")).otherwise(F.col("cy")).alias("ca"),
+                                 F.when(F.col("x") < F.col("y"), F.col("cy")).otherwise(F.col("cx")).alias("cb")).distinct()
             cand = (pairs.join(sketches.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
                     .join(sketches.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
                     .where(_close("sa", "sb", p)).select("a", "b", "ca", "cb"))
         if failed is not None:
-            seen = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-            cand = cand.join(seen, ["a", "b"], "left_anti")
+            cand = cand.join(failed, ["a", "b"], "left_anti")
         cand = written(cand, "candidates")
         linked = False
         if cand.limit(1).count():
@@ -234,7 +254,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
                            .select("id", F.coalesce("component", "comp").alias("comp")), "components")
         if last:
             break
-        step = step + 1 if linked else p.pivot_rounds  # pivots that link nothing leave the rest to the last pass
+        step += 1
 
     ids = sets.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     roots = ids.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
@@ -254,13 +274,11 @@ def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str =
     null id stay. Rows that repeat an id fall together to one row.
     """
     found = written(near_duplicates(docs, p, id_col, text_col), "near_duplicates")
-    gone, flag = free_name(docs, "gone_id"), free_name(docs, "gone")
+    gone = free_name(docs, "gone_id")
     drop = found.where("not kept").select(F.col(id_col).alias(gone)).distinct()
     out = docs.join(drop, docs[id_col] == F.col(gone), "left_anti")
     total = found.where(F.col(id_col).isNotNull()).agg(
         F.count("*").alias("rows"), F.count_distinct(id_col).alias("ids")).first()
-    if total and total["rows"] != total["ids"]:
-        same = free_name(out, "row_key")
-        out = out.withColumn(same, F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null "), F.uuid()))) \
-            .dropDuplicates([same]).drop(same)
+    if total["rows"] != total["ids"]:
+        out = out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
     return out

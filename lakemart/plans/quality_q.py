@@ -104,15 +104,20 @@ _REFS = [("orders->customer", "orders", "o_custkey", "customer", "c_custkey"),
          ("labels->documents", "labels", "doc_id", "documents", "doc_id")]
 
 
+def _faulty_key(k: str) -> str:
+    """Planted: some keys point nowhere, some are NULL (the tables themselves have no orphans)."""
+    return f"CASE WHEN {k} % 101 = 0 THEN {k} + 5000000000 WHEN {k} % 103 = 0 THEN NULL ELSE {k} END"
+
+
 @register("referential_check", _union([f"""SELECT '{name}' AS relation, COUNT(*) AS n_rows,
-  CAST(SUM(CASE WHEN c.{ck} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null_keys,
-  (SELECT COUNT(*) FROM {child} x WHERE x.{ck} IS NOT NULL
-     AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{ck})) AS n_orphans
-  FROM {child} c""" for name, child, ck, parent, pk in _REFS]))
+  CAST(SUM(CASE WHEN c.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null_keys,
+  CAST(SUM(CASE WHEN c.k IS NOT NULL AND p.{pk} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_orphans
+  FROM (SELECT {_faulty_key(ck)} AS k FROM {child}) c LEFT JOIN {parent} p ON p.{pk} = c.k""" for name, child, ck, parent, pk in _REFS]))
 def referential_check(spark, d):
     out = None
     for name, child, ck, parent, pk in _REFS:
-        r = quality.referential_check(T.table(spark, d, child), T.table(spark, d, parent), ck, pk, name)
+        rows = T.table(spark, d, child).select(F.expr(_faulty_key(ck)).alias("k"))
+        r = quality.referential_check(rows, T.table(spark, d, parent), "k", pk, name)
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -369,9 +374,14 @@ def run_suite(spark, d):
 
 @register("pattern_check", q(_union([f"""SELECT '{c}' AS column_name, COUNT({c}) AS n_checked,
   CAST(SUM(CASE WHEN {c} IS NOT NULL AND NOT regexp_matches({c}, '{p}') THEN 1 ELSE 0 END) AS BIGINT) AS n_invalid
-  FROM c_customers""" for c, p in PATTERNS.items()])))
+  FROM (SELECT CASE WHEN customer_id % 50 = 0 THEN '?' || {c} WHEN customer_id % 51 = 0 THEN NULL ELSE {c} END AS {c}
+        FROM c_customers)""" for c, p in PATTERNS.items()])))
 def pattern_check(spark, d):
-    return quality.pattern_check(T.customers(spark, d), PATTERNS)
+    # planted: some values begin with a question mark, some are NULL
+    bad = T.customers(spark, d).select(*[
+        F.when(F.col("customer_id") % 50 == 0, F.concat(F.lit("?"), F.col(c)))
+        .when(F.col("customer_id") % 51 != 0, F.col(c)).alias(c) for c in PATTERNS])
+    return quality.pattern_check(bad, PATTERNS)
 
 
 @register("castability", _union([f"""SELECT '{c}' AS column_name, '{t}' AS target_type,
@@ -477,9 +487,11 @@ def conversation_roles(spark, d):
 @register("page_url_patterns", f"""
 SELECT 'url' AS column_name, COUNT(url) AS n_checked,
   CAST(SUM(CASE WHEN url IS NOT NULL AND NOT regexp_matches(url, '{URL_PATTERN}') THEN 1 ELSE 0 END) AS BIGINT)
-  AS n_invalid FROM pages""")
+  AS n_invalid FROM (SELECT CASE WHEN page_id % 10 = 0 THEN substr(url, 6) ELSE url END AS url FROM pages)""")
 def page_url_patterns(spark, d):
-    return quality.pattern_check(T.table(spark, d, "pages"), {"url": URL_PATTERN})
+    # planted: every tenth URL lost its first five characters
+    url = F.when(F.col("page_id") % 10 == 0, F.expr("substr(url, 6)")).otherwise(F.col("url"))
+    return quality.pattern_check(T.table(spark, d, "pages").select(url.alias("url")), {"url": URL_PATTERN})
 
 
 _CORPUS = (("conversation_text", "conversations", "text"), ("benchmark_text", "benchmark", "text"),
@@ -498,11 +510,17 @@ def corpus_text_lengths(spark, d):
 
 
 @register("embedding_checks", _union([f"""SELECT '{n}' AS rule, COUNT(*) AS n_rows,
-  CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS n_matching FROM embeddings""" for n, p in (
+  CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS n_matching FROM (
+  SELECT CASE WHEN vec_id % 20 = 0 THEN NULL WHEN vec_id % 21 = 0 THEN embedding[:{EMBED_DIM - 1}] ELSE embedding END AS embedding,
+    CASE WHEN vec_id % 22 <> 0 THEN label END AS label FROM embeddings)""" for n, p in (
     ("wrong_dimension", f"len(embedding) <> {EMBED_DIM}"), ("null_vector", "embedding IS NULL"),
     ("unlabelled", "label IS NULL"))]))
 def embedding_checks(spark, d):
-    e = T.table(spark, d, "embeddings")
+    # planted: vectors that are missing or too short, and missing labels
+    e = T.table(spark, d, "embeddings").select(
+        F.when(F.col("vec_id") % 21 == 0, F.slice("embedding", 1, EMBED_DIM - 1)).otherwise(F.col("embedding")).alias("v"),
+        "vec_id", F.when(F.col("vec_id") % 22 != 0, F.col("label")).alias("label"))
+    e = e.select(F.when(F.col("vec_id") % 20 != 0, F.col("v")).alias("embedding"), "label")
     return quality.rule_counts(e, {"wrong_dimension": F.size("embedding") != EMBED_DIM,
                                    "null_vector": F.col("embedding").isNull(),
                                    "unlabelled": F.col("label").isNull()})

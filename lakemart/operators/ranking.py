@@ -212,9 +212,29 @@ def global_rank(df: DataFrame, order: Sequence, tie_break: Sequence[str] = (),
             .select(*df.columns, out))
 
 
-def sequence_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "seq") -> DataFrame:
-    """Running sequence number per key (``ROW_NUMBER() OVER (PARTITION BY ..)``)."""
-    return row_number_within(df, by, order, out)
+# a key with at most this many rows is sorted in one task, which may spill; others are spread
+MAX_ROWS_PER_KEY = 1_000_000
+
+
+def sequence_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "seq",
+                    max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Running sequence number per key (``ROW_NUMBER() OVER (PARTITION BY ..)``).
+
+    Keys are counted first (combined map-side). Where no key has more than
+    ``max_rows`` rows this is a plain window: one shuffle, all in the JVM.
+    Larger keys alone are numbered by ``row_number_within``.
+    """
+    by = list(by)
+    large = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(
+        *[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)])
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(*_sort_spec(order)[0])).cast("bigint")
+    if not large.limit(1).count():
+        return df.withColumn(out, number)
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & df[b].eqNullSafe(F.col(f"_k{i}"))
+    return df.join(large, same, "left_anti").withColumn(out, number).unionByName(
+        row_number_within(df.join(large, same, "left_semi"), by, order, out))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -84,3 +84,13 @@ def test_nan_and_null_float_keys(spark):
     ours = ranking.row_number_within(df, ["g"], [("v", "asc"), ("id", "asc")], out="rn", num_partitions=4)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("bigint"))
     assert sorted(map(tuple, ours.select("id", "rn").collect())) == sorted(map(tuple, ref.select("id", "rn").collect()))
+
+
+def test_sequence_spreads_large_keys_only(spark):
+    df = _frame(spark).withColumn("g", F.when(F.col("g") != "g7", F.col("g")))
+    order = [("v", "desc"), ("id", "asc")]
+    ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), F.asc("id"))).cast("bigint"))
+    want = sorted(map(tuple, ref.select("id", "seq").collect()))
+    for most in (10_000, 500, 20):  # no large key, the hot key, and nearly all with the null key
+        got = ranking.sequence_within(df, ["g"], order, max_rows=most)
+        assert sorted(map(tuple, got.select("id", "seq").collect())) == want

@@ -171,10 +171,14 @@ def _close(a: str, b: str, p: NearDup) -> Column:
     bits = float(p.parity_bits)
     # the largest symmetric difference at the threshold, and the odd bits that so many elements leave
     most = (na + nb) * ((100 - p.threshold_pct) / (100 + p.threshold_pct))
-    mean, var = (1 - F.exp(most * (-2 / bits))) * (bits / 2), (1 - F.exp(most * (-4 / bits))) * (bits / 4)
+    mean = (1 - F.exp(most * (-2 / bits))) * (bits / 2)
+    var = (1 - F.exp(most * (-4 / bits))) * (bits / 4) - most * F.exp(most * (-4 / bits))
+    # few pairs reach this test; as a lambda it keeps the join's generated code small enough to be compiled
+    apart = F.aggregate(F.zip_with(f"{a}.parity", f"{b}.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda acc, x: acc + x)
     return ((100 * F.least(na, nb) >= p.threshold_pct * F.greatest(na, nb))
             & (_odd_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), p.bits) <= _max_odd_bits(p))
-            & (_odd_bits(F.col(f"{a}.parity"), F.col(f"{b}.parity"), p.parity_bits) <= mean + 5 * F.sqrt(var) + 1))
+            & (apart <= mean + 5 * F.sqrt(var) + 1))
 
 
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_id",

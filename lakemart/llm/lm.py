@@ -34,8 +34,9 @@ class Lm:
     most frequent words alone, ``middle`` classes of about equal mass, and
     ``tail`` classes by hash for words outside the vocabulary.
     ``side`` words on each side are read. Training runs ``rounds`` times
-    over the fixed ``share`` of all documents (so it grows with the corpus):
-    each task trains on its own rows, then the parameters are averaged.
+    over all documents: each task trains on its own rows, then the parameters
+    are averaged. A ``share`` below 1 trains on that part of the rows, drawn
+    row by row, copies of a text one by one.
     """
 
     vocabulary: int = 8192
@@ -46,7 +47,7 @@ class Lm:
     side: int = 3
     embed: int = 16
     hidden: int = 24
-    share: float = 0.02
+    share: float = 1.0
     rounds: int = 2
     batch: int = 1024
     rate: float = 0.08
@@ -158,25 +159,44 @@ def train(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], flat: np.nd
     emb, side, bias, out, obias = _split(flat, p)
     acc = np.full_like(flat, 1e-3)
     a_emb, a_side, a_bias, a_out, a_obias = _split(acc, p)
+    flat_side = side.reshape(-1, p.hidden)
+    around = [*range(p.side), *range(p.side + 1, 2 * p.side + 1)]
     seen = 0
     for ids, cls, offsets in rows:
-        ctx = np.stack(list(contexts(ids, offsets, p)), axis=1)
+        # with outside ids between documents, a neighbour is a shift and each word's vector is read once
+        gap = np.arange(1, len(offsets)) * p.side
+        at = np.arange(len(ids)) + np.repeat(gap, np.diff(offsets))
+        padded = np.full(len(ids) + len(offsets) * p.side, p.vocabulary + p.tail_inputs, dtype=np.int32)
+        padded[at] = ids
         for i in range(0, len(ids), p.batch):
-            c, y = ctx[i:i + p.batch], cls[i:i + p.batch]
-            m = len(y)
-            x = emb[c]
-            h = np.tanh(x.reshape(m, -1) @ side.reshape(-1, p.hidden) + bias)
+            y, own = cls[i:i + p.batch], at[i:i + p.batch]
+            first, m = own[0], len(y)
+            here = padded[first - p.side:own[-1] + p.side + 1]
+            span = len(here) - 2 * p.side
+            own = own - first
+            vectors = emb[here]
+            x = np.concatenate([vectors[k:k + span] for k in around], axis=1)
+            if span > m:
+                x = x[own]
+            h = np.tanh(x @ flat_side + bias)
             z = h @ out + obias
-            z = np.exp(z - z.max(axis=1, keepdims=True))
+            z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
             z /= z.sum(axis=1, keepdims=True)
             z[np.arange(m), y] -= 1
             z /= m
             g_h = (z @ out.T) * (1 - h * h)
-            g_x = (g_h @ side.reshape(-1, p.hidden).T).reshape(-1, p.embed)
-            touched, back = np.unique(c, return_inverse=True)
-            g_emb = np.zeros((len(touched), p.embed), dtype=np.float32)
-            np.add.at(g_emb, back.ravel(), g_x)
-            for w, a, g in ((side, a_side, (x.reshape(m, -1).T @ g_h).reshape(side.shape)), (bias, a_bias, g_h.sum(0)),
+            g_x = g_h @ flat_side.T
+            if span > m:
+                g_x, part = np.zeros((span, g_x.shape[1]), dtype=np.float32), g_x
+                g_x[own] = part
+            g_at = np.zeros_like(vectors)
+            for j, k in enumerate(around):
+                g_at[k:k + span] += g_x[:, j * p.embed:(j + 1) * p.embed]
+            order = np.argsort(here, kind="stable")
+            begin = np.flatnonzero(np.diff(here[order], prepend=-1))
+            touched, g_emb = here[order[begin]], np.add.reduceat(g_at[order], begin, axis=0)
+            for w, a, g in ((side, a_side, (x.T @ g_h).reshape(side.shape)), (bias, a_bias, g_h.sum(0)),
                             (out, a_out, h.T @ z), (obias, a_obias, z.sum(0))):
                 a += g * g
                 w -= p.rate * g / np.sqrt(a)
@@ -187,14 +207,17 @@ def train(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], flat: np.nd
 
 
 def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
-    """Train on ``docs``: the counts of all words, then rounds of parallel training and averaging."""
+    """Train on ``docs``: the counts of all words, then rounds of parallel training and averaging.
+
+    ``trained`` is the number of words that a round learned from. A corpus
+    with words of which a ``share`` below 1 drew none raises ValueError.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     counts = written(word_counts(texts), "word_counts")
     voc = vocabulary(counts, p)
-    sample = written(texts.where(F.pmod(F.xxhash64("text", F.lit(p.seed)), F.lit(10_000)) < int(p.share * 10_000)),
-                     "lm_sample")
-    flat = initial(p)
+    rows_in = texts if p.share >= 1 else written(texts.sample(p.share, p.seed), "lm_sample")
+    flat, trained = initial(p), 0
     for _ in range(p.rounds):
         shared = spark.sparkContext.broadcast((voc, flat))  # bounded by the vocabulary
 
@@ -216,20 +239,24 @@ def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
                 wide = np.rint(wide.reshape(-1, _WIDE) * _FIXED).astype(np.int64)
                 weight = max(1, n >> 10)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(wide), dtype=np.int32)), pa.array(np.full(len(wide), weight, np.int64)),
+                    [pa.array(np.arange(len(wide), dtype=np.int32)), pa.array(np.full(len(wide), n, np.int64)),
+                     pa.array(np.full(len(wide), weight, np.int64)),
                      *(pa.array(wide[:, k] * weight) for k in range(_WIDE))],
-                    names=["row", "w", *(f"v{k}" for k in range(_WIDE))])
+                    names=["row", "n", "w", *(f"v{k}" for k in range(_WIDE))])
 
-        schema = "row int, w bigint, " + ", ".join(f"v{k} bigint" for k in range(_WIDE))
-        total = sample.mapInArrow(local, schema).groupBy("row").agg(
-            F.sum("w").alias("w"), *(F.sum(F.col(f"v{k}").cast("decimal(38,0)")).cast("double").alias(f"v{k}")
+        schema = "row int, n bigint, w bigint, " + ", ".join(f"v{k} bigint" for k in range(_WIDE))
+        total = rows_in.mapInArrow(local, schema).groupBy("row").agg(
+            F.sum("n").alias("n"), F.sum("w").alias("w"), *(F.sum(F.col(f"v{k}").cast("decimal(38,0)")).cast("double").alias(f"v{k}")
                                      for k in range(_WIDE))).toArrow()
         if total.num_rows:
+            trained = int(total["n"][0].as_py())
             order = np.argsort(np.asarray(total["row"]))
             wide = np.stack([np.asarray(total[f"v{k}"]) for k in range(_WIDE)], axis=1)
             mean = wide / np.asarray(total["w"])[:, None] / _FIXED
             flat = mean[order].ravel()[:len(flat)].astype(np.float32)
-    return {"vocabulary": voc, "parameters": flat, "p": p}
+    if not trained and len(voc["hash"]):
+        raise ValueError(f"no document was drawn to train on (share {p.share}); raise the share")
+    return {"vocabulary": voc, "parameters": flat, "p": p, "trained": trained}
 
 
 def log_likelihood(ids: np.ndarray, cls: np.ndarray, share: np.ndarray, offsets: np.ndarray, tables: list, p: Lm

@@ -73,3 +73,46 @@ def test_odd_rows(odd_docs, no_docs):
     empty = M.fit(no_docs, P)
     assert M.score(no_docs, empty).count() == 0
     assert all(np.isfinite(r.pll) for r in M.score(odd_docs, empty).collect())
+
+
+def test_every_document_trains_the_production_network(grammar, make_docs, odd_docs):
+    assert M.Lm().share == 1.0
+    model = M.fit(grammar, M.Lm(vocabulary=40, tail_inputs=8, single=5, middle=6, tail=3, batch=64))
+    assert model["trained"] == 30 * 302
+    # a single document is never left out, nor is a word behind it
+    one = M.fit(make_docs([(1, "a b c a b c d")]), M.Lm())
+    assert one["trained"] == 7 and not np.array_equal(one["parameters"], M.initial(M.Lm()))
+    assert M.fit(odd_docs, M.Lm())["trained"] == 3 * 80 + 60_000 + 30 + 40 + 1
+
+
+def test_one_pass_matches_plain_gradients():
+    """Adagrad over documents of all lengths, with one gradient entry per word and neighbour."""
+    rng, p = np.random.default_rng(4), P
+    offsets = np.array([0, 0, 1, 40, 40, 43, 200, 200])
+    ids = rng.integers(0, p.vocabulary + p.tail_inputs, 200).astype(np.int32)
+    cls = rng.integers(0, p.single + p.middle + p.tail, 200).astype(np.int32)
+    got, seen = M.train(iter([(ids, cls, offsets)]), M.initial(p), p)
+    want = M.initial(p).astype(np.float64)
+    acc = np.full_like(want, 1e-3)
+    ctx = np.stack(list(M.contexts(ids, offsets, p)), axis=1)
+    for i in range(0, 200, p.batch):
+        grad = np.zeros_like(want)
+        emb, side, bias, out, obias = M._split(want, p)
+        g_emb, g_side, g_bias, g_out, g_obias = M._split(grad, p)
+        m = len(cls[i:i + p.batch])
+        for c, y in zip(ctx[i:i + p.batch], cls[i:i + p.batch]):
+            h = np.tanh(sum(emb[c[k]] @ side[k] for k in range(2 * p.side)) + bias)
+            z = h @ out + obias
+            z = np.exp(z - z.max())
+            z /= z.sum()
+            z[y] -= 1
+            g_h = (out @ z) * (1 - h * h) / m
+            g_out += np.outer(h, z) / m
+            g_obias += z / m
+            g_bias += g_h
+            for k in range(2 * p.side):
+                g_side[k] += np.outer(emb[c[k]], g_h)
+                g_emb[c[k]] += side[k] @ g_h
+        acc += grad * grad
+        want -= p.rate * grad / np.sqrt(acc)
+    assert seen == 200 and np.allclose(got, want, atol=1e-3)

@@ -183,15 +183,15 @@ def judge(pages: DataFrame, rules: list[Rule], p: UrlModel = UrlModel(), id_col:
     """``id_col, host, path, rule, verdict`` for every row.
 
     A URL that is null or has no ``://`` has empty host and path and fits no
-    rule. Without URLs of both verdicts to learn from, what no rule fits is
+    rule. Rules see host and path; the language models read the whole URL,
+    with scheme, query and fragment. Null (or no byte at all) has ratio 0. Without URLs of both verdicts to learn from, what no rule fits is
     allowed. Repeated URLs all count in training. Other columns are ignored.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"),
-                        path_of(F.col(url_col)).alias("path"))
+                        path_of(F.col(url_col)).alias("path"), F.col(url_col).alias("url"))
     name, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = written(rows.withColumn("rule", name).withColumn("ruled", verdict)
-                   .withColumn("url", F.concat("host", "path")), "urls")
+    rows = written(rows.withColumn("rule", name).withColumn("ruled", verdict), "urls")
     model = fit(rows.where("ruled is not null").select("url", (F.col("ruled") == ALLOW).cast("bigint").alias("side")), p)
     if model is None:
         judged = F.lit(ALLOW)

@@ -90,3 +90,16 @@ def test_query_covers_all_pages(spark):
     assert out.columns == ["page_id", "host", "path", "rule", "verdict"]
     assert out.count() == spark.read.parquet(f"{sf}/pages.parquet").count()
     assert out.where(F.col("verdict").isNull()).count() == 0
+
+
+def test_models_read_the_whole_url(spark):
+    """Query, fragment and scheme decide where host and path say nothing, and so does a text without ://."""
+    rules = [U.Rule("allow", "good.com", "/"), U.Rule("block", "bad.com", "/")]
+    rows = [(i, f"http://good.com/p?topic=reading-{i}#library") for i in range(200)]
+    rows += [(1000 + i, f"http://bad.com/p?topic=casino-win-{i}#jackpot") for i in range(200)]
+    rows += [(5000, "http://other.net/p?topic=reading-77#library"), (5001, "http://other.net/p?topic=casino-win-77#jackpot"),
+             (5002, "other.net/p?topic=reading-77#library"), (5003, "other.net/p?topic=casino-win-77#jackpot"), (5004, None)]
+    got = {r.page_id: r for r in U.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect()}
+    assert [got[i].verdict for i in range(5000, 5004)] == ["allow", "block", "allow", "block"]
+    assert (got[5001].host, got[5001].path, got[5003].host, got[5003].path) == ("other.net", "/p", "", "")
+    assert got[5004].verdict in ("allow", "block") and len(got) == len(rows)

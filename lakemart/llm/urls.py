@@ -16,11 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakemart.llm import text as T
-from lakemart.llm.store import free_name, written
+from lakemart.llm.store import written
 
 _U = np.uint64
+_CHUNK = 12  # 4,096 rows of a task are scored together
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -41,14 +43,15 @@ class Rule:
 class UrlModel:
     """Parameters.
 
-    ``order``: the longest context in bytes. ``slots`` (a power of two)
-    bounds the count table: n-grams are counted by hash. ``strength`` is how
+    ``order``: the longest context in bytes. N-grams are counted by their
+    64-bit hash, all of them; ``slots`` (a power of two) folds the hashes into
+    so many, 0 leaves them whole. ``strength`` is how
     many observations the shorter context's estimate counts for. One in
     ``folds`` labelled URLs calibrates the threshold, in steps of ``1/bins``.
     """
 
     order: int = 5
-    slots: int = 1 << 18
+    slots: int = 0
     strength: float = 2.0
     folds: int = 5
     bins: int = 200
@@ -89,8 +92,9 @@ def _grams(arr: pa.Array, p: UrlModel) -> Iterator[tuple[slice, np.ndarray, list
             lo = np.maximum(at - k, begin)
             salt = _U((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
             # a context that would reach beyond the start mark is the one up to the mark
-            contexts.append((T.mix(T.span_hash(text, lo, at) + salt) & _U(p.slots - 1)).astype(np.int64))
-            grams.append((T.mix(T.span_hash(text, lo, at + 1) ^ salt) & _U(p.slots - 1)).astype(np.int64))
+            for hashes, of in ((T.span_hash(text, lo, at) + salt, contexts), (T.span_hash(text, lo, at + 1) ^ salt, grams)):
+                hashes = T.mix(hashes)
+                of.append((hashes & _U(p.slots - 1) if p.slots else hashes).view(np.int64))
         yield slice(row, row + len(n)), doc, contexts, grams
 
 
@@ -98,29 +102,43 @@ def _count(labelled: DataFrame, p: UrlModel) -> DataFrame:
     """``(fold, side, kind, slot, n)`` over all labelled URLs: ``side`` 1 accepted, 0 rejected."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             fold, side = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("fold", "side"))
             for rows, doc, contexts, grams in _grams(b.column("url"), p):
-                for key in {*zip(fold.tolist(), side.tolist())}:
+                for key in sorted({*zip(fold[rows].tolist(), side[rows].tolist())}):
                     of = ((fold[rows] == key[0]) & (side[rows] == key[1]))[doc]
-                    t = total.setdefault(key, np.zeros((2, p.slots), dtype=np.int64))
-                    for kind, slots in enumerate((contexts, grams)):
-                        for s in slots:
-                            t[kind] += np.bincount(s[of], minlength=p.slots)
-        for (fold, side), t in total.items():
-            kind, slot = np.nonzero(t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(slot), x, np.int64)) for x in (fold, side)]
-                + [pa.array(x.astype(np.int64)) for x in (kind, slot, t[kind, slot])],
-                names=["fold", "side", "kind", "slot", "n"])
+                    for kind, codes in enumerate((contexts, grams)):
+                        slot, n = np.unique(np.concatenate([c[of] for c in codes]), return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(slot), x, np.int64)) for x in (*key, kind)] + [pa.array(slot), pa.array(n)],
+                            names=["fold", "side", "kind", "slot", "n"])
 
     return labelled.select("url", "fold", "side").mapInArrow(
         count, "fold bigint, side bigint, kind bigint, slot bigint, n bigint"
     ).groupBy("fold", "side", "kind", "slot").agg(F.sum("n").alias("n"))
 
 
-def log_ratio(arr: pa.Array, counts: np.ndarray, p: UrlModel) -> np.ndarray:
+class Counts:
+    """``counts[side, kind, slots]`` from rows ``kind, slot, n0, n1``; 0 for n-grams without a row."""
+
+    def __init__(self, rows: pa.Table):
+        kind, slot, *n = (rows[c].to_numpy() for c in ("kind", "slot", "n0", "n1"))
+        self.of = []
+        for k in (0, 1):
+            order = np.flatnonzero(kind == k)
+            order = order[np.argsort(slot[order], kind="stable")]
+            self.of.append((slot[order], [x[order].astype(np.float64) for x in n]))
+
+    def __getitem__(self, key: tuple[int, int, np.ndarray]) -> np.ndarray:
+        side, kind, slots = key
+        known, n = self.of[kind]
+        if not len(known):
+            return np.zeros(len(slots))
+        at = np.minimum(np.searchsorted(known, slots), len(known) - 1)
+        return np.where(known[at] == slots, n[side][at], 0.0)
+
+
+def log_ratio(arr: pa.Array, counts: np.ndarray | Counts, p: UrlModel) -> np.ndarray:
     """(log P(accepted) - log P(rejected)) per byte. ``counts[side, kind, slot]``; 0.0 for an empty URL."""
     out = np.zeros(len(arr))
     for rows, doc, contexts, grams in _grams(arr, p):
@@ -135,37 +153,55 @@ def log_ratio(arr: pa.Array, counts: np.ndarray, p: UrlModel) -> np.ndarray:
     return out
 
 
-def _ratio(spark, counts: np.ndarray, p: UrlModel):
-    shared = spark.sparkContext.broadcast(counts)  # bounded: 4 x slots numbers
+def _with_ratio(rows: DataFrame, counts: DataFrame, p: UrlModel) -> DataFrame:
+    """``rows`` (with ``chunk`` and ``url``) and their ``ratio``.
+
+    Each chunk of rows asks for its n-grams' counts by a join and is scored
+    with those alone, so no task holds the whole count table.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            chunk = b.column("chunk").to_numpy()
+            for rows, doc, contexts, grams in _grams(b.column("url"), p):
+                for c in np.unique(chunk[rows]):
+                    of = (chunk[rows] == c)[doc]
+                    for kind, codes in enumerate((contexts, grams)):
+                        slot = np.unique(np.concatenate([x[of] for x in codes]))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(slot), x, np.int64)) for x in (c, kind)] + [pa.array(slot)],
+                            names=["chunk", "kind", "slot"])
+
+    def ratio(urls: pa.Table, found: pa.Table) -> pa.Table:
+        return urls.append_column("ratio", pa.array(log_ratio(urls["url"], Counts(found), p)))
+
+    found = rows.select("chunk", "url").mapInArrow(ask, "chunk bigint, kind bigint, slot bigint").join(
+        counts, ["kind", "slot"]).select("chunk", "kind", "slot", "n0", "n1")
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+        ratio, StructType([*rows.schema.fields, StructField("ratio", DoubleType())]))
 
-    @F.arrow_udf("double")
-    def ratio(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for arr in batches:
-            yield pa.array(log_ratio(arr, shared.value, p))
 
-    return ratio.asNondeterministic()
+def _by_side(table: DataFrame) -> DataFrame:
+    """``kind, slot, n0, n1``: the counts among rejected and accepted URLs."""
+    return table.groupBy("kind", "slot").agg(
+        *(F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(0)).alias(f"n{side}") for side in (0, 1)))
 
 
-def fit(labelled: DataFrame, p: UrlModel = UrlModel()) -> tuple[np.ndarray, float] | None:
-    """(count table, threshold) from ``labelled(url, side)``; None unless both sides occur.
+def fit(labelled: DataFrame, p: UrlModel = UrlModel()) -> tuple[DataFrame, float] | None:
+    """(count table, threshold) from ``labelled(chunk, url, side)``; None unless both sides occur.
 
     All labelled URLs count. The threshold is the one with the best mean of
     both sides' hit rates on the calibration fold, scored by the models
     without that fold; of equally good ones the nearest to 0.
     """
-    spark = labelled.sparkSession
     rows = labelled.withColumn("fold", (F.pmod(F.xxhash64("url"), F.lit(p.folds)) == 0).cast("bigint"))
-    table = written(_count(rows, p), "url_counts").toArrow()
-    counts = np.zeros((2, 2, 2, p.slots))
-    if table.num_rows:
-        counts[tuple(np.asarray(table[c]) for c in ("fold", "side", "kind", "slot"))] = np.asarray(table["n"])
-    both = counts.sum(axis=0)
-    if not (both[0].any() and both[1].any()):
+    table = written(_count(rows, p), "url_counts")
+    if {r["side"] for r in table.select("side").distinct().collect()} != {0, 1}:
         return None
-    calibration = rows.where("fold = 1").withColumn("r", _ratio(spark, counts[0], p)(F.col("url")))
+    calibration = _with_ratio(rows.where("fold = 1"), _by_side(table.where("fold = 0")), p)
     edge = 10 * p.bins
     found = calibration.groupBy(
-        F.greatest(F.lit(-edge), F.least(F.lit(edge), F.floor(F.col("r") * p.bins))).alias("bin"), "side"
+        F.greatest(F.lit(-edge), F.least(F.lit(edge), F.floor(F.col("ratio") * p.bins))).alias("bin"), "side"
     ).agg(F.count("*").alias("n")).collect()
     hist = np.zeros((2, 2 * edge + 1))
     for r in found:
@@ -175,7 +211,7 @@ def fit(labelled: DataFrame, p: UrlModel = UrlModel()) -> tuple[np.ndarray, floa
     total = np.maximum(hist.sum(axis=1, keepdims=True), 1)
     rate = passed[1] / total[1] + 1 - passed[0] / total[0]
     best = np.flatnonzero(rate >= rate.max() - 1e-12) - edge
-    return both, float(best[np.argmin(np.abs(best))]) / p.bins
+    return _by_side(table), float(best[np.argmin(np.abs(best))]) / p.bins
 
 
 def judge(pages: DataFrame, rules: list[Rule], p: UrlModel = UrlModel(), id_col: str = "page_id",
@@ -187,18 +223,18 @@ def judge(pages: DataFrame, rules: list[Rule], p: UrlModel = UrlModel(), id_col:
     with scheme, query and fragment. Null (or no byte at all) has ratio 0. Without URLs of both verdicts to learn from, what no rule fits is
     allowed. Repeated URLs all count in training. Other columns are ignored.
     """
-    spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"),
                         path_of(F.col(url_col)).alias("path"), F.col(url_col).alias("url"))
     name, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = written(rows.withColumn("rule", name).withColumn("ruled", verdict), "urls")
-    model = fit(rows.where("ruled is not null").select("url", (F.col("ruled") == ALLOW).cast("bigint").alias("side")), p)
+    rows = written(rows.withColumn("rule", name).withColumn("ruled", verdict)
+                   .withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), _CHUNK)), "urls")
+    model = fit(rows.where("ruled is not null").select(
+        "chunk", "url", (F.col("ruled") == ALLOW).cast("bigint").alias("side")), p)
+    out = [F.col("id").alias(id_col), "host", "path", "rule"]
     if model is None:
-        judged = F.lit(ALLOW)
-    else:
-        counts, threshold = model
-        tmp = free_name(rows, "ratio")
-        rows = rows.withColumn(tmp, _ratio(spark, counts, p)(F.col("url")))
-        judged = F.when(F.col(tmp) >= threshold, ALLOW).otherwise(BLOCK)
-    return rows.select(F.col("id").alias(id_col), "host", "path", "rule",
-                       F.coalesce("ruled", judged).alias("verdict"))
+        return rows.select(*out, F.coalesce("ruled", F.lit(ALLOW)).alias("verdict"))
+    counts, threshold = model
+    rest = _with_ratio(rows.where("ruled is null").drop("ruled"), counts, p)
+    judged = F.when(F.col("ratio") >= threshold, ALLOW).otherwise(BLOCK)
+    return rows.where("ruled is not null").select(*out, F.col("ruled").alias("verdict")).unionAll(
+        rest.select(*out, judged.alias("verdict")))

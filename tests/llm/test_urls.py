@@ -103,3 +103,34 @@ def test_models_read_the_whole_url(spark):
     assert [got[i].verdict for i in range(5000, 5004)] == ["allow", "block", "allow", "block"]
     assert (got[5001].host, got[5001].path, got[5003].host, got[5003].path) == ("other.net", "/p", "", "")
     assert got[5004].verdict in ("allow", "block") and len(got) == len(rows)
+
+
+def test_production_counts_are_exact(spark):
+    """As many n-grams as the data has, each with its own count, and probabilities that stay below 1."""
+    p = U.UrlModel()
+    urls = [[f"http://{side}{i * 7919 % 100003:05d}.org/{i * 104729 % 999983}?q={i}" for i in range(3000)] for side in "bg"]
+    df = spark.createDataFrame([(u, s, 0) for s in (0, 1) for u in urls[s]], "url string, side bigint, fold bigint")
+    table = U._count(df, p)
+    for s in (0, 1):
+        exact = naive_counts(urls[s], p)
+        rows = table.where(f"side = {s}").select("kind", "n").toArrow().to_pydict()
+        for kind in (0, 1):
+            want = Counter(n for key, n in exact.items() if (len(key) == 3) == bool(kind))
+            assert Counter(n for k, n in zip(rows["kind"], rows["n"]) if k == kind) == want
+    assert table.select("kind", "slot").distinct().count() > 50_000
+    chunks = spark.createDataFrame([(i % 3, u) for i, u in enumerate(["http://b00001.org/?q=7", "zzz", "", None, "http://g"])],
+                                   "chunk bigint, url string")
+    got = {r.url: r.ratio for r in U._with_ratio(chunks, U._by_side(table), p).collect()}
+    exact = [naive_counts(u, p) for u in urls]
+    for u in ("http://b00001.org/?q=7", "zzz", "http://g"):
+        total, raw = 0.0, b"\x01" + u.encode()
+        for side, sign in ((1, 1), (0, -1)):
+            for i in range(1, len(raw)):
+                prob = 1 / 256
+                for k in range(p.order + 1):
+                    ctx = raw[max(0, i - k):i]
+                    prob = (exact[side][k, raw[max(0, i - k):i + 1], "g"] + p.strength * prob) / (exact[side][k, ctx] + p.strength)
+                assert prob <= 1
+                total += sign * math.log(prob)
+        assert got[u] == pytest.approx(total / len(u.encode()))
+    assert got[""] == got[None] == 0.0

@@ -12,7 +12,8 @@ Windows: an item of n words is indexed at every offset in windows of w words;
 a document is cut into windows of w words at every s-th word. With
 ``w + s - 1 <= n`` each occurrence holds a whole document window, so only one
 in s positions of a document needs a walk. The pair (w, s) is (3, 1) doubled
-as often as the item allows, so windows stay in proportion to the item.
+while an occurrence still holds two document windows, up to (12, 4): walks
+drift apart as edits add up, so a longer item has more windows, not longer ones.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from lakemart.llm.store import free_name
 
 _U = np.uint64
 _PAD = np.uint32(0)
+_WIDEST = 12
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ class Decontam:
 def _size_class(n: int) -> tuple[int, int]:
     """(window, stride) for an item of n words."""
     w, s = 3, 1
-    while 2 * w + 2 * s - 1 <= n:
+    while 2 * w <= _WIDEST and 2 * w + 4 * s - 1 <= n:
         w, s = 2 * w, 2 * s
     return min(w, n), s
 

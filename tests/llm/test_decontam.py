@@ -83,3 +83,20 @@ def test_blocks_change_nothing(make_docs, benchmark):
 def test_no_rows(no_docs, odd_docs, benchmark):
     assert D.contaminated(no_docs, benchmark).count() == 0
     assert D.decontaminate(odd_docs, benchmark.limit(0)).count() == odd_docs.count()
+
+
+@pytest.mark.parametrize("kind", ["mixed", "delete"])
+@pytest.mark.parametrize("n", [15, 18, 31, 63, 127, 255, 300])
+def test_recall_at_the_full_edit_share_for_all_lengths(n, kind):
+    """n // 5 edits at different words of an item of n words."""
+    rng = random.Random(n)
+    items = [prose(7000 + n * 7 + i, n) for i in range(4)]
+    texts = []
+    for k in range(60):
+        w = [[x] for x in items[k % 4].split()]
+        for j, at in enumerate(rng.sample(range(n), n // 5)):
+            new = f"new{rng.randrange(10**6)}"
+            w[at] = [[], [new], [*w[at], new]][0 if kind == "delete" else j % 3]
+        texts.append(" ".join(words(prose(k + 1, 30 + k % 17)) + [x for y in w for x in y] + words(prose(k + 2, 30))))
+    hits = D.scan(pa.array(texts), D.build_index(items, D.Decontam()))
+    assert sum(k % 4 in dict(h) for k, h in enumerate(hits)) >= 59

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import ann, decontam, langid, licenses, line_dedup, lm, mixing, near_dup, shards, urls
+from lakemart.llm import (ann, decontam, langid, licenses, line_dedup, lm, mixing, near_dup, repair, shards, urls, vector_dup,
+                          whitening)
 from lakemart.llm import sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -104,10 +105,26 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("pll_per_token"))
 
 
+def op11_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label linked at a cosine of 0.98 or more."""
+    return vector_dup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text's digest of every damaged conversation."""
+    fixed = repair.repair(table(spark, sf_dir, "conversations"), damaged=True)
+    return repair.with_digest(fixed).withColumnRenamed("conv", "conv_id")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight leading whitened components of every vector."""
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), components=8)
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_sharding, op2_license_scan, op3_near_dup, op4_decontamination, op5_ann, op6_language_id, op7_mixing,
-        op8_line_dedup, op9_url_filter, op10_lm_score)}
+        op8_line_dedup, op9_url_filter, op10_lm_score, op11_embedding_dup, op12_conversation_repair, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:

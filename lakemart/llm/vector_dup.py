@@ -37,8 +37,8 @@ class VectorDup:
     """Parameters.
 
     ``threshold``: least cosine of a link. Codebooks are fitted on ``sample``
-    vectors at most; there are about ``sqrt(rows)`` lists, ``most_lists`` at
-    most. ``subspaces`` codes of ``codes`` words describe a residual.
+    vectors at most; there are about ``sqrt(rows) / 4`` lists, ``most_lists``
+    at most. ``subspaces`` codes of ``codes`` words describe a residual.
     ``block``: rows compared at once; longer lists are split into blocks.
     """
 
@@ -255,7 +255,7 @@ def near_duplicates(vectors: DataFrame, p: VectorDup = VectorDup(), id_col: str
                       "vector_classes")
     n = classes.count()
     chosen = [np.array(r["v"], dtype=np.float64) for r in classes.orderBy(F.xxhash64("h1"), "h1", "h2", "label").limit(p.sample).select("v").collect()]
-    lists = int(min(p.most_lists, max(1, np.sqrt(n))))
+    lists = int(min(p.most_lists, max(1, np.sqrt(n) / 4)))
     books = {dim: fit(unit(np.stack([x for x in chosen if len(x) == dim])), lists, p) for dim in {len(x) for x in chosen}}
 
     ready = classes.select("id", "label", "copies", "v", F.size("v").alias("dim"), _index_udf(books, p)("v").alias("i"))

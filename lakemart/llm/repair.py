@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm.store import written
+from lakemart.session import shuffle_partitions
 
 # fixed values: costs of the edits and of a truncated row that stays
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
@@ -219,7 +220,8 @@ def structure(rows: DataFrame) -> DataFrame:
     seg = (rows.repartitionByRange(*key).sortWithinPartitions(*key).select("conv", "role", "copies", "fault", "later")
            .mapInArrow(_segments, f"conv {rows.schema['conv'].dataType.simpleString()}, part int, number int, symbols string"))
     joined = F.array_sort(F.collect_list(F.struct("part", "number", "symbols")))
-    return seg.groupBy("conv").agg(F.array_join(F.transform(joined, lambda x: x["symbols"]), "").alias("symbols"))
+    # symbols are few bytes and long work: a fixed number of partitions, which is not merged by size
+    return seg.repartition(shuffle_partitions(rows.sparkSession), "conv").groupBy("conv").agg(F.array_join(F.transform(joined, lambda x: x["symbols"]), "").alias("symbols"))
 
 
 FOUND = ("blank", "duplicate", "truncated", "illegal", "cost")

@@ -10,14 +10,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.ranking import assign_keys, latest_per_key, row_number_within
+from lakemart.session import scratch_path
 
 OPEN_END = "9999-12-31"
 
 
+def _same(a: str, b: str, cols: Sequence[str]) -> Column:
+    """All ``cols`` of aliases ``a`` and ``b`` equal; a NULL key is a key like any other."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once beneath the shared folder, for frames of the size of a change batch that are used often."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # M4
 def scd_init(source: DataFrame, kind: int, keys: Sequence[str], tracked: str | Sequence[str],
              effective_col: str, sk_col: str = "SK", current_col: str = "Current",
@@ -60,17 +76,18 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update
     """MERGE: matched keys take the source value of ``update_cols`` (others,
     e.g. the name, keep the target value); unmatched source keys are inserted.
 
-    Several source rows for one key fail the job, as they fail MERGE.
+    Several source rows for one key fail the job, as they fail MERGE. A NULL
+    key matches a NULL key, so merging a batch again changes nothing.
     """
     keys = list(keys)
     src = one_per_key(source, keys).withColumn(effective_col, F.col(effective_col).cast("date"))
     t, s = target.withColumn("_in_t", F.lit(True)).alias("t"), src.withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, keys, "full_outer")
+    j = t.join(s, _same("t", "s", keys), "full_outer")
     in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     out = []
     for c in target.columns:
         if c in keys:
-            out.append(F.col(c))
+            out.append(F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c))
         elif c == date_col:
             out.append(F.when(in_s, F.col(f"s.{effective_col}")).otherwise(F.col(f"t.{c}")).alias(c))
         elif c in update_cols:
@@ -93,7 +110,8 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
     * several changes to one key in one batch become consecutive versions
       (each ends the day before the next starts);
     * a change equal to the version before it is skipped, so re-applying a
-      batch changes nothing and each key keeps exactly one current row;
+      batch changes nothing and each key keeps exactly one current row; a
+      NULL key is a key like any other;
     * a target row whose ``IsCurrent`` is NULL counts as history and is kept;
     * not applied, and returned with a ``reason`` by ``return_rejects``: a
       change dated on or before the current row's start (``out of order``),
@@ -105,42 +123,44 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], track
     ch = changes.select(*keys, *attrs, F.col(effective_col).cast("date").alias("StartDate"))
     is_current = F.coalesce(F.col("IsCurrent"), F.lit(False))
     cur, hist = target.where(is_current), target.where(~is_current)
-    chk = ch.join(cur.select(*keys, F.col("StartDate").alias("_cur_start")), keys, "left").withColumn(
-        "reason", F.when(F.col("StartDate").isNull(), "no date")
-        .when(F.col("StartDate") <= F.col("_cur_start"), "out of order")).drop("_cur_start")
+    # the batch with its verdicts is planned once; all that follows is of its size
+    starts = cur.select(*keys, F.col("StartDate").alias("_cur_start")).alias("c")
+    reason = F.when(F.col("StartDate").isNull(), "no date").when(F.col("StartDate") <= F.col("_cur_start"), "out of order")
+    chk = _kept(ch.alias("n").join(starts, _same("n", "c", keys), "left").select(
+        "n.*", reason.alias("reason")), "scd2_batch")
     usable = chk.where("reason is null").drop("reason")
     ok = latest_per_key(usable, keys + ["StartDate"], attrs) if attrs else usable.distinct()
-    # keys without an accepted change keep their current row untouched
-    per_key = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    touched = cur.join(per_key, keys, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    cur_untouched = touched.where("_n = 0")
     # one timeline per changed key: its current row followed by the accepted changes
-    versions = (touched.where("_n > 0").select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
-                .unionByName(ok.select(*keys, *attrs, "StartDate", F.lit(None).cast("bigint").alias(sk_col),
-                                       F.lit(1).alias("_is_new"))))
-    long_keys = per_key.where(F.col("_n") > MAX_VERSIONS_PER_TASK).select(*keys)
-    if long_keys.limit(1).count():
-        timeline = _ordered(versions.join(long_keys, keys, "left_anti"), keys, tracked).unionByName(
-            _timeline(versions.join(long_keys, keys, "left_semi"), keys, tracked), allowMissingColumns=True)
+    old = cur.alias("c").join(ok.select(*keys).alias("o"), _same("c", "o", keys), "left_semi")
+    versions = (old.select(*keys, *attrs, "StartDate", F.col(sk_col), F.lit(0).alias("_is_new"))
+                .unionByName(ok.select(*keys, *attrs, "StartDate", F.lit(None).cast("bigint").alias(sk_col), F.lit(1).alias("_is_new"))))
+    n = chk.count()
+    long_keys = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MAX_VERSIONS_PER_TASK).select(*keys)
+    if n > MAX_VERSIONS_PER_TASK and long_keys.limit(1).count():
+        v, k = versions.alias("v"), long_keys.alias("k")
+        timeline = _ordered(v.join(k, _same("v", "k", keys), "left_anti"), keys, tracked).unionByName(
+            _timeline(v.join(k, _same("v", "k", keys), "left_semi"), keys, tracked), allowMissingColumns=True)
     else:
         timeline = _ordered(versions, keys, tracked)
+    timeline = _kept(timeline, "scd2_timeline")
     old_rows = timeline.where(F.col("_is_new") == 0).drop("_is_new")
     new_rows = timeline.where(F.col("_is_new") == 1).drop("_is_new", sk_col)
+    # keys without an accepted change keep their current row untouched
+    cur_untouched = cur.alias("c").join(old_rows.select(*keys).alias("o"), _same("c", "o", keys), "left_anti")
     max_sk = target.select(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
-    new_rows = assign_keys(new_rows, sk_col, [(k, "asc") for k in keys] + [("StartDate", "asc")], start=max_sk)
+    new_rows = assign_keys(new_rows, sk_col, [(k, "asc") for k in keys] + [("StartDate", "asc")], start=max_sk, at_most=n)
     cols = target.columns
     out = (hist.select(*cols).unionByName(cur_untouched.select(*cols))
            .unionByName(old_rows.select(*cols)).unionByName(new_rows.select(*cols)))
     if not return_rejects:
         return out
-    surplus = usable.groupBy(*keys, "StartDate", *attrs).agg(F.count(F.lit(1)).alias("_m"))
-    used = ok.withColumn("_used", F.lit(1))
-    same = F.lit(True)
-    for c in keys + ["StartDate"] + attrs:
-        same = same & surplus[c].eqNullSafe(used[c])
-    same_day = surplus.join(used, same, "left").select(
-        *[surplus[c] for c in ch.columns], F.explode(F.array_repeat(F.lit("same day"), (
-            F.col("_m") - F.coalesce("_used", F.lit(0))).cast("int"))).alias("reason"))
+    # of several usable changes to one key on one day, all but one copy of the greatest
+    used = ok.select(*keys, "StartDate", F.struct(F.lit(1).alias("_one"), *attrs).alias("_best")).alias("u")
+    each = usable.groupBy(*keys, "StartDate", *attrs).agg(F.count(F.lit(1)).alias("_m")).alias("e")
+    wins = F.col("_best").eqNullSafe(F.struct(F.lit(1).alias("_one"), *[F.col(f"e.{c}") for c in attrs]))
+    same_day = each.join(used, _same("e", "u", keys) & (F.col("e.StartDate") == F.col("u.StartDate"))).select(
+        *[F.col(f"e.{c}") for c in ch.columns],
+        F.explode(F.array_repeat(F.lit("same day"), (F.col("_m") - wins.cast("int")).cast("int"))).alias("reason"))
     return out, chk.where("reason is not null").select(*ch.columns, "reason").unionByName(same_day)
 
 
@@ -187,18 +207,18 @@ def scd3_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], sourc
     """SCD-3: on a changed value, current moves to previous and the new value
     becomes current; unseen keys are inserted with no previous value.
 
-    Several changes for one key fail the job.
+    Several changes for one key fail the job. A NULL key matches a NULL key.
     """
     keys = list(keys)
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     s = one_per_key(changes, keys).withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, keys, "full_outer")
+    j = t.join(s, _same("t", "s", keys), "full_outer")
     has_t, has_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     changed = has_t & has_s & ~F.col(f"t.{current_col}").eqNullSafe(F.col(f"s.{source_col}"))
     out = []
     for c in target.columns:
         if c in keys:
-            out.append(F.col(c))
+            out.append(F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c))
         elif c == current_col:
             out.append(F.when(~has_t | changed, F.col(f"s.{source_col}")).otherwise(F.col(f"t.{c}")).alias(c))
         elif c == previous_col:
@@ -225,26 +245,67 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str],
 
 
 # M10
+def _digests(rows: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Per bucket of keys: rows and an order-independent digest of all columns."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    # two independent sums: rows that differ agree in both with probability 2**-128
+    two = [F.sum(F.xxhash64(F.lit(i), row).cast("decimal(38,0)")).alias(f"_s{i}") for i in (1, 2)]
+    return rows.groupBy(_bucket(key, buckets).alias("_b")).agg(F.count(F.lit(1)).alias("_n"), *two)
+
+
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key]), F.lit(buckets)).cast("int")
+
+
+def snapshot_pairs(old: DataFrame, new: DataFrame, key: Sequence[str], buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Compare two snapshots by buckets of keys: ``(pairs, counts)``.
+
+    ``counts`` has one row: ``n_old, n_new, n_equal``, the last being the rows
+    in buckets whose digests agree; such buckets are equal row by row and are
+    not joined. ``pairs`` joins the rows of all other buckets (``o``, ``n``:
+    structs of the columns, null where a side has no such key; a NULL key
+    matches a NULL key). Both snapshots are combined map-side to one row a
+    bucket; only rows of changed buckets are shuffled.
+    """
+    key = list(key)
+    spark = old.sparkSession
+    sides = _digests(old, key, buckets).withColumn("_old", F.lit(True)).unionByName(
+        _digests(new, key, buckets).withColumn("_old", F.lit(False)))
+    sums: dict[int, dict[bool, tuple]] = {}
+    for r in sides.collect():  # at most one row a bucket and side
+        sums.setdefault(r["_b"], {})[r["_old"]] = (r["_n"], r["_s1"], r["_s2"])
+    n_old, n_new = (sum(s[side][0] for s in sums.values() if side in s) for side in (True, False))
+    differ = [b for b, s in sums.items() if s.get(True) != s.get(False)]
+    counts = spark.createDataFrame([(n_old, n_new, n_old - sum(sums[b][True][0] for b in differ if True in sums[b]))],
+                                   "n_old bigint, n_new bigint, n_equal bigint")
+    keep = F.broadcast(spark.createDataFrame([(b,) for b in differ], "_b int"))
+
+    def changed(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn("_b", _bucket(key, buckets)).join(keep, "_b", "left_semi").select(
+            *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(key)], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+    o, n = changed(old, "o").alias("l"), changed(new, "n").alias("r")
+    return o.join(n, _same("l", "r", [f"k{i}" for i in range(len(key))]), "full_outer").select("o", "n"), counts
+
+
 def change_counts(old: DataFrame, new: DataFrame, sk_col: str = "SK") -> DataFrame:
     """Rows inserted, closed and unchanged between two SCD-2 snapshots (one row)."""
-    o = old.select(F.col(sk_col).alias("_sk"), F.col("IsCurrent").alias("_oc"))
-    n = new.select(F.col(sk_col).alias("_sk"), F.col("IsCurrent").alias("_nc"))
-    j = o.join(n, "_sk", "full_outer")
-    c = lambda p: F.sum(F.when(p, 1).otherwise(0)).cast("bigint")
-    return j.agg(F.count("_oc").alias("n_old"), F.count("_nc").alias("n_new"),
-                 c(F.col("_oc").isNull()).alias("n_inserted"),
-                 c(F.col("_oc") & ~F.col("_nc")).alias("n_closed"),
-                 c(F.col("_oc").eqNullSafe(F.col("_nc"))).alias("n_unchanged"))
+    cols = [F.col(sk_col).alias("_sk"), F.col("IsCurrent").alias("_c")]
+    pairs, counts = snapshot_pairs(old.select(*cols), new.select(*cols), ["_sk"])
+    c = lambda p: F.count(F.when(p, 1))
+    found = pairs.agg(c(F.col("o").isNull()).alias("ins"), c(F.col("o._c") & ~F.col("n._c")).alias("closed"),
+                      c(F.col("o").isNotNull() & F.col("n").isNotNull() & F.col("o._c").eqNullSafe(F.col("n._c"))).alias("same"))
+    found = counts.withColumn("f", found.select(F.struct("*")).scalar())
+    return found.select("n_old", "n_new", F.col("f.ins").alias("n_inserted"), F.col("f.closed").alias("n_closed"),
+                        (F.col("f.same") + F.col("n_equal")).alias("n_unchanged"))
 
 
 def affected_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows inserted, updated, deleted and unchanged between two snapshots with one row per key (one row)."""
-    keys = list(keys)
-    rest = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, F.struct(*rest).alias("_o"))
-    n = new.select(*keys, F.struct(*rest).alias("_n"))
-    j = o.join(n, keys, "full_outer")
+    pairs, counts = snapshot_pairs(old, new.select(*old.columns), keys)
     c = lambda p: F.count(F.when(p, 1))
-    has_o, has_n, same = F.col("_o").isNotNull(), F.col("_n").isNotNull(), F.col("_o").eqNullSafe(F.col("_n"))
-    return j.agg(c(~has_o).alias("n_inserted"), c(has_o & has_n & ~same).alias("n_updated"),
-                 c(~has_n).alias("n_deleted"), c(has_o & same).alias("n_unchanged"))
+    has_o, has_n, same = F.col("o").isNotNull(), F.col("n").isNotNull(), F.col("o").eqNullSafe(F.col("n"))
+    found = pairs.agg(c(~has_o).alias("ins"), c(has_o & has_n & ~same).alias("upd"), c(~has_n).alias("del"), c(has_o & same).alias("same"))
+    found = counts.withColumn("f", found.select(F.struct("*")).scalar())
+    return found.select(F.col("f.ins").alias("n_inserted"), F.col("f.upd").alias("n_updated"), F.col("f.del").alias("n_deleted"),
+                        (F.col("f.same") + F.col("n_equal")).alias("n_unchanged"))

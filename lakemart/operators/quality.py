@@ -13,10 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import types as T
 
 from lakemart.functions.columns import avg_exact, count_when, half_up_div, ratio
-from lakemart.operators.ranking import row_number_within
 
 
 def _stack(agg_row: DataFrame, items: Sequence[tuple[str, Sequence[tuple[str, Column]]]]) -> DataFrame:
@@ -36,9 +35,7 @@ def profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFra
 
     ``approx=True`` (HyperLogLog++ sketches, plain aggregates) computes
     everything in one pass over one scan. Exact distinct counts take a
-    second aggregate, bound once as a scalar struct: mixing them with the
-    plain aggregates makes Spark expand every row once per distinct column
-    plus once for the plain aggregates, carrying all their inputs each time.
+    second aggregate (``_distinct_counts``), bound once as a scalar map.
     """
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
@@ -48,12 +45,10 @@ def profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFra
         row = df.agg(*aggs, F.struct(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}")
                                        for i, c in enumerate(cols)]).alias("_d"))
     else:
-        distinct = df.agg(F.struct(*[F.count_distinct(F.col(c)).alias(f"d{i}")
-                                     for i, c in enumerate(cols)]).alias("_s")).scalar()
-        row = df.agg(*aggs).withColumn("_d", distinct)
+        row = df.agg(*aggs).withColumn("_d", _distinct_counts(df, cols).scalar())
     return _stack(row, [(c, [("n_rows", F.col("_n")),
                              ("n_nulls", F.col("_n") - F.col(f"_c{i}")),
-                             ("n_distinct", F.col(f"_d.d{i}").cast("bigint")),
+                             ("n_distinct", F.col(f"_d.d{i}").cast("bigint") if approx else _count_of(i)),
                              ("min_value", _str(F.col(f"_lo{i}"))),
                              ("max_value", _str(F.col(f"_hi{i}")))]) for i, c in enumerate(cols)])
 
@@ -69,15 +64,49 @@ def null_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # Q3
 def distinct_report(df: DataFrame, cols: Sequence[str], approx: bool = False, rsd: float = 0.02) -> DataFrame:
-    """Per column distinct count; ``approx`` uses HyperLogLog++ (no Expand, fixed memory)."""
-    if approx:
-        aggs = [F.approx_count_distinct(F.col(c), rsd).alias(f"_d{i}") for i, c in enumerate(cols)]
-    else:
-        aggs = [F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)]
+    """Per column distinct count; ``approx`` uses HyperLogLog++ (fixed memory)."""
+    if not approx:
+        return _stack(_distinct_counts(df, cols), [(c, [("n_distinct", _count_of(i))]) for i, c in enumerate(cols)])
+    aggs = [F.approx_count_distinct(F.col(c), rsd).alias(f"_d{i}") for i, c in enumerate(cols)]
     return _stack(df.agg(*aggs), [(c, [("n_distinct", F.col(f"_d{i}").cast("bigint"))])
                                   for i, c in enumerate(cols)])
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: map ``_d`` from column number to its distinct values, for all columns in one pass.
+
+    Every row gives one narrow cell per column. Whole numbers and dates are
+    bits of 64-value words joined with OR, so a dense column takes one group
+    per 64 values; other values are told apart by a 128-bit digest. Cells are
+    combined map-side before the shuffle.
+    """
+    cells = []
+    for i, c in enumerate(cols):
+        v, t = F.col(f"`{c}`"), df.schema[c].dataType
+        if isinstance(t, _WHOLE):
+            v = F.unix_date(v) if isinstance(t, T.DateType) else v
+            v = v.cast("bigint")
+            a, b = F.shiftright(v, 6), F.lit(0).cast("bigint")
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), v.bitwiseAND(F.lit(63)).cast("int"))
+        else:
+            # hashed as they are stored; floating point anywhere inside needs its zeros made equal
+            exact = v + F.lit(0.0).cast(t) if isinstance(t, (T.DoubleType, T.FloatType)) else \
+                _exact(v, t) if isinstance(t, (T.ArrayType, T.StructType, T.MapType)) else v
+            a, b, bit = F.xxhash64(exact), F.xxhash64(F.lit(i), exact), F.lit(1).cast("bigint")
+        cells.append(F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(i).alias("c"), a.alias("a"), b.alias("b"), bit.alias("bit"))))
+    words = df.select(F.explode(F.array(*cells)).alias("x")).where("x is not null").groupBy("x.c", "x.a", "x.b").agg(
+        F.bit_or("x.bit").alias("bits"))
+    per = words.groupBy("c").agg(F.sum(F.bit_count("bits")).alias("n"))
+    return per.agg(F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("_d"))
+
+
+def _count_of(i: int) -> Column:
+    return F.coalesce(F.try_element_at(F.col("_d"), F.lit(i)), F.lit(0)).cast("bigint")
+
+
 # Q4
 def completeness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: non-null count and completeness % (100 − null %)."""
@@ -129,12 +158,58 @@ def duplicate_rows(df: DataFrame, count_col: str = "n_copies") -> DataFrame:
     return same.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
 
 
+def _exact(v: Column, t: T.DataType) -> Column:
+    """A value that equals another's exactly if DISTINCT takes them for the same.
+
+    Times keep their microseconds (time zones aside), -0.0 becomes 0.0, NaN is
+    one value; inside arrays, structs and maps too.
+    """
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return (v + F.lit(0.0).cast(t)).cast("string")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(v).cast("string")
+    if isinstance(t, T.BinaryType):
+        return F.hex(v)
+    if isinstance(t, T.ArrayType):
+        return F.transform(v, lambda x: _exact(x, t.elementType))
+    if isinstance(t, T.StructType):
+        return F.when(v.isNotNull(), F.struct(*[_exact(v[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(t.fields)]))
+    if isinstance(t, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(v), lambda e: F.struct(
+            _exact(e["key"], t.keyType).alias("k"), _exact(e["value"], t.valueType).alias("v"))))
+    return v.cast("string")
+
+
 def _row_digest(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
-    """256-bit digest of a row's values (nulls and column borders count)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in cols or df.columns])
+    """256-bit digest of a row's exact values (nulls and column borders count)."""
+    row = F.struct(*[_exact(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(cols or df.columns)])
     return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
+def file_fingerprints(df: DataFrame, file_col: str) -> DataFrame:
+    """``file, n_rows, fingerprint``: equal for files that hold the same rows the same number of times, in any order.
+
+    The fingerprint is the row count and two sums of halves of the rows'
+    256-bit digests. Sums are combined map-side: a file of any size becomes
+    one row a task. A null file name is a file of its own.
+    """
+    h = _row_digest(df, [c for c in df.columns if c != file_col])
+    half = lambda i: F.sum(F.conv(F.substring(h, 15 * i + 1, 15), 16, 10).cast("decimal(38,0)"))
+    per = df.groupBy(F.col(f"`{file_col}`").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), half(0).alias("_a"), half(1).alias("_b"))
+    return per.select("file", "n_rows", F.concat_ws(":", "n_rows", "_a", "_b").alias("fingerprint"))
+
+
+def reloaded_files(df: DataFrame, file_col: str) -> DataFrame:
+    """Files whose rows all came before under another name: ``file, same_as, n_rows``.
+
+    ``same_as`` is the first (by name) of the files with the same rows; that
+    one itself is not listed.
+    """
+    f = file_fingerprints(df, file_col)
+    first = f.groupBy("fingerprint").agg(F.min("file").alias("same_as"), F.count(F.lit(1)).alias("_k")).where("_k > 1")
+    return f.join(first, "fingerprint").where("file <> same_as").select("file", "same_as", "n_rows")
+
+
 # Q8
 def referential_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                       relation: str) -> DataFrame:
@@ -242,48 +317,119 @@ def on_time_report(status: DataFrame, label: str = "delivery_status") -> DataFra
 
 
 # Q15, Q16
-def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], accuracy: int = 10000) -> Column:
-    """Exact interpolated quantiles (as ``percentile`` / ``quantile_cont``) as
-    one scalar struct ``q0, q1, ..``, without sorting the whole column.
+# cells of a bracket, and the rows in brackets up to which values are counted one by one
+_CELLS, _FEW = 1024, 50_000
+
 
-    A sketch brackets each quantile: its rank error is at most 1/accuracy, so
-    a bracket of twice that (and two rows) holds both rows around the
-    quantile. One pass counts the values below the brackets; only the values
-    inside are numbered (range-partitioned, see ``row_number_within``).
+def _at_ranks(v: DataFrame, n: int, ranks: Sequence[int], brackets: list[tuple[float, float]]) -> dict[int, float]:
+    """The finite values of column ``_v`` at 0-based ``ranks``, by histograms that narrow brackets around them.
+
+    Each round maps every value to one of ordered cells (``_CELLS`` a bracket,
+    one for each gap between brackets), counts them in one aggregate, and
+    makes the cells that hold a rank, with the least and greatest value found
+    in them, the next brackets. A cell of one value is an answer. No value is
+    sorted or numbered; at most ``_CELLS`` rows a bracket reach the driver.
+    """
+    out: dict[int, float] = {}
+    todo, before = sorted(set(ranks)), None
+    rows_inside = n
+    while todo:
+        spans: list[list[float]] = []
+        for lo, hi in sorted(brackets):
+            if spans and lo <= spans[-1][1]:
+                spans[-1][1] = max(hi, spans[-1][1])
+            else:
+                spans.append([lo, hi])
+        x, cell, inside = F.col("_v"), None, None
+        for i, (lo, hi) in enumerate(spans):
+            base = i * (_CELLS + 2)
+            part = 1.0 if hi - lo < float("inf") else 0.5  # a width beyond the largest double is taken in halves
+            step = F.least(F.floor((x * part - lo * part) / (hi * part - lo * part) * _CELLS), F.lit(_CELLS - 1)) if lo < hi else F.lit(0)
+            cell = (F.when if cell is None else cell.when)(x < lo, F.lit(base)).when(x <= hi, step.cast("int") + base + 1)
+            here = (x >= lo) & (x <= hi)
+            inside = here if inside is None else inside | here
+        cell = cell.otherwise(F.lit(len(spans) * (_CELLS + 2)))
+        # few rows inside, or brackets too narrow for cells to divide them: the values themselves are the cells
+        key = F.when(inside, x) if rows_inside <= _FEW or spans == before else F.lit(None).cast("double")
+        before = spans
+        found = v.groupBy(cell.alias("_cell"), key.alias("_key")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()
+        found.sort(key=lambda r: (r["_cell"], r["lo"]))
+        below, rest, brackets, rows_inside = 0, [], [], 0
+        todo_at = iter(todo)
+        rank = next(todo_at, None)
+        for r in found:
+            if rank is not None and rank < below + r["n"]:
+                if r["lo"] == r["hi"]:
+                    while rank is not None and rank < below + r["n"]:
+                        out[rank] = r["lo"]
+                        rank = next(todo_at, None)
+                else:
+                    brackets.append((r["lo"], r["hi"]))
+                    rows_inside += r["n"]
+                    while rank is not None and rank < below + r["n"]:
+                        rest.append(rank)
+                        rank = next(todo_at, None)
+            below += r["n"]
+        todo = rest
+    return out
+
+
+def quantile_values(df: DataFrame, col: str, ps: Sequence[float], accuracy: int = 10000) -> list[float | None]:
+    """Exact interpolated quantiles (as ``percentile`` / ``quantile_cont``), None without values.
+
+    A sketch brackets each quantile (its rank error is at most 1/accuracy),
+    then histograms find the rows around it (``_at_ranks``): two scans where
+    the brackets hold few rows, one more per factor of a thousand. NaN is the
+    greatest value.
     """
     v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    names = [f"q{i}" for i in range(len(ps))]
-    n = v.count()
-    if not n:
-        return F.lit(None).cast("struct<" + ", ".join(f"{x}: double" for x in names) + ">")
-    slack = 2 / accuracy + 2 / n
-    ends = [(p - slack, p + slack) for p in ps]
-    probs = [min(1.0, max(0.0, e)) for lo_hi in ends for e in lo_hi]
-    at = v.agg(F.percentile_approx("_v", probs, accuracy).alias("a")).first()["a"]
-    inside, above = F.lit(False), []
-    for i, (lo, hi) in enumerate(ends):
-        from_lo = F.col("_v") >= at[2 * i] if lo > 0 else F.lit(True)
-        inside = inside | (from_lo & ((F.col("_v") <= at[2 * i + 1]) if hi < 1 else F.lit(True)))
-        above.append(from_lo)
-    rest = v.where(~inside).agg(*[F.count(F.when(~a, 1)).alias(x) for a, x in zip(above, names)])
-    numbered = row_number_within(v.where(inside), [], [("_v", "asc")], out="_rn").withColumn(
-        "_below", rest.select(F.struct(*names)).scalar())
-    parts = []
-    for i, p in enumerate(ps):
-        # the row's rank among all values: values outside the brackets and below this one come before it
-        rank = F.when(above[i], F.col("_rn") + F.col(f"_below.{names[i]}"))
-        pos = (n - 1) * float(p)
-        low = F.max(F.when(rank == math.floor(pos) + 1, F.col("_v")))
-        high = F.max(F.when(rank == math.ceil(pos) + 1, F.col("_v")))
-        parts.append((low + (high - low) * F.lit(pos - math.floor(pos))).alias(names[i]))
-    return numbered.agg(F.struct(*parts).alias("q")).scalar()
+    fine = F.when(~F.isnan("_v") & (F.abs("_v") < float("inf")), F.col("_v"))
+    probs = sorted({min(1.0, max(0.0, p + s)) for p in ps for s in (-2.5 / accuracy, 2.5 / accuracy)})
+    one = v.agg(F.count_if(F.col("_v") == float("-inf")).alias("low"), F.count(fine).alias("n"), F.count_if(F.col("_v") == float("inf")).alias("high"),
+                F.count_if(F.isnan("_v")).alias("nan"), F.min(fine).alias("lo"), F.max(fine).alias("hi"),
+                F.percentile_approx(fine, probs, accuracy).alias("at")).first()
+    total = one["low"] + one["n"] + one["high"] + one["nan"]
+    if not total:
+        return [None] * len(ps)
+    places = [(total - 1) * float(p) for p in ps]
+    ranks = {f(x) for x in places for f in (math.floor, math.ceil)}
+    known = {r: float("-inf") for r in ranks if r < one["low"]}
+    known |= {r: float("inf") if r < total - one["nan"] else float("nan") for r in ranks if r >= one["low"] + one["n"]}
+    left = [r - one["low"] for r in sorted(ranks - set(known))]
+    if left:
+        bounds = [one["lo"], *(one["at"] or []), one["hi"]]
+        edges = [0.0, *probs, 1.0]
+        brackets = []
+        for r in left:
+            share = r / one["n"]
+            # the sketch's values on both sides of the rank, one error and two rows away
+            slack = 1.0 / accuracy + 2 / one["n"]
+            lo = max((i for i, e in enumerate(edges) if e <= share - slack), default=0)
+            hi = min((i for i, e in enumerate(edges) if e >= share + slack), default=len(edges) - 1)
+            brackets.append((bounds[lo], bounds[hi]))
+        inside = min(one["n"], int(one["n"] * 6 / accuracy) * len(set(brackets)) + 100) if one["n"] > accuracy else one["n"]
+        finite = v.where(~F.isnan("_v") & (F.abs("_v") < float("inf")))
+        found = _at_ranks(finite, inside, left, brackets)
+        known |= {r + one["low"]: x for r, x in found.items()}
+
+    def between(x: float) -> float:
+        low, high, part = known[math.floor(x)], known[math.ceil(x)], x - math.floor(x)
+        return low if low == high else low + (high - low) * part
+
+    return [between(x) for x in places]
+
+
+def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], accuracy: int = 10000) -> Column:
+    """``quantile_values`` as one literal struct ``q0, q1, ..``."""
+    return F.struct(*[F.lit(q).cast("double").alias(f"q{i}") for i, q in enumerate(quantile_values(df, col, ps, accuracy))])
 
 
 def distribution(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Quartiles, mean, sample stddev, population skewness and excess kurtosis.
 
-    ``exact`` interpolates quartiles from the sorted values (distributed, see
-    ``exact_quantiles``); ``exact=False`` uses ``percentile_approx`` (a
+    ``exact`` interpolates quartiles between the rows around them (see
+    ``quantile_values``); ``exact=False`` uses ``percentile_approx`` (a
     fixed-size sketch merged map-side: one pass, no sort).
     """
     c = F.col(col).cast("double")
@@ -532,6 +678,5 @@ def schema_drift(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     for name, a in actual.items():
         if name not in expected:
             rows.append((name, None, a, "unexpected"))
-    schema = StructType([StructField("column_name", StringType()), StructField("expected_type", StringType()),
-                         StructField("actual_type", StringType()), StructField("issue", StringType())])
+    schema = "column_name string, expected_type string, actual_type string, issue string"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -43,26 +43,30 @@ def dim_date_for(df: DataFrame, col: str) -> DataFrame:
 
 
 def load_dim(raw: DataFrame, natural_key: str, attrs: Sequence[str], key_col: str,
-             order: Sequence[str] | None = None) -> DataFrame:
+             order: Sequence[str] | None = None, at_most: int | None = None) -> DataFrame:
     """Distinct attributes per natural key (one row per key), numbered with
-    surrogate keys in ``order`` (default: the natural key)."""
+    surrogate keys in ``order`` (default: the natural key). ``at_most``: a
+    known bound of the number of keys."""
     one = latest_per_key(raw.select(natural_key, *attrs), [natural_key], list(attrs))
     ordering = [(c, "asc") for c in (order or [natural_key])]
     if natural_key not in (order or []):
         ordering.append((natural_key, "asc"))
-    return assign_keys(one, key_col, ordering).select(key_col, natural_key, *attrs)
+    return assign_keys(one, key_col, ordering, at_most=at_most).select(key_col, natural_key, *attrs)
 
 
 def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *,
               date_col: str, customer_id: str, product_id: str, price: str, quantity: str,
-              keep: Sequence[str], sale_key: str | None = "sale_key", order: Sequence[str] = ()) -> DataFrame:
+              keep: Sequence[str], sale_key: str | None = "sale_key", order: Sequence[str] = (),
+              key_rows: DataFrame | None = None) -> DataFrame:
     """Fact rows with dimension keys looked up and ``total_amount = price × qty``.
 
     Lookups are left joins, so rows without a dimension match are kept with
     a NULL key and ``matched = false`` (the written INSERT .. JOIN drops them).
     The date key is computed (``yyyyMMdd``), which equals the date-dimension lookup.
     ``sale_key=None`` skips the identity column (a global numbering pass)
-    for callers that only aggregate the fact.
+    for callers that only aggregate the fact. ``key_rows``: the source lines
+    with the leading columns of ``order``, one row per fact row, from which
+    the numbering takes its bounds and counts without the lookups.
     """
     dc = dim_customer.select("customer_key", F.col(customer_id).alias("_cid"))
     dp = dim_product.select("product_key", F.col(product_id).alias("_pid"))
@@ -74,7 +78,7 @@ def load_fact(raw: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, *
                  (F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()).alias("matched"))
     if sale_key is None:
         return f
-    return assign_keys(f, sale_key, [(c, "asc") for c in order] or [(c, "asc") for c in keep])
+    return assign_keys(f, sale_key, [(c, "asc") for c in order] or [(c, "asc") for c in keep], key_rows=key_rows)
 
 
 def sales_by_category(fact: DataFrame, dim_product: DataFrame, category: str = "category",

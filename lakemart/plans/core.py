@@ -77,7 +77,7 @@ SELECT customer_id, total_spend, n_orders,
   CAST(ROW_NUMBER() OVER (ORDER BY total_spend DESC, customer_id) AS BIGINT) AS spend_rank FROM s"""))
 def spend_row_number(spark, d):
     return ranking.global_rank(_spend(spark, d), [("total_spend", "desc")], ["customer_id"],
-                               method="row_number", out="spend_rank")
+                               method="row_number", out="spend_rank", at_most=T.orders(spark, d).count())
 
 
 @register("spend_rank", q(_SPEND_SQL + """
@@ -85,7 +85,7 @@ SELECT customer_id, total_spend, n_orders,
   CAST(RANK() OVER (ORDER BY total_spend DESC) AS BIGINT) AS spend_rank FROM s"""))
 def spend_rank(spark, d):
     return ranking.global_rank(_spend(spark, d), [("total_spend", "desc")], ["customer_id"],
-                               method="rank", out="spend_rank")
+                               method="rank", out="spend_rank", at_most=T.orders(spark, d).count())
 
 
 @register("order_count_rank", q(_SPEND_SQL + """
@@ -93,7 +93,7 @@ SELECT customer_id, n_orders, CAST(RANK() OVER (ORDER BY n_orders DESC) AS BIGIN
 def order_count_rank(spark, d):
     """A rank with many ties."""
     return ranking.global_rank(_spend(spark, d).select("customer_id", "n_orders"), [("n_orders", "desc")], ["customer_id"],
-                               method="rank", out="count_rank")
+                               method="rank", out="count_rank", at_most=T.orders(spark, d).count())
 
 
 @register("top_customers", q(_SPEND_SQL + """

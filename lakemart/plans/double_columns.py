@@ -17,6 +17,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     "domain_check": ["pct"],
     "duplication_rate": ["duplicate_pct"],
     "duplication_rate_by_lang": ["duplicate_pct"],
+    "duplication_rate_events": ["duplicate_pct"],
     "duration_hours": ["min_hours", "max_hours", "avg_hours"],
     "duration_stats": ["avg_days"],
     "fill_defaults": ["revenue"],

@@ -16,6 +16,8 @@ from lakemart.operators.ranking import assign_keys
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
 from lakemart.plans.sqlfrag import q
+from lakemart.session import scratch_path
+from lakemart.sources import files
 
 # fixed values of the scenario
 LOAD_DATE, CHANGE_DATE, CLOSE_DATE = "2023-01-01", "2023-06-15", "2023-06-14"
@@ -69,8 +71,14 @@ def _init(spark, d, kind):
                           sk_col="CustomerSK", current_col="CurrentRegion", previous_col="PreviousRegion")
 
 
+def _stored(spark, df, name):
+    """A dimension is a table: written once, read by every step that follows."""
+    path = files.write_layer(df, scratch_path(spark, name))
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _scd2(spark, d, target=None):
-    t = target if target is not None else _init(spark, d, 2)
+    t = target if target is not None else _stored(spark, _init(spark, d, 2), "dim_customer")
     return merge.scd2_apply(t, scd_changes(spark, d), KEYS, ["Name", "Region"], "EffectiveDate",
                             sk_col="CustomerSK")
 
@@ -123,8 +131,9 @@ SELECT COUNT(oc) AS n_old, COUNT(nc) AS n_new, CAST(SUM(CASE WHEN oc IS NULL THE
   CAST(SUM(CASE WHEN oc AND NOT nc THEN 1 ELSE 0 END) AS BIGINT) AS n_closed,
   CAST(SUM(CASE WHEN oc IS NOT DISTINCT FROM nc THEN 1 ELSE 0 END) AS BIGINT) AS n_unchanged FROM j"""))
 def change_counts(spark, d):
-    t = _init(spark, d, 2)
-    return merge.change_counts(t, _scd2(spark, d, t), sk_col="CustomerSK")
+    t = _stored(spark, _init(spark, d, 2), "dim_customer")
+    new = _stored(spark, _scd2(spark, d, t), "dim_customer_next")
+    return merge.change_counts(t, new, sk_col="CustomerSK")
 
 
 _AFFECTED_SQL = """
@@ -136,7 +145,7 @@ SELECT COUNT(*) FILTER (t_id IS NULL) AS n_inserted, COUNT(*) FILTER (changed) A
 , j AS (SELECT t.CustomerID AS t_id, t.CustomerID IS NOT NULL AND s.CustomerID IS NOT NULL AS changed
   FROM t1 t FULL JOIN chg s ON t.CustomerID = s.CustomerID)""" + _AFFECTED_SQL))
 def scd1_affected_rows(spark, d):
-    return merge.affected_rows(_init(spark, d, 1), scd1_merge(spark, d), KEYS)
+    return merge.affected_rows(_init(spark, d, 1), _stored(spark, scd1_merge(spark, d), "dim_customer_next"), KEYS)
 
 
 @register("scd3_affected_rows", q(_SCD_SQL + """
@@ -144,7 +153,7 @@ def scd1_affected_rows(spark, d):
   AND t.CurrentRegion IS DISTINCT FROM s.Region AS changed FROM t3 t FULL JOIN chg s ON t.CustomerID = s.CustomerID)"""
   + _AFFECTED_SQL))
 def scd3_affected_rows(spark, d):
-    return merge.affected_rows(_init(spark, d, 3), scd3_apply(spark, d), KEYS)
+    return merge.affected_rows(_init(spark, d, 3), _stored(spark, scd3_apply(spark, d), "dim_customer_next"), KEYS)
 
 
 def _late_changes(spark, d):
@@ -162,7 +171,7 @@ UNION ALL SELECT CustomerID, Name, Region, DATE '2022-06-01', 'out of order' FRO
   WHERE CustomerID % 7 = 0 AND CustomerID < {NEW_KEY_OFFSET}
 UNION ALL SELECT CustomerID, Name, Region, NULL, 'no date' FROM chg WHERE CustomerID % 11 = 0"""))
 def scd2_rejects(spark, d):
-    return merge.scd2_apply(_init(spark, d, 2), _late_changes(spark, d), KEYS, ["Name", "Region"], "EffectiveDate",
+    return merge.scd2_apply(_stored(spark, _init(spark, d, 2), "dim_customer"), _late_changes(spark, d), KEYS, ["Name", "Region"], "EffectiveDate",
                             sk_col="CustomerSK", return_rejects=True)[1]
 
 
@@ -197,14 +206,15 @@ def dim_customer(spark, d):
     sold = T.orders(spark, d).select("order_id", "customer_id").join(
         T.items(spark, d).select("order_id"), "order_id", "left_semi").select("customer_id")
     return star.load_dim(customers_natural(spark, d).join(sold, "customer_id", "left_semi"),
-                         "customer_id", ["customer_name", "country"], "customer_key")
+                         "customer_id", ["customer_name", "country"], "customer_key",
+                         at_most=T.table(spark, d, "customer").count())
 
 
 def fact_sales(spark, d):
     return star.load_fact(raw_sales(spark, d), dim_customer(spark, d), dim_product(spark, d),
                           date_col="purchase_ts", customer_id="customer_id", product_id="product_id",
                           price="unit_price", quantity="quantity", keep=["order_id", "line_no"],
-                          sale_key="sale_key",
+                          sale_key="sale_key", key_rows=T.items(spark, d).select("order_id", "line_no"),
                           order=["order_id", "line_no", "date_key", "customer_key", "product_key", "quantity"])
 
 

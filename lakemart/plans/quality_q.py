@@ -246,6 +246,61 @@ def duplication_rate(spark, d):
     return quality.duplication_rate(T.table(spark, d, "documents").select("lang", "text"))
 
 
+_FILES_SQL = """, f AS (SELECT 'load_' || (event_id % 8) AS file, event_id, event_type, value, ts FROM events),
+all_files AS (SELECT * FROM f UNION ALL SELECT 'again_3', event_id, event_type, value, ts FROM f WHERE file = 'load_3'
+  UNION ALL SELECT 'edit_5', event_id, event_type, value, CASE WHEN event_id = (SELECT MIN(event_id) FROM f WHERE file = 'load_5')
+    THEN ts + INTERVAL 1 MICROSECOND ELSE ts END FROM f WHERE file = 'load_5'
+  UNION ALL SELECT 'twice_6', event_id, event_type, value, ts FROM f WHERE file = 'load_6'
+  UNION ALL SELECT 'twice_6', event_id, event_type, value, ts FROM f WHERE file = 'load_6')"""
+
+
+@register("reloaded_files", q(_FILES_SQL + """
+, rows_of AS (SELECT file, COUNT(*) AS n_rows, list((event_id, event_type, value, ts) ORDER BY event_id, event_type, value, ts) AS content
+  FROM all_files GROUP BY file),
+firsts AS (SELECT content, MIN(file) AS same_as FROM rows_of GROUP BY content HAVING COUNT(*) > 1)
+SELECT file, same_as, n_rows FROM rows_of JOIN firsts USING (content) WHERE file <> same_as"""))
+def reloaded_files(spark, d):
+    """Planted: one file loaded again under another name; one with a microsecond changed and one doubled are no reloads."""
+    f = T.table(spark, d, "events").select(F.concat(F.lit("load_"), F.col("event_id") % 8).alias("file"),
+                                           "event_id", "event_type", "value", "ts")
+    low = f.where("file = 'load_5'").agg(F.min("event_id")).scalar()
+    again = f.where("file = 'load_3'").withColumn("file", F.lit("again_3"))
+    edit = f.where("file = 'load_5'").withColumn("file", F.lit("edit_5")).withColumn(
+        "ts", F.when(F.col("event_id") == low, F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).otherwise(F.col("ts")))
+    six = f.where("file = 'load_6'").withColumn("file", F.lit("twice_6"))
+    return quality.reloaded_files(f.unionByName(again).unionByName(edit).unionByName(six).unionByName(six), "file")
+
+
+# planted: every 40th row again, one microsecond later; every 50th again as it is; zeros of both signs
+_ODD_SQL = """WITH x AS (SELECT event_type, ts, CASE WHEN event_id % 10 = 0 THEN 0.0 ELSE value END AS value FROM events
+  UNION ALL SELECT event_type, ts + INTERVAL 1 MICROSECOND, value FROM events WHERE event_id % 40 = 0
+  UNION ALL SELECT event_type, ts, CASE WHEN event_id % 10 = 0 THEN 0.0 ELSE value END FROM events WHERE event_id % 50 = 0),
+g AS (SELECT event_type, ts, value, COUNT(*) AS n_copies FROM x GROUP BY event_type, ts, value)
+"""
+
+
+def _odd_events(spark, d):
+    e = T.table(spark, d, "events")
+    zero = lambda sign: F.when(F.col("event_id") % 10 == 0, F.lit(sign * 0.0)).otherwise(F.col("value")).alias("value")
+    return e.select("event_type", "ts", zero(1)).unionByName(
+        e.where("event_id % 40 = 0").select("event_type", (F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).alias("ts"), "value")).unionByName(
+        e.where("event_id % 50 = 0").select("event_type", "ts", zero(-1)))
+
+
+@register("duplicate_events", _ODD_SQL + "SELECT * FROM g WHERE n_copies > 1")
+def duplicate_events(spark, d):
+    """Rows that differ by a microsecond are two, 0.0 and -0.0 are one."""
+    return quality.duplicate_rows(_odd_events(spark, d)).withColumn("value", F.col("value") + F.lit(0.0))
+
+
+@register("duplication_rate_events", _ODD_SQL + f"""
+SELECT CAST(SUM(n_copies) AS BIGINT) AS total_rows, COUNT(*) AS distinct_rows,
+  CAST(SUM(n_copies) - COUNT(*) AS BIGINT) AS duplicate_rows,
+  {ratio('SUM(n_copies) - COUNT(*)', 'SUM(n_copies)', 2, pct=True)} AS duplicate_pct FROM g""")
+def duplication_rate_events(spark, d):
+    return quality.duplication_rate(_odd_events(spark, d))
+
+
 @register("freshness", q(f"""
 SELECT MIN(tap_ts) AS earliest, MAX(tap_ts) AS latest,
   CAST(SUM(CASE WHEN tap_ts > TIMESTAMP '{TAPS_AS_OF}' THEN 1 ELSE 0 END) AS BIGINT) AS future_rows,

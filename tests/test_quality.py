@@ -126,3 +126,71 @@ def test_exact_quantiles_hot_value(spark):
     got = quality.distribution(df, "x").first()
     exp = np.percentile(np.array(vals), [25, 50, 75])     # linear interpolation, as percentile / quantile_cont
     assert (got.p25, got.p50, got.p75) == tuple(round(float(e), 6) for e in exp)
+
+
+def test_distinct_counts_of_all_types_without_expand(spark):
+    rows = spark.range(3000).select(
+        "id", (F.col("id") % 100 - 50).cast("int").alias("i"), (F.col("id") * 1_000_003 * 7919 - 9_000_000_000).alias("wide"),
+        F.expr("date_sub(date'1970-02-01', cast(id % 90 as int))").alias("day"), F.concat(F.lit("s"), F.col("id") % 77).alias("s"),
+        F.expr("case when id % 5 = 0 then double('nan') when id % 5 = 1 then -0.0D when id % 5 = 2 then 0.0D else id % 10 end").alias("x"),
+        F.expr("timestamp_micros(1700000000000000 + id % 1500)").alias("ts"), F.expr("cast(id % 40 / 4 as decimal(10,2))").alias("d"),
+        F.expr("array(id % 3, null)").alias("a"), F.expr("named_struct('p', id % 4, 'q', cast(null as int))").alias("st"),
+        F.expr("id % 2 = 0").alias("flag"), F.expr("cast(id % 30 as tinyint)").alias("t"), F.lit(None).cast("int").alias("none"),
+        F.expr("case when id % 3 > 0 then id % 9 end").alias("some"), F.expr("cast(cast(id % 11 as string) as binary)").alias("b"))
+    want = {c: rows.select(c).where(F.col(c).isNotNull()).distinct().count() for c in rows.columns}
+    out = quality.distinct_report(rows, rows.columns)
+    assert {r["column_name"]: r["n_distinct"] for r in out.collect()} == want
+    assert {r["column_name"]: r["n_distinct"] for r in quality.profile(rows.select("id", "i", "s", "none"), ["id", "i", "s", "none"]).collect()} == {
+        c: want[c] for c in ("id", "i", "s", "none")}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r["n_distinct"] for r in quality.distinct_report(rows.limit(0), ["i", "s"]).collect()] == [0, 0]
+
+
+def test_exact_digests_of_rows(spark):
+    """Microseconds tell rows apart; -0.0 and 0.0, and all NaN, are one value, inside nested columns too."""
+    ts = spark.createDataFrame([("2024-01-01 00:00:00.123456",), ("2024-01-01 00:00:00.123789",)], "t string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = ts.select(F.col("t").cast(kind).alias("t"))
+        assert tuple(quality.duplication_rate(df).first())[:3] == (2, 2, 0)
+        assert quality.duplicate_rows(df).count() == 0
+    zero = spark.createDataFrame([(0.0, [0.0], (0.0,)), (-0.0, [-0.0], (-0.0,)), (float("nan"), [float("nan")], (1.0,)), (float("nan"), [float("nan")], (1.0,))],
+                                 "x double, a array<double>, s struct<y:double>")
+    assert tuple(quality.duplication_rate(zero).first())[:3] == (4, 2, 2)
+    assert sorted(r["n_copies"] for r in quality.duplicate_rows(zero).collect()) == [2, 2]
+    nulls = spark.createDataFrame([(None, "a"), ("a", None), (None, None), (None, None)], "p string, q string")
+    assert tuple(quality.duplication_rate(nulls).first())[:3] == (4, 3, 1)
+
+
+def test_reloaded_files(spark):
+    rows = [("a", 1, "x"), ("a", 2, None), ("b", 2, None), ("b", 1, "x"), ("c", 1, "x"), ("c", 2, "y"), ("d", 1, "x"), ("d", 1, "x"), ("d", 2, None),
+            ("e", 1, "x"), ("e", 2, None), (None, 1, "x"), (None, 2, None)]
+    df = spark.createDataFrame(rows, "f string, k int, v string").repartition(5)
+    assert sorted(map(tuple, quality.reloaded_files(df, "f").collect())) == [("b", "a", 2), ("e", "a", 2)]
+    assert quality.reloaded_files(df.limit(0), "f").count() == 0
+
+
+def test_quantiles_by_narrowing_histograms(spark, monkeypatch):
+    """Ties, huge ranges, infinities and NaN, with cells so few that several rounds are needed."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    inf, nan = float("inf"), float("nan")
+    cases = [rng.normal(size=3000).tolist(), [5.0] * 900 + rng.uniform(4.999999, 5.000001, 300).tolist(), [1.0], [2.0, 1.0], [7.0] * 50,
+             (10.0 ** rng.uniform(-300, 300, 700)).tolist(), [-1.7e308, 1.7e308, 0.0, 5e-324, 1e-323] * 40, [inf, -inf, 1.0, 2.0, 3.0, inf],
+             [np.nextafter(1.0, 2.0), 1.0] * 100 + [0.0]]
+    ps = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
+    for few, cells in ((50_000, 1024), (3, 4)):
+        monkeypatch.setattr(quality, "_FEW", few)
+        monkeypatch.setattr(quality, "_CELLS", cells)
+        for values in cases:
+            df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+            got = quality.quantile_values(df, "v", ps, accuracy=100)
+            v = sorted(values)
+            for p, g in zip(ps, got):
+                at = (len(v) - 1) * p
+                lo, hi = v[int(np.floor(at))], v[int(np.ceil(at))]
+                want = lo if lo == hi else lo + (hi - lo) * (at - np.floor(at))
+                assert g == want or np.isclose(g, want, rtol=1e-14, equal_nan=True), (few, len(values), p, g, want)
+    df = spark.createDataFrame([(1.0,), (nan,), (2.0,)], "v double")
+    got = quality.quantile_values(df, "v", (0.0, 0.5, 1.0))
+    assert got[:2] == [1.0, 2.0] and got[2] != got[2]
+    assert quality.quantile_values(df.limit(0), "v", (0.5,)) == [None]

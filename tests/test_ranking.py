@@ -1,8 +1,8 @@
 """Distributed row numbers / ranks against a plain window, with a hot key."""
 
 import random
-import re
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -43,20 +43,45 @@ def test_null_keys_grouped(spark):
     assert sorted(map(tuple, ours.select("id", "rn").collect())) == sorted(map(tuple, ref.select("id", "rn").collect()))
 
 
-def test_single_partition_only_over_partition_stats(spark):
-    """Data rows never meet a single-partition exchange: the only one sits on
-    the per-partition statistics (one row per partition, keyed by partition id)."""
+def test_rows_are_shuffled_once_and_not_checkpointed(spark, monkeypatch):
+    """The last plan has one exchange of the rows, by bucket, and no pass is written out."""
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda *a, **k: pytest.fail("checkpoint"))
     df = _frame(spark)
-    for out in (ranking.global_rank(df, [("v", "desc")], ["id"], out="r"),
-                ranking.row_number_within(df, ["g"], [("v", "desc"), ("id", "asc")], out="r")):
-        out.write.format("noop").mode("overwrite").save()
-        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
-        singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
-        assert singles, "expected the stats window"
-        passthrough = ("Project", "Window", "Sort", "Exchange", "AQEShuffleRead", "ShuffleQueryStage")
-        for i in singles:
-            below = next(ln for ln in lines[i + 1:] if ln.strip(" :|+-").split(" ")[0] not in passthrough)
-            assert re.search(r"keys?=\[_lm_pid", below), below
+    for out in (ranking.global_rank(df, [("v", "desc")], ["id"], out="r", num_partitions=5),
+                ranking.global_rank(df, [("v", "desc")], method="rank", out="r", num_partitions=5),
+                ranking.row_number_within(df, ["g"], [("v", "desc"), ("id", "asc")], out="r", num_partitions=5)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SinglePartition" not in plan and "Join" not in plan
+        assert "hashpartitioning(_lm_bucket" in plan
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 3, 8, 50])
+def test_groups_and_ties_across_many_buckets(spark, buckets):
+    """Groups and ties that lie in several buckets, begin at a bound or fill whole buckets."""
+    rows = [(i, [0, 0, 0, 0, 1, 2, 2, 3][i % 8] if i < 1600 else None, i // 700) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, g int, v int")
+    w = Window.partitionBy("g").orderBy(F.desc_nulls_last("v"), "id")
+    ref = df.withColumn("rn", F.row_number().over(w)).withColumn("rk", F.rank().over(Window.orderBy(F.desc_nulls_last("g"), "v")))
+    want = sorted(map(tuple, ref.select("id", "rn", "rk").collect()))
+    rn = ranking.row_number_within(df, ["g"], [("v", "desc"), ("id", "asc")], out="rn", num_partitions=buckets)
+    rk = ranking.global_rank(df, [("g", "desc"), ("v", "asc")], method="rank", out="rk", num_partitions=buckets)
+    assert sorted(map(tuple, rn.join(rk.select("id", "rk"), "id").select("id", "rn", "rk").collect())) == want
+
+
+def test_keys_of_all_types_keep_their_exact_order(spark):
+    df = spark.range(400).select(
+        "id", F.expr("timestamp_micros(1700000000000000 + (id * 7919) % 400)").alias("ts"),
+        F.expr("cast(timestamp_micros(1700000000000000 + (id * 7919) % 400) as timestamp_ntz)").alias("ntz"),
+        F.expr("(id * 31 % 400) / 7d").alias("x"), F.expr("cast(id * 31 % 400 as decimal(38,10)) / 3").alias("d"),
+        F.expr("case when id % 5 = 0 then cast('nan' as double) when id % 7 = 0 then double('-infinity') else id / 3d end").alias("odd"),
+        F.expr("concat('a\"\\\\', char(id % 200 + 33))").alias("s"), F.expr("cast(id * 13 % 400 as string)").alias("t"),
+        F.expr("date_add(date'1900-01-01', cast(id * 17 % 400 as int))").alias("day"), F.expr("encode(cast(id as string), 'utf-8')").alias("b"))
+    for key in df.columns[1:]:
+        for way in ("asc", "desc"):
+            got = ranking.row_number_within(df, [], [(key, way), ("id", "asc")], out="rn", num_partitions=40)
+            ref = df.withColumn("rn", F.row_number().over(Window.orderBy(
+                F.desc_nulls_last(key) if way == "desc" else F.asc_nulls_first(key), "id")).cast("bigint"))
+            assert dict(got.select("id", "rn").collect()) == dict(ref.select("id", "rn").collect()), (key, way)
 
 
 def test_latest_per_key_is_an_aggregate(spark):

@@ -5,8 +5,9 @@ step; after each symbol a random bit of (step, symbol) says whether to move
 on to the next word. Windows at small edit distance give outputs at small
 Hamming distance, so a key made of a few sampled output positions is often
 equal for both. Several walks with several keys each reach the target recall.
-A candidate is then verified by the exact edit distance between the item's
-words and the document around it.
+A candidate whose window shares half of its words with the item is then
+verified by the exact edit distance between the item's words and the document
+around it.
 
 Windows: an item of n words is indexed at every offset in windows of w words;
 a document is cut into windows of w words at every s-th word. With
@@ -42,15 +43,19 @@ class Decontam:
     A document holds an item if some run of its words is within
     ``edit_pct`` percent of the item's words (rounded down) in edit distance
     over words. ``walks`` CGK walks with ``keys`` keys of ``samples``
-    positions each are tried. ``block_bytes``: items are broadcast in blocks
-    of about this many bytes of text; more items mean more blocks.
+    positions each are tried. A colliding window needs ``shared_pct`` percent
+    of its words among the item's: of the windows of an occurrence some have
+    no more than the item's share of edits. ``block_bytes``: items are
+    broadcast in blocks whose index takes about this many bytes; more items
+    mean more blocks.
     """
 
     edit_pct: int = 20
     walks: int = 3
-    keys: int = 10
-    samples: int = 4
-    block_bytes: int = 4 << 20
+    keys: int = 12
+    samples: int = 5
+    shared_pct: int = 50
+    block_bytes: int = 128 << 20
 
 
 def _size_class(n: int) -> tuple[int, int]:
@@ -62,10 +67,15 @@ def _size_class(n: int) -> tuple[int, int]:
 
 
 def _walk_plan(p: Decontam, w: int, walk: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Multipliers of a walk's steps, and the sampled steps of each key."""
+    """Multipliers of a walk's steps, and the sampled steps of each key.
+
+    Late steps mostly lie behind the window's last word, where all windows
+    agree, and edits add up; samples come from the first 5/4 w steps.
+    """
     rng = np.random.default_rng([w, walk, 20240229])
     steps = 2 * w
-    picks = [np.sort(rng.choice(steps, size=min(p.samples, steps), replace=False)) for _ in range(p.keys)]
+    early = max(min(p.samples, steps), 5 * w // 4)
+    picks = [np.sort(rng.choice(early, size=min(p.samples, early), replace=False)) for _ in range(p.keys)]
     return rng.integers(0, 1 << 32, size=steps, dtype=np.uint32) | np.uint32(1), picks
 
 
@@ -134,9 +144,11 @@ def build_index(texts: list[str | None], p: Decontam) -> dict:
     keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
     at = np.concatenate(at) if at else np.zeros((0, 2), np.int64)
     order = np.argsort(keys, kind="stable")
-    bits = max(16, int(64 * max(1, len(keys))).bit_length())
-    seen = np.zeros(1 << bits, dtype=bool)
-    seen[keys >> _U(64 - bits)] = True
+    # 16 to 32 bits a key
+    bits = max(16, int(16 * max(1, len(keys))).bit_length())
+    slot = keys >> _U(64 - bits)
+    seen = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    np.bitwise_or.at(seen, slot >> _U(3), np.uint8(1) << (slot & _U(7)).astype(np.uint8))
     holds = np.zeros((len(items), _GROUPS), dtype=bool)
     for i, x in enumerate(items):
         holds[i, _group(np.array(x, dtype=np.uint64))] = True
@@ -181,6 +193,7 @@ def scan(arr: pa.Array, index: dict) -> list[list[tuple[int, int]]]:
         w = T.words(T.fold(data), offsets, T.ALNUM)
         gap = max((size for size, _ in index["classes"]), default=1)
         tokens = _tokens(w, gap)
+        group = np.append(_group(w.hashes), np.zeros(_WIDEST, np.int16))
         count = np.diff(w.offsets)
         cand = []
         for size, stride in index["classes"]:
@@ -190,13 +203,19 @@ def scan(arr: pa.Array, index: dict) -> list[list[tuple[int, int]]]:
             starts = w.offsets[:-1][doc] + (np.arange(len(doc)) - first[doc]) * stride
             for walk in range(p.walks):
                 keys = embed_keys(tokens, starts + doc * gap, size, walk, p)
-                hit = np.flatnonzero(index["seen"][keys.reshape(-1) >> _U(64 - index["bits"])])
+                slot = keys.reshape(-1) >> _U(64 - index["bits"])
+                hit = np.flatnonzero(index["seen"][slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8) & np.uint8(1))
                 k = keys.reshape(-1)[hit]
                 lo = np.searchsorted(index["keys"], k, side="left")
                 n = np.searchsorted(index["keys"], k, side="right") - lo
                 pick = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 window = np.repeat(hit % len(starts), n)
                 item, at = index["at"][pick].T
+                shared = np.zeros(len(item), dtype=np.int16)
+                for j in range(size):
+                    shared += index["holds"][item, group[starts[window] + j]]
+                near = 100 * shared >= p.shared_pct * size
+                window, item, at = window[near], item[near], at[near]
                 cand.append(np.unique((doc[window] * len(index["items"]) + item << 32) + starts[window] - at))
         if cand:
             both = np.unique(np.concatenate(cand))
@@ -261,8 +280,9 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, to: str, p: Decontam = Deco
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(item_text).alias("t"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = total // p.block_bytes + 1
+    # a key takes 16 bytes and its bits, a word starts about one window
+    size = items.agg(F.coalesce(F.sum(F.regexp_count("t", F.lit(r"[\p{L}\p{N}]+"))), F.lit(0)).alias("words"), F.count(F.lit(1)).alias("n")).first()
+    blocks = min(size["words"] * p.walks * p.keys * 20 // p.block_bytes, max(0, size["n"] - 1)) + 1
     part = [F.array().cast(HITS)]
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("t", "id"), F.lit(blocks)) == b).orderBy("id", "t").collect()

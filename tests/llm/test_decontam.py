@@ -100,3 +100,20 @@ def test_recall_at_the_full_edit_share_for_all_lengths(n, kind):
         texts.append(" ".join(words(prose(k + 1, 30 + k % 17)) + [x for y in w for x in y] + words(prose(k + 2, 30))))
     hits = D.scan(pa.array(texts), D.build_index(items, D.Decontam()))
     assert sum(k % 4 in dict(h) for k, h in enumerate(hits)) >= 59
+
+
+def test_a_block_of_the_index_stays_within_its_bytes():
+    """About as many words as fit one block: the arrays that travel take no more than half as much again."""
+    p = D.Decontam(block_bytes=8 << 20)
+    per_item = 40 * p.walks * p.keys * 20
+    index = D.build_index([prose(i, 40) for i in range(p.block_bytes // per_item)], p)
+    assert sum(index[k].nbytes for k in ("keys", "at", "seen", "holds")) < 1.5 * p.block_bytes
+
+
+def test_windows_that_share_few_words_are_no_candidates(monkeypatch):
+    """Collisions of common words alone do not reach the check of the surroundings."""
+    got = []
+    monkeypatch.setattr(D, "_verify", lambda cand, w, index, out, row: got.append(len(cand)))
+    common = " ".join(random.Random(3).choices(["the", "of", "and", "to", "in", *WORDS], weights=[9] * 5 + [1] * len(WORDS), k=20_000))
+    D.scan(pa.array([common]), D.build_index([prose(7, 40) + " the of and to in the of", ITEMS[4]], D.Decontam()))
+    assert sum(got) < 2000

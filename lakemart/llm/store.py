@@ -33,3 +33,20 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def columns(df: DataFrame) -> list[Column]:
     """All columns of ``df``, whatever characters their names have."""
     return [F.col(f"`{c}`") for c in df.columns]
+
+
+# ids that may be broadcast: 8 bytes each, about 32 MB as a hash table
+FEW_IDS = 1_000_000
+
+
+def keep_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``df`` semi- or anti-joined on ``key`` with the one column of ``ids`` (without repeats, all or none of 8 bytes).
+
+    Few ids, by their measured count, are broadcast, so that ``df`` is not
+    shuffled; more are joined by a shuffle.
+    """
+    name = free_name(df, "kept_id")
+    ids = ids.toDF(name)
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, df[f"`{key}`"] == F.col(name), how)

@@ -14,14 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import text as T
+from lakemart.llm.blas import one_thread
 from lakemart.llm.store import columns, free_name, written
 
 _U = np.uint64
-_WIDE = 16  # parameters per row while they are averaged
 _FIXED = float(1 << 24)
 
 
@@ -30,12 +30,14 @@ class Lm:
     """Parameters.
 
     ``vocabulary`` most frequent words have vectors of their own, the others
-    share ``tail_inputs`` vectors; this bounds the model. Classes: ``single``
+    share ``tail_inputs`` vectors; this bounds the network. Classes: ``single``
     most frequent words alone, ``middle`` classes of about equal mass, and
-    ``tail`` classes by hash for words outside the vocabulary.
+    ``tail`` classes by hash for words outside the vocabulary. Every word,
+    inside or outside it, has its own share of its class, from its count in
+    the whole corpus; that table of counts grows with the corpus.
     ``side`` words on each side are read. Training runs ``rounds`` times
     over all documents: each task trains on its own rows, then the parameters
-    are averaged. A ``share`` below 1 trains on that part of the rows, drawn
+    are averaged, a word's vector over the tasks that met it by how often. A ``share`` below 1 trains on that part of the rows, drawn
     row by row, copies of a text one by one.
     """
 
@@ -107,7 +109,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, p: Lm) -> dict:
-    """Word ids, classes and shares of their class, from the counts of all words."""
+    """Ids, classes and shares of the most frequent words, and the mass of the classes of all others."""
     top = counts.orderBy(F.desc("n"), "h").limit(p.vocabulary).toArrow()
     h = np.asarray(top["h"]).astype(np.int64).view(np.uint64)
     n = np.asarray(top["n"]).astype(np.float64)
@@ -117,23 +119,25 @@ def vocabulary(counts: DataFrame, p: Lm) -> dict:
         cls[p.single:] = p.single + np.minimum(rest * p.middle / n[p.single:].sum(), p.middle - 1).astype(np.int64)
     mass = np.bincount(cls, n, p.single + p.middle)
     share = np.log(n / mass[cls]) if len(h) else n
-    # words outside the vocabulary share their class evenly
-    ids = F.shiftrightunsigned("h", 20) % p.tail
     last = (int(top["n"][-1].as_py()), int(top["h"][-1].as_py())) if len(h) else (0, 0)
     out = counts.where((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("h") > last[1])))
-    distinct = np.zeros(p.tail)
-    for r in out.groupBy(ids.alias("c")).agg(F.count("*").alias("k")).collect():
-        distinct[r["c"]] = r["k"]
+    tail = np.zeros(p.tail)
+    for r in out.groupBy(tail_class(F.col("h"), p).alias("c")).agg(F.sum("n").alias("k")).collect():
+        tail[r["c"]] = r["k"]
     order = np.argsort(h)
     return {"hash": h[order], "id": order.astype(np.int32), "class": cls[order].astype(np.int32),
-            "share": share[order], "tail": -np.log(distinct + 1)}
+            "share": share[order], "tail": tail}
+
+
+def tail_class(h: Column, p: Lm) -> Column:
+    return F.pmod(F.shiftrightunsigned(h, 20), F.lit(p.tail)).cast("int")
 
 
 def look_up(hashes: np.ndarray, voc: dict, p: Lm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(input id, class, log share of the class) of each word."""
-    tail_class = ((hashes >> _U(20)) % _U(p.tail)).astype(np.int32)
+    """(input id, class, log share of the class) of each word; the share of a word outside the vocabulary is NaN."""
     ids = (_U(p.vocabulary) + hashes % _U(p.tail_inputs)).astype(np.int32)
-    cls, share = tail_class + np.int32(p.single + p.middle), voc["tail"][tail_class]
+    cls = ((hashes >> _U(20)) % _U(p.tail)).astype(np.int32) + np.int32(p.single + p.middle)
+    share = np.full(len(hashes), np.nan)
     if len(voc["hash"]):
         at = np.minimum(np.searchsorted(voc["hash"], hashes), len(voc["hash"]) - 1)
         known = voc["hash"][at] == hashes
@@ -216,6 +220,7 @@ def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
     texts = docs.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     counts = written(word_counts(texts), "word_counts")
     voc = vocabulary(counts, p)
+    inputs = _shapes(p)[0][0]
     rows_in = texts if p.share >= 1 else written(texts.sample(p.share, p.seed), "lm_sample")
     flat, trained = initial(p), 0
     for _ in range(p.rounds):
@@ -224,44 +229,55 @@ def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
         def local(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             words, start = shared.value
 
-            def rows():
+            def rows(met):
                 for b in batches:
                     for _, data, offsets in T.slices(b.column(0)):
                         w = T.words(T.fold(data), offsets, T.ALNUM)
                         if len(w.hashes):
-                            yield *look_up(w.hashes, words, p)[:2], w.offsets
-
-            new, n = train(rows(), start, p)
+                            ids, cls, _ = look_up(w.hashes, words, p)
+                            met += np.bincount(ids, minlength=len(met))
+                            met[-1] += p.side * (len(offsets) - 1)  # the outside word
+                            yield ids, cls, w.offsets
+
+            one_thread()
+            met = np.zeros(inputs, np.int64)
+            new, n = train(rows(met), start, p)
             if n:
-                wide = np.zeros(-(-len(new) // _WIDE) * _WIDE)
+                wide = np.zeros(-(-len(new) // p.embed) * p.embed)
                 wide[:len(new)] = new
                 # whole numbers, so that the sums do not depend on their order
-                wide = np.rint(wide.reshape(-1, _WIDE) * _FIXED).astype(np.int64)
-                weight = max(1, n >> 10)
+                wide = np.rint(wide.reshape(-1, p.embed) * _FIXED).astype(np.int64)
+                weight = np.full(len(wide), max(1, n >> 10), np.int64)
+                weight[:inputs] = met  # the first rows are the words' vectors
+                at = np.flatnonzero(weight)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(wide), dtype=np.int32)), pa.array(np.full(len(wide), n, np.int64)),
-                     pa.array(np.full(len(wide), weight, np.int64)),
-                     *(pa.array(wide[:, k] * weight) for k in range(_WIDE))],
-                    names=["row", "n", "w", *(f"v{k}" for k in range(_WIDE))])
+                    [pa.array(at.astype(np.int32)), pa.array(np.full(len(at), n, np.int64)), pa.array(weight[at]),
+                     *(pa.array(wide[at, k]) for k in range(p.embed))],
+                    names=["row", "n", "w", *(f"v{k}" for k in range(p.embed))])
 
-        schema = "row int, n bigint, w bigint, " + ", ".join(f"v{k} bigint" for k in range(_WIDE))
+        schema = "row int, n bigint, w bigint, " + ", ".join(f"v{k} bigint" for k in range(p.embed))
+        weighted = [F.sum(F.col(f"v{k}").cast("decimal(20,0)") * F.col("w").cast("decimal(18,0)")).cast("double").alias(f"v{k}")
+                    for k in range(p.embed)]
         total = rows_in.mapInArrow(local, schema).groupBy("row").agg(
-            F.sum("n").alias("n"), F.sum("w").alias("w"), *(F.sum(F.col(f"v{k}").cast("decimal(38,0)")).cast("double").alias(f"v{k}")
-                                     for k in range(_WIDE))).toArrow()
+            F.sum("n").alias("n"), F.sum("w").alias("w"), *weighted).toArrow()
         if total.num_rows:
-            trained = int(total["n"][0].as_py())
-            order = np.argsort(np.asarray(total["row"]))
-            wide = np.stack([np.asarray(total[f"v{k}"]) for k in range(_WIDE)], axis=1)
-            mean = wide / np.asarray(total["w"])[:, None] / _FIXED
-            flat = mean[order].ravel()[:len(flat)].astype(np.float32)
+            row = np.asarray(total["row"])
+            trained = int(np.asarray(total["n"])[row.argmax()])  # every task that trained gives the last row
+            wide = np.stack([np.asarray(total[f"v{k}"]) for k in range(p.embed)], axis=1)
+            # a word's vector that no task met stays as it is
+            mean = np.zeros(-(-len(flat) // p.embed) * p.embed)
+            mean[:len(flat)] = flat
+            mean.reshape(-1, p.embed)[row] = wide / np.asarray(total["w"])[:, None] / _FIXED
+            flat = mean[:len(flat)].astype(np.float32)
     if not trained and len(voc["hash"]):
         raise ValueError(f"no document was drawn to train on (share {p.share}); raise the share")
-    return {"vocabulary": voc, "parameters": flat, "p": p, "trained": trained}
+    return {"vocabulary": voc, "counts": counts, "parameters": flat, "p": p, "trained": trained}
 
 
 def log_likelihood(ids: np.ndarray, cls: np.ndarray, share: np.ndarray, offsets: np.ndarray, tables: list, p: Lm
                    ) -> np.ndarray:
-    """Log-probability of every word given its neighbours. ``tables``: see ``_tables``."""
+    """Log-probability of every word given its neighbours, words outside the vocabulary without their share of the
+    class. ``tables``: see ``_tables``."""
     per_side, bias, out, obias = tables
     total = np.empty(len(ids))
     ctx = list(contexts(ids, offsets, p))
@@ -274,7 +290,7 @@ def log_likelihood(ids: np.ndarray, cls: np.ndarray, share: np.ndarray, offsets:
         z += obias
         z -= z.max(axis=1, keepdims=True)
         own = z[np.arange(len(z)), cls[cut]].astype(np.float64)
-        total[cut] = own - np.log(np.exp(z, out=z).sum(axis=1)) + share[cut]
+        total[cut] = own - np.log(np.exp(z, out=z).sum(axis=1)) + np.nan_to_num(share[cut])
     return total
 
 
@@ -290,26 +306,55 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_t
     Null texts and texts without words get 0 and 0.0. Whole texts are scored.
     Equal texts get equal scores. Extra columns pass unchanged; a result name
     that ``docs`` uses gets a suffix. A model of an empty corpus scores too.
+
+    Words outside the vocabulary leave the network's pass by their hash and
+    meet the table of all counts in a join: the share of a word seen n times
+    is n (1, if never seen) of its class's words and one more. Results return
+    to the rows by a 128-bit digest of the text, so texts are not shuffled
+    unless the caller keeps them.
     """
     p: Lm = model["p"]
-    shared = docs.sparkSession.sparkContext.broadcast((model["vocabulary"], model["parameters"]))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((model["vocabulary"], model["parameters"]))
 
-    @F.arrow_udf("struct<n:bigint,s:double>")
+    @F.arrow_udf("struct<n:bigint,s:double,rare:array<bigint>>")
     def pll(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        one_thread()
         voc, flat = shared.value
         tables = _tables(flat, p)
         for arr in batches:
             n, s = np.zeros(len(arr), np.int64), np.zeros(len(arr))
+            rare, ends = [], np.zeros(len(arr) + 1, np.int64)
             for row, data, offsets in T.slices(arr):
                 w = T.words(T.fold(data), offsets, T.ALNUM)
                 count = np.diff(w.offsets)
                 n[row:row + len(count)] = count
                 full = np.flatnonzero(count)
                 if len(full):
-                    lp = log_likelihood(*look_up(w.hashes, voc, p), w.offsets, tables, p)
+                    ids, cls, share = look_up(w.hashes, voc, p)
+                    lp = log_likelihood(ids, cls, share, w.offsets, tables, p)
                     s[row + full] = np.add.reduceat(lp, w.offsets[:-1][full])
-            yield pa.StructArray.from_arrays([pa.array(n), pa.array(s)], ["n", "s"])
-
-    tmp = free_name(docs, "likelihood")
-    return docs.withColumn(tmp, pll.asNondeterministic()(F.col(text_col))).select(
-        *columns(docs), F.col(f"{tmp}.n").alias(free_name(docs, to_n)), F.col(f"{tmp}.s").alias(free_name(docs, to_sum)))
+                    out = np.flatnonzero(np.isnan(share))
+                    rare.append(w.hashes[out])
+                    ends[row + 1:row + len(count) + 1] = np.diff(np.searchsorted(out, w.offsets))
+            hashes = np.concatenate(rare).view(np.int64) if rare else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), pa.array(hashes))
+            yield pa.StructArray.from_arrays([pa.array(n), pa.array(s), lists], ["n", "s", "rare"])
+
+    digest = [F.xxhash64(F.col(f"`{text_col}`")), F.xxhash64(F.lit(p.seed), F.col(f"`{text_col}`"))]
+    key = [free_name(docs, k) for k in ("text_key", "text_key2")]
+    one = docs.select(*[d.alias(k) for d, k in zip(digest, key)], pll.asNondeterministic()(F.col(f"`{text_col}`")).alias("x"))
+    one = written(one.select(*key, F.monotonically_increasing_id().alias("row"), "x.*"), "likelihoods")
+    mass = F.array(*[F.lit(float(m)) for m in model["vocabulary"]["tail"]])
+    words = one.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count(F.lit(1)).alias("k"))
+    share = F.log(F.coalesce("n", F.lit(1)) / (F.get(mass, tail_class(F.col("h"), p)) + 1))
+    rare = words.join(model["counts"], "h", "left").groupBy("row").agg(F.sum(F.round(share * F.col("k"), 9).cast("decimal(38,9)")).cast("double").alias("r"))
+    total = one.join(rare, "row", "left").groupBy(*key).agg(
+        F.first("n").alias("n"), F.first(F.col("s") + F.coalesce("r", F.lit(0.0))).alias("s"))
+    tmp_n, tmp_s = free_name(docs, "likelihood_n"), free_name(docs, "likelihood_s")
+    total = total.select(*key, F.col("n").alias(tmp_n), F.col("s").alias(tmp_s))
+    keyed = docs
+    for d, k in zip(digest, key):
+        keyed = keyed.withColumn(k, d)
+    return keyed.join(total, key, "left").select(
+        *columns(docs), F.col(tmp_n).alias(free_name(docs, to_n)), F.col(tmp_s).alias(free_name(docs, to_sum)))

@@ -25,8 +25,13 @@ def naive(text, model):
     """The same sum, one word at a time."""
     p = model["p"]
     emb, side, bias, out, obias = M._split(model["parameters"].astype(np.float64), p)
+    counts = {r.h: r.n for r in model["counts"].collect()}
     for _, d, o in M.T.slices(pa.array([text])):
-        ids, cls, share = M.look_up(M.T.words(M.T.fold(d), o, M.T.ALNUM).hashes, model["vocabulary"], p)
+        hashes = M.T.words(M.T.fold(d), o, M.T.ALNUM).hashes
+        ids, cls, share = M.look_up(hashes, model["vocabulary"], p)
+    for t in np.flatnonzero(np.isnan(share)):
+        n = counts.get(int(hashes[t].astype(np.int64)), 1)
+        share[t] = np.log(n / (model["vocabulary"]["tail"][cls[t] - p.single - p.middle] + 1))
     total = 0.0
     for t in range(len(ids)):
         h = bias.copy()
@@ -58,6 +63,29 @@ def test_probabilities_sum_to_one(model):
     assert np.allclose(shares[shares > 0], 1)
 
 
+def test_words_outside_the_vocabulary_keep_their_counts(make_docs):
+    """A rare word that occurs more often is likelier, by its exact share of its class."""
+    rows = [(i, " ".join(f"w{j}" for j in range(45)) + (" seldom" if i < 2 else " oft")) for i in range(30)]
+    p = M.Lm(vocabulary=20, tail_inputs=1, single=5, middle=6, tail=1, batch=64)
+    model = M.fit(make_docs(rows), p)
+    got = {r.doc_id: r.pll for r in M.score(make_docs([(1, "seldom"), (2, "oft"), (3, "never")]), model).collect()}
+    assert got[2] - got[1] == pytest.approx(np.log(28 / 2)) and got[1] - got[3] == pytest.approx(np.log(2))
+    assert model["vocabulary"]["tail"].sum() == sum(r.n for r in model["counts"].collect()) - 20 * 30
+
+
+def test_average_leaves_out_tasks_that_never_met_a_word(spark, make_docs):
+    """Tasks that did not see a word do not pull its vector back to where it began."""
+    rows = [(i, " ".join(["p", "q"] * 60) if i == 0 else " ".join(["r", "s"] * 60)) for i in range(8)]
+    p = M.Lm(vocabulary=10, tail_inputs=2, single=2, middle=2, tail=1, batch=16, rounds=1)
+    docs = make_docs(rows).repartition(8, "doc_id")
+    together, alone = M.fit(docs, p), M.fit(make_docs(rows[:1]), p)
+    vec = lambda m, w: M._split(m["parameters"], p)[0][m["vocabulary"]["id"][m["vocabulary"]["hash"] == h(w)][0]]
+    h = lambda w: next(M.T.words(d, o, M.T.ALNUM).hashes[0] for _, d, o in M.T.slices(pa.array([w])))
+    begin = lambda m, w: M._split(M.initial(p), p)[0][m["vocabulary"]["id"][m["vocabulary"]["hash"] == h(w)][0]]
+    moved = np.abs(vec(together, "p") - begin(together, "p")).sum()
+    assert moved > 0.5 * np.abs(vec(alone, "p") - begin(alone, "p")).sum()
+
+
 def test_counts_cover_all_rows(spark, grammar):
     assert M.word_counts(grammar.select("text")).agg({"n": "sum"}).first()[0] == 30 * 302
 

@@ -10,7 +10,7 @@ from lakemart.plans import tables as T
 from lakemart.plans.conform_q import ORDER_SPEC, bronze_orders
 from lakemart.plans.registry import register
 from lakemart.session import scratch_path
-from lakemart.sources import files, metadata
+from lakemart.sources import by_name, files, metadata, snapshots
 
 LOAD_ID, LOAD_TS = "load-0001", "2024-02-01 06:00:00"
 
@@ -42,21 +42,84 @@ def load_audit(spark, d):
     return metadata.load_audit(scan, "ts", "event_id", ["user_id", "event_type", "ts"])
 
 
+def _rescued_text(c):
+    """The rescue map as text: its entries by name, without the file's path (a scratch folder)."""
+    kept = F.filter(F.array_sort(F.map_entries(c)), lambda e: e["key"] != by_name.FILE)
+    return F.when(F.col(c).isNotNull(), F.array_join(F.transform(kept, lambda e: F.concat_ws("=", e["key"], e["value"])), ";"))
+
+
 @register("bronze_csv_rescued", """
-SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_totalprice END AS order_total,
-  'ref, ' || o_orderpriority AS note,
-  CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey || ',oops,"ref, ' || o_orderpriority || '"' END AS rescued
+SELECT CASE WHEN o_orderkey % 70 <> 0 THEN o_orderkey END AS order_id, CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS order_total,
+  'ref, ' || o_orderpriority AS note, NULLIF(concat_ws(';', CASE WHEN o_orderkey % 70 = 0 THEN 'order_id=#' || o_orderkey END,
+  CASE WHEN o_orderkey % 50 = 0 THEN 'order_total=oops' END), '') AS rescued
 FROM orders""")
 def bronze_csv_rescued(spark, d):
-    """Quoted commas, and a text in the number column of every 50th line: the line is kept and its raw text too."""
+    """Planted: a text in the number column of every 50th line, in the key of every 70th. Only those fields are rescued."""
     path = scratch_path(spark, "bronze_dirty_csv")
     o = T.table(spark, d, "orders")
     total = F.when(F.col("o_orderkey") % 50 == 0, "oops").otherwise(F.col("o_totalprice").cast("string"))
-    o.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), total,
-                         F.concat(F.lit('"ref, '), "o_orderpriority", F.lit('"')))).write.text(path)
+    key = F.when(F.col("o_orderkey") % 70 == 0, F.concat(F.lit("#"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string"))
+    o.select(F.concat_ws(",", key, total, F.concat(F.lit('"ref, '), "o_orderpriority", F.lit('"')))).write.text(path)
     schema = StructType([StructField("order_id", LongType()), StructField("order_total", DoubleType()),
                          StructField("note", StringType())])
-    return files.read_bronze_csv(spark, path, schema=schema, rescued="rescued", header=False)
+    rows = by_name.read_csv_by_name(spark, path, schema, rescued="rescued", header=False)
+    return rows.withColumn("rescued", _rescued_text("rescued"))
+
+
+@register("bronze_csv_by_name", """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderstatus END AS status, o_totalprice AS order_total,
+  CASE WHEN o_orderkey % 4 = 2 THEN 'Channel=web ' || (o_orderkey % 7) || ';note=a, "b"' END AS rescued FROM orders""")
+def bronze_csv_by_name(spark, d):
+    """One folder of files whose headers differ: as expected, in another order, with new columns, and with one missing."""
+    path = scratch_path(spark, "bronze_unequal_headers")
+    o = T.table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+                                           F.col("o_totalprice").alias("order_total"))
+    o = o.withColumn("Channel", F.concat(F.lit("web "), F.col("o_orderkey") % 7)).withColumn("note", F.lit('a, "b"'))
+    for i, cols in enumerate((["order_id", "status", "order_total"], ["order_total", "order_id", "status"],
+                              ["Channel", "STATUS", "note", "order_id", "order_total"], ["order_id", "order_total"])):
+        part = o.where(F.col("o_orderkey") % 4 == i).select(*[F.col(c).alias(c) for c in cols])
+        part.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    schema = StructType([StructField("order_id", LongType()), StructField("status", StringType()), StructField("order_total", DoubleType())])
+    rows = by_name.read_csv_by_name(spark, path, schema, rescued="rescued", escape='"')
+    return rows.withColumn("rescued", _rescued_text("rescued"))
+
+
+@register("rerun_load_day", """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), bad AS (SELECT day FROM days ORDER BY day LIMIT 2)
+SELECT event_id, event_type, CASE WHEN CAST(ts AS DATE) IN (SELECT day FROM bad) THEN user_id + 1 ELSE user_id END AS user_id,
+  CAST(ts AS DATE) AS load_day FROM events
+WHERE NOT (CAST(ts AS DATE) IN (SELECT day FROM bad) AND event_id % 3 = 0)""")
+def rerun_load_day(spark, d):
+    """A layer by load day; the first two days are loaded again with other rows and replace only themselves."""
+    path = scratch_path(spark, "daily_layer")
+    e = T.table(spark, d, "events").select("event_id", "event_type", "user_id", F.col("ts").cast("date").alias("load_day"))
+    snapshots.replace_partitions(e, path, ["load_day"])
+    bad = e.select("load_day").distinct().orderBy("load_day").limit(2)
+    again = e.join(F.broadcast(bad), "load_day", "left_semi").where("event_id % 3 <> 0").withColumn("user_id", F.col("user_id") + 1)
+    snapshots.replace_partitions(again.select(*e.columns), path, ["load_day"])
+    return snapshots.read_partitions(spark, path, e.schema)
+
+
+@register("write_audit", f"""
+SELECT '{LOAD_ID}' AS load_id, COUNT(*) AS record_count, MIN(ts) AS min_timestamp, MAX(ts) AS max_timestamp,
+  COUNT(*) FILTER (uid IS NULL OR event_type IS NULL OR ts IS NULL) AS null_count,
+  COUNT(*) FILTER (NOT COALESCE(value >= 10, FALSE)) AS small_value, 'PARTIAL' AS load_status
+FROM (SELECT *, CASE WHEN event_id % 20 <> 0 THEN user_id END AS uid FROM events)""")
+def write_audit(spark, d):
+    """The audit of a layer, observed while it is written. Planted: every 20th user is missing."""
+    e = T.table(spark, d, "events").withColumn("user_id", F.when(F.col("event_id") % 20 != 0, F.col("user_id")))
+    return snapshots.write_audited(e, scratch_path(spark, "audited_layer"), LOAD_ID, "ts", ["user_id", "event_type", "ts"],
+                                   checks={"small_value": F.col("value") >= 10})
+
+
+@register("order_totals_view", """
+SELECT o_orderstatus AS status, COUNT(*) AS n_orders, MAX(o_orderkey) AS last_order FROM orders GROUP BY o_orderstatus""")
+def order_totals_view(spark, d):
+    """Through named views: one over the table, replaced by a narrower one, and a query on it."""
+    files.register_views({"lakemart_orders_v": T.table(spark, d, "orders")})
+    files.register_views({"lakemart_orders_v": spark.table("lakemart_orders_v").select("o_orderkey", "o_orderstatus")})
+    return spark.sql("SELECT o_orderstatus AS status, COUNT(*) AS n_orders, MAX(o_orderkey) AS last_order "
+                     "FROM lakemart_orders_v GROUP BY o_orderstatus")
 
 
 @register("bronze_csv_inferred", """

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.ann import usable
-from lakemart.llm.blas import one_thread
 from lakemart.llm.components import connected_components
 from lakemart.llm.store import written
 from lakemart.llm.vectors import by_length
@@ -143,7 +142,6 @@ def _index_udf(books: dict[int, Codebook], p: VectorDup):
 
     @F.arrow_udf(INDEXED)
     def index(v: pa.Array) -> pa.Array:
-        one_thread()
         out: list = [None] * len(v)
         for rows, x in by_length(v):
             book = books.get(x.shape[1]) or _plain(x.shape[1])
@@ -181,7 +179,6 @@ def _compare(books: dict[int, Codebook], p: VectorDup):
     reach = np.sqrt(2 - 2 * p.threshold) + SLACK
 
     def compare(queries: pa.Table, members: pa.Table) -> pa.Table:
-        one_thread()
         ids, count, a, b = [], [], [], []
         if queries.num_rows and members.num_rows:
             qid, mid = (np.asarray(t["id"]) for t in (queries, members))

@@ -581,6 +581,27 @@ def embedding_checks(spark, d):
                                    "unlabelled": F.col("label").isNull()})
 
 
+_BOX = (-9.0, -18.0, 9.0, 18.0)  # south, west, north, east
+
+
+@register("geo_check", f"""
+WITH raw AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 90 AS la, CAST(embedding[2] AS DOUBLE) * 180 AS lo FROM embeddings),
+p AS (SELECT CASE WHEN vec_id % 10 = 0 THEN NULL WHEN vec_id % 11 = 0 THEN 0 WHEN vec_id % 13 = 0 THEN 17 WHEN vec_id % 17 = 0 THEN la + 200
+  ELSE la END AS la, CASE WHEN vec_id % 13 = 0 THEN 1 ELSE lo END AS lo FROM raw)
+SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (la IS NULL OR lo IS NULL) AS n_missing, COUNT(*) FILTER (la = 0 OR lo = 0) AS n_zero,
+  COUNT(*) FILTER (abs(la) > 90 OR abs(lo) > 180) AS n_out_of_range,
+  COUNT(*) FILTER (la IS NOT NULL AND lo IS NOT NULL AND NOT (la BETWEEN {_BOX[0]} AND {_BOX[2]} AND lo BETWEEN {_BOX[1]} AND {_BOX[3]})) AS n_outside_box,
+  COUNT(*) FILTER (lo BETWEEN {_BOX[0]} AND {_BOX[2]} AND la BETWEEN {_BOX[1]} AND {_BOX[3]}
+    AND NOT (la BETWEEN {_BOX[0]} AND {_BOX[2]} AND lo BETWEEN {_BOX[1]} AND {_BOX[3]})) AS n_swapped FROM p""")
+def geo_check(spark, d):
+    """Coordinates from two vector components. Planted: missing and zero latitudes, swapped pairs, latitudes out of range."""
+    e, by = T.table(spark, d, "embeddings"), F.col("vec_id")
+    la, lo = F.get("embedding", F.lit(0)).cast("double") * 90, F.get("embedding", F.lit(1)).cast("double") * 180
+    points = e.select(F.when(by % 10 == 0, None).when(by % 11 == 0, 0.0).when(by % 13 == 0, 17.0).when(by % 17 == 0, la + 200).otherwise(la).alias("la"),
+                      F.when(by % 13 == 0, 1.0).otherwise(lo).alias("lo"))
+    return quality.geo_check(points, "la", "lo", _BOX)
+
+
 @register("table_info", """
 SELECT (SELECT COUNT(*) FROM orders) AS total_rows,
   (SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'orders') AS total_columns,

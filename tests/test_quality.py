@@ -182,7 +182,7 @@ def test_quantiles_by_narrowing_histograms(spark, monkeypatch):
         monkeypatch.setattr(quality, "_FEW", few)
         monkeypatch.setattr(quality, "_CELLS", cells)
         for values in cases:
-            df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+            df = spark.createDataFrame([(v if v is None else float(v),) for v in [*values, None]], "v double")
             got = quality.quantile_values(df, "v", ps, accuracy=100)
             v = sorted(values)
             for p, g in zip(ps, got):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import MONEY
-from lakemart.operators import conform, leads, relational, sales, transit
+from lakemart.operators import conform, leads, relational, sales, transit, typos
 from lakemart.operators.conform import Field
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
@@ -171,3 +171,45 @@ def stage_events(spark, d):
     t = T.taps(spark, d)
     return conform.stage_events(t, {"passengers": (1, 300)}, ["user_id"], ["tap_ts", "event_id"],
                                 "tap_ts", _taps_as_of(), ["station_name"])
+
+
+# planted in the customers' states: a character lost, two exchanged, one replaced, one added, case and blanks, null, blank, unknown
+_TYPED_SQL = """
+, typed AS (SELECT customer_id, CASE customer_id % 8 WHEN 1 THEN left(state, length(state) - 1)
+  WHEN 2 THEN substr(state, 1, 1) || substr(state, 3, 1) || substr(state, 2, 1) || substr(state, 4)
+  WHEN 3 THEN 'X' || substr(state, 2) WHEN 4 THEN substr(state, 1, 3) || 'E' || substr(state, 4) WHEN 5 THEN '  ' || lower(state) || ' '
+  WHEN 6 THEN CASE customer_id % 3 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE state || ' OVERSEAS' END ELSE state END AS state FROM c_customers),
+vals AS (SELECT state AS value, upper(trim(state)) AS f, COUNT(*) AS n_rows FROM typed GROUP BY state),
+near AS (SELECT f, n, list_sort(list(DISTINCT n_name)) AS names FROM (SELECT f, n_name, CASE WHEN damerau_levenshtein(f, n_name) = 1 THEN 1
+  ELSE levenshtein(f, n_name) END AS n FROM (SELECT DISTINCT f FROM vals WHERE f <> ''), nation) WHERE n <= {k} GROUP BY f, n
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY f ORDER BY n) = 1),
+res AS (SELECT value, n_rows, CASE WHEN v.f IS NULL OR v.f = '' THEN 'missing' WHEN n IS NULL THEN 'unknown' WHEN n = 0 THEN 'exact'
+  WHEN len(names) = 1 THEN 'repaired' ELSE 'ambiguous' END AS status, CASE WHEN len(names) = 1 THEN names[1] END AS fixed,
+  CAST(n AS INTEGER) AS n_edits, CASE WHEN len(names) > 1 THEN array_to_string(names, '|') END AS candidates
+  FROM vals v LEFT JOIN near ON v.f = near.f)
+"""
+
+
+def _typed_states(spark, d):
+    c, s, by = T.customers(spark, d).select("customer_id", "state"), F.col("state"), F.col("customer_id")
+    lost = F.when(by % 3 == 1, " ").when(by % 3 == 2, F.concat(s, F.lit(" OVERSEAS")))
+    typed = (F.when(by % 8 == 1, F.expr("left(state, length(state) - 1)"))
+             .when(by % 8 == 2, F.expr("concat(substr(state, 1, 1), substr(state, 3, 1), substr(state, 2, 1), substr(state, 4))"))
+             .when(by % 8 == 3, F.expr("concat('X', substr(state, 2))"))
+             .when(by % 8 == 4, F.expr("concat(substr(state, 1, 3), 'E', substr(state, 4))"))
+             .when(by % 8 == 5, F.concat(F.lit("  "), F.lower(s), F.lit(" "))).when(by % 8 == 6, lost).otherwise(s))
+    return c.select("customer_id", typed.alias("state"))
+
+
+@register("repair_states", q(_TYPED_SQL.format(k=1) + """
+SELECT customer_id, state, COALESCE(fixed, state) AS state_fixed, status FROM typed t JOIN res ON t.state IS NOT DISTINCT FROM res.value"""))
+def repair_states(spark, d):
+    """Planted typos of the states, none of them listed anywhere, brought back to the names in ``nation``."""
+    allowed = T.table(spark, d, "nation").select(F.col("n_name").alias("value"))
+    return typos.repair_values(_typed_states(spark, d), "state", allowed, 1, out="state_fixed")
+
+
+@register("typo_report", q(_TYPED_SQL.format(k=2) + "SELECT * FROM res"))
+def typo_report(spark, d):
+    allowed = T.table(spark, d, "nation").select(F.col("n_name").alias("value"))
+    return typos.typo_report(_typed_states(spark, d), "state", allowed, 2)

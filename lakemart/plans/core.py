@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import MONEY_SUM, money_sum
-from lakemart.operators import ranking, relational, sales, timeseries
+from lakemart.operators import ranking, relational, sales, series, timeseries
 from lakemart.plans import tables as T
 from lakemart.plans.registry import register
 from lakemart.plans.sqlfrag import month, q, ratio
@@ -213,3 +213,35 @@ WHERE NOT EXISTS (SELECT 1 FROM c_payments p WHERE p.order_id = o.order_id)"""))
 def orders_without_payments(spark, d):
     o = T.orders(spark, d).select("order_id", "customer_id", "status", "purchase_ts")
     return relational.orders_without(o, T.payments(spark, d), "order_id")
+
+
+# every line is a row of one series: no window holds it; line numbers repeat within an order, so the order goes on
+_LINE_ORDER = ("shipped_ts", "order_id", "line_no", "product_id", "seller_id", "quantity", "paid")
+_LINES_SQL = """
+, l AS (SELECT order_id, line_no, return_flag, shipped_ts, product_id, seller_id, quantity, price AS paid,
+  CASE WHEN line_no <> 3 THEN price END AS price FROM c_items)
+"""
+
+
+def _lines(spark, d) -> DataFrame:
+    """Lines with a null price for every third line of an order."""
+    return T.items(spark, d).select("order_id", "line_no", "return_flag", "shipped_ts", "product_id", "seller_id", "quantity",
+                                    F.col("price").alias("paid"), F.when(F.col("line_no") != 3, F.col("price")).alias("price"))
+
+
+@register("line_running_total", q(_LINES_SQL + """
+SELECT order_id, line_no, SUM(price) OVER (ORDER BY shipped_ts NULLS FIRST, order_id, line_no,
+  product_id, seller_id, quantity, paid ROWS UNBOUNDED PRECEDING) AS running_revenue FROM l"""))
+def line_running_total(spark, d):
+    """Running revenue line by line, over the whole table as one series."""
+    out = series.running_sum(_lines(spark, d), "price", _LINE_ORDER, out="running_revenue")
+    return out.select("order_id", "line_no", "running_revenue")
+
+
+@register("line_rolling_sum", q(_LINES_SQL + """
+SELECT order_id, line_no, return_flag, SUM(price) OVER (PARTITION BY return_flag ORDER BY shipped_ts NULLS FIRST, order_id, line_no,
+  product_id, seller_id, quantity, paid ROWS BETWEEN 499 PRECEDING AND CURRENT ROW) AS revenue_500 FROM l"""))
+def line_rolling_sum(spark, d):
+    """Revenue of the last 500 lines with the same return flag (three flags: each a hot key)."""
+    out = series.rolling_sum(_lines(spark, d), "price", _LINE_ORDER, 500, ["return_flag"], out="revenue_500")
+    return out.select("order_id", "line_no", "return_flag", "revenue_500")

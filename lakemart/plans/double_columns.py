@@ -26,6 +26,8 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     "kpi_snapshot": ["pct_delivered", "aov"],
     "latest_line_per_key": ["price"],
     "lead_metrics": ["avg_deal_value", "conversion_rate_pct"],
+    "line_rolling_sum": ["revenue_500"],
+    "line_running_total": ["running_revenue"],
     "load_fact": ["total_amount"],
     "monthly_by_country": ["total_sales"],
     "monthly_sales_by_category": ["total_sales"],

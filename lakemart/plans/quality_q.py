@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import MONEY
-from lakemart.operators import quality, sales
+from lakemart.operators import quality, sales, zones
 from lakemart.plans import tables as T
 from lakemart.plans.conform_q import bronze_orders
 from lakemart.plans.registry import register
@@ -602,6 +602,43 @@ def geo_check(spark, d):
     return quality.geo_check(points, "la", "lo", _BOX)
 
 
+# corners of a zone around its centre (degrees east, north): an arrow, so that its bounding box holds points outside
+_ARROW = ((-8.0, -4.0), (8.0, -4.0), (8.0, 4.0), (0.0, -1.0), (-8.0, 4.0))
+_ARROW_SQL = ", ".join(f"({i}, CAST({x} AS DOUBLE), CAST({y} AS DOUBLE))" for i, (x, y) in enumerate(_ARROW))
+
+
+def _zones(spark, d):
+    """One zone a nation, five by five; those of neighbouring regions overlap."""
+    east, north = (F.col("n_nationkey") % 5 - 2) * 18.0 + F.col("n_regionkey"), (F.floor(F.col("n_nationkey") / 5) - 2) * 9.0
+    ring = F.array(*[F.struct((east + x).alias("lon"), (north + y).alias("lat")) for x, y in _ARROW])
+    return T.table(spark, d, "nation").select(F.col("n_name").alias("zone"), ring.alias("ring"))
+
+
+@register("point_zones", f"""
+WITH raw AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 90 AS a, CAST(embedding[2] AS DOUBLE) * 180 AS o FROM embeddings),
+p AS (SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN NULL WHEN vec_id % 13 = 0 THEN o WHEN vec_id % 17 = 0 THEN a + 200 ELSE a END AS la,
+  CASE WHEN vec_id % 13 = 0 THEN a ELSE o END AS lo FROM raw),
+corners AS (SELECT n_name AS zone, i, (n_nationkey % 5 - 2) * CAST(18 AS DOUBLE) + n_regionkey + x AS x1,
+  (n_nationkey // 5 - 2) * CAST(9 AS DOUBLE) + y AS y1 FROM nation, (VALUES {_ARROW_SQL}) AS v(i, x, y)),
+edges AS (SELECT zone, x1, y1, LEAD(x1, 1, f_x) OVER (PARTITION BY zone ORDER BY i) AS x2, LEAD(y1, 1, f_y) OVER (PARTITION BY zone ORDER BY i) AS y2
+  FROM (SELECT *, FIRST_VALUE(x1) OVER (PARTITION BY zone ORDER BY i) AS f_x, FIRST_VALUE(y1) OVER (PARTITION BY zone ORDER BY i) AS f_y FROM corners)),
+asked AS (SELECT vec_id, FALSE AS turned, la, lo FROM p UNION ALL SELECT vec_id, TRUE, lo, la FROM p),
+hits AS (SELECT vec_id, turned, zone FROM asked JOIN edges ON (y1 > la) <> (y2 > la) AND lo < (x2 - x1) * (la - y1) / (y2 - y1) + x1
+  WHERE abs(la) <= 90 AND abs(lo) <= 180 GROUP BY vec_id, turned, zone HAVING COUNT(*) % 2 = 1),
+met AS (SELECT vec_id, COUNT(*) FILTER (NOT turned) AS n, MIN(zone) FILTER (NOT turned) AS z, MIN(zone) FILTER (turned) AS t FROM hits GROUP BY vec_id)
+SELECT p.vec_id, CASE WHEN la IS NULL OR lo IS NULL OR isnan(la) OR isnan(lo) THEN 'missing' WHEN n > 0 THEN 'inside' WHEN t IS NOT NULL THEN 'swapped'
+  WHEN abs(la) > 90 OR abs(lo) > 180 THEN 'out of range' ELSE 'outside' END AS status, COALESCE(n, 0) AS n_zones, COALESCE(z, t) AS zone
+FROM p LEFT JOIN met ON p.vec_id = met.vec_id""")
+def point_zones(spark, d):
+    """Zones of the points that two vector components give. Planted: missing, swapped and out of range coordinates."""
+    by = F.col("vec_id")
+    a, o = F.get("embedding", F.lit(0)).cast("double") * 90, F.get("embedding", F.lit(1)).cast("double") * 180
+    points = T.table(spark, d, "embeddings").select(
+        "vec_id", F.when(by % 10 == 0, None).when(by % 13 == 0, o).when(by % 17 == 0, a + 200).otherwise(a).alias("la"),
+        F.when(by % 13 == 0, a).otherwise(o).alias("lo"))
+    return zones.place_points(points, "vec_id", "la", "lo", _zones(spark, d))
+
+
 @register("table_info", """
 SELECT (SELECT COUNT(*) FROM orders) AS total_rows,
   (SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'orders') AS total_columns,

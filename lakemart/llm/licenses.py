@@ -66,9 +66,10 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
     """
     lines = docs.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("lines"))
     each = lines.select("id", F.col("lines"), digest(F.array_join("lines", "")).alias("digest"))
-    part = each.select("id", "digest", F.explode(F.array_distinct(F.concat(
+    # distinct before they become structs: plain strings are told apart by hash, structs pair by pair
+    part = each.select("id", "digest", F.array_distinct(F.transform("lines", digest)).alias("each")).select("id", "digest", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("d"))),
-        F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("d")))))).alias("p"))
+        F.transform("each", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("d"))))).alias("p"))
     known = known_digests(licenses).select(F.col("digest").alias("known"), "license")
     if known.count() <= MAX_BROADCAST_ROWS:
         known = F.broadcast(known)

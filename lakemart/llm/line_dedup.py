@@ -84,9 +84,14 @@ def repeated_lines(docs: DataFrame, p: Winnow = Winnow(), id_col: str = "doc_id"
     # line numbers on the diagonal where the texts differ, with both ends as borders
     differ = F.concat(F.array(low - 1), F.filter(F.sequence(low, high), lambda x: F.get("m", x) != F.get("fm", x - F.col("shift"))),
                       F.array(high + 1))
-    runs = F.transform("at", lambda a: F.struct(
-        (F.array_max(F.filter("differ", lambda x: x < a)) + 1).alias("s"), (F.array_min(F.filter("differ", lambda x: x > a)) - 1).alias("e")))
-    found = both.withColumn("differ", differ).withColumn("runs", F.array_distinct(runs)).select(
+    # runs lie between neighbouring borders; those with a fingerprint stay, told by one sort of borders and fingerprints
+    marks = F.sort_array(F.concat(F.transform("differ", lambda x: F.struct(x.alias("at"), F.lit(0).alias("print"))),
+                                  F.transform("at", lambda x: F.struct(x.alias("at"), F.lit(1).alias("print")))))
+    after = F.zip_with("marks", F.slice("marks", 2, F.size("marks")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    starts = F.filter("after", lambda x: (x["a"]["print"] == 0) & (x["b"]["print"] == 1))
+    ends = F.filter("after", lambda x: (x["a"]["print"] == 1) & (x["b"]["print"] == 0))
+    runs = F.zip_with(starts, ends, lambda s, e: F.struct((s["a"]["at"] + 1).alias("s"), (e["b"]["at"] - 1).alias("e")))
+    found = both.withColumn("differ", differ).withColumn("marks", marks).withColumn("after", after).withColumn("runs", runs).select(
         "id", "dig", F.flatten(F.transform("runs", lambda r: F.slice("no", r["s"] + 1, r["e"] - r["s"] + 1))).alias("gone"))
     return found.groupBy("id", "dig").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
@@ -106,10 +111,12 @@ def dedup_lines(docs: DataFrame, p: Winnow = Winnow(), id_col: str = "doc_id", t
     gone = gone.select(*[F.col(c).alias(names[c]) for c in ("id", "dig", "gone")])
     i, dig = _key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     out = docs.join(gone, i.eqNullSafe(F.col(names["id"])) & (dig == F.col(names["dig"])), "left")
-    lines = F.split(F.col(f"`{text_col}`"), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(names["gone"]))
+    # split in a projection of its own: inside the lambda it would run for every line
+    parts = free_name(out, "lines")
+    out = out.withColumn(parts, F.when(F.col(names["gone"]).isNotNull(), F.split(F.col(f"`{text_col}`"), "\n")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(names["gone"]))
     text = F.when(F.col(names["gone"]).isNull(), F.col(f"`{text_col}`")).otherwise(
-        F.array_join(F.transform(kept, lambda at: F.get(lines, at)), "\n"))
+        F.array_join(F.transform(kept, lambda at: F.get(F.col(parts), at)), "\n"))
     cols = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if to_removed:
         cols.append(F.coalesce(F.size(names["gone"]), F.lit(0)).alias(to_removed))

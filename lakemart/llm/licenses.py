@@ -55,9 +55,12 @@ def known_digests(licenses: DataFrame, name_col: str = "license", text_col: str
         (F.col("w") != "") & F.col("license").isNotNull()).groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         digests: DataFrame | None = None) -> DataFrame:
     """Per row: ``id_col, digest, license, notices``.
 
+    ``licenses`` holds texts, ``digests`` more ``(digest, license)`` rows as ``known_digests`` gives them.
+
     ``license`` is the known licence that the entire text equals (null if
     none), ``notices`` the sorted names of those that single lines equal.
     Null texts, empty texts and texts of punctuation only share the digest of
@@ -70,7 +73,10 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
     part = each.select("id", "digest", F.array_distinct(F.transform("lines", digest)).alias("each")).select("id", "digest", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("d"))),
         F.transform("each", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("d"))))).alias("p"))
-    known = known_digests(licenses).select(F.col("digest").alias("known"), "license")
+    known = known_digests(licenses)
+    if digests is not None:
+        known = known.unionByName(digests.select("digest", "license")).groupBy("digest").agg(F.min("license").alias("license"))
+    known = known.select(F.col("digest").alias("known"), "license")
     if known.count() <= MAX_BROADCAST_ROWS:
         known = F.broadcast(known)
     found = part.join(known, F.col("p.d") == F.col("known"), "left")

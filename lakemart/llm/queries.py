@@ -51,7 +51,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document's canonical text, the licence it equals, and notices among its lines."""
     rows = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(v).alias("text")) for k, v in S.LICENSES.items()])
     known = spark.range(1).select(F.inline(rows))
-    found = licenses.scan(table(spark, sf_dir, "documents"), known)
+    long = F.array(*[F.struct(F.lit(v).alias("digest"), F.lit(k).alias("license")) for k, v in S.LICENSE_DIGESTS.items()])
+    found = licenses.scan(table(spark, sf_dir, "documents"), known, digests=spark.range(1).select(F.inline(long)))
     return found.withColumn("notices", F.array_join("notices", ","))
 
 

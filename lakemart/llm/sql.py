@@ -6,6 +6,35 @@ from lakemart.llm.licenses import COPYRIGHT_LINE, EQUIVALENT_WORDS
 from lakemart.llm.line_dedup import Winnow
 from lakemart.llm.mixing import Mix
 
+# fixed values: the parts of the BSD licences
+_BSD_HEAD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+_BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+_BSD_TAIL = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
 # fixed values: notices, and public licence texts that are short
 LICENSES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
@@ -46,6 +75,61 @@ LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
 OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE.
 """,
+    "BSD-2-Clause": _BSD_HEAD + _BSD_TAIL,
+    "BSD-3-Clause": _BSD_HEAD + _BSD_THIRD + _BSD_TAIL,
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors
+of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org/>
+""",
+}
+
+
+# fixed values: digests of the canonical forms of long public licence texts
+LICENSE_DIGESTS = {
+    "Apache-2.0": "14de5e59ca2d4318ac52f7c036d0b2158e82250410272372c9a552b6ace7eb5f",
+    "CC0-1.0": "a1c5451395262a9c57097cf8ed1be6259bce24f74691c20b350916c920658336",
+    "GPL-2.0": "8d21bb41a089644760821daf2e93230b7469575997ef211723852a31ec1d896b",
+    "GPL-3.0": "93b88dcd0f8b8b73eeda341cab98f47be9a902945ee24105ac84e99fd7596885",
+    "LGPL-2.1": "5ee4697aeb2e12549e99ed427790096d7f650d8fc8503439d917ae375be84486",
+    "LGPL-3.0": "9da940a5cdd0ef8c6da67bf24cbe851115f32bfcb87aa56b7dec93a85f943e6d",
+    "MPL-2.0": "71146a0d6e9425b18dd5d6a1b5141eab309c03ea4fae946eadfb5d069de504eb",
 }
 
 
@@ -82,6 +166,7 @@ FROM placed JOIN slot_owner USING (slot) JOIN names USING (i)
 
 def license_scan() -> str:
     known = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in LICENSES.items())
+    long = ", ".join(f"({_quoted(v)}, {_quoted(k)})" for k, v in LICENSE_DIGESTS.items())
     words = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in EQUIVALENT_WORDS.items())
     return f"""
 WITH spelling(w, s) AS (VALUES {words}),
@@ -97,7 +182,9 @@ canonical AS (
              lambda w: coalesce(m[w], w)), '') END), lambda x: x <> '') AS lines
     FROM split, respell),
 digests AS (SELECT kind, doc_id, name, sha256(coalesce(array_to_string(lines, ''), '')) AS digest, lines FROM canonical),
-names AS (SELECT digest, min(name) AS name FROM digests WHERE kind = 'k' GROUP BY digest),
+long(digest, name) AS (VALUES {long}),
+names AS (SELECT digest, min(name) AS name FROM (SELECT digest, name FROM digests WHERE kind = 'k' UNION ALL SELECT digest, name FROM long)
+          GROUP BY digest),
 by_line AS (SELECT DISTINCT doc_id, sha256(line) AS digest
             FROM (SELECT doc_id, unnest(lines) AS line FROM digests WHERE kind = 'd')),
 noticed AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS notices FROM by_line JOIN names USING (digest) GROUP BY doc_id)

@@ -1,5 +1,7 @@
 """Sharding, licences, mixing and line runs: DuckDB on the tables, brute force on odd rows."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -62,6 +64,45 @@ def test_licence_texts(make_docs, odd_docs, no_docs, spark):
     assert licenses.scan(odd_docs, known.limit(0)).where("license is not null").count() == 0
 
 
+def test_licences_by_digest(spark, make_docs):
+    """A long text is known by its digest alone, however its lines are broken."""
+    known = spark.createDataFrame(list(sql.LICENSES.items()), "license string, text string")
+    text = "\n".join(prose(i, 12) for i in range(40))
+    long = licenses.known_digests(spark.createDataFrame([("long", text)], "license string, text string"))
+    docs = make_docs([(1, text.upper().replace("\n", " \n\n")), (2, text + " x"), (3, sql.LICENSES["BSD-3-Clause"].replace("\n   ", "\n\t* ")),
+                      (4, sql.LICENSES["BSD-2-Clause"]), (5, "Copyright 2001 A\n\n" + sql.LICENSES["Zlib"]), (6, sql.LICENSES["Unlicense"])])
+    got = {r.doc_id: r.license for r in licenses.scan(docs, known, digests=long).collect()}
+    assert got == {1: "long", 2: None, 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "Zlib", 6: "Unlicense"}
+    assert all(len(d) == 64 for d in sql.LICENSE_DIGESTS.values())
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no licence texts on this machine")
+@pytest.mark.parametrize("name,file", [("Apache-2.0", "Apache-2.0"), ("CC0-1.0", "CC0-1.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"),
+                                       ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0")])
+def test_long_licences(spark, name, file):
+    with open(f"/usr/share/common-licenses/{file}") as f:
+        df = spark.createDataFrame([(name, f.read())], "license string, text string")
+    assert licenses.known_digests(df).first().digest == sql.LICENSE_DIGESTS[name]
+
+
+def test_many_lines(spark, make_docs):
+    """A passage removed from, and runs kept in, texts of 20,000 lines."""
+    own = [f"{prose(i % 97, 6)} {i}" for i in range(20_000)]
+    later = [x if i % 4 else f"{x} changed" for i, x in enumerate(own)]
+    later[500:512] = own[500:512]  # 12 lines of 7 words
+    docs = make_docs([(1, "\n".join(own)), (2, "\n".join(later))])
+    got = {r.doc_id: (r.text, r.removed) for r in line_dedup.dedup_lines(docs, to_removed="removed").collect()}
+    low, high = 500, 511
+    while later[low - 1] == own[low - 1]:
+        low -= 1
+    while later[high + 1] == own[high + 1]:
+        high += 1
+    gone = set(range(low, high + 1))
+    assert got[1] == ("\n".join(own), 0)
+    assert got[2] == ("\n".join(x for i, x in enumerate(later) if i not in gone), len(gone))
+    assert licenses.scan(docs, spark.createDataFrame([("l", own[7])], "license string, text string")).where("size(notices) = 1").count() == 2
+
+
 def fill(budget, kids):
     """Share budget among (weight, cap) children by weight, one saturated child at a time."""
     got, open_ = {}, dict(kids)

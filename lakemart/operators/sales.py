@@ -201,6 +201,12 @@ def monthly_sales_by_category(details: DataFrame, approx: bool = False, rsd: flo
         F.count("customer_id").alias("unique_customers"))
 
 
+def monthly_category_totals(details: DataFrame) -> DataFrame:
+    """Sales per month and category alone: one grouping, combined map-side."""
+    return details.groupBy(month_start("order_date").alias("sales_month"), "category").agg(
+        money_sum("total_item_price").alias("total_sales"))
+
+
 def customer_spend(orders: DataFrame, amount: str = "order_total") -> DataFrame:
     """Total spend and order count per customer, summed at order grain."""
     return orders.groupBy("customer_id").agg(money_sum(amount).alias("total_spend"),

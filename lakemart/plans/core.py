@@ -132,7 +132,7 @@ def monthly_revenue(spark, d) -> DataFrame:
 def monthly_category_sales(spark, d) -> DataFrame:
     det = sales.order_details(T.orders(spark, d), T.customers(spark, d), T.items(spark, d),
                               T.products(spark, d), line_total="price")
-    return sales.monthly_sales_by_category(det).select("sales_month", "category", "total_sales")
+    return sales.monthly_category_totals(det).select("sales_month", "category", "total_sales")
 
 
 @register("revenue_by_month", q(_MONTHLY_SQL + " SELECT month, revenue, n_orders FROM m"))

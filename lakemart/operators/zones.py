@@ -16,54 +16,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.session import shuffle_partitions
+
 # west, south, width and height of the grid: all coordinates
 _WEST, _SOUTH, _WIDTH, _HEIGHT = -180.0, -90.0, 360.0, 180.0
 LEVELS = (4, 6, 8, 10)
 _SLACK = 1e-9  # degrees by which a cell is widened, above the rounding of its bounds
 
 
-def contains(ring: Column, lon: Column, lat: Column) -> Column:
+# expressions over names are written as SQL text, one call each: built column by column they took seconds
+_EDGES = "zip_with({ring}, concat(slice({ring}, 2, size({ring})), slice({ring}, 1, 1)), (a, b) -> {edge})"
+
+
+def contains(ring: str, lon: str, lat: str) -> Column:
     """Even-odd rule for a ring of structs (lon, lat); the last corner is joined to the first.
 
     An edge counts if it crosses the point's latitude (one end above, the
     other not) to the east of the point.
     """
-    after = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    edges = F.zip_with(ring, after, lambda a, b: F.struct(a["lon"].alias("x1"), a["lat"].alias("y1"), b["lon"].alias("x2"), b["lat"].alias("y2")))
-
-    def crosses(e: Column) -> Column:
-        level = (e["y1"] > lat) != (e["y2"] > lat)
-        east = F.when(level, lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
-        return F.coalesce(east, F.lit(False))
+    east = f"{lon} < (b.lon - a.lon) * ({lat} - a.lat) / (b.lat - a.lat) + a.lon"
+    edge = f"coalesce(CASE WHEN (a.lat > {lat}) <> (b.lat > {lat}) THEN {east} END, false)"
+    return F.expr(f"size(filter({_EDGES.format(ring=ring, edge=edge)}, hit -> hit)) % 2 = 1")
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
 
-
-def _touches(ring: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+def _touches(ring: str, west: str, south: str, east: str, north: str) -> Column:
     """Does an edge of the ring meet the box? (Boxes overlap, and the box's corners are not all on one side of the edge.)"""
-    after = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-
-    def meets(a: Column, b: Column) -> Column:
-        dx, dy = b["lon"] - a["lon"], b["lat"] - a["lat"]
-        sides = [dx * (y - a["lat"]) - dy * (x - a["lon"]) for x in (west, east) for y in (south, north)]
-        apart = ((F.greatest(a["lon"], b["lon"]) < west) | (F.least(a["lon"], b["lon"]) > east)
-                 | (F.greatest(a["lat"], b["lat"]) < south) | (F.least(a["lat"], b["lat"]) > north))
-        return ~apart & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+    sides = ", ".join(f"(b.lon - a.lon) * ({y} - a.lat) - (b.lat - a.lat) * ({x} - a.lon)" for x in (west, east) for y in (south, north))
+    edge = (f"greatest(a.lon, b.lon) >= {west} AND least(a.lon, b.lon) <= {east} AND greatest(a.lat, b.lat) >= {south} "
+            f"AND least(a.lat, b.lat) <= {north} AND least({sides}) <= 0 AND greatest({sides}) >= 0")
+    return F.expr(f"exists({_EDGES.format(ring=ring, edge=edge)}, hit -> hit)")
 
-    return F.exists(F.zip_with(ring, after, meets), lambda hit: hit)
 
-
-def _interleaved(column: Column, row: Column, level: int) -> Column:
+def _interleaved(column: str, row: str, level: int) -> str:
     """Cell number: the bits of column and row, interleaved, below a leading one."""
-    out = F.lit(1).cast("bigint")
-    for bit in range(level - 1, -1, -1):
-        out = out * 4 + F.shiftright(column, bit).bitwiseAND(F.lit(1)) * 2 + F.shiftright(row, bit).bitwiseAND(F.lit(1))
-    return out
+    bits = [f"(shiftright({column}, {b}) & 1) * {2 * 4 ** b} + (shiftright({row}, {b}) & 1) * {4 ** b}" for b in range(level)]
+    return " + ".join([f"{4 ** level}L", *bits])
 
 
-def _at(value: Column, start: float, width: float, level: int) -> Column:
+def _at(value: str, start: float, width: float, level: int) -> str:
     cells = 1 << level
-    return F.least(F.floor((value - start) / width * cells), F.lit(cells - 1)).cast("bigint")
+    return f"least(floor(({value} - {start!r}D) / {width!r}D * {cells}), {cells - 1}L)"
 
 
 def cover(zones: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
@@ -77,29 +69,30 @@ def cover(zones: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
     ok = zones.select("zone", "ring").where(F.size("ring") >= 3)
     first = levels[0]
 
-    def span(field: str, start: float, width: float) -> Column:
-        values = F.transform("ring", lambda p: p[field])
-        return F.sequence(_at(F.array_min(values), start, width, first), _at(F.array_max(values), start, width, first))
+    def span(field: str, start: float, width: float) -> str:
+        ends = [_at(f"array_{end}(transform(ring, p -> p.{field}))", start, width, first) for end in ("min", "max")]
+        return f"sequence({ends[0]}, {ends[1]})"
+
+    def cells(columns: str, rows: str) -> Column:
+        return F.expr(f"flatten(transform({columns}, c -> transform({rows}, r -> named_struct("
+                      "'c', c, 'r', r, 'cell', cast(null as bigint), 'inside', cast(null as boolean)))))")
 
-    here = ok.withColumn("_c", F.explode(span("lon", _WEST, _WIDTH))).withColumn("_r", F.explode(span("lat", _SOUTH, _HEIGHT)))
-    out = None
+    # one chain of steps: cells that are settled pass on as they are, open ones are judged and, on a border, cut
+    here = ok.repartition(shuffle_partitions(zones.sparkSession), "zone").withColumn(
+        "_at", F.explode(cells(span("lon", _WEST, _WIDTH), span("lat", _SOUTH, _HEIGHT))))
     for i, level in enumerate(levels):
         w, h = _WIDTH / (1 << level), _HEIGHT / (1 << level)
-        west, south = F.col("_c") * w + _WEST, F.col("_r") * h + _SOUTH
-        border = _touches(F.col("ring"), west - _SLACK, south - _SLACK, west + (w + _SLACK), south + (h + _SLACK))
-        whole = contains(F.col("ring"), west + w / 2, south + h / 2)
-        kind = here.withColumn("_border", border).withColumn("_in", ~F.col("_border") & whole)
-        last = i == len(levels) - 1
-        done = kind.where(F.col("_in") | F.col("_border") if last else F.col("_in")).select(
-            "zone", "ring", _interleaved(F.col("_c"), F.col("_r"), level).alias("cell"), F.col("_in").alias("inside"))
-        out = done if out is None else out.unionByName(done)
-        if not last:
+        west, south = f"(_at.c * {w!r}D + {_WEST!r}D)", f"(_at.r * {h!r}D + {_SOUTH!r}D)"
+        touched = _touches("ring", f"({west} - {_SLACK!r}D)", f"({south} - {_SLACK!r}D)", f"({west} + {w + _SLACK!r}D)", f"({south} + {h + _SLACK!r}D)")
+        whole = contains("ring", f"({west} + {w / 2!r}D)", f"({south} + {h / 2!r}D)")
+        number = _interleaved("_at.c", "_at.r", level)
+        settled = [F.expr(f"array(named_struct('c', _at.c, 'r', _at.r, 'cell', {number}, 'inside', {inside}))") for inside in ("true", "false")]
+        if i < len(levels) - 1:
             cut = 1 << (levels[i + 1] - level)
-            steps = F.array(*[F.lit(k).cast("bigint") for k in range(cut)])
-            here = kind.where("_border").select("zone", "ring", F.col("_c") * cut, F.col("_r") * cut).toDF("zone", "ring", "_c", "_r") \
-                .withColumn("_dc", F.explode(steps)).withColumn("_dr", F.explode(steps)) \
-                .select("zone", "ring", (F.col("_c") + F.col("_dc")).alias("_c"), (F.col("_r") + F.col("_dr")).alias("_r"))
-    return out
+            settled[1] = cells(*(f"sequence(_at.{x} * {cut}, _at.{x} * {cut} + {cut - 1})" for x in "cr"))
+        after = F.when(F.col("_at.cell").isNotNull(), F.array("_at")).when(touched, settled[1]).when(whole, settled[0])
+        here = here.select("zone", "ring", F.explode(after).alias("_at"))
+    return here.select("zone", "ring", F.col("_at.cell").alias("cell"), F.col("_at.inside").alias("inside"))
 
 
 def zone_hits(points: DataFrame, key: str, lat: str, lon: str, zones: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
@@ -111,10 +104,12 @@ def zone_hits(points: DataFrame, key: str, lat: str, lon: str, zones: DataFrame,
     too: a zone of several parts is several zones.
     """
     la, lo = F.col(f"`{lat}`"), F.col(f"`{lon}`")
-    cells = [_interleaved(_at(F.col("_lo"), _WEST, _WIDTH, v), _at(F.col("_la"), _SOUTH, _HEIGHT, v), v) for v in levels]
+    at = [f"named_struct('c', {_at('_lo', _WEST, _WIDTH, v)}, 'r', {_at('_la', _SOUTH, _HEIGHT, v)})" for v in levels]
+    numbers = [_interleaved(f"_at[{i}].c", f"_at[{i}].r", v) for i, v in enumerate(levels)]
     asked = points.where((F.abs(la) <= 90) & (F.abs(lo) <= 180)).select(
-        F.col(f"`{key}`").alias("_k"), la.alias("_la"), lo.alias("_lo")).withColumn("cell", F.explode(F.array(*cells)))
-    hit = F.col("inside") | contains(F.col("ring"), F.col("_lo"), F.col("_la"))
+        F.col(f"`{key}`").alias("_k"), la.cast("double").alias("_la"), lo.cast("double").alias("_lo")).withColumn(
+        "_at", F.expr(f"array({', '.join(at)})")).withColumn("cell", F.explode(F.expr(f"array({', '.join(numbers)})"))).drop("_at")
+    hit = F.col("inside") | contains("ring", "_lo", "_la")
     return asked.join(cover(zones, levels), "cell").where(hit).select(F.col("_k").alias(key), "zone")
 
 

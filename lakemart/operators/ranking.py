@@ -116,10 +116,11 @@ def _sampled(df: DataFrame, keys: list[_Key], wanted: int, n: int) -> _Buckets:
         F.to_json(F.struct("*"), _JSON).alias("t")).collect()
     at = sorted({len(found) * i // wanted for i in range(1, wanted)} - {0})
     texts = [found[i]["t"] for i in at]
-    # the first key alone bounds the buckets if no mass of equal values of it fills one
-    first = [json.dumps(json.loads(t).get("k0")) for t in texts]
-    if len(set(first)) == len(first):
-        keys, schema = keys[:1], StructType(schema.fields[:1])
+    # the first few keys bound the buckets if they tell all bounds apart: then no mass of equal values of them fills one
+    values = [json.loads(t) for t in texts]
+    few = next((m for m in range(1, len(keys))
+                if len({json.dumps([v.get(f"k{i}") for i in range(m)]) for v in values}) == len(values)), len(keys))
+    keys, schema = keys[:few], StructType(schema.fields[:few])
     return _Buckets(texts, _literal(texts, schema.simpleString()), keys)
 
 

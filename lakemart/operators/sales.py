@@ -142,13 +142,12 @@ def above_average(df: DataFrame, col: str) -> DataFrame:
 
 def big_spenders(orders: DataFrame, revenue: DataFrame) -> DataFrame:
     """Customers whose total revenue exceeds the average *order* revenue (as written)."""
-    # revenue is planned once: orders that no order row explains keep a group of their own for the average
+    # all revenue is kept by the join, so the average reads the same shuffled sums per order; null totals fail the test
     known = orders.select("order_id", "customer_id", F.lit(True).alias("_known"))
-    per = revenue.join(known, "order_id", "left").groupBy("customer_id", "_known").agg(
-        money_sum("revenue").alias("total_revenue"), F.count("revenue").alias("_n"))
-    overall = per.select(F.struct(F.sum("total_revenue").alias("s"), F.sum("_n").alias("n"))).scalar()
-    return (per.withColumn("_all", overall)
-            .where(F.col("_known") & (F.col("total_revenue") * F.col("_all.n") > F.col("_all.s")))
+    overall = revenue.select(F.struct(F.sum("revenue").alias("s"), F.count("revenue").alias("n"))).scalar()
+    per = revenue.select("order_id", "revenue").join(known, "order_id", "left").groupBy("customer_id").agg(
+        money_sum(F.when(F.col("_known"), F.col("revenue"))).alias("total_revenue"))
+    return (per.withColumn("_all", overall).where(F.col("total_revenue") * F.col("_all.n") > F.col("_all.s"))
             .select("customer_id", "total_revenue"))
 
 

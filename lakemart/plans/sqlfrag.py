@@ -1,5 +1,5 @@
-"""SQL text fragments mirroring the exact-arithmetic column helpers, so the
-oracle queries compute ratios and averages with the same integer formula."""
+"""SQL text fragments of the oracle queries: ratios and averages are divided and rounded by the database itself,
+not by the engine's integer formula."""
 
 from __future__ import annotations
 
@@ -7,10 +7,8 @@ from lakemart.plans.tables import SQL_CTES
 
 
 def half_up(num: str, den: str, scale: int) -> str:
-    f = 10 ** scale
-    return (f"CASE WHEN ({den}) <> 0 THEN CAST(CAST(SIGN({num}) * SIGN({den}) * "
-            f"((ABS({num}) * {2 * f} + ABS({den})) // (ABS({den}) * 2)) AS DECIMAL(18,0)) "
-            f"* CAST({1 / f if scale else 1} AS DECIMAL({scale + 1},{scale})) AS DECIMAL(18,{scale})) END")
+    # the quotient comes as a double; twelve decimal places make it a decimal again, which ROUND takes half up
+    return f"CAST(ROUND(CAST(CAST({num} AS DOUBLE) / NULLIF({den}, 0) AS DECIMAL(38,12)), {scale}) AS DECIMAL(18,{scale}))"
 
 
 def ratio(num: str, den: str, scale: int = 4, pct: bool = False) -> str:

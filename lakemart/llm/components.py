@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.store import written
+from lakemart.llm.store import discard, written
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     its smaller neighbours and itself to the smallest. Both need one minimum
     per node (combined before the shuffle) and an equi-join that AQE may
     split, so a node with very many links is never gathered. Every round is
-    written to the shared folder. Self links and nulls are ignored.
+    written to the shared folder and replaces the one before. Self links and nulls are ignored.
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .distinct(), "edges")
@@ -31,6 +31,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # done when every edge joins a node to one root that has no smaller neighbour
         again = nxt.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() or \
             nxt.join(nxt.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
+        discard(edges)
         edges = nxt
         if not again:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import text as T
 from lakemart.llm.components import connected_components
-from lakemart.llm.store import keep_ids, written
+from lakemart.llm.store import discard, keep_ids, written
 
 _U = np.uint64
 
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
     sketches = written(reps.join(active, "id", "left_semi").select("id", F.struct("n", "sketch", "parity", "bands").alias("s")),
                        "sketches")
 
-    comp = active.withColumn("comp", F.col("id"))
+    comp = written(active.withColumn("comp", F.col("id")), "components")
     failed = None
     step = 0
     while True:
@@ -243,6 +243,8 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
         if failed is not None:
             cand = cand.join(failed, ["a", "b"], "left_anti")
         cand = written(cand, "candidates")
+        if last:
+            discard(rows)
         linked = False
         if cand.limit(1).count():
             # only the texts of candidates are shuffled
@@ -251,17 +253,21 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), id_col: str = "doc_
             done = written(cand.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
                            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
                            .select("a", "b", "ca", "cb", similar(p)("ta", "tb").alias("link")), "checked")
+            discard(need)
             linked = done.where("link").limit(1).count() > 0
             no = done.where("not link").select("a", "b")
             failed = no if failed is None else failed.unionByName(no)
         if linked:
             roots = connected_components(done.where("link").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            comp = written(comp.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
-                           .select("id", F.coalesce("component", "comp").alias("comp")), "components")
+            before, comp = comp, written(comp.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
+                                         .select("id", F.coalesce("component", "comp").alias("comp")), "components")
+            discard(before)
+        discard(cand)
         if last:
             break
         step += 1
 
+    discard(reps, buckets, sketches)
     ids = sets.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     roots = ids.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "c1", "c2", F.coalesce("comp", "rep").alias("comp"))

@@ -17,7 +17,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``written`` made. Only for tables that no later job reads, recomputed tasks included."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 from lakemart.functions.columns import as_col, count_when, ratio
 
 
+# a task's share where joins and groupings hold every row: about 360 bytes a row in sorts and hash maps
+ROWS_PER_TASK, LEAST_TASKS = 250_000, 16
+
+
+def task_count(rows: int) -> int | None:
+    """Number of tasks that holds each to ``ROWS_PER_TASK`` of ``rows``; None if few rows leave it to Spark.
+
+    Spark's own number of partitions is fixed, and merging them goes by their
+    compressed bytes, so that a task's memory grows with the table.
+    """
+    n = -(-rows // ROWS_PER_TASK)
+    return n if n >= LEAST_TASKS else None
+
+
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

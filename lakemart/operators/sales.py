@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.columns import (
     MONEY, avg_exact, band, count_when, money, money_sum, month_start, ratio, scalar_lit, within_days,
 )
-from lakemart.operators.relational import next_period_keys
+from lakemart.operators.relational import next_period_keys, task_count
 
 
 def order_revenue(items: DataFrame) -> DataFrame:
@@ -59,6 +59,8 @@ def order_details(orders: DataFrame, customers: DataFrame, items: DataFrame, pro
     Inner joins drop orders without items (as written); ``payment_join``
     selects a left (keep unpaid) or inner payment join. Payments are summed
     per order first, so an order paid once is not counted once per item.
+    Many items (they are counted) meet their orders in as many tasks as
+    ``task_count`` says; groupings that include the order stay there.
     """
     o = orders.select("order_id", "customer_id", F.col("purchase_ts").cast("date").alias("order_date"),
                       F.col("status").alias("order_status"))
@@ -68,7 +70,13 @@ def order_details(orders: DataFrame, customers: DataFrame, items: DataFrame, pro
                      F.col("price").alias("unit_price"), money(total).alias("total_item_price"))
     p = products.select("product_id", "product_name", "category")
     # customers join at order grain, before the more numerous lines
-    d = i.join(o.join(c, "customer_id"), "order_id").join(p, "product_id")
+    placed = o.join(c, "customer_id")
+    names = i.join(placed, "order_id").join(p, "product_id").columns
+    tasks = task_count(items.count())
+    if tasks:
+        d = i.join(p, "product_id").repartition(tasks, "order_id").join(placed, "order_id").select(*names)
+    else:
+        d = i.join(placed, "order_id").join(p, "product_id")
     if payments is not None:
         d = d.join(order_payments(payments), "order_id", payment_join)
     return d
@@ -178,11 +186,14 @@ def revenue_by_state_items(orders: DataFrame, items: DataFrame, customers: DataF
                                   F.count_distinct("order_id").alias("n_orders")))
 
 
-def monthly_sales_by_category(details: DataFrame, approx: bool = False, rsd: float = 0.02) -> DataFrame:
+def monthly_sales_by_category(details: DataFrame, approx: bool = False, rsd: float = 0.02,
+                              lines: int | None = None) -> DataFrame:
     """Gold: sales, distinct orders and distinct customers per month and category.
 
     Exact counts come from three nested groupings (order, customer, month)
     that combine map-side, so no row is expanded; an order has one customer.
+    ``lines``, about the number of rows, lets ``task_count`` deal the orders
+    to customers in tasks of bounded memory; without it Spark decides.
     ``approx=True`` counts with HyperLogLog++ sketches in one grouping.
     """
     d = details.withColumn("sales_month", month_start("order_date"))
@@ -193,6 +204,9 @@ def monthly_sales_by_category(details: DataFrame, approx: bool = False, rsd: flo
             F.approx_count_distinct("customer_id", rsd).alias("unique_customers"))
     per_order = d.groupBy("sales_month", "category", "customer_id", "order_id").agg(
         money_sum("total_item_price").alias("_sales"))
+    tasks = task_count(lines or 0)
+    if tasks:
+        per_order = per_order.repartition(tasks, "sales_month", "category", "customer_id")
     per_customer = per_order.groupBy("sales_month", "category", "customer_id").agg(
         F.sum("_sales").alias("_sales"), F.count("order_id").alias("_orders"))
     return per_customer.groupBy("sales_month", "category").agg(

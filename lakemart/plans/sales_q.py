@@ -152,7 +152,7 @@ SELECT {month('order_date')} AS sales_month, category,
   COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_id) AS unique_customers
 FROM det GROUP BY 1, 2"""))
 def monthly_sales_by_category(spark, d):
-    return sales.monthly_sales_by_category(_details(spark, d))
+    return sales.monthly_sales_by_category(_details(spark, d), lines=T.items(spark, d).count())
 
 
 @register("cohorts", q(f"""

@@ -134,3 +134,41 @@ def test_monthly_sales_approx_close_to_exact(spark):
         assert a.total_sales == e.total_sales
         assert abs(a.total_orders - e.total_orders) <= max(2, 0.08 * e.total_orders)
         assert abs(a.unique_customers - e.unique_customers) <= max(2, 0.08 * e.unique_customers)
+
+
+def test_details_and_monthly_sales_keep_tasks_small(spark, monkeypatch):
+    """However few the shuffle partitions, no task holds more than its share of the lines; the rows are the same."""
+    from lakemart.operators import relational
+    n = 1200
+    orders = spark.range(n // 2).selectExpr(
+        "id AS order_id", "id % 37 AS customer_id", "'F' AS status",
+        "TIMESTAMP_NTZ'2024-01-15 00:00:00' + make_dt_interval(CAST(id % 90 AS INT)) AS purchase_ts")
+    customers = spark.range(37).selectExpr("id AS customer_id", "concat('c', id) AS customer_name")
+    items = spark.range(n).selectExpr(
+        "id DIV 2 AS order_id", "CAST(id % 2 AS INT) AS line_no", "id % 23 AS product_id", "2 AS quantity",
+        "CAST(id % 7 AS DECIMAL(18,2)) AS price")
+    products = spark.range(23).selectExpr("id AS product_id", "concat('p', id) AS product_name", "concat('k', id % 3) AS category")
+    plain = sales.order_details(orders, customers, items, products)
+    want, want_gold = sorted(plain.collect()), sorted(sales.monthly_sales_by_category(plain).collect())
+    monkeypatch.setattr(relational, "ROWS_PER_TASK", 60)
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # as for large tables
+    was = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        det = sales.order_details(orders, customers, items, products)
+        assert det.columns == plain.columns and sorted(det.collect()) == want
+        assert max(r["count"] for r in det.groupBy(F.spark_partition_id()).count().collect()) <= 4 * 60
+        gold = sales.monthly_sales_by_category(det, lines=n)
+        assert sorted(gold.collect()) == want_gold
+        dealt = [line for line in gold._jdf.queryExecution().toString().splitlines() if "REPARTITION_BY_NUM" in line]
+        assert any("customer_id" in line and ", 20)" in line for line in dealt)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_few_rows_leave_the_tasks_to_spark():
+    from lakemart.operators.relational import LEAST_TASKS, ROWS_PER_TASK, task_count
+    few = ROWS_PER_TASK * (LEAST_TASKS - 1)
+    assert [task_count(n) for n in (0, few, few + 1, 60 * ROWS_PER_TASK + 1)] == [None, None, LEAST_TASKS, 61]

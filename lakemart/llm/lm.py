@@ -23,6 +23,7 @@ from lakemart.llm.store import columns, free_name, written
 
 _U = np.uint64
 _FIXED = float(1 << 24)
+_SAFE = 60.0  # sums of exps up to here, and their shares, are ordinary float32 numbers
 
 
 @dataclass(frozen=True)
@@ -135,16 +136,30 @@ def tail_class(h: Column, p: Lm) -> Column:
 
 def look_up(hashes: np.ndarray, voc: dict, p: Lm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(input id, class, log share of the class) of each word; the share of a word outside the vocabulary is NaN."""
-    ids = (_U(p.vocabulary) + hashes % _U(p.tail_inputs)).astype(np.int32)
-    cls = ((hashes >> _U(20)) % _U(p.tail)).astype(np.int32) + np.int32(p.single + p.middle)
-    share = np.full(len(hashes), np.nan)
+    out, rest = np.arange(len(hashes)), hashes
+    ids, cls, share = np.empty(len(hashes), np.int32), np.empty(len(hashes), np.int32), np.empty(len(hashes))
     if len(voc["hash"]):
-        at = np.minimum(np.searchsorted(voc["hash"], hashes), len(voc["hash"]) - 1)
-        known = voc["hash"][at] == hashes
-        ids[known], cls[known], share[known] = (voc[k][at[known]] for k in ("id", "class", "share"))
+        at = _places(voc["hash"], hashes)
+        ids, cls, share = (voc[k].take(at) for k in ("id", "class", "share"))
+        out = np.flatnonzero(voc["hash"].take(at) != hashes)
+        rest = hashes[out]
+    ids[out] = _U(p.vocabulary) + rest % _U(p.tail_inputs)
+    cls[out] = (rest >> _U(20)) % _U(p.tail) + _U(p.single + p.middle)
+    share[out] = np.nan
     return ids, cls, share
 
 
+def _places(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The place of each hash in the sorted ``table``, any place if it is not there: by its first 16 bits, then by steps."""
+    first = np.searchsorted(table, np.arange(1 << 16, dtype=np.uint64) << _U(48))
+    last = len(table) - 1
+    at = np.minimum(first, last).take((hashes >> _U(48)).astype(np.int64))
+    for _ in range(int(np.bincount((table >> _U(48)).astype(np.int64)).max()) - 1):
+        at += table.take(at) < hashes
+        np.minimum(at, last, out=at)
+    return at
+
+
 def contexts(ids: np.ndarray, offsets: np.ndarray, p: Lm) -> Iterator[np.ndarray]:
     """For each neighbour position, the input ids there (the outside id beyond a document's ends)."""
     outside = np.int32(p.vocabulary + p.tail_inputs)
@@ -157,57 +172,85 @@ def contexts(ids: np.ndarray, offsets: np.ndarray, p: Lm) -> Iterator[np.ndarray
         yield np.where(good, ids[np.clip(j, 0, max(0, len(ids) - 1))], outside) if len(ids) else ids
 
 
+def padded(ids: np.ndarray, offsets: np.ndarray, p: Lm) -> tuple[np.ndarray, np.ndarray]:
+    """The input ids with ``side`` outside ids around every document, and the place of each word: neighbours are shifts."""
+    at = np.arange(len(ids)) + np.repeat(np.arange(1, len(offsets)) * p.side, np.diff(offsets))
+    out = np.full(len(ids) + len(offsets) * p.side, p.vocabulary + p.tail_inputs, dtype=np.int32)
+    out[at] = ids
+    return out, at
+
+
+def _layers(flat: np.ndarray, p: Lm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word vectors, and both layers as (outputs, inputs and one for the bias): a batch is a matrix of word columns."""
+    emb, side, bias, out, obias = _split(flat, p)
+    return (emb, np.column_stack([side.reshape(-1, p.hidden).T, bias]).astype(np.float32),
+            np.column_stack([out.T, obias]).astype(np.float32))
+
+
+def _forward(v: np.ndarray, first: np.ndarray, second: np.ndarray, p: Lm) -> tuple:
+    """Inputs, hidden units and outputs of all places but the first and last ``side`` of ``v``; outputs too large for
+    exp are shifted by their maximum."""
+    span = v.shape[1] - 2 * p.side
+    x = np.empty((first.shape[1], span), dtype=np.float32)
+    for j, k in enumerate(_around(p)):
+        x[j * p.embed:(j + 1) * p.embed] = v[:, k:k + span]
+    x[-1] = 1
+    h = np.empty((second.shape[1], span), dtype=np.float32)
+    np.tanh(first @ x, out=h[:-1])
+    h[-1] = 1
+    z = second @ h
+    if np.abs(second).sum(axis=1).max() > _SAFE:  # hidden units are at most 1
+        z -= z.max(axis=0)
+    return x, h, z
+
+
+def _around(p: Lm) -> list[int]:
+    return [*range(p.side), *range(p.side + 1, 2 * p.side + 1)]
+
+
 def train(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], flat: np.ndarray, p: Lm) -> tuple[np.ndarray, int]:
     """One pass of Adagrad over slices of (ids, classes, offsets); the parameters and the number of words."""
-    flat = flat.copy()
-    emb, side, bias, out, obias = _split(flat, p)
-    acc = np.full_like(flat, 1e-3)
-    a_emb, a_side, a_bias, a_out, a_obias = _split(acc, p)
-    flat_side = side.reshape(-1, p.hidden)
-    around = [*range(p.side), *range(p.side + 1, 2 * p.side + 1)]
+    emb, first, second = _layers(flat, p)
+    emb, a_emb = emb.copy(), np.full_like(emb, 1e-3)
+    a_first, a_second = np.full_like(first, 1e-3), np.full_like(second, 1e-3)
+    narrow = np.uint16 if len(emb) <= 1 << 16 else np.int32  # sorted by radix
+    slots, component = np.zeros(len(emb), np.int64), np.arange(p.embed)[:, None]
     seen = 0
     for ids, cls, offsets in rows:
-        # with outside ids between documents, a neighbour is a shift and each word's vector is read once
-        gap = np.arange(1, len(offsets)) * p.side
-        at = np.arange(len(ids)) + np.repeat(gap, np.diff(offsets))
-        padded = np.full(len(ids) + len(offsets) * p.side, p.vocabulary + p.tail_inputs, dtype=np.int32)
-        padded[at] = ids
+        near, at = padded(ids, offsets, p)
         for i in range(0, len(ids), p.batch):
             y, own = cls[i:i + p.batch], at[i:i + p.batch]
-            first, m = own[0], len(y)
-            here = padded[first - p.side:own[-1] + p.side + 1]
-            span = len(here) - 2 * p.side
-            own = own - first
-            vectors = emb[here]
-            x = np.concatenate([vectors[k:k + span] for k in around], axis=1)
-            if span > m:
-                x = x[own]
-            h = np.tanh(x @ flat_side + bias)
-            z = h @ out + obias
-            z -= z.max(axis=1, keepdims=True)
+            m = len(y)
+            here = near[own[0] - p.side:own[-1] + p.side + 1]
+            own = own - own[0]
+            v = np.ascontiguousarray(emb.take(here, axis=0).T)
+            x, h, z = _forward(v, first, second, p)
             np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            z[np.arange(m), y] -= 1
-            z /= m
-            g_h = (z @ out.T) * (1 - h * h)
-            g_x = g_h @ flat_side.T
-            if span > m:
-                g_x, part = np.zeros((span, g_x.shape[1]), dtype=np.float32), g_x
-                g_x[own] = part
-            g_at = np.zeros_like(vectors)
-            for j, k in enumerate(around):
-                g_at[k:k + span] += g_x[:, j * p.embed:(j + 1) * p.embed]
-            order = np.argsort(here, kind="stable")
-            begin = np.flatnonzero(np.diff(here[order], prepend=-1))
-            touched, g_emb = here[order[begin]], np.add.reduceat(g_at[order], begin, axis=0)
-            for w, a, g in ((side, a_side, (x.T @ g_h).reshape(side.shape)), (bias, a_bias, g_h.sum(0)),
-                            (out, a_out, h.T @ z), (obias, a_obias, z.sum(0))):
-                a += g * g
-                w -= p.rate * g / np.sqrt(a)
-            a_emb[touched] += g_emb * g_emb
-            emb[touched] -= p.rate * g_emb / np.sqrt(a_emb[touched])
+            mass = z.sum(axis=0)
+            z[y, own] -= mass[own]
+            weight = np.zeros(len(mass), dtype=np.float32)  # places between documents are no words
+            weight[own] = 1 / (m * mass[own])
+            g_h = (second[:, :-1].T @ z) * ((1 - h[:-1] * h[:-1]) * weight)
+            h *= weight
+            g_x = first[:, :-1].T @ g_h
+            g_v = np.zeros_like(v)
+            for j, k in enumerate(_around(p)):
+                g_v[:, k:k + g_x.shape[1]] += g_x[j * p.embed:(j + 1) * p.embed]
+            met = np.sort(here.astype(narrow), kind="stable")
+            touched = met[np.flatnonzero(np.diff(met, prepend=met[0]) != 0)]
+            touched = np.concatenate([met[:1], touched]).astype(np.int64)
+            slots[touched] = np.arange(len(touched))
+            g = np.bincount((slots.take(here) + len(touched) * component).ravel(), g_v.ravel(), p.embed * len(touched))
+            g = g.reshape(p.embed, -1).T.astype(np.float32)
+            for w, a, d in ((first, a_first, g_h @ x.T), (second, a_second, z @ h.T)):
+                a += d * d
+                w -= p.rate * d / np.sqrt(a)
+            a = a_emb.take(touched, axis=0) + g * g
+            a_emb[touched] = a
+            emb[touched] -= p.rate * g / np.sqrt(a)
         seen += len(ids)
-    return flat, seen
+    return np.concatenate([x.ravel() for x in (
+        emb, first[:, :-1].T, first[:, -1], second[:, :-1].T, second[:, -1])]), seen
 
 
 def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
@@ -274,30 +317,21 @@ def fit(docs: DataFrame, p: Lm = Lm(), text_col: str = "text") -> dict:
     return {"vocabulary": voc, "counts": counts, "parameters": flat, "p": p, "trained": trained}
 
 
-def log_likelihood(ids: np.ndarray, cls: np.ndarray, share: np.ndarray, offsets: np.ndarray, tables: list, p: Lm
+def log_likelihood(ids: np.ndarray, cls: np.ndarray, share: np.ndarray, offsets: np.ndarray, tables: tuple, p: Lm
                    ) -> np.ndarray:
     """Log-probability of every word given its neighbours, words outside the vocabulary without their share of the
-    class. ``tables``: see ``_tables``."""
-    per_side, bias, out, obias = tables
+    class. ``tables``: see ``_layers``."""
+    emb, first, second = tables
     total = np.empty(len(ids))
-    ctx = list(contexts(ids, offsets, p))
-    for i in range(0, len(ids), 16384):
-        cut = slice(i, i + 16384)
-        h = np.broadcast_to(bias, (len(ids[cut]), p.hidden)).copy()
-        for c, table in zip(ctx, per_side):
-            h += table[c[cut]]
-        z = np.tanh(h, out=h) @ out
-        z += obias
-        z -= z.max(axis=1, keepdims=True)
-        own = z[np.arange(len(z)), cls[cut]].astype(np.float64)
-        total[cut] = own - np.log(np.exp(z, out=z).sum(axis=1)) + np.nan_to_num(share[cut])
-    return total
-
-
-def _tables(flat: np.ndarray, p: Lm) -> list:
-    """The parameters with each neighbour's vector already multiplied by its side's matrix."""
-    emb, side, bias, out, obias = _split(flat, p)
-    return [[emb @ w for w in side], bias, out, obias]
+    near, at = padded(ids, offsets, p)
+    for i in range(0, len(ids), p.batch):
+        own = at[i:i + p.batch]
+        here = near[own[0] - p.side:own[-1] + p.side + 1]
+        own = own - own[0]
+        z = _forward(np.ascontiguousarray(emb.take(here, axis=0).T), first, second, p)[2]
+        won = z[cls[i:i + p.batch], own].astype(np.float64)
+        total[i:i + p.batch] = won - np.log(np.exp(z, out=z).sum(axis=0))[own]
+    return total + np.nan_to_num(share)
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_tokens", to_sum: str = "pll") -> DataFrame:
@@ -317,14 +351,14 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_t
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model["vocabulary"], model["parameters"]))
 
-    @F.arrow_udf("struct<n:bigint,s:double,rare:array<bigint>>")
+    @F.arrow_udf("struct<n:bigint,s:double,rare:array<bigint>,times:array<bigint>>")
     def pll(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one_thread()
         voc, flat = shared.value
-        tables = _tables(flat, p)
+        tables = _layers(flat, p)
         for arr in batches:
             n, s = np.zeros(len(arr), np.int64), np.zeros(len(arr))
-            rare, ends = [], np.zeros(len(arr) + 1, np.int64)
+            rare, times, ends = [], [], np.zeros(len(arr) + 1, np.int64)
             for row, data, offsets in T.slices(arr):
                 w = T.words(T.fold(data), offsets, T.ALNUM)
                 count = np.diff(w.offsets)
@@ -335,20 +369,27 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", to_n: str = "n_t
                     lp = log_likelihood(ids, cls, share, w.offsets, tables, p)
                     s[row + full] = np.add.reduceat(lp, w.offsets[:-1][full])
                     out = np.flatnonzero(np.isnan(share))
-                    rare.append(w.hashes[out])
-                    ends[row + 1:row + len(count) + 1] = np.diff(np.searchsorted(out, w.offsets))
-            hashes = np.concatenate(rare).view(np.int64) if rare else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), pa.array(hashes))
-            yield pa.StructArray.from_arrays([pa.array(n), pa.array(s), lists], ["n", "s", "rare"])
+                    doc, h = np.searchsorted(w.offsets, out, side="right") - 1, w.hashes[out]
+                    order = np.lexsort((h, doc))
+                    doc, h = doc[order], h[order]
+                    begin = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (h != np.roll(h, 1)))
+                    rare.append(h[begin].view(np.int64))
+                    times.append(np.diff(begin, append=len(h)))
+                    ends[row + 1:row + len(count) + 1] = np.bincount(doc[begin], minlength=len(count))
+            ends = pa.array(np.cumsum(ends).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*x, np.zeros(0, np.int64)]))) for x in (rare, times)]
+            yield pa.StructArray.from_arrays([pa.array(n), pa.array(s), *lists], ["n", "s", "rare", "times"])
 
     digest = [F.xxhash64(F.col(f"`{text_col}`")), F.xxhash64(F.lit(p.seed), F.col(f"`{text_col}`"))]
     key = [free_name(docs, k) for k in ("text_key", "text_key2")]
     one = docs.select(*[d.alias(k) for d, k in zip(digest, key)], pll.asNondeterministic()(F.col(f"`{text_col}`")).alias("x"))
     one = written(one.select(*key, F.monotonically_increasing_id().alias("row"), "x.*"), "likelihoods")
     mass = F.array(*[F.lit(float(m)) for m in model["vocabulary"]["tail"]])
-    words = one.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count(F.lit(1)).alias("k"))
+    words = one.select("row", F.inline(F.arrays_zip(F.col("rare").alias("h"), F.col("times").alias("k"))).alias("h", "k"))
     share = F.log(F.coalesce("n", F.lit(1)) / (F.get(mass, tail_class(F.col("h"), p)) + 1))
-    rare = words.join(model["counts"], "h", "left").groupBy("row").agg(F.sum(F.round(share * F.col("k"), 9).cast("decimal(38,9)")).cast("double").alias("r"))
+    # whole billionths, so that the sum does not depend on its order
+    rare = words.join(model["counts"], "h", "left").groupBy("row").agg(
+        (F.sum(F.rint(share * F.col("k") * 1e9).cast("bigint")) / 1e9).alias("r"))
     total = one.join(rare, "row", "left").groupBy(*key).agg(
         F.first("n").alias("n"), F.first(F.col("s") + F.coalesce("r", F.lit(0.0))).alias("s"))
     tmp_n, tmp_s = free_name(docs, "likelihood_n"), free_name(docs, "likelihood_s")

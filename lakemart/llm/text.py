@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 _U = np.uint64
 _ROOT = 0x9E3779B97F4A7C15 | 1
 _ROOT_INV = pow(_ROOT, -1, 1 << 64)
@@ -104,6 +105,8 @@ def fold(data: np.ndarray) -> np.ndarray:
 def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
     """Words of an already folded slice, as runs of ``member`` bytes."""
     n = len(data)
+    if n > BLOCK_BYTES and len(offsets) > 2:
+        return _by_block(data, offsets, member)
     inside = member[data]
     first = inside.copy()
     last = inside.copy()
@@ -118,6 +121,18 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
     return Words(span_hash(data, starts, ends), np.searchsorted(starts, offsets), starts, ends, data)
 
 
+def _by_block(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
+    """``words`` of blocks of whole documents, whose arrays stay in the processor's cache."""
+    parts, word, i = [], 0, 0
+    while i < len(offsets) - 1:
+        j = int(np.searchsorted(offsets, offsets[i] + BLOCK_BYTES, side="right")) - 1
+        j = min(max(j, i + 1), len(offsets) - 1)
+        w = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], member)
+        parts.append((w.hashes, w.offsets[bool(i):] + word, w.starts + offsets[i], w.ends + offsets[i]))
+        word, i = word + len(w.hashes), j
+    return Words(*(np.concatenate(x) for x in zip(*parts)), data)
+
+
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, from one running polynomial sum."""
     up, down = _power(len(data))

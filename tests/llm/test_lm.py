@@ -144,3 +144,50 @@ def test_one_pass_matches_plain_gradients():
         acc += grad * grad
         want -= p.rate * grad / np.sqrt(acc)
     assert seen == 200 and np.allclose(got, want, atol=1e-3)
+
+
+def test_rare_words_are_counted_in_their_document_not_by_a_shuffle(make_docs, monkeypatch):
+    """The pass over the texts hands on each rare word of a document once, with its count."""
+    rows = [(i, " ".join(f"w{j}" for j in range(45)) + (" seldom" if i < 2 else " oft")) for i in range(9)]
+    p = M.Lm(vocabulary=20, tail_inputs=1, single=5, middle=6, tail=1, batch=64)
+    model = M.fit(make_docs(rows), p)
+    seen = {}
+
+    def kept(df, name, real=M.written):
+        seen[name] = real(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(M, "written", kept)
+    docs = make_docs([(1, "seldom oft seldom seldom"), (2, None), (3, "oft"), (4, "oft never oft")])
+    got = {r.doc_id: r.pll for r in M.score(docs, model).collect()}
+    assert sorted(sorted(r.times) for r in seen["likelihoods"].collect()) == [[], [1], [1, 2], [1, 3]]
+    for i, t in ((1, "seldom oft seldom seldom"), (4, "oft never oft")):
+        assert got[i] == pytest.approx(naive(t, model), rel=1e-4)
+
+
+def test_large_outputs_do_not_overflow(grammar, model):
+    """Parameters whose outputs are too large for exp still give finite training steps and scores."""
+    p = model["p"]
+    flat = M.initial(p) * 400
+    ids = np.random.default_rng(3).integers(0, 40, 300).astype(np.int32)
+    cls, offsets = ids % (p.single + p.middle), np.array([0, 100, 101, 300])
+    new, seen = M.train(iter([(ids, cls, offsets)]), flat, p)
+    assert seen == 300 and np.isfinite(new).all()
+    assert np.isfinite(M.log_likelihood(ids, cls, np.zeros(300), offsets, M._layers(flat, p), p)).all()
+
+
+def test_look_up_finds_every_word_of_the_vocabulary():
+    rng = np.random.default_rng(4)
+    h = np.sort(np.concatenate([rng.integers(0, 1 << 63, 500, dtype=np.uint64), np.arange(9, dtype=np.uint64) + np.uint64(77 << 48)]))
+    n = len(h)
+    voc = {"hash": h, "id": rng.permutation(n).astype(np.int32), "class": rng.integers(0, 9, n).astype(np.int32),
+           "share": rng.normal(size=n)}
+    p = M.Lm(vocabulary=n)
+    for some in (h, h + np.uint64(1000), np.array([0, (1 << 64) - 1], np.uint64), h[:0]):
+        at = {int(x): i for i, x in enumerate(h)}
+        ids, cls, share = M.look_up(some, voc, p)
+        for k, x in enumerate(some.tolist()):
+            i = at.get(x)
+            assert ids[k] == (p.vocabulary + x % p.tail_inputs if i is None else voc["id"][i])
+            assert cls[k] == ((x >> 20) % p.tail + p.single + p.middle if i is None else voc["class"][i])
+            assert np.isnan(share[k]) if i is None else share[k] == voc["share"][i]

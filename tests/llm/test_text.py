@@ -29,3 +29,15 @@ def test_hash_depends_on_content_only():
 def test_fold_latin_capitals():
     data = np.frombuffer("ÀÉÞ×ß AZ".encode(), dtype=np.uint8)
     assert bytes(T.fold(data)).decode() == "àéþ×ß az"
+
+
+def test_words_do_not_depend_on_the_block(monkeypatch):
+    rng = np.random.default_rng(6)
+    docs = ["".join(rng.choice(list("ab  é.")) for _ in range(n)) for n in (0, 40, 1, 700, 0, 3, 90, 0)]
+    data, offsets = next((d, o) for _, d, o in T.slices(pa.array(docs)))
+    whole = T.words(data, offsets, T.ALNUM)
+    for block in (1, 50, 128):
+        monkeypatch.setattr(T, "BLOCK_BYTES", block)
+        got = T.words(data, offsets, T.ALNUM)
+        for name in ("hashes", "offsets", "starts", "ends"):
+            assert np.array_equal(getattr(got, name), getattr(whole, name))

@@ -157,7 +157,9 @@ def _with_ratio(rows: DataFrame, counts: DataFrame, p: UrlModel) -> DataFrame:
     """``rows`` (with ``chunk`` and ``url``) and their ``ratio``.
 
     Each chunk of rows asks for its n-grams' counts by a join and is scored
-    with those alone, so no task holds the whole count table.
+    with those alone, so no task holds the whole count table. The join is a
+    sort-merge join at every size: Spark takes what the chunks ask for to be
+    no more rows than URLs, a small part of what it is, and would broadcast it.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +178,7 @@ def _with_ratio(rows: DataFrame, counts: DataFrame, p: UrlModel) -> DataFrame:
         return urls.append_column("ratio", pa.array(log_ratio(urls["url"], Counts(found), p)))
 
     found = rows.select("chunk", "url").mapInArrow(ask, "chunk bigint, kind bigint, slot bigint").join(
-        counts, ["kind", "slot"]).select("chunk", "kind", "slot", "n0", "n1")
+        counts.hint("merge"), ["kind", "slot"]).select("chunk", "kind", "slot", "n0", "n1")
     return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
         ratio, StructType([*rows.schema.fields, StructField("ratio", DoubleType())]))
 
